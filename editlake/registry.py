@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from editlake.plans import screening, targeted
+
+PARTS = [screening, targeted]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to function of (spark, sf_dir)."""
-    return {}
+    return {name: f for part in PARTS for name, f in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL."""
-    return {}
+    return {name: text for part in PARTS for name, text in part.SQL.items()}
