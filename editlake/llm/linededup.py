@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import ascii_lower, id_and_text
+from .util import ascii_lower, id_and_text, materialize
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -31,7 +31,8 @@ def line_dedup(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text_co
     keyed = keyed.filter(F.length("line") >= least).withColumn("line", ascii_lower(F.col("line")))
     keyed = keyed.select("doc_id", "own", "at", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"))
     shared = keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = shared.filter("least < most").drop("most")
+    # Written, so that the join's two sides come straight from an exchange and a hot line's rows can be split.
+    shared = materialize(shared.filter("least < most").drop("most"), "shared-lines")
     dropped = keyed.join(shared, ["k1", "k2"]).filter("doc_id <> least")
     dropped = dropped.groupBy("doc_id", "own").agg(F.collect_set("at").alias("gone"))
     joined = rows.withColumn("own", F.xxhash64("text")).join(dropped, ["doc_id", "own"], "left")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import chunks, id_and_text, mix64, per_row, powers, row_of, text_buffers
+from .util import chunks, id_and_text, materialize, mix64, per_row, powers, row_of, text_buffers
 
 MEAN, LEAST, MOST = 24, 12, 4096
 MIN_WORDS = 25
@@ -82,7 +82,9 @@ def repeats(
     chunked = docs.select("doc_id", "key", "text").mapInArrow(chop, "doc_id bigint, key int, place bigint, digest bigint")
     where = F.struct("doc_id", "key", "place")
     stats = chunked.groupBy("digest").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    stats = stats.filter("not (first.doc_id <=> last.doc_id and first.key = last.key)")
+    stats = stats.filter("not (first.doc_id <=> last.doc_id and first.key = last.key)").drop("last")
+    # Written, so that the join's two sides come straight from an exchange and a hot chunk's rows can be split.
+    stats = materialize(stats, "shared-chunks")
     found = chunked.join(stats, "digest").select(
         "doc_id", "key", F.struct("place", F.col("first").eqNullSafe(where).alias("first"), F.col("first.doc_id").alias("of")).alias("c")
     )
