@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editlake.plans import screening, targeted
+from editlake.plans import channels, modelled, screening, targeted
 
-PARTS = [screening, targeted]
+PARTS = [screening, targeted, channels, modelled]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
