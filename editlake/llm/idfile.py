@@ -241,7 +241,11 @@ def unpack_segment(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     for size in sizes:
         blocks.append(blob[at : at + size])
         at += size
-    ids = decode_blocks(blocks, total)
+    try:
+        with np.errstate(divide="ignore"):
+            ids = decode_blocks(blocks, total)
+    except IndexError as error:  # what was decoded leads outside the block
+        raise ValueError("a block is damaged") from error
     raw = ids.astype("<u4")
     for k, crc in enumerate(crcs):
         if zlib.crc32(raw[k * BLOCK : (k + 1) * BLOCK].tobytes()) != crc:

@@ -22,8 +22,8 @@ from .util import chunks, id_and_text, mix64, row_of, text_buffers, words
 
 BITS = 20
 MAX_ROWS = 16_000
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 2.0, 1.0
-EPOCHS = 4
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
+EPOCHS = 8
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
