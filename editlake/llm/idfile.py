@@ -24,11 +24,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import PieceEncoder, text_batches
+from .bpe import CHUNK, PieceEncoder, cut_bytes, joined_text, split_by_bytes, text_slices
 from .util import id_and_text, write_table
 
 MAGIC = b"CMRC\x01\x00\x00\x00"
@@ -264,11 +265,20 @@ def _tokenizer(definition: str) -> PieceEncoder:
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def parts(texts: list[str]) -> list[bytes]:
-        made = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u2").tobytes() for x in made]
+    sizes = np.zeros(max(tokenizer.get_vocab().values()) + 1, np.int64)
+    for token, k in tokenizer.get_vocab().items():
+        sizes[k] = len(token)  # a character of a token stands for a byte
 
-    return PieceEncoder(parts)
+    def whole(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.int64) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def parts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        joined = [joined_text(array.slice(k, 500)) for k in range(0, len(array), 500)]
+        ids = np.concatenate([np.zeros(0, np.int64), *whole(joined)])
+        ends = np.cumsum(np.asarray(pc.binary_length(array)).astype(np.int64))
+        return ids, split_by_bytes(ids, sizes[ids], ends)
+
+    return PieceEncoder(whole, parts, "<u2")
 
 
 def write_ids(
@@ -302,8 +312,8 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names)
 
         for batch in batches:
-            for a, b, texts in text_batches(batch.column(1)):
-                made = encoder.encode(texts)
+            for a, b, texts in text_slices(batch.column(1), CHUNK):
+                made = cut_bytes(*encoder.encode(texts))
                 for doc_id, ids in zip(batch.column(0).slice(a, b - a).to_pylist(), made, strict=True):
                     doc_ids.append(doc_id)
                     held.append(ids + tail)
