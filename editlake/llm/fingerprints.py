@@ -21,33 +21,32 @@ MOST_WEIGHT = 8
 PAIR = (1 << 32) | 1
 
 
-def simhash(text: Column) -> Column:
-    """The fingerprint of a text as bigint."""
-    tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t-\r]+"), lambda w: w != "")
-    zero = F.struct(*[F.lit(0).cast("bigint").alias(f"b{j}") for j in range(32)], F.lit(0).cast("bigint").alias("w"))
-
-    def vote(acc: Column, term: Column) -> Column:
-        h, w = term["h"], term["w"]
-        sums = [
-            (acc[f"b{j}"] + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(PAIR)) * w).alias(f"b{j}") for j in range(32)
-        ]
-        return F.struct(*sums, (acc["w"] + w).alias("w"))
-
-    def close(acc: Column) -> Column:
-        bits = []
-        for j in range(32):
-            low, high = acc[f"b{j}"].bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(acc[f"b{j}"], 32)
-            for bit, ones in ((j, low), (j + 32, high)):
-                value = (1 << bit) - (1 << 64 if bit == 63 else 0)
-                bits.append(F.when(ones * 2 > acc["w"], F.lit(value).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-        while len(bits) > 1:
-            bits = [a.bitwiseOR(b) for a, b in zip(bits[::2], bits[1::2], strict=True)]
-        return bits[0]
-
-    terms = F.transform(
-        tokens, lambda t: F.struct(F.xxhash64(t).alias("h"), F.least(F.length(t), F.lit(MOST_WEIGHT)).cast("bigint").alias("w"))
+def simhash(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
+    """``keys`` of ``rows`` (unique) and a bigint fingerprint for each text column, named as ``texts`` says.
+
+    The words are exploded and their votes summed by key, before any shuffle as far as a task has them; rows that
+    are partitioned by one of the keys already aren't shuffled at all.
+    """
+    names = list(texts)
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.lower(F.coalesce(c, F.lit(""))).alias("t")) for k, c in enumerate(names)])
+    terms = rows.select(*keys, F.explode(kinds).alias("k")).select(
+        *keys, F.col("k.kind").alias("kind"), F.explode(F.split("k.t", r"[ \t-\r]+")).alias("term")
     )
-    return F.aggregate(terms, zero, vote, close)
+    weight = F.least(F.length("term"), F.lit(MOST_WEIGHT)).cast("bigint")
+    terms = terms.select(*keys, "kind", F.xxhash64("term").alias("h"), weight.alias("w"))  # an empty word weighs nothing
+    h, w = F.col("h"), F.col("w")
+    votes = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(PAIR)) * w).alias(f"b{j}") for j in range(32)]
+    sums = terms.groupBy(*keys, "kind").agg(*votes, F.sum("w").alias("w"))
+    bits = []
+    for j in range(32):
+        low, high = F.col(f"b{j}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(F.col(f"b{j}"), 32)
+        for bit, ones in ((j, low), (j + 32, high)):
+            value = (1 << bit) - (1 << 64 if bit == 63 else 0)
+            bits.append(F.when(ones * 2 > w, F.lit(value).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    while len(bits) > 1:
+        bits = [a.bitwiseOR(b) for a, b in zip(bits[::2], bits[1::2], strict=True)]
+    prints = sums.select(*keys, "kind", bits[0].alias("fp"))
+    return prints.groupBy(*keys).agg(*[F.max(F.when(F.col("kind") == k, F.col("fp"))).alias(texts[c]) for k, c in enumerate(names)])
 
 
 def hex16(fp: Column) -> Column:
@@ -92,45 +91,34 @@ def search(queries: DataFrame, fingerprints: DataFrame, radius: int = 3, extra:
     return near.filter(F.col("t") == F.coalesce(*agree)).select("query_fp", "fp", "distance")
 
 
-def with_next(rows: DataFrame, buckets: int) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with next_<column> of the next row by descending doc_id; after the last, the first.
+def in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` (doc_id, ...) with bucket and head, for a window by descending doc_id in which the last row's next is the first.
 
     doc_id's quantiles cut the rows into buckets, so that no task orders more than a few of these. The first row of
-    every bucket is sent along to the bucket before it. Rows without doc_id come last.
+    every bucket is sent along, as head, to the bucket before it. Rows without doc_id come last.
     """
-    columns = rows.columns
     shares = [k / buckets for k in range(1, buckets)]
     row = rows.agg(F.percentile_approx("doc_id", shares, 100 * buckets) if shares else F.array()).first()
     bounds = sorted(set(row[0] or []))
-    step = max(1, int(len(bounds) ** 0.5))
-    bucket = _place(F.col("doc_id"), bounds, step)
-    placed = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(bucket))
-    by_bucket = rows.select("doc_id").withColumn(
-        "bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(bucket)
-    )
-    tops = {r.bucket: r.top for r in by_bucket.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()}
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_place(F.col("doc_id"), bounds))
+    placed = rows.withColumn("bucket", bucket).withColumn("head", F.lit(False))
+    found = rows.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    tops = {r.bucket: r.top for r in found.collect()}
     filled = sorted(tops)  # no more than buckets + 1
-    if not filled:
-        return placed.select("*", *[F.col(c).alias(f"next_{c}") for c in columns]).drop("bucket")
-    before = {tops[k]: filled[(i + 1) % len(filled)] for i, k in enumerate(filled)}
-    pairs = [(top, to) for top, to in before.items() if top is not None]
-    heads = placed.limit(0).withColumn("head", F.lit(True))
-    if pairs:
-        to = rows.sparkSession.createDataFrame(pairs, "doc_id bigint, bucket int")
-        heads = rows.join(F.broadcast(to), "doc_id").dropDuplicates(["doc_id"]).withColumn("head", F.lit(True))
-    everything = placed.withColumn("head", F.lit(False)).unionByName(heads)
-    order = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"))
-    return (
-        everything.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
-        .filter("not head")
-        .drop("bucket", "head")
-    )
+    # Below the lowest bucket comes the highest again.
+    pairs = [(tops[k], filled[(i + 1) % len(filled)]) for i, k in enumerate(filled) if tops[k] is not None]
+    if not pairs:
+        return placed
+    to = rows.sparkSession.createDataFrame(pairs, "doc_id bigint, bucket int")
+    heads = rows.join(F.broadcast(to), "doc_id").dropDuplicates(["doc_id"]).withColumn("head", F.lit(True))
+    return placed.unionByName(heads)
 
 
-def _place(x: Column, bounds: list[int], step: int) -> Column:
+def _place(x: Column, bounds: list[int]) -> Column:
     """How many of ``bounds`` (ascending) are at most ``x``: first among every step-th of them, then in between."""
     if not bounds:
         return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
     fine = F.array(*[F.lit(b) for b in bounds])
     coarse = F.array(*[F.lit(b) for b in bounds[::step]])
     skip = F.greatest(F.size(F.filter(coarse, lambda b: b <= x)) - 1, F.lit(0)) * step
@@ -138,13 +126,28 @@ def _place(x: Column, bounds: list[int], step: int) -> Column:
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, text, fp, edited (its last half replaced by the next text's beginning),
-    edited_fp, next_fp. A table of one row has itself as next; an empty one gives no rows."""
+    """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp.
+
+    The edited text has its last half replaced by the next text's beginning; next is by descending doc_id and the first
+    after the last. A table of one row has itself as next; an empty one gives no rows. The texts are shuffled once:
+    all that follows keeps the buckets' partitioning.
+    """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("fp", simhash(F.col("text")))
-    rows = with_next(rows, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    half = F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"), F.substring("next_text", F.lit(1), half))
-    rows = rows.select("doc_id", "text", "fp", edited.alias("edited"), F.col("next_fp"))
-    return rows.withColumn("edited_fp", simhash(F.col("edited")))
+    rows = in_buckets(rows, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"))
+    rows = rows.withColumn("next_text", F.coalesce(F.lead("text").over(order), F.lit("")))
+    edited = F.expr("concat(left(text, length(text) - cast(length(text) div 2 as int)), left(next_text, cast(length(text) div 2 as int)))")
+    rows = rows.select("bucket", "head", "doc_id", "text", edited.alias("edited"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.withColumns({"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256)})
+    keys = ["bucket", "head", "doc_id", "row", "n_chars", "edited_sha256"]
+    prints = simhash(rows, keys, {"text": "fp", "edited": "edited_fp"})
+    again = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"), "row")
+    prints = prints.withColumn("next_fp", F.lead("fp").over(again)).filter("not head")
+    return prints.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp) for every row of ``docs``."""
+    rows = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    return simhash(rows, ["doc_id", "row"], {"text": "fp"}).select("doc_id", "fp")

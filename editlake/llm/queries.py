@@ -80,8 +80,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     fp, edited_fp, next_fp = F.col("fp"), F.col("edited_fp"), F.col("next_fp")
     return rows.select(
         "doc_id",
-        F.length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "n_chars",
+        "edited_sha256",
         fingerprints.hex16(fp).alias("fingerprint"),
         fingerprints.hex16(edited_fp).alias("edited_fingerprint"),
         fingerprints.likeness(fp, edited_fp).alias("near_edited"),
