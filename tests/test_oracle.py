@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 from editlake import registry
@@ -26,7 +27,7 @@ def rows(frame):
     """Rows as sorted tuples of comparable text."""
 
     def text(x):
-        if x is None or x != x:
+        if pd.isna(x):
             return ""
         if isinstance(x, bool):
             return str(x)
