@@ -168,8 +168,7 @@ def mark_contamination(
         return _marked(docs, items, window).drop("text_key")
     key = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
     parts = [_marked(docs, items.filter(key == k), window) for k in range(n_blocks)]
-    base = parts[0].withColumn("row", F.row_number().over(_by_row()))
-    more = parts[1].filter("size(items) > 0")
+    base, more = parts[0], parts[1].filter("size(items) > 0")
     for part in parts[2:]:
         more = more.unionByName(part.filter("size(items) > 0"))
     more = more.groupBy("doc_id", "text_key").agg(
@@ -185,8 +184,3 @@ def mark_contamination(
         F.array_sort(F.array_union("items", F.coalesce("more_items", none_s))).alias("items"),
     )
 
-
-def _by_row():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("doc_id", "text_key").orderBy("n_words")

@@ -429,3 +429,12 @@ def test_all_null_columns(spark):
     assert simhash_trie.near_duplicates(docs).collect()[0].component_id is None
     for df in (linededup.line_dedup(docs), fingerprints.edited_fingerprints(docs), lm_score.score_documents(docs), substring.repeats(docs)):
         assert df.count() == 3
+
+
+def test_cut_points_make_like_parts(spark):
+    ids = [*range(1000), *(10**12 + k for k in range(3000)), *(5 * 10**17 + k * 10**9 for k in range(1000)), *[7] * 900]
+    rows = spark.createDataFrame([(k,) for k in ids] + [(None,)], "doc_id long")
+    cuts = fingerprints.cut_points(rows, 20)
+    parts = np.bincount(np.searchsorted(cuts, ids, side="right"))
+    assert cuts == sorted(set(cuts)) and 10 <= len(parts) <= 25 and np.sort(parts)[-2] <= 550
+    assert fingerprints.cut_points(rows.limit(0), 20) == []
