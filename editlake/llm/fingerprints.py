@@ -19,6 +19,8 @@ from .util import id_and_text
 
 MOST_WEIGHT = 8
 PAIR = (1 << 32) | 1
+#: Bins of a histogram of ids.
+BINS = 1 << 16
 
 
 def simhash(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
@@ -94,12 +96,10 @@ def search(queries: DataFrame, fingerprints: DataFrame, radius: int = 3, extra:
 def in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
     """``rows`` (doc_id, ...) with bucket and head, for a window by descending doc_id in which the last row's next is the first.
 
-    doc_id's quantiles cut the rows into buckets, so that no task orders more than a few of these. The first row of
+    Cut points of doc_id make buckets of like numbers of rows, so that no task orders more than a few of these. The first row of
     every bucket is sent along, as head, to the bucket before it. Rows without doc_id come last.
     """
-    shares = [k / buckets for k in range(1, buckets)]
-    row = rows.agg(F.percentile_approx("doc_id", shares, 100 * buckets) if shares else F.array()).first()
-    bounds = sorted(set(row[0] or []))
+    bounds = cut_points(rows, buckets)
     bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_place(F.col("doc_id"), bounds))
     placed = rows.withColumn("bucket", bucket).withColumn("head", F.lit(False))
     found = rows.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top"))
@@ -114,6 +114,41 @@ def in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
     return placed.unionByName(heads)
 
 
+def cut_points(rows: DataFrame, buckets: int) -> list[int]:
+    """Ascending doc_ids that cut the rows into about ``buckets`` equal parts, from histograms of ``BINS`` bins.
+
+    Bins that hold more than a part are counted again, finer, until they are one id wide. The driver gets
+    ``BINS`` numbers a round at most, and no task more than its share of the counts.
+    """
+    ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("doc_id").alias("n")).first()
+    if not ends.n:
+        return []
+    most = max(1, ends.n // buckets)
+    work, counts = [(ends.a, ends.b + 1)], {}
+    while work:
+        bins = max(2, BINS // len(work))
+        wide = [(a, b, max(1, -(-(b - a) // bins))) for a, b in work]
+        start = F.lit(None).cast("bigint")
+        for a, b, w in wide:
+            inside = (F.col("doc_id") >= a) & (F.col("doc_id") < b)
+            start = F.when(inside, F.lit(a) + F.floor((F.col("doc_id") - F.lit(a)) / F.lit(w)) * w).otherwise(start)
+        found = rows.select(start.cast("bigint").alias("s")).dropna().groupBy("s").count().collect()
+        work = []
+        for r in found:
+            width = next(w for a, b, w in wide if a <= r.s < b)
+            if r["count"] > most and width > 1 and len(work) < 64:
+                work.append((r.s, r.s + width))
+            else:
+                counts[r.s] = r["count"]
+    out, total = [], 0
+    for s in sorted(counts):
+        if total >= most:
+            out.append(s)
+            total = 0
+        total += counts[s]
+    return out
+
+
 def _place(x: Column, bounds: list[int]) -> Column:
     """How many of ``bounds`` (ascending) are at most ``x``: first among every step-th of them, then in between."""
     if not bounds:
