@@ -4,7 +4,9 @@ A small network predicts every word from the two words on either side: each of t
 table; their sum goes through tanh to two softmax layers, one for the word's group and one for its place in the
 group. The most frequent ``VOCAB - RARE`` words of the whole corpus are words of their own, all others share ``RARE``
 hashed classes. Every partition trains a copy from the same start over all its words, in numpy with Adagrad;
-the copies are averaged, weighted by their words. A document's score is the sum of its words' log-probabilities.
+the copies are averaged, weighted by their words. A word of a shared class has the network's probability of the class
+times its own share of the class, from counts of all the corpus's words; these stay distributed and are joined.
+A document's score is the sum of its words' log-probabilities.
 
 Null and empty texts have no words, score 0 and a null mean. An untrained model (empty corpus) is the start.
 """
@@ -18,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import chunks, id_and_text, per_row, text_buffers, words
+from .util import chunks, id_and_text, materialize, per_row, row_of, text_buffers, words
 
 GROUP = 32
 VOCAB, RARE, DIM = GROUP * GROUP, 64, 16
 PLACES = (-2, -1, 1, 2)
 BATCH, RATE = 4096, 0.1
+#: Logs of shares are summed as whole multiples of 1 / UNIT, so that equal texts get equal sums in any order.
+UNIT = 1 << 30
 SHAPES = {"e": (len(PLACES), VOCAB + 1, DIM), "u": (DIM, 2 * GROUP), "b": (2 * GROUP,), "g": (GROUP, GROUP)}
 
 
@@ -63,6 +67,44 @@ class Vocabulary:
         return np.where(self.words[at] == signed, self.ids[at], rare)
 
 
+def rare_shares(counts: DataFrame, head: list) -> DataFrame:
+    """(word, share): the log of each word's share of its class, in units of 1 / UNIT, for all words of ``counts``
+    but those of ``head`` (its first rows by falling count)."""
+    if len(head) < VOCAB - RARE:
+        return counts.limit(0).select("word", F.lit(0).cast("bigint").alias("share"))
+    word, n, last = F.col("word"), F.col("n"), head[-1]
+    rare = counts.filter((n < last.n) | ((n == last.n) & (word > last.word)))
+    rare = rare.withColumn("class", word.bitwiseAND(F.lit(RARE - 1)))
+    totals = {r["class"]: r.n for r in rare.groupBy("class").agg(F.sum("n").alias("n")).collect()}
+    logs = F.array(*[F.lit(float(np.log(totals.get(k, 1)))) for k in range(RARE)])
+    share = F.round((F.ln("n") - F.get(logs, F.col("class").cast("int"))) * UNIT).cast("bigint")
+    return rare.select("word", share.alias("share"))
+
+
+def rare_words(docs: DataFrame, ranked: list[int]) -> DataFrame:
+    """(doc_id, text_key, word, n): the words of each row of ``docs`` (doc_id, text, text_key) that are not ``ranked``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = Vocabulary(ranked)
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(1))
+            for a, b in chunks(offsets):
+                h, _, _, first = words(data, offsets[a : b + 1])
+                rare = vocab.of(h) >= VOCAB - RARE
+                word, row = h[rare].view(np.int64), row_of(first)[rare]
+                order = np.lexsort((word, row))
+                word, row = word[order], row[order]
+                new = np.ones(len(word), bool)
+                new[1:] = (word[1:] != word[:-1]) | (row[1:] != row[:-1])
+                at = np.flatnonzero(new)
+                place = pa.array(row[at] + a)
+                columns = [batch.column(0).cast(pa.int64()).take(place), batch.column(2).take(place)]
+                columns += [pa.array(word[at]), pa.array(np.diff(np.append(at, len(word))))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "word", "n"])
+
+    return docs.mapInArrow(run, "doc_id bigint, text_key bigint, word bigint, n bigint")
+
+
 def contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Class numbers at the four places around each word; VOCAB beyond a text's ends."""
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -155,10 +197,12 @@ def train(docs: DataFrame, vocabulary: list[int], text_col: str = "text") -> Dat
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, log_likelihood, mean_log_likelihood.
 
-    The driver holds the ``VOCAB - RARE`` most frequent words and the parameters, both of fixed size.
+    The driver holds the ``VOCAB - RARE`` most frequent words and the parameters, both of fixed size; the counts of
+    all other words are joined to the documents' words. Rows of one doc_id and text have one score.
     """
     docs = id_and_text(docs, id_col, text_col)
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(VOCAB - RARE).collect()
+    counts = materialize(word_counts(docs), "word-counts")
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - RARE).collect()
     ranked = [r.word for r in top]
     flat = flatten(start_parameters()).astype(np.float64)
     for r in train(docs, ranked).collect():
@@ -176,11 +220,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 log = np.zeros(len(ids))
                 for at in range(0, len(ids), BATCH):
                     log[at : at + BATCH] = forward(p, ctx[:, at : at + BATCH], ids[at : at + BATCH])[2]
-                n, total = np.diff(first), per_row(first, log)
-                mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-                columns = [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n), pa.array(total), mean]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.mapInArrow(
-        run, "doc_id bigint, n_words bigint, log_likelihood double, mean_log_likelihood double"
+                columns = [batch.column(0).slice(a, b - a).cast(pa.int64()), batch.column(2).slice(a, b - a)]
+                columns += [pa.array(np.diff(first)), pa.array(per_row(first, log))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_words", "log"])
+
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    none = F.lit(0).cast("bigint")
+    scored = keyed.mapInArrow(run, "doc_id bigint, text_key bigint, n_words bigint, log double")
+    scored = scored.select("doc_id", "text_key", "n_words", "log", none.alias("share"), (none + 1).alias("copies"))
+    shares = rare_words(keyed, ranked).join(rare_shares(counts, top), "word").select(
+        "doc_id",
+        "text_key",
+        none.alias("n_words"),
+        F.lit(None).cast("double").alias("log"),
+        (F.col("n") * F.col("share")).alias("share"),
+        none.alias("copies"),
     )
+    both = scored.unionByName(shares).groupBy("doc_id", "text_key")
+    both = both.agg(*[f(k).alias(k) for f, k in ((F.max, "n_words"), (F.max, "log"), (F.sum, "share"), (F.sum, "copies"))])
+    total = F.col("log") + F.col("share") / F.col("copies") / UNIT
+    both = both.select("doc_id", "n_words", total.alias("total"), F.explode(F.sequence(none + 1, "copies")))
+    mean = F.when(F.col("n_words") > 0, F.col("total") / F.col("n_words"))
+    return both.select("doc_id", "n_words", F.col("total").alias("log_likelihood"), mean.alias("mean_log_likelihood"))

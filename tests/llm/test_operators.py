@@ -254,6 +254,30 @@ def test_network_learns_both_sides(spark):
     assert got[9000] > got[9001] + 0.5 and got[9000] > np.log(1 / 60) + 0.5
 
 
+def test_rare_words_have_their_share_of_a_class(spark):
+    r = random.Random(5)
+    rows = [(k % 700, " ".join(f"head{r.randrange(lm_score.VOCAB - lm_score.RARE)}" for _ in range(60))) for k in range(800)]
+    rare = [f"rare{k}" for k in range(3000)]
+    rows += [(1000 + k, " ".join(rare[k : k + 3] * (1 + k % 5))) for k in range(0, 3000, 3)]
+    rows += [(5000, rare[0]), (5000, rare[0]), (None, rare[1]), (None, rare[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = lm_score.word_counts(docs).collect()
+    head = sorted(counts, key=lambda x: (-x.n, x.word))[: lm_score.VOCAB - lm_score.RARE]
+    shares = {x.word: x.share / lm_score.UNIT for x in lm_score.rare_shares(spark.createDataFrame(counts), head).collect()}
+    left = [x for x in counts if x.word not in {y.word for y in head}]
+    totals = np.bincount([x.word & 63 for x in left], [x.n for x in left])
+    assert len(left) >= 2900 and set(shares) == {x.word for x in left}
+    for x in left:
+        assert abs(shares[x.word] - np.log(x.n / totals[x.word & 63])) < 1e-8
+    got = lm_score.score_documents(docs).collect()
+    assert sorted(x.doc_id or -1 for x in got) == sorted(k or -1 for k, _ in rows)
+    alone = spark.createDataFrame([(1, rare[0], 7)], "doc_id long, text string, text_key long")
+    word = lm_score.rare_words(alone, []).first().word
+    # One word alone: the class's probability is at most 1, so the score is at most the word's share.
+    one = [x.log_likelihood for x in got if x.doc_id == 5000]
+    assert len(one) == 2 and one[0] == one[1] < shares[word] < -2
+
+
 def test_network_gradient():
     r = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in lm_score.start_parameters().items()}
