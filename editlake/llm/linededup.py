@@ -14,14 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import ascii_lower, id_and_text, materialize
+from .util import ascii_lower, materialize
 
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def line_dedup(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept (the text left over)."""
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def line_dedup(
+    docs: DataFrame, least: int = 10, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept (the text left over) and the columns of ``carry``."""
+    rows = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *carry
+    )
     lines = F.split("text", "\n", -1)
     exploded = rows.filter("doc_id is not null").select(
         "doc_id", F.xxhash64("text").alias("own"), F.posexplode(lines).alias("at", "line")
@@ -38,10 +42,11 @@ def line_dedup(docs: DataFrame, least: int = 10, id_col: str = "doc_id", text_co
     joined = rows.withColumn("own", F.xxhash64("text")).join(dropped, ["doc_id", "own"], "left")
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     kept = F.array_join(F.transform(places, lambda k: F.get(F.col("lines"), k)), "\n")
-    joined = joined.select("doc_id", "text", "gone", F.split("text", "\n", -1).alias("lines"))
+    joined = joined.select("doc_id", "text", *carry, "gone", F.split("text", "\n", -1).alias("lines"))
     return joined.select(
         "doc_id",
         F.size("lines").cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept"),
+        *carry,
     )
