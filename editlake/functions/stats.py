@@ -83,24 +83,30 @@ def log_factorials(n: Column) -> Column:
     )
 
 
-def poisson_neg_log_tail(edges: Column, mean: Column, terms: int = 400) -> Column:
-    """-ln P(X >= edges) for Poisson X, from the ``terms`` terms after ``edges`` in log space.
+def poisson_neg_log_tail(edges: Column, mean: Column) -> Column:
+    """-ln P(X >= edges) for Poisson X in log space. 0 for edges <= 0.
 
-    The ratio of neighbouring terms is mean / k, so each term is a running sum of logs from the first. 0 for edges <= 0.
+    The ratio of neighbouring terms is mean / k, so each sum starts from one term and goes away from the mean, where
+    terms fall: up from ``edges`` if that is above the mean, else down to 0, and the rest to 1 is the tail. Terms are
+    summed until what is left of them is too small to change the sum.
     """
+    # So many steps away a term is less than exp(-40) of the first.
+    near = F.least(edges, F.floor(F.sqrt(mean * 80)) + 80).cast("int")
+    far = (F.floor(F.sqrt(edges * 80.0)) + 80).cast("int")
     first = F.aggregate(F.sequence(F.lit(1), F.greatest(edges, F.lit(1))), F.lit(0.0), lambda a, k: a + F.ln(k.cast("double")))
     start = -mean + edges * F.ln(mean) - first
-    zero = F.struct(F.lit(0.0).alias("term"), F.lit(1.0).alias("total"))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)),
-        zero,
-        lambda a, k: F.struct(
-            (a["term"] + F.ln(mean) - F.ln((edges + k).cast("double"))).alias("term"),
-            (a["total"] + F.exp(a["term"] + F.ln(mean) - F.ln((edges + k).cast("double")))).alias("total"),
-        ),
-        lambda a: F.ln(a["total"]),
-    )
-    return F.when((edges <= 0) | (mean <= 0), F.lit(0.0)).otherwise(F.greatest(-(start + series), F.lit(0.0)))
+    zero = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("total"))
+
+    def total(n: Column, ratio) -> Column:
+        step = lambda a, k: F.struct(
+            (a["term"] * ratio(k.cast("double"))).alias("term"), (a["total"] + a["term"] * ratio(k.cast("double"))).alias("total")
+        )
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), zero, step, lambda a: a["total"])
+
+    upper = -(start + F.log1p(total(far, lambda k: mean / (edges + k))))
+    lower = -F.log1p(-F.exp(start + F.ln(total(near, lambda k: (edges - k + 1) / mean))))
+    value = F.when(mean > edges, lower).otherwise(upper)
+    return F.when((edges <= 0) | (mean <= 0), F.lit(0.0)).otherwise(F.greatest(value, F.lit(0.0)))
 
 
 def scott_bandwidth(n: Column, sd: Column) -> Column:

@@ -37,6 +37,13 @@ def test_poisson_tail(spark):
         assert math.isclose(one(spark, stats.poisson_neg_log_tail(F.lit(k), F.lit(mean))), max(exact, 0), rel_tol=1e-8, abs_tol=1e-8)
 
 
+def test_poisson_tail_of_large_means(spark):
+    log = lambda i, mean: -mean + i * math.log(mean) - math.lgamma(i + 1)
+    for k, mean in ((500, 1000.0), (4000, 5000.0), (999, 1000.0), (2950, 3000.0), (1, 2000.0), (3000, 3000.0), (4200, 4000.0), (20000, 19900.0)):
+        exact = -math.log(math.fsum(math.exp(log(i, mean)) for i in range(k, k + 30000)))
+        assert math.isclose(one(spark, stats.poisson_neg_log_tail(F.lit(k), F.lit(mean))), max(exact, 0), rel_tol=1e-7, abs_tol=1e-8), (k, mean)
+
+
 def test_binomial_tail(spark):
     for n, k, p in ((5, 1, 0.2), (5, 5, 0.2), (13, 4, 0.07)):
         exact = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k, n + 1))
