@@ -95,12 +95,12 @@ def joined_text(strings: pa.Array) -> str:
 
 
 class PieceEncoder:
-    """Encodes texts cut at single spaces between other characters, each different part once.
+    """Encodes texts cut at single spaces and line feeds between other characters, each different part once.
 
-    A pre-token never runs over such a space and one always begins there, so the parts of a text are
-    independent. Texts in which a space touches other white space are encoded without cutting.
+    A pre-token never runs over such a character and one always begins there, so the parts of a text are
+    independent. Texts in which one touches other white space are encoded without cutting.
     ``whole`` gives the ids of each of some strings; ``parts`` those of an Arrow array of parts (each begins with
-    its space), as ids in a row and numbers of ids.
+    its space or line feed), as ids in a row and numbers of ids.
     """
 
     def __init__(
@@ -125,7 +125,8 @@ class PieceEncoder:
             self._forget()
         new = stems.filter(pc.is_null(pc.index_in(stems, value_set=self.known)))
         blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-        ids, counts = self.parts(pc.binary_join_element_wise(nothing, new, blank))
+        begun = pc.if_else(pc.starts_with(new, "\n"), new, pc.binary_join_element_wise(nothing, new, blank))
+        ids, counts = self.parts(begun)
         self.known = pa.concat_arrays([self.known, new])
         self.values, self.sizes = np.concatenate([self.values, ids]), np.concatenate([self.sizes, counts])
         at = pc.index_in(stems, value_set=self.known).to_numpy()
@@ -152,13 +153,15 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (large_string, no nulls) in a row, and how many each text has."""
-        cut = pc.split_pattern(texts, " ")
+        # A part keeps its line feed and loses its space; a space before a line feed leaves an empty part.
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         offsets, flat = cut.offsets.to_numpy().astype(np.int64), cut.values
         head = np.zeros(len(flat), bool)
         head[offsets[:-1]] = True
         coded = flat.filter(pa.array(~head)).dictionary_encode()
         at, different = coded.indices.to_numpy(), coded.dictionary
-        fine = np.asarray(pc.equal(pc.utf8_trim_whitespace(different), different)) & (np.asarray(pc.binary_length(different)) > 0)
+        inner = pc.if_else(pc.starts_with(different, "\n"), pc.utf8_slice_codeunits(different, 1), different)
+        fine = np.asarray(pc.equal(pc.utf8_trim_whitespace(inner), inner)) & (np.asarray(pc.binary_length(inner)) > 0)
         ids, counts = self._different(different.filter(pa.array(fine)))
         sizes = np.zeros(len(different), np.int64)
         sizes[fine] = counts

@@ -1,17 +1,18 @@
 """Token ids in files: an adaptive context-mixing range coder.
 
-A file segment is one binary value: a header, the documents' ids and lengths, a directory of blocks
-and the blocks. A block holds 2048 ids (the last one of a segment fewer), begins with a fresh model
-and has a CRC-32 of its ids. Three predictions are mixed for each id: the id last seen after the same
-two ids (order 2), the one last seen after the same id (order 1), and the running frequencies of the
-ids' upper bytes (order 0). The shares of the orders follow how often each was right lately. A range
-coder with 64-bit low end and 16-bit output units is driven by them.
+A file segment is one binary value: a header, the documents' ids and lengths, the frequencies of the segment's ids, a
+directory of blocks and the blocks. A block holds ``BLOCK`` ids (the last one of a segment fewer), begins with a fresh
+model and has a CRC-32 of its ids. Three predictions are mixed for each id: the id last seen after the same two ids
+(order 2), the one last seen after the same id (order 1) and the frequencies of the segment (order 0). The weight of
+the first two grows with how often each was right in a row in its context. A range coder with 16-bit output units is
+driven by the mixed frequencies.
 
 All blocks of a segment are coded side by side: a step takes one id of every block.
 
 Segments hold whole documents and are written by Spark as Parquet rows into the shared folder, so task
 retries and lost executors leave no partial files. Null texts are encoded as empty (just the end id);
-documents without doc_id come first; equal doc_ids keep their rows apart, in any order.
+documents without doc_id come first; rows of one doc_id come in the order of their texts' hashes, then of their texts, so
+that two runs give the same files. A text of any length is one document of one segment. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,194 +30,209 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import CHUNK, PieceEncoder, cut_bytes, joined_text, split_by_bytes, text_slices
+from .bpe import CHUNK, PieceEncoder, cut_bytes, gather, joined_text, split_by_bytes, text_slices
 from .util import id_and_text, write_table
 
-MAGIC = b"CMRC\x01\x00\x00\x00"
-BLOCK = 2048
+MAGIC = b"CMRC\x02\x00\x00\x00"
+BLOCK = 1024
 #: Ids after which a segment is closed.
-SEGMENT_IDS = 4096 * BLOCK
-SLOTS = 2048
-BUCKETS = 256
-REFRESH = (64, 256, 1024)
-U = np.uint64
-SCALE = 20
-BOTTOM, TOP = U(1 << 44), U(48)
+SEGMENT_IDS = 8192 * BLOCK
+#: Contexts of an order that a block tells apart.
+SLOTS = 512
+#: Binary digits of the weights of the mixture and of the frequencies of order 0.
+MIX, STATIC = 10, 18
+TOTAL = MIX + STATIC
+WINDOW, LEAST_SPAN = 48, 1 << 32
+#: Weights of order 1 and order 2 by the state of a context: never seen, and right 0, 1, 2 or more times in a row.
+WEIGHTS = np.array([0, 40, 200, 340, 0, 130, 480, 640], np.int32)
+I = np.int32  # noqa: E741
 
 
 class Model:
-    """The state of ``lanes`` blocks; lanes only ever drop off the end."""
-
-    def __init__(self, lanes: int):
-        self.last2 = np.zeros(lanes * SLOTS, np.uint16)
-        self.last1 = np.zeros(lanes * SLOTS, np.uint16)
-        self.counts = np.zeros((lanes, BUCKETS), np.uint16)
-        self.share2 = np.full(lanes, 1 << 14, np.int64)
-        self.share1 = np.full(lanes, 1 << 14, np.int64)
-        self.base = np.arange(lanes, dtype=np.int64)
-        self.p1 = np.zeros(lanes, np.int64)
-        self.p2 = np.zeros(lanes, np.int64)
-        self.refresh(lanes, False)
-
-    def refresh(self, n: int, decoding: bool) -> None:
-        """Frequencies of upper bytes, 4096 in all and none zero."""
-        seen = self.counts[:n].astype(np.int64)
-        total = np.maximum(seen.sum(1, keepdims=True), 1)
-        freq = 1 + seen * (4096 - BUCKETS) // total
-        freq[self.base[:n], freq.argmax(1)] += 4096 - freq.sum(1)
-        self.freq = freq.astype(np.uint64).ravel()
-        below = np.cumsum(freq, 1) - freq
-        self.below = below.astype(np.uint64).ravel()
-        if decoding:
-            every = np.tile(np.arange(BUCKETS, dtype=np.uint8), n)
-            self.bucket_of = np.repeat(every, freq.ravel())
-
-    def begin(self, n: int) -> None:
-        """Predictions and shares for the next id of the first ``n`` blocks."""
-        p1, p2, at = self.p1[:n], self.p2[:n], self.base[:n] * SLOTS
-        self.at2 = at + ((p1 * 40503 + p2 * 30011 >> 3) & (SLOTS - 1))
-        self.at1 = at + (p1 * 25033 >> 2 & (SLOTS - 1))
-        self.c2 = self.last2[self.at2].astype(np.int64)
-        self.c1 = self.last1[self.at1].astype(np.int64)
-        m2 = 16 + (self.share2[:n] * 3800 >> 16)
-        m1 = 16 + (self.share1[:n] * (3900 - m2) >> 16)
-        m1[self.c1 == self.c2] = 0
-        self.m2 = m2.astype(np.uint64)
-        self.m21 = (m2 + m1).astype(np.uint64)
-
-    def update(self, ids: np.ndarray) -> None:
-        n = len(ids)
-        hit2 = ids == self.c2
-        hit1 = (ids == self.c1) & ~hit2
-        self.share2[:n] += ((hit2.astype(np.int64) << 16) - self.share2[:n]) >> 5
-        self.share1[:n] += ((hit1.astype(np.int64) << 16) - self.share1[:n]) >> 5
-        self.last2[self.at2] = self.last1[self.at1] = ids
-        self.counts.ravel()[self.base[:n] * BUCKETS + (ids >> 8)] += np.uint16(1)
-        self.p2[:n] = self.p1[:n]
-        self.p1[:n] = ids
-
-
-def _lengths(total: int) -> np.ndarray:
+    """The state of ``lanes`` blocks; lanes only ever drop off the end. Ids are ranks of frequency, from 1.
+
+    A context's entry is the id it saw last, with its state above bit 16. Entries of one context lie side by side.
+    """
+
+    def __init__(self, lanes: int, freq: np.ndarray):
+        self.lanes = lanes
+        self.seen = np.zeros(2 * SLOTS * lanes, I)
+        self.lane = (np.arange(lanes) + np.array([[0], [SLOTS * lanes]])).astype(I)
+        self.at = self.lane.copy()
+        self.before = np.zeros(lanes, I)
+        self.freq = np.concatenate(([0], freq)).astype(I)
+        self.below = (np.cumsum(self.freq) - self.freq).astype(I)
+        self.fresh = np.array([[1 << 16], [5 << 16]], I)
+
+    def predict(self, n: int) -> None:
+        """Candidates of both orders and the weights of all three for the next id of the first ``n`` blocks."""
+        self.entry = self.seen.take(self.at[:, :n], mode="clip")
+        self.guess = self.entry & I(0xFFFF)
+        self.weight = WEIGHTS.take(self.entry >> I(16))
+        self.rest = I(1 << MIX) - self.weight[0] - self.weight[1]
+
+    def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower end and width of the ids ``x`` among 1 << TOTAL; then learns them.
+
+        A guessed id has the interval of the orders that guess it and nothing of order 0; order 2 comes first.
+        """
+        n, rest = len(x), self.rest
+        width = self.freq.take(x)
+        width *= rest
+        low = self.below.take(x)
+        low *= rest
+        low += (I(1 << MIX) - rest) << I(STATIC)
+        right = self.guess == x
+        new = x + self.fresh
+        k = np.flatnonzero(right[0] | right[1])
+        if len(k):
+            hit, weight, fresh = right[:, k], self.weight[:, k], new[:, k]
+            width[k] = (weight * hit).sum(0, dtype=I) << I(STATIC)
+            low[k] = weight[1] * ~hit[1] << I(STATIC)
+            new[:, k] = np.where(hit, np.minimum(self.entry[:, k] + I(1 << 16), fresh + I(2 << 16)), fresh)
+        at = self.at[:, :n]
+        self.seen[at] = new
+        at[0] = x
+        at[1] = self.before[:n]
+        turned = x * I(25033)
+        at[1] += turned
+        at[1] >>= I(4)
+        turned *= I(1618)
+        self.before[:n] = turned
+        at &= I(SLOTS - 1)
+        at *= I(self.lanes)
+        at += self.lane[:, :n]
+        return low, width
+
+
+def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids, ascending, and their frequencies, 1 << STATIC in all and none zero."""
+    counts = np.bincount(ids)
+    values = np.flatnonzero(counts)
+    freq = 1 + counts[values] * ((1 << STATIC) - len(values)) // max(1, len(ids))
+    if len(values):
+        freq[freq.argmax()] += (1 << STATIC) - freq.sum()
+    return values, freq
+
+
+def _ranked(values: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By falling frequency, of equal ones by the id."""
+    order = np.argsort(-freq, kind="stable")
+    return values[order], freq[order]
+
+
+def _rows(total: int) -> tuple[int, int, int]:
+    """Blocks, full blocks and ids of the block that isn't full."""
     full, rest = divmod(total, BLOCK)
-    return np.array([BLOCK] * full + [rest] * (rest > 0), np.int64)
+    return full + (rest > 0), full, rest
 
 
-def encode_blocks(ids: np.ndarray) -> list[bytes]:
-    """Coded bytes of each block of ``ids`` (below 65536)."""
-    lengths = _lengths(len(ids))
-    lanes = len(lengths)
+def encode_blocks(ids: np.ndarray, values: np.ndarray, freq: np.ndarray) -> list[bytes]:
+    """Coded bytes of each block of ``ids`` (below 65535), with their :func:`frequencies`."""
+    lanes, full, rest = _rows(len(ids))
     if not lanes:
         return []
-    table = np.zeros((lanes, BLOCK), np.int64)
-    table.ravel()[: len(ids)] = ids
-    table = np.ascontiguousarray(table.T)
-    model, room = Model(lanes), 3 * BLOCK + 16
-    out = np.zeros(lanes * room, np.uint16)
-    end = np.arange(lanes, dtype=np.int64) * room
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    for step in range(int(lengths[0])):
-        n = lanes if step < lengths[-1] else lanes - 1
-        if n == 0:
-            break
-        if step in REFRESH:
-            model.refresh(n, False)
-        x = table[step, :n]
-        model.begin(n)
-        m2, m21 = model.m2, model.m21
-        at = model.base[:n] * BUCKETS + (x >> 8)
-        m0, q = U(4096) - m21, model.freq[at]
-        cum = (m21 << U(SCALE)) + m0 * (model.below[at] * U(256) + (x & 255).astype(np.uint64) * q)
-        freq = m0 * q
-        is1, is2 = x == model.c1, x == model.c2
-        cum = np.where(is2, U(0), np.where(is1, m2 << U(SCALE), cum))
-        freq = np.where(is2, m2 << U(SCALE), np.where(is1, (m21 - m2) << U(SCALE), freq))
-        r = span[:n] >> U(32)
-        lo = low[:n] + r * cum
-        sp = r * freq
-        model.update(x)
-        which = np.flatnonzero(((lo ^ (lo + sp)) >> TOP == 0) | (sp < BOTTOM))
+    values, freq = _ranked(values, freq)
+    rank = np.zeros(1 << 16, np.uint16)
+    rank[values] = np.arange(1, len(values) + 1)
+    table = np.zeros(lanes * BLOCK, np.uint16)
+    table[: len(ids)] = rank[ids]
+    table = np.ascontiguousarray(table.reshape(lanes, BLOCK).T)
+    model, room = Model(lanes, freq), 2 * BLOCK + 8
+    out = np.zeros(lanes * room, np.uint32)
+    first = np.arange(lanes) * room
+    end = first.copy()
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << WINDOW, np.int64)
+    for step in range(BLOCK if full else rest):
+        n = full if rest and step >= rest else lanes
+        model.predict(n)
+        cum, width = model.interval(table[step, :n].astype(I))
+        share = span[:n] >> TOTAL
+        lo = low[:n]
+        lo += cum * share
+        share *= width
+        which = np.flatnonzero(share < LEAST_SPAN)
         while len(which):
-            l, s = lo[which], sp[which]
-            s = np.where((l ^ (l + s)) >> TOP == 0, s, (U(0) - l) & (BOTTOM - U(1)))
-            out[end[which]] = l >> TOP
-            end[which] += 1
-            l, s = l << U(16), s << U(16)
-            lo[which], sp[which] = l, s
-            which = which[((l ^ (l + s)) >> TOP == 0) | (s < BOTTOM)]
-        low[:n], span[:n] = lo, sp
-    first = np.arange(lanes, dtype=np.int64) * room
-    for shift in (48, 32, 16, 0):
-        out[end] = (low >> U(shift)) & U(0xFFFF)
-        end += 1
-    return [out[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True)]
-
-
-def decode_blocks(blocks: list[bytes], total: int) -> np.ndarray:
+            l, s, e = lo[which], share[which], end[which]
+            out[e] = l >> 32  # with what it carries over, above bit 16
+            end[which] = e + 1
+            lo[which] = (l & (LEAST_SPAN - 1)) << 16
+            s <<= 16
+            share[which] = s
+            which = which[s < LEAST_SPAN]
+        span[:n] = share
+    last = (low >> 16) + 1
+    out[end], out[end + 1] = last >> 16, last & 0xFFFF
+    sizes = end + 2 - first
+    out = gather(out, first, sizes)
+    while True:
+        carry = out >> 16
+        if not carry.any():
+            break
+        out &= 0xFFFF
+        out[:-1] += carry[1:]
+    raw, ends = out.astype("<u2").tobytes(), (2 * np.cumsum(sizes)).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def decode_blocks(blocks: list[bytes], total: int, values: np.ndarray, freq: np.ndarray) -> np.ndarray:
     """The ``total`` ids of blocks that :func:`encode_blocks` made."""
-    lengths = _lengths(total)
-    lanes = len(lengths)
+    lanes, full, rest = _rows(total)
     if not lanes:
         return np.zeros(0, np.int64)
+    values, freq = _ranked(values, freq)
     data = np.frombuffer(b"".join(blocks) + bytes(16), "<u2")
     at = np.concatenate(([0], np.cumsum([len(b) // 2 for b in blocks])))[:-1].astype(np.int64)
-    model, table = Model(lanes), np.zeros((BLOCK, lanes), np.int64)
-    model.refresh(lanes, True)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = code << U(16) | data[at]
+    model, table = Model(lanes, freq), np.zeros((BLOCK, lanes), np.uint16)
+    rank_of = np.repeat(np.arange(1, len(freq) + 1, dtype=I), freq)
+    code, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << WINDOW, np.int64)
+    for _ in range(3):
+        code = code << 16 | data[at]
         at += 1
-    for step in range(int(lengths[0])):
-        n = lanes if step < lengths[-1] else lanes - 1
-        if n == 0:
-            break
-        if step in REFRESH:
-            model.refresh(n, True)
-        model.begin(n)
-        m2, m21 = model.m2, model.m21
-        r = span[:n] >> U(32)
-        value = np.minimum((code[:n] - low[:n]) // r, U((1 << 32) - 1))
-        is2, is0 = value < m2 << U(SCALE), value >= m21 << U(SCALE)
-        m0 = U(4096) - m21
-        u = np.where(is0, value - (m21 << U(SCALE)), U(0)) // m0
-        slot = (u >> U(8)).astype(np.int64)
-        bucket = model.bucket_of[model.base[:n] * 4096 + slot].astype(np.int64)
-        place = model.base[:n] * BUCKETS + bucket
-        q, under = model.freq[place], model.below[place] * U(256)
-        rest = (u - under) // q
-        x = np.where(is0, bucket << 8 | rest.astype(np.int64), np.where(is2, model.c2, model.c1))
-        cum = np.where(is0, (m21 << U(SCALE)) + m0 * (under + rest * q), np.where(is2, U(0), m2 << U(SCALE)))
-        freq = np.where(is0, m0 * q, np.where(is2, m2 << U(SCALE), (m21 - m2) << U(SCALE)))
-        lo = low[:n] + r * cum
-        sp = r * freq
+    for step in range(BLOCK if full else rest):
+        n = full if rest and step >= rest else lanes
+        model.predict(n)
+        share, c = span[:n] >> TOTAL, code[:n]
+        value = np.minimum(c / share, (1 << TOTAL) - 1).astype(I)  # below 2**48, so the quotient's floor is exact
+        guessed = I(1 << MIX) - model.rest
+        slot = value >> I(STATIC)
+        k = np.flatnonzero(slot < guessed)
+        value -= guessed << I(STATIC)
+        value[k] = 0
+        x = rank_of.take((value / model.rest).astype(np.intp))
+        x[k] = np.where(slot[k] < model.weight[1, k], model.guess[1, k], model.guess[0, k])
+        cum, width = model.interval(x)
+        c -= cum * share
+        share *= width
         table[step, :n] = x
-        model.update(x)
-        which = np.flatnonzero(((lo ^ (lo + sp)) >> TOP == 0) | (sp < BOTTOM))
+        which = np.flatnonzero(share < LEAST_SPAN)
         while len(which):
-            l, s = lo[which], sp[which]
-            s = np.where((l ^ (l + s)) >> TOP == 0, s, (U(0) - l) & (BOTTOM - U(1)))
-            code[which] = code[which] << U(16) | data[at[which]]
-            at[which] += 1
-            l, s = l << U(16), s << U(16)
-            lo[which], sp[which] = l, s
-            which = which[((l ^ (l + s)) >> TOP == 0) | (s < BOTTOM)]
-        low[:n], span[:n] = lo, sp
-    return table.T.ravel()[:total]
+            s, a = share[which], at[which]
+            code[which] = code[which] << 16 | data[a]
+            at[which] = a + 1
+            s <<= 16
+            share[which] = s
+            which = which[s < LEAST_SPAN]
+        span[:n] = share
+    return np.concatenate(([0], values)).astype(np.int64)[table.T.ravel()[:total]]
 
 
 def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
     """One segment of the file format."""
-    blocks = encode_blocks(ids.astype(np.int64))
-    raw = ids.astype("<u4")
-    crcs = [zlib.crc32(raw[k : k + BLOCK].tobytes()) for k in range(0, len(raw), BLOCK)]
+    values, freq = frequencies(ids)
+    blocks = encode_blocks(ids, values, freq)
+    raw = memoryview(ids.astype("<u4")).cast("B")
+    crcs = [zlib.crc32(raw[k : k + 4 * BLOCK]) for k in range(0, len(raw), 4 * BLOCK)]
+    packed = zlib.compress(np.diff(values, prepend=0).astype("<u2").tobytes() + freq.astype("<u4").tobytes())
     return b"".join(
         [
             MAGIC,
-            struct.pack("<QQQ", len(doc_ids), len(blocks), len(ids)),
+            struct.pack("<QQQQQ", len(doc_ids), len(blocks), len(ids), len(values), len(packed)),
             np.array([x is None for x in doc_ids], np.uint8).tobytes(),
             np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
             np.array(lengths, "<u8").tobytes(),
-            np.array([len(b) for b in blocks], "<u4").tobytes(),
+            packed,
+            np.array([len(b) for b in blocks], "<u2").tobytes(),
             np.array(crcs, "<u4").tobytes(),
             *blocks,
         ]
@@ -227,8 +243,8 @@ def unpack_segment(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     """doc_ids, lengths and ids of a segment; raises ValueError if a block's checksum is wrong."""
     if blob[:8] != MAGIC:
         raise ValueError("not a segment")
-    n_docs, n_blocks, total = struct.unpack_from("<QQQ", blob, 8)
-    at = 32
+    n_docs, n_blocks, total, n_values, n_packed = struct.unpack_from("<QQQQQ", blob, 8)
+    at = 48
 
     def take(kind: str, n: int) -> np.ndarray:
         nonlocal at
@@ -237,19 +253,22 @@ def unpack_segment(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
         return got
 
     nulls, doc_ids, lengths = take("u1", n_docs), take("<i8", n_docs), take("<u8", n_docs).astype(np.int64)
-    sizes, crcs = take("<u4", n_blocks).tolist(), take("<u4", n_blocks).tolist()
-    blocks = []
-    for size in sizes:
-        blocks.append(blob[at : at + size])
-        at += size
     try:
-        with np.errstate(divide="ignore"):
-            ids = decode_blocks(blocks, total)
-    except IndexError as error:  # what was decoded leads outside the block
+        packed = zlib.decompress(take("u1", n_packed))
+        values = np.cumsum(np.frombuffer(packed, "<u2", n_values).astype(np.int64))
+        freq = np.frombuffer(packed, "<u4", n_values, 2 * n_values).astype(np.int64)
+        sizes, crcs = take("<u2", n_blocks).tolist(), take("<u4", n_blocks).tolist()
+        blocks = []
+        for size in sizes:
+            blocks.append(blob[at : at + size])
+            at += size
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ids = decode_blocks(blocks, total, values, freq)
+    except (IndexError, zlib.error) as error:  # what was decoded leads outside the block
         raise ValueError("a block is damaged") from error
-    raw = ids.astype("<u4")
+    raw = memoryview(ids.astype("<u4")).cast("B")
     for k, crc in enumerate(crcs):
-        if zlib.crc32(raw[k * BLOCK : (k + 1) * BLOCK].tobytes()) != crc:
+        if zlib.crc32(raw[4 * k * BLOCK : 4 * (k + 1) * BLOCK]) != crc:
             raise ValueError(f"block {k}: wrong checksum")
     return [None if z else x for z, x in zip(nulls.tolist(), doc_ids.tolist(), strict=True)], lengths, ids
 
@@ -323,7 +342,8 @@ def write_ids(
         if held:
             yield close()
 
-    ordered = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = id_and_text(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("doc_id", "own").sortWithinPartitions("doc_id", "own", "text")
     return write_table(ordered.mapInArrow(run, schema), "ids", compression="uncompressed")
 
 

@@ -6,9 +6,11 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
@@ -143,12 +145,15 @@ def test_winnowing_keeps_one_of_every_window():
 # 3
 
 
-@pytest.mark.parametrize("n", [0, 1, 5, 2047, 2048, 2049, 9000])
+@pytest.mark.parametrize("n", [0, 1, 5, 1023, 1024, 1025, 9000])
 def test_coder_round_trip(n):
     r = np.random.default_rng(n)
     for ids in (np.minimum(r.zipf(1.2, n), 65535), r.integers(0, 65536, n), np.full(n, 7), np.tile(r.integers(0, 65536, 40), n // 40 + 1)[:n]):
         ids = ids.astype(np.int64)
-        assert (idfile.decode_blocks(idfile.encode_blocks(ids), n) == ids).all()
+        ids = np.minimum(ids, 65534)
+        model = idfile.frequencies(ids)
+        assert n == 0 or model[1].sum() == 1 << idfile.STATIC and model[1].min() > 0
+        assert (idfile.decode_blocks(idfile.encode_blocks(ids, *model), n, *model) == ids).all()
 
 
 def test_checksum_is_checked():
@@ -462,3 +467,15 @@ def test_cut_points_make_like_parts(spark):
     parts = np.bincount(np.searchsorted(cuts, ids, side="right"))
     assert cuts == sorted(set(cuts)) and 10 <= len(parts) <= 25 and np.sort(parts)[-2] <= 550
     assert fingerprints.cut_points(rows.limit(0), 20) == []
+
+
+def test_files_are_smaller_than_order_0_entropy():
+    folder = "/root/testdata/sf0.01/documents.parquet"
+    if not Path(folder).exists():
+        pytest.skip("no documents")
+    texts = [t or "" for t in pq.read_table(folder, columns=["text"]).column(0).to_pylist()]
+    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode_batch(texts, add_special_tokens=False)
+    ids = np.concatenate([np.array([*x.ids, 0]) for x in made])
+    p = np.bincount(ids)[np.unique(ids)] / len(ids)
+    bits = 8 * len(idfile.pack_segment([1], [len(ids)], ids)) / len(ids)
+    assert bits < 8.0 and bits < -(p * np.log2(p)).sum() - 0.3
