@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from .util import chunks, id_and_text
 
 #: Bytes of text whose different parts are encoded together.
-CHUNK = 12 << 20
+CHUNK = 4 << 20
 #: Different parts, without a mark at their end, that a worker remembers from one chunk to the next.
-KNOWN = 1_000_000
+KNOWN = 400_000
 MARKS = ",."
 
 

@@ -24,12 +24,14 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where that is unset a temporary one, in local mode only."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="editlake-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")
@@ -169,3 +171,22 @@ def per_row(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums of ``values`` over each row's elements."""
     sums = np.concatenate(([0], np.cumsum(values)))
     return sums[first[1:]] - sums[first[:-1]]
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the different ``size``-word shingles of consecutive texts, by text and hash; a text of fewer words,
+    but not none, is one shingle."""
+    h, _, _, first = words(data, offsets)
+    counts, owner = np.diff(first), row_of(first)
+    at = np.flatnonzero(np.arange(len(h)) + size <= first[owner + 1]) if len(h) else np.zeros(0, np.int64)
+    texts, values = [owner[at]], [grams(h, size, at)]
+    for n in range(1, size):
+        short = np.flatnonzero(counts == n)
+        texts.append(short)
+        values.append(grams(h, n, first[short]))
+    text, value = np.concatenate(texts), np.concatenate(values)
+    order = np.lexsort((value, text))
+    text, value = text[order], value[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
+    return text[new], value[new]
