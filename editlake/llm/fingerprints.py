@@ -10,7 +10,7 @@ Null and empty texts have fingerprint 0.
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import accumulate, combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +19,9 @@ from .util import id_and_text
 
 MOST_WEIGHT = 8
 PAIR = (1 << 32) | 1
-#: Bins of a histogram of ids.
+#: Bins of a histogram of ids, and bytes of text in a bucket.
 BINS = 1 << 16
+BUCKET_BYTES = 32 << 20
 
 
 def simhash(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
@@ -93,66 +94,87 @@ def search(queries: DataFrame, fingerprints: DataFrame, radius: int = 3, extra:
     return near.filter(F.col("t") == F.coalesce(*agree)).select("query_fp", "fp", "distance")
 
 
-def in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
-    """``rows`` (doc_id, ...) with bucket and head, for a window by descending doc_id in which the last row's next is the first.
+def near_counts(queries: DataFrame, fingerprints: DataFrame, radius: int = 3) -> DataFrame:
+    """(query_fp, n_near): for each different fingerprint of ``queries`` (fp) how many rows of ``fingerprints`` (fp) are within ``radius`` bits."""
+    sizes = fingerprints.dropna(subset=["fp"]).groupBy("fp").agg(F.count("*").alias("n"))
+    return search(queries, fingerprints, radius).join(sizes, "fp").groupBy("query_fp").agg(F.sum("n").alias("n_near"))
 
-    Cut points of doc_id make buckets of like numbers of rows, so that no task orders more than a few of these. The first row of
-    every bucket is sent along, as head, to the bucket before it. Rows without doc_id come last.
+
+def in_buckets(rows: DataFrame, buckets: int = 0) -> tuple[DataFrame, int]:
+    """``rows`` (doc_id, text, own) with bucket and head, and the number of buckets, for a window by descending doc_id and own
+    in which the last row's next is the first.
+
+    Buckets ascend with doc_id, then own, rows without doc_id coming first, and hold like numbers of rows: ``buckets`` of them, or as
+    many as make ``BUCKET_BYTES`` of text each, but two a shuffle partition at least. An id with more rows than that has several,
+    cut by own. The last row of every bucket is sent along, as head, to the next bucket that has any; that of the last to the first.
     """
-    bounds = cut_points(rows, buckets)
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_place(F.col("doc_id"), bounds))
-    placed = rows.withColumn("bucket", bucket).withColumn("head", F.lit(False))
-    found = rows.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top"))
-    tops = {r.bucket: r.top for r in found.collect()}
-    filled = sorted(tops)  # no more than buckets + 1
-    # Below the lowest bucket comes the highest again.
-    pairs = [(tops[k], filled[(i + 1) % len(filled)]) for i, k in enumerate(filled) if tops[k] is not None]
-    if not pairs:
-        return placed
-    to = rows.sparkSession.createDataFrame(pairs, "doc_id bigint, bucket int")
-    heads = rows.join(F.broadcast(to), "doc_id").dropDuplicates(["doc_id"]).withColumn("head", F.lit(True))
-    return placed.unionByName(heads)
-
-
-def cut_points(rows: DataFrame, buckets: int) -> list[int]:
-    """Ascending doc_ids that cut the rows into about ``buckets`` equal parts, from histograms of ``BINS`` bins.
-
-    Bins that hold more than a part are counted again, finer, until they are one id wide. The driver gets
-    ``BINS`` numbers a round at most, and no task more than its share of the counts.
+    spark = rows.sparkSession
+    seen = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.sum(F.octet_length("text")).alias("size")).first()
+    if not seen.n:
+        return rows.withColumns({"bucket": F.lit(0), "head": F.lit(False)}), 1
+    buckets = buckets or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen.size // BUCKET_BYTES))
+    most = max(1, seen.n // buckets)
+    bounds = cut_points(rows, most)
+    parts = [-(-(seen.n - seen.ids) // most), *bounds.values()]
+    below = [0, *accumulate(parts)][:-1]
+    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(_place(F.col("doc_id"), list(bounds)))
+    placed = rows.withColumn("place", place)
+    pick = lambda x: F.get(F.array(*[F.lit(int(v)) for v in x]), F.col("place"))
+    part = F.floor((F.col("own") / F.lit(2.0**64) + 0.5) * pick(parts))
+    bucket = pick(below) + F.greatest(F.lit(0), F.least(part, pick(parts) - 1)).cast("int")
+    placed = placed.withColumn("bucket", bucket).drop("place").withColumn("head", F.lit(False))
+    tops = placed.groupBy("bucket").agg(F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", "own")).alias("top")).collect()
+    tops = sorted((r.bucket, r.top.doc_id, r.top.own) for r in tops)  # no more than there are buckets
+    to = [(doc_id, own, tops[(k + 1) % len(tops)][0]) for k, (_, doc_id, own) in enumerate(tops)]
+    to = F.broadcast(spark.createDataFrame(to, "top_id bigint, top_own bigint, to int"))
+    same = F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("own") == F.col("top_own"))
+    heads = placed.join(to, same).dropDuplicates(["to"]).select("doc_id", "text", "own", F.col("to").alias("bucket"), F.lit(True).alias("head"))
+    return placed.unionByName(heads), sum(parts)
+
+
+def cut_points(rows: DataFrame, most: int) -> dict[int, int]:
+    """Ascending doc_ids at which parts of the rows begin, and how many buckets each makes: 1 for a part of about ``most`` rows,
+    more for a single id with more rows.
+
+    From histograms of ``BINS`` bins. Bins that hold more than a part are counted again, finer, until they are one id wide, 64 a
+    round. The driver gets ``BINS`` numbers a round at most, and no task more than its share of the counts.
     """
-    ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("doc_id").alias("n")).first()
-    if not ends.n:
-        return []
-    most = max(1, ends.n // buckets)
+    ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
+    if ends.a is None:
+        return {}
     work, counts = [(ends.a, ends.b + 1)], {}
     while work:
-        bins = max(2, BINS // len(work))
-        wide = [(a, b, max(1, -(-(b - a) // bins))) for a, b in work]
+        now, work = work[:64], work[64:]
+        bins = max(2, BINS // len(now))
+        wide = [(a, b, max(1, -(-(b - a) // bins))) for a, b in now]
         start = F.lit(None).cast("bigint")
         for a, b, w in wide:
             inside = (F.col("doc_id") >= a) & (F.col("doc_id") < b)
             start = F.when(inside, F.lit(a) + F.floor((F.col("doc_id") - F.lit(a)) / F.lit(w)) * w).otherwise(start)
         found = rows.select(start.cast("bigint").alias("s")).dropna().groupBy("s").count().collect()
-        work = []
         for r in found:
             width = next(w for a, b, w in wide if a <= r.s < b)
-            if r["count"] > most and width > 1 and len(work) < 64:
+            if r["count"] > most and width > 1:
                 work.append((r.s, r.s + width))
             else:
                 counts[r.s] = r["count"]
-    out, total = [], 0
+    out: dict[int, int] = {}
+    held = None  # rows of the part that is open
     for s in sorted(counts):
-        if total >= most:
-            out.append(s)
-            total = 0
-        total += counts[s]
+        n = counts[s]
+        if n > most:  # one id
+            out[s], held = -(-n // most), None
+        elif held is None or held + n > most:
+            out[s], held = 1, n
+        else:
+            held += n
     return out
 
 
 def _place(x: Column, bounds: list[int]) -> Column:
-    """How many of ``bounds`` (ascending) are at most ``x``: first among every step-th of them, then in between."""
+    """How many of ``bounds`` (ascending; none above the least x) are at most ``x``: first among every step-th of them, then in between."""
     if not bounds:
-        return F.lit(0)
+        return F.lit(1)
     step = max(1, int(len(bounds) ** 0.5))
     fine = F.array(*[F.lit(b) for b in bounds])
     coarse = F.array(*[F.lit(b) for b in bounds[::step]])
@@ -164,20 +186,21 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp.
 
     The edited text has its last half replaced by the next text's beginning; next is by descending doc_id and the first
-    after the last. A table of one row has itself as next; an empty one gives no rows. The texts are shuffled once:
-    all that follows keeps the buckets' partitioning.
+    after the last. Rows of one doc_id are in the order of their texts' hashes, rows without doc_id come after all others. A table
+    of one row has itself as next; an empty one gives no rows. Wholly equal rows differ in their next at most.
     """
-    spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = in_buckets(rows, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    order = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"))
+    rows, buckets = in_buckets(rows.withColumn("own", F.xxhash64("text")))
+    # A bucket is a partition; what follows keeps this partitioning, so that the texts are shuffled once.
+    rows = rows.repartitionById(buckets, F.col("bucket"))
+    order = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"), F.desc("own"), "text")
     rows = rows.withColumn("next_text", F.coalesce(F.lead("text").over(order), F.lit("")))
     edited = F.expr("concat(left(text, length(text) - cast(length(text) div 2 as int)), left(next_text, cast(length(text) div 2 as int)))")
     rows = rows.select("bucket", "head", "doc_id", "text", edited.alias("edited"), F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumns({"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256)})
     keys = ["bucket", "head", "doc_id", "row", "n_chars", "edited_sha256"]
     prints = simhash(rows, keys, {"text": "fp", "edited": "edited_fp"})
-    again = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"), "row")
+    again = Window.partitionBy("bucket").orderBy("row")  # rows ascend in the order of the first window
     prints = prints.withColumn("next_fp", F.lead("fp").over(again)).filter("not head")
     return prints.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
 

@@ -18,8 +18,9 @@ from . import (
     substring,
     toxicity,
 )
+from .util import materialize
 
-#: Code points that SQL and the query take as white space at a line's ends.
+#: Remainders of held-out documents.
 HELD_OUT_LANG, HELD_OUT_TOXIC = 2, 1
 
 
@@ -76,9 +77,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    """n_near, of rows whose doc_id is divisible by 100 only: how many rows are within three bits of the row, itself included."""
+    rows = materialize(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")), "edited-fingerprints")
     fp, edited_fp, next_fp = F.col("fp"), F.col("edited_fp"), F.col("next_fp")
-    return rows.select(
+    asked = F.when(F.col("doc_id") % 100 == 0, fp)
+    found = fingerprints.near_counts(rows.select(asked.alias("fp")), rows)
+    return rows.join(found, asked == F.col("query_fp"), "left").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -86,6 +90,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.hex16(edited_fp).alias("edited_fingerprint"),
         fingerprints.likeness(fp, edited_fp).alias("near_edited"),
         fingerprints.likeness(fp, next_fp).alias("near_next"),
+        "n_near",
     )
 
 
@@ -111,6 +116,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate(F.filter("spans", lambda x: ~x["first"]), zero, lambda a, x: a + size(x)).alias("dropped_bytes"),
         F.array_sort(F.array_distinct(F.transform(F.filter("spans", lambda x: ~x["first"]), lambda x: x["of"]))).alias("first_docs"),
         F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("spans"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )
 
 
