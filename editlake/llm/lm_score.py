@@ -3,17 +3,21 @@
 A small network predicts every word from the two words on either side: each of the four places has an embedding
 table; their sum goes through tanh to two softmax layers, one for the word's group and one for its place in the
 group. The most frequent ``VOCAB - RARE`` words of the whole corpus are words of their own, all others share ``RARE``
-hashed classes. Every partition trains a copy from the same start over all its words, in numpy with Adagrad;
-the copies are averaged, weighted by their words. A word of a shared class has the network's probability of the class
+hashed classes. The rows are dealt to shards of about ``SHARD_WORDS`` words by a hash of id and text; each shard trains a copy from the
+same start over all its words, in the order of that hash, in numpy with Adagrad; the copies are averaged, weighted by their
+words. So the scores don't depend on how the input is partitioned. A word of a shared class has the network's probability of the class
 times its own share of the class, from counts of all the corpus's words; these stay distributed and are joined.
 A document's score is the sum of its words' log-probabilities.
 
-Null and empty texts have no words, score 0 and a null mean. An untrained model (empty corpus) is the start.
+Null and empty texts have no words, score 0 and a null mean. An untrained model (empty corpus) is the start. Rows without id
+are scored like others; repeated rows are trained on again and have one score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,11 @@ GROUP = 32
 VOCAB, RARE, DIM = GROUP * GROUP, 64, 16
 PLACES = (-2, -1, 1, 2)
 BATCH, RATE = 4096, 0.1
-#: Logs of shares are summed as whole multiples of 1 / UNIT, so that equal texts get equal sums in any order.
+#: Words of a shard, and words after which a shard's rows so far are trained on.
+SHARD_WORDS, UNIT_WORDS = 1_000_000, 1 << 20
+#: Tasks that sum up the shards' copies; the driver gets their sums.
+SUMS = 16
+#: Logs of shares are summed as whole multiples of 1 / UNIT, in any order.
 UNIT = 1 << 30
 SHAPES = {"e": (len(PLACES), VOCAB + 1, DIM), "u": (DIM, 2 * GROUP), "b": (2 * GROUP,), "g": (GROUP, GROUP)}
 
@@ -170,28 +178,74 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def train(docs: DataFrame, vocabulary: list[int], text_col: str = "text") -> DataFrame:
-    """(place, weight): the averaged parameters, from copies trained over every partition's words."""
+def coded(docs: DataFrame, vocabulary: list[int]) -> DataFrame:
+    """(own, ids): the class numbers of the words of each row of ``docs`` (own, text) that has words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, p, total = Vocabulary(vocabulary), start_parameters(), 0
-        seen = {k: np.full(s, 1e-8, np.float32) for k, s in SHAPES.items()}
+        vocab = Vocabulary(vocabulary)
         for batch in batches:
-            data, offsets = text_buffers(batch.column(0))
+            data, offsets = text_buffers(batch.column(1))
             for a, b in chunks(offsets):
                 h, _, _, first = words(data, offsets[a : b + 1])
-                ids = vocab.of(h)
-                ctx = contexts(ids, first)
-                for at in range(0, len(ids), BATCH):
-                    train_step(p, seen, ctx[:, at : at + BATCH], ids[at : at + BATCH])
-                total += len(ids)
-        if total:
-            flat = flatten(p).astype(np.float64) * total
-            columns = [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), total))]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "value", "n"])
+                raw, ends = vocab.of(h).astype("<u2").tobytes(), (2 * first).tolist()
+                some = np.flatnonzero(np.diff(first))
+                rows = pa.array([raw[ends[k] : ends[k + 1]] for k in some.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(a + some)), rows], ["own", "ids"])
+
+    return docs.select("own", "text").mapInArrow(run, "own bigint, ids binary")
+
+
+def trained(texts: Iterable[bytes]) -> tuple[np.ndarray, int]:
+    """The parameters of a copy, flat, and the words of the texts (class numbers) that it saw, one after the other."""
+    p, total = start_parameters(), 0
+    seen = {k: np.full(s, 1e-8, np.float32) for k, s in SHAPES.items()}
+    held: list[bytes] = []
+    size = 0
+
+    def learn() -> None:
+        ids = np.frombuffer(b"".join(held), "<u2").astype(np.int64)
+        first = np.concatenate(([0], np.cumsum([len(x) // 2 for x in held])))
+        ctx = contexts(ids, first)
+        for at in range(0, len(ids), BATCH):
+            train_step(p, seen, ctx[:, at : at + BATCH], ids[at : at + BATCH])
+
+    for text in texts:
+        held.append(text)
+        size += len(text) // 2
+        if size >= UNIT_WORDS:
+            learn()
+            total, size, held = total + size, 0, []
+    if held:
+        learn()
+    return flatten(p), total + size
+
+
+def train(docs: DataFrame, vocabulary: list[int], n_words: int) -> np.ndarray:
+    """The averaged parameters, from copies trained over every shard of ``docs`` (own, text)."""
+    shards = max(1, -(-n_words // SHARD_WORDS))
+    rows = coded(docs, vocabulary).withColumn("shard", F.pmod("own", F.lit(shards)))
+    rows = rows.repartition("shard").sortWithinPartitions("shard", "own", "ids").select("shard", "ids")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = ((k, x) for b in batches for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        for shard, own in groupby(every, key=itemgetter(0)):
+            flat, n = trained(x for _, x in own)
+            columns = [pa.array([shard]), pa.array([flat.astype("<f4").tobytes()], pa.binary()), pa.array([n])]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "flat", "n"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = 0.0, 0
+        for batch in batches:
+            for flat, k in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                total, n = total + np.frombuffer(flat, "<f4").astype(np.float64) * k, n + k
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n])], ["flat", "n"])
 
-    copies = docs.select(text_col).mapInArrow(run, "place bigint, value double, n bigint")
-    return copies.groupBy("place").agg((F.sum("value") / F.sum("n")).alias("weight"))
+    copies = rows.mapInArrow(run, "shard bigint, flat binary, n bigint")
+    sums = copies.repartition(SUMS, "shard").mapInArrow(add, "flat binary, n bigint").collect()
+    if not sums:
+        return flatten(start_parameters()).astype(np.float64)
+    return sum(np.frombuffer(r.flat, np.float64) for r in sums) / sum(r.n for r in sums)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,9 +258,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = materialize(word_counts(docs), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCAB - RARE).collect()
     ranked = [r.word for r in top]
-    flat = flatten(start_parameters()).astype(np.float64)
-    for r in train(docs, ranked).collect():
-        flat[r.place] = r.weight
+    n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    flat = train(docs.select(F.xxhash64("doc_id", "text").alias("own"), "text"), ranked, n_words)
     model = docs.sparkSession.sparkContext.broadcast((ranked, flat))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
