@@ -3,10 +3,12 @@
 Features are words, pairs of neighbours and pairs with one word between, hashed to ``1 << BITS`` places; a
 document has a feature or not. Learning rates are per coordinate, and the L1 term leaves few weights other than 0,
 which are what is broadcast. Learning takes at most ``MAX_ROWS`` labelled documents, those of least hash of
-their id: a fixed bound on what one task holds. Everything else runs over all rows.
+their id, and of these the first ``MAX_BYTES`` of text: a fixed bound on what one task holds. The L1 term is chosen there, by the loss
+on a quarter of these rows after learning from the others. Everything else runs over all rows.
 
 Null and empty texts have no features: their score is the bias alone. Without labels every score is 0.5.
-Labels other than 0 and 1, null labels and labels of unknown documents are not used; repeated ones count again.
+Labels other than 0 and 1, null labels and labels of unknown documents are not used and don't count towards the bound; repeated
+labels count once, and of rows that share an id the least text is learned from. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +24,10 @@ from .util import chunks, id_and_text, mix64, row_of, text_buffers, words
 
 BITS = 20
 MAX_ROWS = 16_000
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
+MAX_BYTES = 64 << 20
+ALPHA, BETA, L2 = 1.0, 1.0, 0.1
+#: L1 terms that are tried, and the one of too few rows to try any.
+L1_TRIED, L1 = (0.25, 1.0, 4.0), 1.0
 EPOCHS = 8
 
 
@@ -41,12 +46,12 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Ftrl:
     """FTRL-proximal logistic regression; the last place is the bias, which has no L1 term."""
 
-    def __init__(self):
+    def __init__(self, l1: float = L1):
         size = (1 << BITS) + 1
-        self.z, self.n = np.zeros(size), np.zeros(size)
+        self.z, self.n, self.l1 = np.zeros(size), np.zeros(size), l1
 
     def weights(self, at: np.ndarray) -> np.ndarray:
-        z, l1 = self.z[at], np.where(at == 1 << BITS, 0.0, L1)
+        z, l1 = self.z[at], np.where(at == 1 << BITS, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(self.n[at])) / ALPHA + L2))
 
     def learn(self, at: np.ndarray, label: int) -> None:
@@ -57,43 +62,69 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+Row = tuple[np.ndarray, int]
+
+
+def fitted(rows: list[Row], l1: float) -> Ftrl:
+    """A model that has seen ``rows`` (places, the bias among them; label) ``EPOCHS`` times, each time in another order."""
+    order, model = np.random.default_rng(7), Ftrl(l1)
+    for _ in range(EPOCHS):
+        for k in order.permutation(len(rows)):
+            model.learn(*rows[k])
+    return model
+
+
+def chosen_l1(rows: list[Row]) -> float:
+    """The term of least loss on every fourth row, of rows in the order of a hash."""
+    kept, asked = [r for k, r in enumerate(rows) if k % 4], rows[::4]
+    if min(sum(y for _, y in asked), sum(1 - y for _, y in asked)) < 2:
+        return L1
+    loss = {}
+    for l1 in L1_TRIED:
+        model = fitted(kept, l1)
+        total = np.array([np.clip(model.weights(at).sum(), -35, 35) for at, _ in asked])
+        loss[l1] = np.log1p(np.exp(-total * np.array([2 * y - 1 for _, y in asked]))).sum()
+    return min(loss, key=loss.get)
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """(place, weight) of all weights other than 0 from ``labels`` (doc_id, label) of ``docs`` (doc_id, text)."""
-    known = labels.filter("doc_id is not null and label in (0, 1)").select("doc_id", "label")
+    known = labels.filter("doc_id is not null and label in (0, 1)").select("doc_id", "label").distinct()
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
-    rows = docs.join(F.broadcast(known), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    rows = docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[tuple[int, np.ndarray, int]] = []
+        seen: list[Row] = []
+        size = 0
         for batch in batches:
-            ids, labels_ = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            labels_ = batch.column(2).to_pylist()
             data, offsets = text_buffers(batch.column(1))
             for a, b in chunks(offsets):
                 owner, places, n = features(data, offsets[a : b + 1])
                 pairs = np.unique(owner << (BITS + 1) | places)
                 ends = np.searchsorted(pairs, np.arange(n + 1) << (BITS + 1))
                 for k in range(n):
+                    if seen and size > max_bytes:
+                        break
                     own = pairs[ends[k] : ends[k + 1]] & ((1 << (BITS + 1)) - 1)
-                    seen.append((ids[a + k], np.append(own, 1 << BITS).astype(np.int32), labels_[a + k]))
+                    seen.append((np.append(own, 1 << BITS).astype(np.int32), labels_[a + k]))
+                    size += int(offsets[a + k + 1] - offsets[a + k])
         if not seen:
             return
-        seen.sort(key=lambda x: (x[0], x[2]))
-        order = np.random.default_rng(7)
-        model = Ftrl()
-        for _ in range(EPOCHS):
-            for k in order.permutation(len(seen)):
-                model.learn(seen[k][1], seen[k][2])
+        model = fitted(seen, chosen_l1(seen))
         at = np.arange((1 << BITS) + 1)
         w = model.weights(at)
         at = at[w != 0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["place", "weight"])
 
-    # At most max_rows rows of distinct labels meet here.
-    return rows.repartition(1).mapInArrow(run, "place bigint, weight double")
+    # At most max_rows rows meet here.
+    rows = rows.select("doc_id", "text", "label").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "label")
+    return rows.mapInArrow(run, "place bigint, weight double")
 
 
 def score(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) for every row; at most ``(1 << BITS) + 1`` weights are broadcast."""
+    """(doc_id, score) for every row of ``docs``, repeated ones included; at most ``(1 << BITS) + 1`` weights are broadcast."""
     found = weights.collect()
     sparse = docs.sparkSession.sparkContext.broadcast(
         (np.array([r.place for r in found], np.int64), np.array([r.weight for r in found], np.float32))
