@@ -1,13 +1,16 @@
 """Substring dedup by content-defined chunks.
 
 A gear hash of the last 16 bytes rolls over a text; where its value is small enough a chunk ends, every
-24 bytes or so. Nothing else decides (but a chunk of 4096 bytes ends anyway), so an insertion moves only the
-cuts near it, and a passage has the same chunks wherever it stands, its first and last one aside. Chunks of at
-least ``LEAST`` bytes are compared by a 64-bit digest. Runs of neighbouring chunks that all occur elsewhere and
-hold at least ``MIN_WORDS`` words are repeats; only what other documents have counts. The first occurrence (by doc_id, then place) stays.
-
-Null and empty texts have no chunks. Rows that share a doc_id are told apart by their texts; rows that are wholly
-equal give equal results and don't repeat each other. Rows without doc_id come before all others.
+24 bytes or so, but none of fewer than ``LEAST`` bytes. Where no value is small for ``LONG`` bytes, as in text that repeats one
+period, chunks end where the value is the least of that stretch, ``MEAN`` bytes apart at least, so that they are whole periods. Nothing
+else decides (but a chunk of 4096 bytes ends anyway), so an insertion moves only the
+cuts near it, and a passage has the same chunks wherever it stands, its first and last one or two aside. Chunks
+are compared by a 64-bit digest. Runs of neighbouring chunks that all occur elsewhere and
+hold at least ``MIN_WORDS`` words are repeats; only what other documents have counts. The first occurrence (by doc_id, then place)
+stays. No chunk ends inside a character.
+
+Null and empty texts have no chunks. Rows that share a doc_id are told apart by their texts (96 bits of hashes); rows that are wholly
+equal give equal results and don't repeat each other. Rows without doc_id come before all others. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,10 +24,21 @@ from pyspark.sql import functions as F
 
 from .util import chunks, id_and_text, materialize, mix64, per_row, powers, row_of, text_buffers
 
-MEAN, LEAST, MOST = 24, 12, 4096
+MEAN, LEAST, LONG, MOST = 24, 12, 128, 4096
 MIN_WORDS = 25
 
 
+def _spaced(cuts: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """``cuts`` (ascending) without those that follow a kept one by fewer than ``LEAST`` bytes; ends of texts stay."""
+    fixed = np.isin(cuts, offs)
+    out, last = [], -LEAST
+    for c, f in zip(cuts.tolist(), fixed.tolist(), strict=True):
+        if f or c - last >= LEAST:
+            out.append(c)
+            last = c
+    return np.array(out, np.int64)
+
+
 def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Chunks of consecutive texts: text, start in it, length, words that begin in it, digest."""
     base = int(offsets[0])
@@ -39,12 +53,22 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     for k in range(16):  # hashes that reach over a text's start
         at = offs[:-1] + k
         is_cut[at[at <= n]] = False
+    inside = (data & 0xC0) == 0x80  # bytes inside a character
+    is_cut[:n] &= ~inside
     is_cut[offs] = True
     cuts = np.flatnonzero(is_cut)
+    far = np.flatnonzero(np.diff(cuts) > LONG)
+    more = [cuts]
+    for a, b in zip(cuts[far].tolist(), cuts[far + 1].tolist(), strict=True):
+        own = h[a + 15 : b - 1].astype(np.int64) + (inside[a + 16 : b].astype(np.int64) << 16)
+        more.append(a + 16 + np.flatnonzero(own == own.min()))
+    cuts = _spaced(np.unique(np.concatenate(more)), offs)
     long = np.flatnonzero(np.diff(cuts) > MOST)
     if len(long):
-        more = [np.arange(cuts[k] + MOST, cuts[k + 1], MOST) for k in long]
-        cuts = np.sort(np.concatenate([cuts, *more]))
+        more = np.concatenate([np.arange(cuts[k] + MOST, cuts[k + 1], MOST) for k in long])
+        for _ in range(3):
+            more = more - inside[more]
+        cuts = np.union1d(cuts, more)
     starts, ends = cuts[:-1], cuts[1:]
     values = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     power, inverse = powers(n + 1)
@@ -64,8 +88,10 @@ def repeats(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, repeated (it shares a run with another place), spans
     array<struct<start, end, first, of>> (UTF-8 byte places of its runs; first: this is the occurrence that stays;
-    of: the doc_id that holds the first occurrence)."""
-    docs = id_and_text(docs, id_col, text_col).withColumn("key", F.hash("text"))
+    of: the doc_id that holds the first occurrence), kept (the text without spans that aren't first)."""
+    docs = id_and_text(docs, id_col, text_col)
+    docs = docs.withColumn("key", F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b")))
+    key_type = "struct<a:bigint,b:int>"
 
     def chop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,7 +105,7 @@ def repeats(
                 columns.append(pa.array(digest[keep]))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "place", "digest"])
 
-    chunked = docs.select("doc_id", "key", "text").mapInArrow(chop, "doc_id bigint, key int, place bigint, digest bigint")
+    chunked = docs.select("doc_id", "key", "text").mapInArrow(chop, f"doc_id bigint, key {key_type}, place bigint, digest bigint")
     where = F.struct("doc_id", "key", "place")
     stats = chunked.groupBy("digest").agg(F.min(where).alias("first"), F.max(where).alias("last"))
     stats = stats.filter("not (first.doc_id <=> last.doc_id and first.key = last.key)").drop("last")
@@ -97,12 +123,23 @@ def repeats(
             columns = [batch.column(0), batch.column(1), pa.array(made, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "spans"])
 
-    spans = found.mapInArrow(runs, "doc_id bigint, key int, spans array<struct<start:bigint,end:bigint,first:boolean,of:bigint>>")
-    sizes = docs.select("doc_id", "key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
-    same = sizes.doc_id.eqNullSafe(spans.doc_id) & (sizes.key == spans.key)
-    none = F.array().cast("array<struct<start:bigint,end:bigint,first:boolean,of:bigint>>")
-    return sizes.join(spans, same, "left").select(
-        sizes.doc_id, "n_bytes", (F.coalesce(F.size("spans"), F.lit(0)) > 0).alias("repeated"), F.coalesce("spans", none).alias("spans")
+    kind = "array<struct<start:bigint,end:bigint,first:boolean,of:bigint>>"
+    spans = found.mapInArrow(runs, f"doc_id bigint, key {key_type}, spans {kind}")
+    texts = docs.select("doc_id", "key", F.coalesce("text", F.lit("")).alias("text"))
+    same = texts.doc_id.eqNullSafe(spans.doc_id) & (texts.key == spans.key)
+    rows = texts.join(spans, same, "left").select(texts.doc_id, "text", F.coalesce("spans", F.array().cast(kind)).alias("spans"))
+    rows = rows.withColumns({"raw": F.col("text").cast("binary"), "gone": F.filter("spans", lambda x: ~x["first"])})
+    zero, end = F.array(F.lit(0).cast("bigint")), F.array(F.octet_length("text").cast("bigint"))
+    pieces = F.arrays_zip(F.concat(zero, F.col("gone.end")).alias("a"), F.concat(F.col("gone.start"), end).alias("b"))
+    cut_out = F.aggregate(
+        pieces, F.lit(b""), lambda out, x: F.concat(out, F.substring(F.col("raw"), (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")))
+    )
+    return rows.select(
+        "doc_id",
+        F.octet_length("text").cast("bigint").alias("n_bytes"),
+        (F.size("spans") > 0).alias("repeated"),
+        "spans",
+        F.when(F.size("gone") == 0, F.col("text")).otherwise(cut_out.cast("string")).alias("kept"),
     )
 
 
