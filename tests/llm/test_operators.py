@@ -283,6 +283,45 @@ def test_rare_words_have_their_share_of_a_class(spark):
     assert len(one) == 2 and one[0] == one[1] < shares[word] < -2
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_WORDS", 3000)
+    rows = [(k % 90, prose(k, 100, 60)) for k in range(120)] + [(None, prose(3, 50))] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = []
+    for n in (1, 4, 16):
+        cut = docs.coalesce(1) if n == 1 else docs.repartition(n)
+        made.append(sorted((x.doc_id or -1, x.log_likelihood) for x in lm_score.score_documents(cut).collect()))
+    for other in made[1:]:
+        assert [k for k, _ in made[0]] == [k for k, _ in other]
+        np.testing.assert_allclose([x for _, x in made[0]], [x for _, x in other], rtol=1e-6)
+
+
+def test_scores_against_a_plain_forward_pass(spark):
+    """Every word's probability, word by word, from the parameters of one shard trained here."""
+    rows = [(k, prose(k, 40, 50)) for k in range(30)] + [(99, "one"), (98, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.log_likelihood for x in lm_score.score_documents(docs).collect()}
+    hashes = lambda t: lm_score.words(*[np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])])[0].view(np.int64).tolist()
+    counts = {}
+    for _, t in rows:
+        for w in hashes(t):
+            counts[w] = counts.get(w, 0) + 1
+    number = {w: k for k, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w)))}
+    own = {r.doc_id: r.own for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text) own").collect()}
+    texts = [np.array([number[w] for w in hashes(t)], "<u2").tobytes() for k, t in sorted(rows, key=lambda x: own[x[0]]) if hashes(t)]
+    p = {k: v.astype(np.float64) for k, v in lm_score.unflatten(lm_score.trained(texts)[0].astype(np.float64)).items()}
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    g = lm_score.GROUP
+    for k, t in rows:
+        ids, total = [number[w] for w in hashes(t)], 0.0
+        for i, w in enumerate(ids):
+            around = [ids[i + d] if 0 <= i + d < len(ids) else lm_score.VOCAB for d in (-2, -1, 1, 2)]
+            hidden = np.tanh(sum(p["e"][j][c] for j, c in enumerate(around)))
+            out = hidden @ p["u"] + p["b"]
+            total += np.log(softmax(out[:g])[w // g]) + np.log(softmax(out[g:] + p["g"][w // g])[w % g])
+        assert abs(got[k] - total) < 1e-3 * max(1, abs(total))
+
+
 def test_network_gradient():
     r = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in lm_score.start_parameters().items()}
@@ -350,6 +389,33 @@ def test_edited_fingerprints(spark, empty):
     assert fingerprints.edited_fingerprints(empty).count() == 0
 
 
+def test_edited_fingerprints_of_null_and_repeated_ids(spark):
+    r = random.Random(12)
+    rows = [(k, prose(k, 20)) for k in range(40)] + [(7, prose(100 + k, 12)) for k in range(60)] + [(None, prose(300 + k, 9)) for k in range(50)]
+    rows += [(7, prose(100, 12))] * 3 + [(None, None), (None, ""), (11, None)]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    own = {t.text: t.own for t in docs.selectExpr("coalesce(text, '') text", "xxhash64(coalesce(text, '')) own").collect()}
+    order = sorted(((k, t or "") for k, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, own[x[1]]), reverse=True)
+    fp = {x.doc_id: x.fp for x in fingerprints.fingerprints(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")).collect()}
+    fp = {t: fp[k] for k, t in enumerate(own)}
+    want = []
+    for (k, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        want.append((k, len(t), hashlib.sha256(edited.encode()).hexdigest(), fp[t], fp[after]))
+    got = [(x.doc_id, x.n_chars, x.edited_sha256, x.fp, x.next_fp) for x in fingerprints.edited_fingerprints(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_near_counts(spark):
+    fp = near_fingerprints(5, 120, 5).view(np.int64).tolist()
+    every = [(x,) for x in fp] + [(fp[3],)] * 5 + [(None,)]
+    table = spark.createDataFrame(every, "fp long")
+    got = {x.query_fp: x.n_near for x in fingerprints.near_counts(table.limit(50), table).collect()}
+    asked = {x.fp for x in table.limit(50).collect()}
+    assert got == {q: sum(x is not None and ((x ^ q) & (2**64 - 1)).bit_count() <= 3 for (x,) in every) for q in asked}
+
+
 def test_votes_by_hand(spark):
     fp = lambda t: fingerprints.fingerprints(spark.createDataFrame([(1, t)], "doc_id long, text string")).first().fp
     h = {w: xxhash.xxh64_intdigest(w.encode(), 42) for w in ("alpha", "of", "gamma")}
@@ -393,6 +459,38 @@ def test_toxicity(spark, docs, empty):
     assert {x.score for x in toxicity.score(docs, none).collect()} == {0.5}
 
 
+def test_ftrl_against_the_plain_rule():
+    """One coordinate after the other, as the method is published."""
+    r = random.Random(6)
+    rows = [(sorted(r.sample(range(12), 4)), r.randrange(2)) for _ in range(200)]
+    model = toxicity.Ftrl(0.5)
+    z, n = [0.0] * 12, [0.0] * 12
+    for at, y in rows:
+        model.learn(np.array(at), y)
+        w = {}
+        for i in at:
+            w[i] = 0.0
+            if abs(z[i]) > 0.5:
+                w[i] = -(z[i] - (0.5 if z[i] > 0 else -0.5)) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+        g = 1 / (1 + np.exp(-sum(w.values()))) - y
+        for i in at:
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    np.testing.assert_allclose(model.z[:12], z)
+    np.testing.assert_allclose(model.n[:12], n)
+
+
+def test_toxicity_bounds_hold_with_repeated_ids(spark):
+    rows = [(k % 5, f"w{k} vile" if k % 2 else f"w{k}") for k in range(200)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5)] * 3 + [(77, 1)] * 50, "doc_id long, label int")
+    a = sorted((x.place, x.weight) for x in toxicity.train(docs, labels, max_rows=20).collect())
+    b = sorted((x.place, x.weight) for x in toxicity.train(docs.repartition(7), labels.repartition(3), max_rows=20).collect())
+    assert a == b and 0 < len(a)
+    assert toxicity.train(docs, labels, max_bytes=1).count() <= 10
+
+
 # 9
 
 
@@ -414,6 +512,35 @@ def test_repeated_passages(spark, empty):
     assert got[26].n_bytes == 0 and substring.repeats(empty).count() == 0
 
 
+def test_kept_text_and_repeats_against_brute_force(spark):
+    """Every passage of 60 or more words that two documents share is in a span nearly whole; kept is the text without spans."""
+    r = random.Random(11)
+    passages = [prose(700 + k, r.randrange(60, 200)) for k in range(12)] + ["and " * 300, "é日 " * 200]
+    rows = []
+    for k in range(60):
+        parts = [prose(800 + k, r.randrange(1, 60)) for _ in range(3)]
+        if k % 2:
+            parts.insert(r.randrange(4), passages[r.randrange(len(passages))].strip())
+        rows.append((k, " ".join(parts)))
+    got = {x.doc_id: x for x in substring.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    for k, t in rows:
+        holders = [p for p in passages if p.strip() in t and sum(p.strip() in u for _, u in rows) > 1]
+        assert got[k].repeated == bool(holders), k
+        raw, at = t.encode(), 0
+        kept = b""
+        for s in got[k].spans:
+            assert s.start >= at
+            if not s.first:
+                kept += raw[at : s.start]
+                at = s.end
+        assert got[k].kept == (kept + raw[at:]).decode()
+        for p in holders:
+            a = raw.index(p.strip().encode())
+            b = a + len(p.strip().encode())
+            inside = sum(max(0, min(s.end, b) - max(s.start, a)) for s in got[k].spans)
+            assert inside > 0.6 * (b - a) and sum(s.end - s.start for s in got[k].spans) - inside < 60, k
+
+
 def test_cuts_depend_on_near_bytes_only():
     text = prose(60, 500).encode()
     a, b = text, b"inserted " + text
@@ -463,19 +590,8 @@ def test_all_null_columns(spark):
 def test_cut_points_make_like_parts(spark):
     ids = [*range(1000), *(10**12 + k for k in range(3000)), *(5 * 10**17 + k * 10**9 for k in range(1000)), *[7] * 900]
     rows = spark.createDataFrame([(k,) for k in ids] + [(None,)], "doc_id long")
-    cuts = fingerprints.cut_points(rows, 20)
-    parts = np.bincount(np.searchsorted(cuts, ids, side="right"))
-    assert cuts == sorted(set(cuts)) and 10 <= len(parts) <= 25 and np.sort(parts)[-2] <= 550
-    assert fingerprints.cut_points(rows.limit(0), 20) == []
-
-
-def test_files_are_smaller_than_order_0_entropy():
-    folder = "/root/testdata/sf0.01/documents.parquet"
-    if not Path(folder).exists():
-        pytest.skip("no documents")
-    texts = [t or "" for t in pq.read_table(folder, columns=["text"]).column(0).to_pylist()]
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode_batch(texts, add_special_tokens=False)
-    ids = np.concatenate([np.array([*x.ids, 0]) for x in made])
-    p = np.bincount(ids)[np.unique(ids)] / len(ids)
-    bits = 8 * len(idfile.pack_segment([1], [len(ids)], ids)) / len(ids)
-    assert bits < 8.0 and bits < -(p * np.log2(p)).sum() - 0.3
+    cuts = fingerprints.cut_points(rows, 295)
+    parts = np.bincount(np.searchsorted(list(cuts), ids, side="right"), minlength=len(cuts) + 1)[1:]
+    assert list(cuts) == sorted(cuts) and 15 <= sum(cuts.values()) <= 40
+    assert cuts[7] == 4 and all(n <= 295 * k for n, k in zip(parts, cuts.values(), strict=True))
+    assert fingerprints.cut_points(rows.limit(0), 20) == {}
