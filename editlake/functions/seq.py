@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CIGAR_OP = r"(\d+)([MIDNSHP=X])"
@@ -51,3 +51,22 @@ def cigar_ops(cigar: Column) -> Column:
 
 def array_sum(x: Column) -> Column:
     return F.aggregate(x, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def aligned_parts(rows: DataFrame) -> DataFrame:
+    """One row for each stretch of aligned bases of ``rows`` (pos, seq, qual, raw_cigar, ...), with its own pos, seq and qual."""
+    ops = F.arrays_zip(cigar_ops(F.col("raw_cigar")).alias("kind"), cigar_lengths(F.col("raw_cigar")).alias("n"))
+    part = "array<struct<ref:int,read:int,n:int>>"
+    start = F.struct(F.lit(0).alias("ref"), F.lit(0).alias("read"), F.array().cast(part).alias("parts"))
+
+    def step(a: Column, o: Column) -> Column:
+        on_both = o["kind"].isin("M", "=", "X")
+        ref = a["ref"] + F.when(on_both | o["kind"].isin("D", "N"), o["n"]).otherwise(0)
+        read = a["read"] + F.when(on_both | o["kind"].isin("I", "S"), o["n"]).otherwise(0)
+        here = F.array(F.struct(a["ref"].alias("ref"), a["read"].alias("read"), o["n"].alias("n")))
+        parts = F.when(on_both, F.concat(a["parts"], here)).otherwise(a["parts"])
+        return F.struct(ref.alias("ref"), read.alias("read"), parts.alias("parts"))
+
+    parts = rows.withColumn("_p", F.explode(F.aggregate(ops, start, step, lambda a: a["parts"])))
+    cut = lambda c: F.col(c).substr(F.col("_p.read") + 1, F.col("_p.n"))
+    return parts.withColumns({"pos": F.col("pos") + F.col("_p.ref"), "seq": cut("seq"), "qual": cut("qual")}).drop("_p")

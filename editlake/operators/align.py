@@ -7,7 +7,7 @@ are aligned once. Null sequences give null results.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editlake.functions import seq as q
+from editlake.scratch import materialize
 
 # The IUPAC nucleotide code as bit sets of A, C, G, T.
 IUPAC = {
     "A": 1, "C": 2, "G": 4, "T": 8, "U": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3,
     "B": 14, "D": 13, "H": 11, "V": 7, "N": 15,
 }
-PAIRS = 256
+#: Pairs that are aligned at once, and cells of their tables.
+PAIRS, CELLS = 1024, 128 << 20
 NEVER = -(10**9)
 RESULT = "score double, start int, end int, cigar string"
 
@@ -152,8 +154,13 @@ def aligner(mode: str, scores: Scores):
         out = np.empty((len(a), 4), object)
         known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
         known = known[np.argsort([len(a.iat[k]) for k in known], kind="stable")]
-        for at in range(0, len(known), PAIRS):
+        at = 0
+        while at < len(known):
+            # Sorted by length, so the last pair is the longest of its batch.
             part = known[at : at + PAIRS]
+            cells = (len(a.iat[part[-1]]) + 1) * (max(len(b.iat[k]) for k in part) + 1)
+            part = part[: max(1, CELLS // cells)]
+            at += len(part)
             made = align_batch([a.iat[k] for k in part], [b.iat[k] for k in part], mode, scores)
             for k, r in zip(part, made, strict=True):
                 out[k] = r
@@ -252,33 +259,104 @@ def umi_statistics(umis: DataFrame) -> DataFrame:
     return n.withColumn("ratio", F.when(F.col("rev") == 0, -1.0).otherwise(F.try_divide(F.col("fwd").cast("double"), F.col("rev"))))
 
 
+def umi_pairs(umis: DataFrame, identity: float, longest: int, shortest: int) -> DataFrame:
+    """(sample, a, b): different UMIs of a sample whose alignment matches at least ``identity`` of the shorter one.
+
+    Pairs are proposed by a stretch that they share: with so many differences and gaps as are allowed, one of the equal pieces
+    of the shorter UMI stands in the longer one, shifted by no more than the gaps. So no sample is one task's work.
+    """
+    gaps = longest - shortest
+    errors = gaps + int((1 - identity) * longest + 1e-9)
+    pieces = errors + 1
+    size = F.length("umi")
+    start = lambda k: F.floor(size * k / pieces).cast("int") + 1
+    seeds = [F.struct(F.lit(k).alias("k"), size.alias("size"), F.col("umi").substr(start(k), start(k + 1) - start(k)).alias("seed")) for k in range(pieces)]
+    short = umis.select("sample", F.col("umi").alias("a"), F.inline(F.array(*seeds)))
+    # The pieces of a UMI shorter by up to ``gaps`` begin and end where its own length says.
+    places = []
+    for less in range(gaps + 1):
+        n = size - less
+        for k in range(pieces):
+            at = F.floor(n * k / pieces).cast("int") + 1
+            width = F.floor(n * (k + 1) / pieces).cast("int") + 1 - at
+            for shift in range(-errors, errors + 1):
+                ok = (n >= shortest) & (at + shift >= 1) & (at + shift + width - 1 <= size)
+                places.append(F.when(ok, F.struct(F.lit(k).alias("k"), n.alias("size"), F.col("umi").substr(at + shift, width).alias("seed"))))
+    long = umis.select("sample", F.col("umi").alias("b"), F.explode(F.array_compact(F.array(*places))).alias("p")).select("sample", "b", "p.*")
+    near = short.join(long, ["sample", "k", "size", "seed"]).filter("a <> b").select("sample", "a", "b").distinct()
+    run = aligner("global", Scores(2, -3, 1, 1))
+    made = near.withColumn("cigar", run("a", "b")["cigar"])
+    made = made.withColumn("same", matches()("a", "b", "cigar"))
+    return made.filter(F.col("same") >= identity * F.least(F.length("a"), F.length("b")) - 1e-9).select("sample", "a", "b")
+
+
+def matches():
+    """A pandas UDF (query, subject, cigar) -> the number of equal aligned bases."""
+
+    @F.pandas_udf("int")
+    def run(a: pd.Series, b: pd.Series, cigar: pd.Series) -> pd.Series:
+        out = []
+        for x, y, c in zip(a, b, cigar, strict=True):
+            i = j = same = 0
+            for n, op in re.findall(r"(\d+)([MID])", c):
+                n = int(n)
+                if op == "M":
+                    same += sum(u == v for u, v in zip(x[i : i + n], y[j : j + n], strict=True))
+                i += n * (op != "D")
+                j += n * (op != "I")
+            out.append(same)
+        return pd.Series(out, dtype="int32")
+
+    return run
+
+
 def cluster_umis(umis: DataFrame, identity: float = 0.99, shortest: int = 55, longest: int = 57) -> DataFrame:
     """(sample, umi, cluster, n): greedy clusters of UMI sequences, named by their centroid.
 
-    Different sequences of a sample and length, commonest first, join the first centroid of at least ``identity``
-    (share of equal places), else become one. Counting comes before grouping, so a group holds each sequence once.
+    Different sequences of a sample, commonest first, join the first centroid of which they have at least ``identity`` (equal
+    aligned bases over the shorter length), else become one. A sequence is decided once all commoner ones near it are: round by
+    round, each a join, so that no sample is one task's work.
     """
+    spark = umis.sparkSession
     counted = umis.filter(F.length("umi").between(shortest, longest)).groupBy("sample", "umi").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("size", F.length("umi"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "umi"], ascending=[False, True])
-        size = int(pdf["size"].iat[0])
-        allowed = int(np.floor((1 - identity) * size + 1e-9))
-        if allowed == 0:
-            return pdf.assign(cluster=pdf["umi"])[["sample", "umi", "cluster", "n"]]
-        letters = np.frombuffer("".join(pdf["umi"]).encode("utf-32-le"), np.uint32).reshape(len(pdf), -1)
-        centres: list[int] = []
-        names = []
-        for k in range(len(pdf)):
-            near = (letters[centres] != letters[k]).sum(1) <= allowed if centres else np.zeros(0, bool)
-            at = int(near.argmax()) if near.any() else len(centres)
-            if at == len(centres):
-                centres.append(k)
-            names.append(pdf["umi"].iat[centres[at]])
-        return pdf.assign(cluster=names)[["sample", "umi", "cluster", "n"]]
-
-    return counted.groupBy("sample", "size").applyInPandas(run, "sample string, umi string, cluster string, n bigint")
+    counted = materialize(counted, "umis")
+    pairs = umi_pairs(counted, identity, longest, shortest)
+    pairs = pairs.unionByName(pairs.select("sample", F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    size = lambda c: counted.select("sample", F.col("umi").alias(c), F.col("n").alias(f"n_{c}"))
+    pairs = pairs.join(size("a"), ["sample", "a"]).join(size("b"), ["sample", "b"])
+    first = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    pairs = materialize(pairs.filter(first).select("sample", "a", "b", "n_a"), "umi-pairs")
+    state = materialize(counted.select("sample", "umi", F.lit("open").alias("state")), "umi-state")
+    while not state.filter("state = 'open'").isEmpty():
+        before = pairs.join(state.select("sample", F.col("umi").alias("a"), F.col("state").alias("s")), ["sample", "a"])
+        before = before.groupBy("sample", F.col("b").alias("umi")).agg(
+            F.max(F.col("s") == "centre").alias("centre"), F.max(F.col("s") == "open").alias("waits")
+        )
+        new = F.when(F.col("state") != "open", F.col("state")).when(F.col("centre"), "member").when(F.col("waits"), "open").otherwise("centre")
+        state = materialize(state.join(before, ["sample", "umi"], "left").select("sample", "umi", new.alias("state")), "umi-state")
+    centres = state.filter("state = 'centre'").select("sample", F.col("umi").alias("a"))
+    of = pairs.join(centres, ["sample", "a"]).groupBy("sample", F.col("b").alias("umi"))
+    of = of.agg(F.min_by("a", F.struct(-F.col("n_a"), F.col("a"))).alias("centre"))
+    rows = counted.join(state, ["sample", "umi"]).join(of, ["sample", "umi"], "left")
+    return rows.select("sample", "umi", F.when(F.col("state") == "centre", F.col("umi")).otherwise(F.col("centre")).alias("cluster"), "n")
+
+
+def with_centre(members: DataFrame, seq: str = "seq") -> DataFrame:
+    """Adds centre: the commonest sequence of each cluster's ``members`` (sample, cluster, ...), the least of ties."""
+    n = members.groupBy("sample", "cluster", seq).agg(F.count(F.lit(1)).alias("n"))
+    best = n.groupBy("sample", "cluster").agg(F.min_by(seq, F.struct(-F.col("n"), F.col(seq))).alias("centre"))
+    return members.join(best, ["sample", "cluster"])
+
+
+def polish(members: DataFrame, rounds: int = 2, seq: str = "seq", weight: str | None = None) -> DataFrame:
+    """(sample, cluster, consensus): members laid over their cluster's centre, voted on, and laid over the result again, ``rounds`` times."""
+    laid = with_centre(members, seq)
+    made = None
+    for k in range(rounds):
+        made = consensus(project(laid, seq, "centre"), "projected", weight)
+        if k + 1 < rounds:
+            laid = members.join(made.withColumnRenamed("consensus", "centre"), ["sample", "cluster"])
+    return made
 
 
 def project(members: DataFrame, seq: str, centre: str, scores: Scores | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -44,9 +44,63 @@ def transpose(df: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*rest, *[F.col(f"e.{c}").alias(c) for c in columns])
 
 
+def multi_map(df: DataFrame, outputs: dict[str, dict[str, Column]]) -> dict[str, DataFrame]:
+    """Several tables of one: for each output the columns that it has."""
+    return {name: df.select(*[x.alias(c) for c, x in columns.items()]) for name, columns in outputs.items()}
+
+
+def tap(df: DataFrame, *aggregates: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows unchanged, and one row of aggregates over them."""
+    return df, df.agg(*aggregates)
+
+
+def flatten(df: DataFrame, column: str) -> DataFrame:
+    """One row for each element of a list; empty and null lists give none."""
+    return df.withColumn(column, F.explode(column))
+
+
+def unique(df: DataFrame, keys: list[str] | None = None, order: str | None = None) -> DataFrame:
+    """Different rows; with ``keys`` the first row of each by ``order`` (nulls last), ties by the other columns."""
+    if keys is None:
+        return df.distinct()
+    others = [c for c in df.columns if c not in keys and c != order]
+    first = F.min(F.struct(F.col(order).isNull().alias("_null"), order, *others)).alias("_first")
+    rows = df.groupBy(*keys).agg(first)
+    return rows.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+
+
+def of(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
+    """A table of given values; no values give an empty one."""
+    return spark.createDataFrame(values, schema)
+
+
+def counted(df: DataFrame, keys: list[str], predicates: dict[str, Column]) -> DataFrame:
+    """(keys, n, ...): rows of each key, and those of them that meet each predicate."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(p).alias(c) for c, p in predicates.items()])
+
+
+def collect_values(df: DataFrame, column: str) -> DataFrame:
+    """One row: the sorted list of a short column's different values (samples, references)."""
+    return df.agg(F.array_sort(F.collect_set(column)).alias(column))
+
+
+def interleave(df: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
+    """(keys, order, k, value): the columns' values of a key's rows in turn, row by row; nulls keep their place but have no row."""
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    rows = df.withColumn("_at", at).select(*keys, order, "_at", F.posexplode(F.array(*columns)).alias("_k", "value"))
+    rows = rows.filter("value is not null")
+    return rows.select(*keys, order, (F.col("_at") * len(columns) + F.col("_k") + 1).alias("k"), "value")
+
+
 def unique_join(left: DataFrame, right: DataFrame, keys: list[str], remainder: bool = False) -> DataFrame:
-    """Join on keys that are unique on the right; unmatched left rows are kept with ``remainder``."""
-    return left.join(right, keys, "left" if remainder else "inner")
+    """Join on keys that are unique on the right; unmatched left rows are kept with ``remainder``. A key that comes twice on the
+    right makes the job fail."""
+    rest = [c for c in right.columns if c not in keys]
+    row = F.struct(*rest) if rest else F.lit(True)
+    once = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(row).alias("_row"))
+    once = once.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("a key of the right side comes more than once")).cast("boolean")))
+    once = once.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    return left.join(once, keys, "left" if remainder else "inner")
 
 
 def full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,10 +108,10 @@ def full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, keys, "full_outer")
 
 
-def combine(left: DataFrame, small: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Every pair with a small table. Its rows are counted first: beyond ``limit`` the product isn't broadcast."""
-    n = small.limit(limit + 1).count()
-    return left.crossJoin(F.broadcast(small) if n <= limit else small)
+def combine(left: DataFrame, small: DataFrame) -> DataFrame:
+    """Every pair of the rows of both sides. The product is what is asked for; Spark broadcasts a side whose size it knows to be
+    small, and nothing is broadcast beyond that."""
+    return left.crossJoin(small)
 
 
 def merge(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:

@@ -19,7 +19,7 @@ SCALE = 1e7
 def count_matrix(guides: DataFrame, observed: DataFrame) -> DataFrame:
     """Counts of every guide in every sample, 0 where none was seen. ``guides`` x samples is the size of the result."""
     samples = observed.select("sample").distinct()  # one row a sample
-    every = guides.crossJoin(F.broadcast(samples))
+    every = guides.crossJoin(samples)
     return every.join(observed, ["guide", "sample"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
@@ -232,27 +232,6 @@ def bayes_factors(fc: DataFrame, fit: DataFrame, level: list[str]) -> DataFrame:
     return rows.groupBy(*level).agg(F.sum("bf").alias("bf"), F.count("bf").alias("num_obs"))
 
 
-def fold_of(gene: Column, folds: int, seed: int = 0) -> Column:
-    """Which of ``folds`` parts a gene belongs to, from a hash."""
-    return F.pmod(F.xxhash64(gene, F.lit(seed)), F.lit(folds)).cast("int")
-
-
-def cross_validated_factors(fc: DataFrame, essential: DataFrame, nonessential: DataFrame, folds: int = 10, seed: int = 0) -> DataFrame:
-    """(gene, bf, num_obs): every gene is scored with the fit of the other folds' genes."""
-    placed = fc.withColumn("fold", fold_of(F.col("gene"), folds, seed))
-    parts = []
-    for k in range(folds):
-        train = placed.filter(F.col("fold") != k)
-        both = densities(train, essential, nonessential).persist()
-        ends = valid_interval(both, train, nonessential)
-        fit = ratio_fit(train, ratio_lookup(both, ends), ends)
-        parts.append(bayes_factors(placed.filter(F.col("fold") == k), fit, ["gene"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def equalise(bf: DataFrame, guides_per_gene: DataFrame, target: int) -> DataFrame:
     """Adds ``norm_bf``: bf * target / number of the gene's guides."""
     return bf.join(guides_per_gene, "gene").withColumn("norm_bf", F.col("bf") * target / F.col("n_guides"))
@@ -277,9 +256,13 @@ def multi_target_penalty(bf: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def network_sums(bf: DataFrame, edges: DataFrame) -> DataFrame:
-    """(gene, boost): a gene's neighbours' factors in falling order, each divided by the next Fibonacci number."""
+    """(gene, boost): a gene's different neighbours' factors in falling order, each divided by the next Fibonacci number.
+
+    An edge given in both directions or more than once counts once. Fibonacci numbers beyond the 1000th are over 1e208: neighbours
+    of a rank beyond that add nothing to a double and are left out.
+    """
     both = edges.select(F.col("u").alias("gene"), F.col("v").alias("near"))
-    both = both.unionByName(edges.select(F.col("v").alias("gene"), F.col("u").alias("near")))
+    both = both.unionByName(edges.select(F.col("v").alias("gene"), F.col("u").alias("near"))).filter("gene <> near").distinct()
     near = both.join(bf.select(F.col("gene").alias("near"), "bf"), "near")
     scores = near.groupBy("gene").agg(F.sort_array(F.collect_list("bf"), asc=False).alias("scores"))
     weights = F.array(*[F.lit(x) for x in stats.fibonacci(1000)])

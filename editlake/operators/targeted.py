@@ -5,6 +5,10 @@ Alignments are rows (sample, qname, pos, raw_cigar, ...); every result is keyed
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,14 +22,50 @@ def quality_mask(reads: DataFrame, least: int = 20, min_length: int = 80) -> Dat
     return reads.filter(F.length("seq") >= min_length).withColumn("seq", q.mask_low_quality(F.col("seq"), F.col("qual"), least))
 
 
+def _spread(seq: pa.Array, qual: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place in it, base and quality of every base of the rows' sequences (equally long, no nulls)."""
+    data, sizes = [], None
+    for column in (seq, qual):
+        column = column.cast(pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        data.append(raw[offsets[0] : offsets[-1]])
+        sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes), data[0], data[1].astype(np.int64) - 33
+
+
+def _base_sums(reads: DataFrame, by: list[str], with_pos: bool) -> DataFrame:
+    """(sample, at, base, n, quality): counts and sums of qualities of the bases of ``reads`` (sample, seq, qual[, pos]) by place:
+    in the read, or, with ``pos``, in the reference. Summed in numpy by batch, then by key, so that no base is a row."""
+    sample = reads.schema["sample"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(0).dictionary_encode(null_encoding="encode")
+            row, at, base, quality = _spread(batch.column(1), batch.column(2))
+            if with_pos:
+                at = at + np.asarray(batch.column(3)).astype(np.int64)[row]
+            code = np.asarray(names.indices)[row].astype(np.int64) << 48 | at << 8 | base
+            keys, back = np.unique(code, return_inverse=True)
+            columns = [names.dictionary.take(pa.array(keys >> 48)), pa.array(keys >> 8 & ((1 << 40) - 1))]
+            columns.append(pa.array([chr(k) for k in (keys & 255).tolist()]))
+            columns += [pa.array(np.bincount(back)), pa.array(np.bincount(back, quality).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["sample", "at", "base", "n", "quality"])
+
+    known = reads.filter("seq is not null and qual is not null").select("sample", "seq", "qual", *(["pos"] if with_pos else []))
+    rows = known.mapInArrow(run, f"sample {sample}, at bigint, base string, n bigint, quality bigint")
+    return rows.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("quality").alias("quality"), F.sum(F.when(F.col("base").isin("G", "C"), F.col("n")).otherwise(0)).alias("gc"))
+
+
 def base_quality(reads: DataFrame) -> DataFrame:
     """(sample, cycle, reads, mean_quality, gc): per-cycle quality and the share of G and C."""
-    pairs = F.arrays_zip(q.bases(F.col("seq")).alias("b"), q.phred(F.col("qual")).alias("q"))
-    rows = reads.select("sample", F.posexplode(pairs).alias("at", "p"))
-    return rows.groupBy("sample", (F.col("at") + 1).alias("cycle")).agg(
-        F.count(F.lit(1)).alias("reads"),
-        F.avg("p.q").alias("mean_quality"),
-        F.avg(F.col("p.b").isin("G", "C").cast("double")).alias("gc"),
+    rows = _base_sums(reads, ["sample", "at"], False)
+    return rows.select(
+        "sample", (F.col("at") + 1).cast("int").alias("cycle"), F.col("n").alias("reads"),
+        (F.col("quality") / F.col("n")).alias("mean_quality"), (F.col("gc") / F.col("n")).alias("gc"),
     )
 
 
@@ -271,12 +311,19 @@ def cut_site(guides: DataFrame, reference: Column, rel_cut: int = -3) -> DataFra
 
 
 def substitutions(aligned: DataFrame, min_mapq: int = 13, min_quality: int = 10, min_depth: int = 4) -> DataFrame:
-    """(sample, pos, nucleotide, percentage): bases of unclipped, ungapped alignments by reference position."""
-    pairs = F.arrays_zip(q.bases(F.col("seq")).alias("b"), q.phred(F.col("qual")).alias("q"))
-    rows = aligned.filter(F.col("mapq") >= min_mapq).select("sample", "pos", F.posexplode(pairs).alias("at", "p"))
-    rows = rows.filter(F.col("p.q") >= min_quality).groupBy(
-        "sample", (F.col("pos") + F.col("at")).alias("pos"), F.col("p.b").alias("nucleotide")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """(sample, pos, nucleotide, percentage): bases of alignments by reference position.
+
+    ``aligned`` has pos, seq, qual, mapq, and raw_cigar if there are clips or gaps: clipped and inserted bases are left out, and
+    bases after a gap are at their own positions. Without raw_cigar all bases are aligned. Bases below ``min_quality`` don't count.
+    """
+    rows = aligned.filter(F.col("mapq") >= min_mapq)
+    if "raw_cigar" in aligned.columns:
+        rows = q.aligned_parts(rows)
+    low = F.translate("qual", "".join(chr(33 + k) for k in range(min_quality)), "")
+    # Only reads with a poor base are touched: their poor bases become ~, which is dropped after counting.
+    masked = F.when(F.length(low) == F.length("qual"), F.col("seq")).otherwise(q.mask_low_quality(F.col("seq"), F.col("qual"), min_quality, "~"))
+    rows = _base_sums(rows.withColumn("seq", masked), ["sample", "at", "base"], True).filter("base <> '~'")
+    rows = rows.select("sample", F.col("at").alias("pos"), F.col("base").alias("nucleotide"), "n")
     deep = rows.filter(F.col("n") >= min_depth)
     share = F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("sample", "pos"))
     return deep.select("sample", "pos", "nucleotide", F.bround(share, 2).alias("percentage"))

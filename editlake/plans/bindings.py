@@ -54,26 +54,35 @@ counts AS (SELECT guide, gene, part_type, s.sample AS sample,
 # X2: reads
 
 READS_SQL = """
-reads AS (SELECT * FROM (
-  SELECT source AS sample, doc_id AS read_id,
-    substr(translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), 1, 150) AS seq,
-    substr(translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', '+5?I+5?I+5?I+5?I+5?I+5?I+5'), 1, 150) AS qual
-  FROM documents) WHERE seq <> '')
+lettered AS (SELECT source AS sample, doc_id, lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters FROM documents),
+counted AS (SELECT *, CAST(ceil(len(letters) / 150.0) AS BIGINT) AS n_reads FROM lettered),
+numbered AS (SELECT *, unnest(range(n_reads)) AS read_no FROM counted),
+reads AS (SELECT sample, doc_id, read_no, n_reads, doc_id * 1000000 + read_no AS read_id,
+    translate(substr(letters, read_no * 150 + 1, 150), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq,
+    translate(substr(letters, read_no * 150 + 1, 150), 'abcdefghijklmnopqrstuvwxyz', '+5?I+5?I+5?I+5?I+5?I+5?I+5') AS qual FROM numbered)
 """
+READ_LENGTH = 150
+
+
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sample, doc_id, letters, n_reads) of every document: its letters, and how many reads they make."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(F.col("source").alias("sample"), "doc_id", F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("letters"))
+    return rows.withColumn("n_reads", F.ceil(F.length("letters") / READ_LENGTH))
+
+
+def read_at(read_no) -> dict:
+    """seq and qual of a read of :func:`letters`."""
+    cut = F.col("letters").substr((read_no * READ_LENGTH + 1).cast("int"), F.lit(READ_LENGTH))
+    turned = lambda to: F.translate(cut, "abcdefghijklmnopqrstuvwxyz", (to * 7)[:26])
+    return {"seq": turned("ACGT"), "qual": turned("+5?I")}
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, read_id, seq, qual) made from the letters of the documents."""
-    letters = F.lower(F.regexp_replace("text", "[^A-Za-z]", ""))
-    alphabet = "abcdefghijklmnopqrstuvwxyz"
-    turned = lambda to: F.substring(F.translate(letters, alphabet, (to * 7)[:26]), 1, 150)
-    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
-    return docs.select(
-        F.col("source").alias("sample"),
-        F.col("doc_id").alias("read_id"),
-        turned("ACGT").alias("seq"),
-        turned("+5?I").alias("qual"),
-    ).filter("seq <> ''")
+    """(sample, read_id, seq, qual): all letters of the documents, in reads of 150."""
+    rows = letters(spark, sf_dir).filter("n_reads > 0").withColumn("read_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_reads") - 1)))
+    rows = rows.withColumns(read_at(F.col("read_no"))).withColumn("read_id", F.col("doc_id") * 1000000 + F.col("read_no"))
+    return rows.select("sample", "read_id", "seq", "qual")
 
 
 # X3: alignments
@@ -92,7 +101,7 @@ aligned AS (
          WHEN l_returnflag = 'R' THEN a || 'M' || k || 'I' || b || 'M'
          WHEN l_returnflag = 'N' AND l_partkey % 17 = 0 THEN '60M'
          ELSE (a + b) || 'M' END AS raw_cigar,
-    l_partkey
+    l_partkey, l_orderkey
   FROM keyed),
 reads_aligned AS (SELECT *, regexp_replace(regexp_replace(raw_cigar, '^[0-9]+[SH]', ''), '[0-9]+[SH]$', '') AS cigar FROM aligned),
 ops AS (SELECT *, list_transform(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 1), lambda x: CAST(x AS BIGINT)) AS lens,
@@ -101,7 +110,7 @@ ops AS (SELECT *, list_transform(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X]
 
 
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, qname, pos, raw_cigar, l_partkey): one alignment for each line item."""
+    """(sample, qname, pos, raw_cigar, l_partkey, l_orderkey): one alignment for each line item."""
     rows = table(spark, sf_dir, "lineitem")
     a, k, b = (F.col("l_quantity") + 20).cast("bigint"), 1 + F.col("l_partkey") % 12, (80 - F.col("l_quantity")).cast("bigint")
     number, flag, short = F.col("l_linenumber"), F.col("l_returnflag"), (F.col("l_returnflag") == "N") & (F.col("l_partkey") % 17 == 0)
@@ -124,6 +133,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + F.col("l_suppkey") % 3).cast("bigint").alias("pos"),
         F.concat(clip, cigar).alias("raw_cigar"),
         "l_partkey",
+        "l_orderkey",
     )
 
 

@@ -67,11 +67,13 @@ def join_remainder(spark, sf_dir):
     return c.unique_join(sheet(spark, sf_dir), n, ["s_nationkey"], True).select("run", "n_name")
 
 
-@query("""SELECT coalesce(a.k, b.k) AS k, a.n AS suppliers, b.n AS customers FROM (SELECT s_nationkey AS k, count(*) AS n FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) a
-FULL JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_custkey % 97 = 0 GROUP BY 1) b ON a.k = b.k""")
+@query("""SELECT coalesce(a.k, b.k) AS k, a.n AS suppliers, b.n AS customers FROM (SELECT s_nationkey * 7 + s_suppkey % 5 AS k, count(*) AS n FROM supplier GROUP BY 1) a
+FULL JOIN (SELECT c_nationkey * 7 + c_custkey % 9 AS k, count(*) AS n FROM customer GROUP BY 1) b ON a.k = b.k""")
 def full_outer(spark, sf_dir):
-    a = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0").groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("suppliers"))
-    b = table(spark, sf_dir, "customer").filter("c_custkey % 97 = 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("customers"))
+    """Keys of two kinds that overlap in part."""
+    key = lambda nation, k, n: (F.col(nation) * 7 + F.col(k) % n).alias("k")
+    a = table(spark, sf_dir, "supplier").groupBy(key("s_nationkey", "s_suppkey", 5)).agg(F.count(F.lit(1)).alias("suppliers"))
+    b = table(spark, sf_dir, "customer").groupBy(key("c_nationkey", "c_custkey", 9)).agg(F.count(F.lit(1)).alias("customers"))
     return c.full_join(a, b, ["k"])
 
 
@@ -118,3 +120,56 @@ def condition_label(spark, sf_dir):
 def merge_zip(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return c.merge(sheet(spark, sf_dir).select("run"), n, "run", "n_nationkey").select("run", "n_name")
+
+
+@query(f"WITH {SHEET} SELECT run, 'reads' AS output, fastq_1 AS value FROM sheet UNION ALL SELECT run, 'reference', reference FROM sheet")
+def multi_map(spark, sf_dir):
+    parts = c.multi_map(sheet(spark, sf_dir), {"reads": {"run": F.col("run"), "value": F.col("fastq_1")}, "reference": {"run": F.col("run"), "value": F.col("reference")}})
+    return c.mix(*[rows.withColumn("output", F.lit(name)) for name, rows in parts.items()])
+
+
+@query(f"WITH {SHEET} SELECT count(*) AS seen, count(fastq_2) AS paired FROM sheet")
+def tap(spark, sf_dir):
+    """The rows on their way, and what was seen of them."""
+    rows, seen = c.tap(sheet(spark, sf_dir), F.count(F.lit(1)).alias("seen"), F.count("fastq_2").alias("paired"))
+    assert rows.columns == sheet(spark, sf_dir).columns
+    return seen
+
+
+@query(f"WITH {SHEET} SELECT sample, unnest([fastq_1, fastq_2]) AS f FROM sheet")
+def flatten(spark, sf_dir):
+    return c.flatten(sheet(spark, sf_dir).select("sample", F.array("fastq_1", "fastq_2").alias("f")), "f")
+
+
+@query(f"WITH {SHEET} SELECT DISTINCT sample, s_nationkey FROM sheet")
+def unique(spark, sf_dir):
+    return c.unique(sheet(spark, sf_dir).select("sample", "s_nationkey"))
+
+
+@query(f"WITH {SHEET} SELECT sample, min(run) AS run FROM sheet GROUP BY sample")
+def unique_by(spark, sf_dir):
+    return c.unique(sheet(spark, sf_dir).select("sample", "run"), ["sample"], "run")
+
+
+@query("SELECT * FROM (VALUES ('hg38', 1), ('mm10', 2)) v(name, place)")
+def of_values(spark, sf_dir):
+    return c.mix(c.of(spark, [("hg38", 1), ("mm10", 2)], "name string, place int"), c.of(spark, [], "name string, place int"))
+
+
+@query(f"WITH {SHEET} SELECT sample, count(*) AS n, count(fastq_2) AS paired, count(*) = 3 AND count(fastq_2) > 0 AS kept FROM sheet GROUP BY sample")
+def count_predicate(spark, sf_dir):
+    rows = c.counted(sheet(spark, sf_dir), ["sample"], {"paired": F.col("fastq_2").isNotNull()})
+    return rows.withColumn("kept", (F.col("n") == 3) & (F.col("paired") > 0))
+
+
+@query(f"WITH {SHEET} SELECT string_agg(DISTINCT sample, ',' ORDER BY sample) AS samples, count(DISTINCT sample) AS n FROM sheet")
+def collect_list(spark, sf_dir):
+    rows = c.collect_values(sheet(spark, sf_dir), "sample")
+    return rows.select(F.array_join("sample", ",").alias("samples"), F.size("sample").cast("bigint").alias("n"))
+
+
+@query(f"WITH {SHEET} SELECT sample, run, k, f FROM (SELECT sample, run, 2 * row_number() OVER w - 1 AS k, fastq_1 AS f FROM sheet WINDOW w AS (PARTITION BY sample ORDER BY run) UNION ALL SELECT sample, run, 2 * row_number() OVER w, fastq_2 FROM sheet WINDOW w AS (PARTITION BY sample ORDER BY run)) WHERE f IS NOT NULL")
+def interleave_mates(spark, sf_dir):
+    """Files of the runs of a sample, first mates at odd places and second ones at even places."""
+    rows = c.interleave(sheet(spark, sf_dir), ["sample"], "run", ["fastq_1", "fastq_2"])
+    return rows.select("sample", "run", F.col("k").cast("bigint").alias("k"), F.col("value").alias("f"))

@@ -45,13 +45,13 @@ def read_align(spark, sf_dir):
     return align.align_pairs(rows, "seq", "amplicon", "local", align.PROFILES["minimap2"]).select("sample", "read_id", "score", "start", "end", "cigar")
 
 
-@query(f"""WITH {b.READS_SQL} SELECT read_id, substr(seq, 1, 100) AS merged FROM reads WHERE len(seq) >= 100""")
+@query(f"""WITH {b.READS_SQL} SELECT read_id, seq AS merged FROM reads WHERE len(seq) > 60""")
 def pear_merge(spark, sf_dir):
-    """Mates of one beginning, the second longer by 40 bases, put together again."""
-    r = b.reads(spark, sf_dir).filter(F.length("seq") >= 100)
+    """Mates of one beginning, the second the whole read and the first its beginning, put together again."""
+    r = b.reads(spark, sf_dir).filter(F.length("seq") > 60)
     mates = r.select(
         "read_id", F.substring("seq", 1, 60).alias("seq1"), F.substring("qual", 1, 60).alias("qual1"),
-        q.revcomp(F.substring("seq", 1, 100)).alias("seq2"), F.reverse(F.substring("qual", 1, 100)).alias("qual2"),
+        q.revcomp(F.col("seq")).alias("seq2"), F.reverse("qual").alias("qual2"),
     )
     return align.merge_pairs(mates, 40).select("read_id", "merged")
 
@@ -66,28 +66,88 @@ def umi_stats(spark, sf_dir):
     return align.umi_statistics(align.extract_umis(b.reads(spark, sf_dir), UMI))
 
 
-@query(f"""WITH {b.READS_SQL} SELECT sample, substr(seq, 1, 56) AS umi, substr(seq, 1, 56) AS cluster, count(*) AS n FROM reads WHERE len(seq) >= 56 GROUP BY ALL""")
+@query(f"""WITH {b.READS_SQL},
+s56 AS (SELECT sample, substr(seq, 1, 56) AS umi, 2 * count(*) AS n FROM reads WHERE len(seq) >= 56 GROUP BY 1, 2),
+s57 AS (SELECT sample, substr(seq, 1, 20) || 'A' || substr(seq, 21, 36) AS umi, count(*) AS n FROM reads WHERE len(seq) >= 56 GROUP BY 1, 2),
+cut AS (SELECT *, substr(umi, 1, CAST(i AS BIGINT) - 1) || substr(umi, CAST(i AS BIGINT) + 1) AS less FROM s57, range(1, 58) r(i)),
+near AS (SELECT c.sample, c.umi, c.n, s.umi AS cluster, row_number() OVER (PARTITION BY c.sample, c.umi ORDER BY s.n DESC, s.umi) AS k FROM cut c JOIN s56 s ON s.sample = c.sample AND s.umi = c.less)
+SELECT sample, umi, umi AS cluster, n FROM s56 UNION ALL SELECT sample, umi, cluster, n FROM near WHERE k = 1""")
 def umi_cluster(spark, sf_dir):
-    """At 56 bases an identity of 0.99 allows no difference, so clusters are equal sequences."""
-    rows = b.reads(spark, sf_dir).select("sample", F.substring("seq", 1, 56).alias("umi"))
+    """The first 56 bases of each read, twice, and once with a base inserted, which then joins the commonest UMI it is near to."""
+    r = b.reads(spark, sf_dir).filter("length(seq) >= 56").select("sample", F.substring("seq", 1, 56).alias("umi"))
+    more = F.concat(F.substring("umi", 1, 20), F.lit("A"), F.substring("umi", 21, 36))
+    rows = r.select("sample", F.explode(F.array("umi", "umi", more)).alias("umi"))
     return align.cluster_umis(rows)
 
 
-@query(f"""WITH {b.READS_SQL}, m AS (SELECT sample, substr(seq, 1, 2) AS cluster, substr(seq, 1, 60) AS s FROM reads WHERE len(seq) >= 60),
-v AS (SELECT sample, cluster, i, substr(s, i, 1) AS b, count(*) AS n FROM m, range(1, 61) r(i) GROUP BY ALL),
+@query(f"""WITH {b.READS_SQL}, m AS (SELECT sample, substr(seq, 1, 2) || '_' || len(seq) AS cluster, seq AS s FROM reads),
+v AS (SELECT sample, cluster, i, substr(s, i, 1) AS b, count(*) AS n FROM m, range(1, 151) r(i) WHERE i <= len(s) GROUP BY ALL),
 w AS (SELECT *, row_number() OVER (PARTITION BY sample, cluster, i ORDER BY n DESC, b) AS k FROM v)
 SELECT sample, cluster, string_agg(b, '' ORDER BY i) AS consensus FROM w WHERE k = 1 GROUP BY sample, cluster""")
 def consensus(spark, sf_dir):
-    rows = b.reads(spark, sf_dir).filter(F.length("seq") >= 60)
-    return align.consensus(rows.select("sample", F.substring("seq", 1, 2).alias("cluster"), F.substring("seq", 1, 60).alias("projected")))
+    """Reads of one beginning and length are a cluster."""
+    cluster = F.concat_ws("_", F.substring("seq", 1, 2), F.length("seq").cast("string"))
+    return align.consensus(b.reads(spark, sf_dir).select("sample", cluster.alias("cluster"), F.col("seq").alias("projected")))
 
 
 @query()
 def consensus_aligned(spark, sf_dir):
     """Members laid over their cluster's commonest read before the vote."""
-    rows = b.reads(spark, sf_dir).filter(F.length("seq") >= 60).select("sample", F.substring("seq", 1, 3).alias("cluster"), F.substring("seq", 1, 60).alias("seq"))
-    centre = rows.groupBy("sample", "cluster").agg(F.min("seq").alias("centre"))
-    return align.consensus(align.project(rows.join(centre, ["sample", "cluster"]), "seq", "centre"))
+    rows = b.reads(spark, sf_dir).select("sample", F.substring("seq", 1, 3).alias("cluster"), "seq")
+    return align.consensus(align.project(align.with_centre(rows), "seq", "centre"))
+
+
+@query("""SELECT s_suppkey, 'TTGACCATTG' || repeat('GATC', CAST(1 + s_suppkey % 9 AS BIGINT)) AS consensus FROM supplier""")
+def polish(spark, sf_dir):
+    """Three true members and two with an error each, laid and voted on twice."""
+    true = F.concat(F.lit("TTGACCATTG"), F.expr("repeat('GATC', cast(1 + s_suppkey % 9 as int))"))
+    swap = F.concat(F.left(true, F.lit(3)), F.lit("C"), F.substring(true, 5, 100))
+    gap = F.concat(F.left(true, F.lit(6)), F.substring(true, 8, 100))
+    rows = b.table(spark, sf_dir, "supplier").select(F.lit("s").alias("sample"), F.col("s_suppkey").alias("cluster"), F.explode(F.array(true, true, true, swap, gap)).alias("seq"))
+    return align.polish(rows).select(F.col("cluster").alias("s_suppkey"), "consensus")
+
+
+@query("""SELECT s_suppkey, profile, CAST(bases * each_one AS DOUBLE) AS score, CAST(first_base AS INTEGER) AS start, CAST(first_base + bases - 1 AS INTEGER) AS "end", bases || 'M' AS cigar
+FROM (SELECT s_suppkey, CAST(30 + s_suppkey % 40 AS BIGINT) AS bases, CAST(1 + s_suppkey % 37 AS BIGINT) AS first_base FROM supplier), (VALUES ('minimap2', 29), ('bwa', 1), ('bowtie2', 2)) v(profile, each_one)""")
+def read_align_profiles(spark, sf_dir):
+    """Stretches of the amplicon as reads, under each score profile."""
+    size, at = (30 + F.col("s_suppkey") % 40).cast("int"), (1 + F.col("s_suppkey") % 37).cast("int")
+    rows = b.table(spark, sf_dir, "supplier").select("s_suppkey", F.lit(A).substr(at, size).alias("seq"), F.lit(A).alias("amplicon"))
+    parts = None
+    for profile in ("minimap2", "bwa", "bowtie2"):
+        one = align.align_pairs(rows, "seq", "amplicon", "local", align.PROFILES[profile]).withColumn("profile", F.lit(profile))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts.select("s_suppkey", "profile", "score", "start", "end", "cigar")
+
+
+PLANT_SQL = """planted AS (SELECT s_suppkey, CAST(s_suppkey % 3 AS BIGINT) AS sample, CAST(4 + s_suppkey % 9 AS BIGINT) AS k, CAST(5 + s_suppkey % 7 AS BIGINT) AS m,
+    CASE WHEN s_suppkey % 4 = 0 THEN '-' ELSE '+' END AS strand FROM supplier),
+heads AS (SELECT *, left(repeat('TCT', 4), k) || 'A' || repeat('CTT', 5) AS h, reverse(left(repeat('GAA', 4), m) || 'C' || repeat('AGA', 6)) AS t FROM planted),
+umis AS (SELECT s_suppkey, sample, strand, substr(h, k - 3, 8) AS f, substr(t, CAST(len(t) - m - 4 AS BIGINT), 8) AS r FROM heads),
+extracted AS (SELECT *, CASE WHEN strand = '+' THEN f || r ELSE reverse(translate(r, 'ACGT', 'TGCA')) || reverse(translate(f, 'ACGT', 'TGCA')) END AS umi FROM umis)"""
+
+
+def planted_reads(spark, sf_dir):
+    """Reads with one place for each UMI: only there does a purine meet a pyrimidine."""
+    k, m = (4 + F.col("s_suppkey") % 9).cast("int"), (5 + F.col("s_suppkey") % 7).cast("int")
+    head = F.concat(F.left(F.lit("TCT" * 4), k), F.lit("A" + "CTT" * 5))
+    tail = F.reverse(F.concat(F.left(F.lit("GAA" * 4), m), F.lit("C" + "AGA" * 6)))
+    context = F.when(F.col("s_suppkey") % 4 == 0, F.lit(UMI.rev_context)).otherwise(F.lit(UMI.fwd_context))
+    seq = F.concat(F.rpad(F.concat(head, context), 60, "T"), F.lit("GATTACA"), F.lpad(tail, 60, "A"))
+    return b.table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 3).cast("bigint").alias("sample"), F.col("s_suppkey").alias("read_id"), seq.alias("seq"))
+
+
+@query(f"WITH {PLANT_SQL} SELECT s_suppkey AS read_id, sample, strand, f AS fwd_seq, r AS rev_seq, umi FROM extracted")
+def umi_extract_planted(spark, sf_dir):
+    made = align.extract_umis(planted_reads(spark, sf_dir), UMI)
+    return made.filter("fwd_dist = 0 and rev_dist = 0").select("read_id", "sample", "strand", "fwd_seq", "rev_seq", "umi")
+
+
+@query(f"""WITH {PLANT_SQL}, n AS (SELECT sample, count(*) FILTER (WHERE strand = '+') AS fwd, count(*) FILTER (WHERE strand = '-') AS rev FROM extracted GROUP BY sample)
+SELECT sample, fwd, rev, CASE WHEN rev = 0 THEN -1.0e0 ELSE round(fwd / CAST(rev AS DOUBLE), 6) END AS ratio FROM n""")
+def umi_stats_planted(spark, sf_dir):
+    made = align.umi_statistics(align.extract_umis(planted_reads(spark, sf_dir), UMI))
+    return made.select("sample", "fwd", "rev", F.round("ratio", 6).alias("ratio"))
 
 
 @query(f"""SELECT s_suppkey, substr('{A}', 1, 30) || 'GATTACA' || substr('{A}', 41) AS template_reference FROM supplier""")
@@ -138,6 +198,5 @@ def mle(spark, sf_dir):
 @query()
 def cnv_correct(spark, sf_dir):
     key = F.substring("guide", 2, 20).cast("bigint")
-    fc = changes(spark, sf_dir).filter("replicate = 0")
-    rows = fc.select("guide", "gene", F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), key.alias("pos"), "fc")
-    return models.copy_number_correction(rows)
+    rows = changes(spark, sf_dir).select("replicate", "guide", "gene", F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), key.alias("pos"), "fc")
+    return models.copy_number_correction(rows, by=["replicate"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from editlake.functions import stats
+from editlake.operators import resampling as r
 from editlake.operators import screening as s
 
 from . import bindings as b
@@ -192,6 +193,9 @@ class Screen:
         self.fc = s.pooled_changes(counts(spark, sf_dir), b.CONTROL, b.TREATMENT).persist()
         self.ess, self.non = gene_set(spark, sf_dir, b.ESSENTIAL), gene_set(spark, sf_dir, b.NONESSENTIAL)
 
+    def genes(self):
+        return self.fc.select("gene").distinct()
+
     def both(self):
         return s.densities(self.fc, self.ess, self.non).persist()  # one row a grid point
 
@@ -246,10 +250,56 @@ def bagel_bf_guide(spark, sf_dir):
     return rounded(s.bayes_factors(x.fc, x.fit(), ["guide", "gene"]), "bf")
 
 
-@query()
+def resampled_sql(drawn: str) -> str:
+    """Factors over the iterations of ``drawn`` (iteration, gene), beside the training tables of the screen."""
+    kde = lambda name, genes: f""",
+{name}_x AS (SELECT iteration, fc AS x FROM train WHERE gene IN (SELECT gene FROM {genes})),
+{name}_bw AS (SELECT iteration, count(*) AS n, pow(count(*), -0.2) * stddev_samp(x) AS bw FROM {name}_x GROUP BY iteration),
+{name}_kde AS (SELECT iteration, k, sum(exp(-((k / 100.0e0 - x) / bw) * ((k / 100.0e0 - x) / bw) / 2)) / (max(n) * max(bw) * 2.5066282746310002) AS d
+  FROM {name}_x JOIN {name}_bw USING (iteration), range(-1000, 200) g(k) GROUP BY iteration, k)"""
+    return BFC_SQL + GENES_SQL + f""",
+all_genes AS (SELECT DISTINCT gene FROM bfc), {drawn},
+train AS (SELECT d.iteration, bfc.gene, fc FROM bfc JOIN drawn d USING (gene))""" + kde("re", "ess") + kde("ro", "non") + """,
+rboth AS (SELECT e.iteration, e.k, e.d AS ess, o.d AS non FROM re_kde e JOIN ro_kde o ON e.iteration = o.iteration AND e.k = o.k),
+rlim AS (SELECT iteration, pow(2, -1.1535 * ln(count(*) + 13.324) + 0.7728) AS lim FROM drawn WHERE gene IN (SELECT gene FROM non) GROUP BY iteration),
+rends AS (SELECT iteration, min(k) AS xmin, max(k) AS last FROM rboth JOIN rlim USING (iteration) WHERE non > lim GROUP BY iteration),
+rinter AS (SELECT iteration, xmin, k AS xmax FROM (SELECT iteration, xmin, k, row_number() OVER (PARTITION BY iteration ORDER BY log2(ess / non), k) AS place
+  FROM rboth JOIN rends USING (iteration) WHERE k >= xmin AND k < last AND non > 0 AND ess > 0) WHERE place = 1),
+rfit AS (SELECT iteration, regr_slope(log2(ess / non), k / 100.0e0) AS slope, regr_intercept(log2(ess / non), k / 100.0e0) AS intercept
+  FROM (SELECT iteration, CAST(round_even(fc * 100, 0) AS BIGINT) AS k FROM train JOIN rinter USING (iteration) WHERE fc * 100 BETWEEN xmin AND xmax) p
+  JOIN rboth USING (iteration, k) JOIN rinter USING (iteration) WHERE k BETWEEN xmin AND xmax GROUP BY iteration),
+rsum AS (SELECT iteration, gene, sum(slope * fc + intercept) AS bf FROM bfc, rfit WHERE (iteration, gene) NOT IN (SELECT (iteration, gene) FROM drawn) GROUP BY iteration, gene),
+rbf AS (SELECT gene, avg(bf) AS bf, stddev_pop(bf) AS sd, count(*) AS num_obs FROM rsum GROUP BY gene)"""
+
+
+HEX = "CAST('0x' || substr(md5({}), 1, 7) AS BIGINT)"
+FOLDS_SQL = f"drawn AS (SELECT CAST(i AS INTEGER) AS iteration, gene FROM all_genes, range(10) r(i) WHERE i <> {HEX.format('gene')} % 10)"
+BOOT_SQL = f"""spot AS (SELECT gene, row_number() OVER (ORDER BY gene) - 1 AS place, count(*) OVER () AS n FROM all_genes),
+spots AS (SELECT DISTINCT i AS iteration, {HEX.format("'0_' || i || '_' || place")} % n AS place FROM spot, range(20) r(i)),
+drawn AS (SELECT CAST(iteration AS INTEGER) AS iteration, gene FROM spots JOIN spot USING (place))"""
+
+
+@query(f"WITH {resampled_sql(FOLDS_SQL)} SELECT gene, round(bf, 6) AS bf, round(sd, 6) AS sd, num_obs FROM rbf")
 def bagel_bf_cv(spark, sf_dir):
     x = Screen(spark, sf_dir)
-    return rounded(s.cross_validated_factors(x.fc, x.ess, x.non, 3), "bf")
+    return rounded(r.resampled_factors(x.fc, x.ess, x.non, r.fold_draws(x.genes())), "bf", "sd")
+
+
+@query(f"WITH {resampled_sql(BOOT_SQL)} SELECT gene, round(bf, 6) AS bf, round(sd, 6) AS sd, num_obs FROM rbf")
+def bagel_bf_bootstrap(spark, sf_dir):
+    x = Screen(spark, sf_dir)
+    return rounded(r.resampled_factors(x.fc, x.ess, x.non, r.bootstrap_draws(x.genes(), 20)), "bf", "sd")
+
+
+SMALL_SQL = BOOT_SQL.replace("FROM all_genes)", "FROM all_genes WHERE gene IN (SELECT gene FROM ess) OR gene IN (SELECT gene FROM non))")
+
+
+@query(f"WITH {resampled_sql(SMALL_SQL)} SELECT gene, round(bf, 6) AS bf, round(sd, 6) AS sd, num_obs FROM rbf")
+def bagel_bf_small_sample(spark, sf_dir):
+    """Only genes of the two sets are drawn; all others are scored in every iteration."""
+    x = Screen(spark, sf_dir)
+    training = x.ess.unionByName(x.non).distinct().join(x.genes(), "gene", "left_semi")
+    return rounded(r.resampled_factors(x.fc, x.ess, x.non, r.bootstrap_draws(training, 20)), "bf", "sd")
 
 
 @query(f"""WITH {BF_SQL} SELECT gene, round(bf, 6) AS bf,
@@ -287,12 +337,18 @@ def bagel_multitarget(spark, sf_dir):
     return rounded(rows, "bf", "corrected")
 
 
-@query(f"""WITH {BF_SQL}, {b.EDGES_SQL}, near AS (SELECT u AS gene, v AS near FROM network UNION ALL SELECT v, u FROM network),
+BOOST_SQL = f"""{b.EDGES_SQL}, near AS (SELECT u AS gene, v AS near FROM network UNION SELECT v, u FROM network),
 fib AS (SELECT list_append(list_transform(range(1, 80), lambda i: round((pow((1 + sqrt(5)) / 2, i) - pow((1 - sqrt(5)) / 2, i)) / sqrt(5))), 0) AS f),
-o AS (SELECT n.gene, bf.bf, row_number() OVER (PARTITION BY n.gene ORDER BY bf.bf DESC) AS i FROM near n JOIN bf ON bf.gene = n.near)
-SELECT o.gene, round(sum(o.bf / f[o.i]), 6) AS boost FROM o, fib WHERE i < 70 GROUP BY o.gene""")
+o AS (SELECT n.gene, bf.bf, row_number() OVER (PARTITION BY n.gene ORDER BY bf.bf DESC) AS i FROM near n JOIN bf ON bf.gene = n.near),
+boosts AS (SELECT o.gene, sum(o.bf / f[o.i]) AS boost FROM o, fib WHERE i < 70 GROUP BY o.gene)"""
+
+
+@query(f"WITH {BF_SQL}, {BOOST_SQL} SELECT gene, round(boost, 6) AS boost FROM boosts")
 def bagel_network(spark, sf_dir):
-    return rounded(s.network_sums(Screen(spark, sf_dir).bf(), b.network(spark, sf_dir)), "boost")
+    """Every other edge is given in both directions, and counts once."""
+    edges = b.network(spark, sf_dir)
+    more = edges.filter("length(u) % 2 = 0").select(F.col("v").alias("u"), F.col("u").alias("v"))
+    return rounded(s.network_sums(Screen(spark, sf_dir).bf(), edges.unionByName(more)), "boost")
 
 
 # Quality and normalisation of counts
@@ -372,7 +428,7 @@ def degree(spark, sf_dir):
     return s.degree(b.network(spark, sf_dir))
 
 
-MOST = 100
+MOST = 1000  # the operator's default
 RANKED_SQL = f"{eb_sql(FC_SQL)}, {DEGREE_SQL}" + """,
 order_z AS (SELECT gene, row_number() OVER (ORDER BY round(sum(z), 6), gene) AS rank FROM z GROUP BY gene)"""
 PREFIX_SQL = RANKED_SQL + f""",
@@ -405,7 +461,8 @@ def expected_edges(spark, sf_dir):
 
 
 @query(f"""WITH {EXPECT_SQL},
-term AS (SELECT p.i, edges, expected, k, -expected + k * ln(expected) - lgamma(k + 1.0) AS t FROM prefix p JOIN expect USING (i), range(0, 5000) r(k) WHERE k >= edges AND k <= edges + 400 AND edges > 0 AND expected > 0),
+spread AS (SELECT p.i, edges, expected, unnest(range(edges, CAST(greatest(edges, expected) + 40 * sqrt(greatest(edges, expected)) + 200 AS BIGINT))) AS k FROM prefix p JOIN expect USING (i) WHERE edges > 0 AND expected > 0),
+term AS (SELECT *, -expected + k * ln(expected) - lgamma(k + 1.0) AS t FROM spread),
 top AS (SELECT i, max(t) AS m FROM term GROUP BY i),
 tail AS (SELECT term.i, greatest(-(max(m) + ln(sum(exp(t - m)))), 0) AS v FROM term JOIN top ON top.i = term.i GROUP BY term.i),
 scored AS (SELECT p.i, edges, round(coalesce(expected, 0), 6) AS expected, coalesce(v, 0) AS v FROM prefix p LEFT JOIN expect USING (i) LEFT JOIN tail ON tail.i = p.i)

@@ -39,11 +39,12 @@ def indel_reads(spark, sf_dir):
 
 
 def read_of(rows, spark, sf_dir):
-    """Sequence and quality of the read that a line item is bound to."""
-    reads = b.reads(spark, sf_dir).select("read_id", "seq", "qual")
+    """Sequence and quality of the read that a line item is bound to: one of the reads of one document."""
+    docs = b.letters(spark, sf_dir).select("doc_id", "letters", "n_reads")
     n = b.table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))  # one row
-    keyed = rows.join(F.broadcast(n)).withColumn("read_id", F.col("l_partkey") % F.col("n_docs"))
-    return keyed.join(reads, "read_id", "left").drop("n_docs")
+    keyed = rows.join(F.broadcast(n)).withColumn("doc_id", F.col("l_partkey") % F.col("n_docs")).drop("n_docs")
+    read_no = F.col("l_orderkey") % F.when(F.col("n_reads") > 0, F.col("n_reads"))
+    return keyed.join(docs, "doc_id", "left").withColumns(b.read_at(read_no)).drop("doc_id", "letters", "n_reads")
 
 
 COLL_SQL = b.ALIGN_SQL + """,
@@ -73,7 +74,7 @@ events AS (SELECT sample, cigar, pos, n, class, pos + lens[1] AS start, lens[2]
 
 
 READ_SQL = events_sql(False) + """,
-indel_reads AS (SELECT o.sample, o.qname, o.pos, o.cigar, o.raw_cigar, o.l_partkey, e.class AS modification, e.start, e.length
+indel_reads AS (SELECT o.sample, o.qname, o.pos, o.cigar, o.raw_cigar, o.l_partkey, o.l_orderkey, e.class AS modification, e.start, e.length
   FROM ops o JOIN events e ON o.sample = e.sample AND o.cigar = e.cigar AND o.pos = e.pos),
 geno AS (SELECT sample, start, length, modification, count(*) AS freq FROM indel_reads GROUP BY ALL),
 wild AS (SELECT sample, CAST(coalesce(sum(n) FILTER (WHERE class = 'wt'), 0) AS BIGINT) AS wt FROM called GROUP BY sample)"""
@@ -152,7 +153,7 @@ def peak_filter(spark, sf_dir):
 ERROR_SQL = PEAK_SQL + "," + b.READS_SQL + """,
 bound AS (SELECT i.*, r.seq, r.qual, regexp_extract_all(raw_cigar, '([0-9]+)([MIDNSHP=X])', 2) AS rk,
     list_transform(regexp_extract_all(raw_cigar, '([0-9]+)([MIDNSHP=X])', 1), lambda x: CAST(x AS BIGINT)) AS rl
-  FROM indel_reads i LEFT JOIN reads r ON r.read_id = i.l_partkey % (SELECT count(*) FROM documents)),
+  FROM indel_reads i LEFT JOIN reads r ON r.doc_id = i.l_partkey % (SELECT count(*) FROM documents) AND r.read_no = i.l_orderkey % r.n_reads),
 placed AS (SELECT *, coalesce(list_sum(rl[1:list_position(rk, CASE WHEN modification = 'del' THEN 'D' ELSE 'I' END) - 1]), 0) AS off FROM bound WHERE modification IN ('del', 'ins')),
 errs AS (SELECT sample, start, length, modification, count(*) AS n,
     avg(pow(10, -(ascii(nullif(substr(qual, CAST(off AS BIGINT), 1), '')) - 33) / 10.0)) AS e0, avg(pow(10, -(ascii(nullif(substr(qual, CAST(off AS BIGINT) + 1, 1), '')) - 33) / 10.0)) AS e1
@@ -293,16 +294,20 @@ def clonality(spark, sf_dir):
 
 
 SUB_SQL = b.ALIGN_SQL + "," + b.READS_SQL + """,
-plain AS (SELECT o.sample, o.pos, r.seq, r.qual FROM ops o JOIN reads r ON r.read_id = o.l_partkey % (SELECT count(*) FROM documents) WHERE len(o.kinds) = 1 AND o.raw_cigar NOT LIKE '%S%'),
-based AS (SELECT sample, pos + i - 1 AS pos, substr(seq, i, 1) AS nucleotide, ascii(substr(qual, i, 1)) - 33 AS q FROM plain, range(1, 151) r(i) WHERE i <= len(seq)),
+whole AS (SELECT o.sample, o.qname, o.pos, r.seq, r.qual, regexp_extract_all(raw_cigar, '([0-9]+)([MIDNSHP=X])', 2) AS rk,
+    list_transform(regexp_extract_all(raw_cigar, '([0-9]+)([MIDNSHP=X])', 1), lambda x: CAST(x AS BIGINT)) AS rl
+  FROM ops o JOIN reads r ON r.doc_id = o.l_partkey % (SELECT count(*) FROM documents) AND r.read_no = o.l_orderkey % r.n_reads),
+op AS (SELECT sample, pos, seq, qual, rk[k] AS kind, rl[k] AS len, coalesce(list_sum(list_transform(range(1, k), lambda i: CASE WHEN rk[i] IN ('M', 'D', 'N') THEN rl[i] ELSE 0 END)), 0) AS ref_at,
+    coalesce(list_sum(list_transform(range(1, k), lambda i: CASE WHEN rk[i] IN ('M', 'I', 'S') THEN rl[i] ELSE 0 END)), 0) AS read_at FROM (SELECT *, unnest(range(1, len(rk) + 1)) AS k FROM whole)),
+placed_bases AS (SELECT *, unnest(range(len)) AS i FROM op WHERE kind = 'M'),
+based AS (SELECT sample, CAST(pos + ref_at + i AS BIGINT) AS pos, substr(seq, CAST(read_at + i + 1 AS BIGINT), 1) AS nucleotide, ascii(substr(qual, CAST(read_at + i + 1 AS BIGINT), 1)) - 33 AS q FROM placed_bases WHERE read_at + i < length(seq)),
 depth AS (SELECT sample, pos, nucleotide, count(*) AS n FROM based WHERE q >= 10 GROUP BY ALL),
 prof AS (SELECT sample, pos, nucleotide, round_even(n * 100.0e0 / sum(n) OVER (PARTITION BY sample, pos), 2) AS percentage FROM depth WHERE n >= 4)"""
 
 
 def profile(spark, sf_dir):
-    rows = t.explode_cigars(b.alignments(spark, sf_dir)).filter("size(kinds) = 1 and raw_cigar not like '%S%'")
-    rows = read_of(rows, spark, sf_dir).filter("seq is not null").withColumn("mapq", F.lit(60))
-    return t.substitutions(rows)
+    rows = read_of(b.alignments(spark, sf_dir), spark, sf_dir).filter("seq is not null").withColumn("mapq", F.lit(60))
+    return t.substitutions(rows.select("sample", "pos", "raw_cigar", "seq", "qual", "mapq"))
 
 
 @query(f"WITH {SUB_SQL} SELECT sample, pos, nucleotide, percentage FROM prof")
@@ -382,7 +387,7 @@ def revcomp(spark, sf_dir):
 
 @query(f"""WITH {b.READS_SQL}, m AS (SELECT * FROM reads WHERE len(seq) >= 80), u AS (SELECT *, row_number() OVER () FROM m WHERE instr(seq, 'ACGT') > 0),
 s AS (SELECT sample, 'raw-reads' AS stage, count(*) AS n FROM reads GROUP BY 1 UNION ALL SELECT sample, 'quality-filtered-reads', count(*) FROM m GROUP BY 1 UNION ALL SELECT sample, 'reads-with-adapters', count(*) FROM u GROUP BY 1)
-SELECT sample, stage, n, round_even(n * 100.0e0 / (SELECT n FROM s x WHERE x.sample = s.sample AND x.stage = 'raw-reads'), 1) AS pct FROM s""")
+SELECT sample, stage, s.n, round_even(s.n * 100.0e0 / x.n, 1) AS pct FROM s JOIN (SELECT sample, n FROM s WHERE stage = 'raw-reads') x USING (sample)""")
 def stage_summary(spark, sf_dir):
     raw = b.reads(spark, sf_dir)
     masked = t.quality_mask(raw)
