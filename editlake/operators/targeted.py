@@ -76,6 +76,12 @@ def overrepresented(reads: DataFrame, share: float = 0.001, prefix: int = 50) ->
     return counted.join(total, "sample").filter(F.col("n") > share * F.col("total"))
 
 
+def named_by_count(found: DataFrame) -> DataFrame:
+    """(sample, name, seq) of :func:`overrepresented`: the name is the place by count in the sample, and the count."""
+    k = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("n"), "seq"))  # few rows a sample
+    return found.select("sample", F.concat_ws("-", k.cast("string"), F.col("n").cast("string")).alias("name"), "seq")
+
+
 def trim_adapter(seq: Column, adapter: str, end: int) -> Column:
     """Without an exact adapter and what lies beyond it: before it for ``end`` 5, after it for 3."""
     at = F.locate(adapter, seq)
@@ -223,6 +229,11 @@ def _before(kinds: Column, lens: Column, kind: str) -> Column:
     return q.array_sum(F.slice(lens, F.lit(1), F.greatest(at - 1, F.lit(0)).cast("int")))
 
 
+def before_operation(kind: str) -> Column:
+    """Bases of the read before its first operation of ``kind``, from raw_cigar."""
+    return _before(q.cigar_ops(F.col("raw_cigar")), q.cigar_lengths(F.col("raw_cigar")), kind)
+
+
 def error_filter(indel_reads: DataFrame, wild_type: DataFrame, insertions: str = "intended") -> DataFrame:
     """Genotypes (sample, start, length, modification) more frequent than the sequencing error at their place explains.
 

@@ -1,4 +1,4 @@
-"""FASTA, FASTQ and SAM readers as Python data sources, for any store Spark can list.
+"""FASTA, FASTQ and SAM readers as tables.
 
 ``spark.read.format("fastx").load(path)`` after :func:`register`. Plain text is read through Spark itself by
 :func:`read_sam`; the data sources open local or mounted files (gzip too), one task a file as gzip can't be split.
@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import glob
 import gzip
+import io
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -61,6 +63,33 @@ class FastxReader(DataSourceReader):
                 yield (os.path.basename(partition.path), *record)
 
 
+def read_fastx(spark: SparkSession, path: str) -> DataFrame:
+    """(file, name, comment, seq, qual) of FASTA and FASTQ files in any file system that Spark reads; files that end in .gz are
+    unpacked. A file is one task's work and at most 2 GB; larger ones are read from local folders by the data source."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = content.as_buffer()
+                lines = gzip.open(io.BytesIO(raw), "rt") if file.endswith(".gz") else io.TextIOWrapper(io.BytesIO(raw))
+                for record in parse_fastx(lines):
+                    rows.append((file.rsplit("/", 1)[-1], *record))
+                    if len(rows) == 10_000:
+                        yield _batch(rows)
+                        rows = []
+            if rows:
+                yield _batch(rows)
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(run, FastxSource.schema(None))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["file", "name", "comment", "seq", "qual"]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(5)], names)
+
+
 def parse_fastx(lines) -> Iterator[tuple[str, str | None, str, str | None]]:
     """(name, comment, seq, qual) of each record; FASTA sequences may be folded, empty lines are skipped."""
     name, parts = None, []
@@ -120,4 +149,4 @@ def to_fastq(df: DataFrame, name: str, seq: str, qual: str | None = None, fill:
     return df.select(F.concat(F.lit("@"), F.col(name), F.lit("\n"), F.col(seq), F.lit("\n+\n"), quality).alias("value"))
 
 
-__all__ = ["FastxSource", "mapped_counts", "parse_fastx", "read_sam", "register", "to_fasta", "to_fastq"]
+__all__ = ["FastxSource", "mapped_counts", "parse_fastx", "read_fastx", "read_sam", "register", "to_fasta", "to_fastq"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,14 +53,19 @@ def read_library(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """(guide, sequence, gene); the first of rows with equal guide."""
     rows = spark.read.csv(path, sep=sep, header=True)
     a, s, g = rows.columns[:3]
-    named = rows.select(F.col(a).alias("guide"), F.upper(F.col(s)).alias("sequence"), F.col(g).alias("gene"))
-    return first_wins(named, ["guide"])
+    named = rows.select(F.col(a).alias("guide"), F.upper(F.col(s)).alias("sequence"), F.col(g).alias("gene"), reading_order().alias("at"))
+    return first_wins(named, ["guide"], "at").drop("at")
 
 
-def first_wins(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The first row of each key in reading order."""
+def reading_order() -> Column:
+    """Where a row of a file stands: by the file's name, its block, and the place in that."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+
+
+def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The first row of each key by ``order``."""
     others = [c for c in df.columns if c not in keys]
-    rows = df.withColumn("at", F.monotonically_increasing_id())
+    rows = df.withColumn("at", F.col(order))
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*others), "at").alias("x")).select(*keys, *[F.col(f"x.{c}").alias(c) for c in others])
 
 
@@ -83,8 +88,10 @@ def read_gene_set(spark: SparkSession, path: str, header: bool = True) -> DataFr
 
 
 def read_network(spark: SparkSession, path: str, genes: DataFrame | None = None) -> DataFrame:
-    """(u, v) of a headerless tab-separated file, both ends among ``genes`` if given."""
-    rows = spark.read.csv(path, sep="\t", schema="u string, v string")
+    """(u, v) of a headerless tab-separated file, both ends among ``genes`` if given. Each edge comes in both directions, and an
+    edge that the file has several times, in either direction, once each way."""
+    rows = spark.read.csv(path, sep="\t", schema="u string, v string").select("u", "v")
+    rows = rows.unionByName(rows.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     for c in ("u", "v") if genes is not None else ():
         rows = rows.join(genes.select(F.col("gene").alias(c)), c, "left_semi")
     return rows.select("u", "v")
@@ -102,7 +109,50 @@ def read_gene_names(spark: SparkSession, path: str) -> DataFrame:
     """(ordinal, gene_id, symbol, previous, aliases) of a tab-separated gene catalogue, in its order."""
     rows = spark.read.csv(path, sep="\t", header=True)
     get = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
-    return rows.select(F.monotonically_increasing_id().alias("ordinal"), get("hgnc_id").alias("gene_id"), get("symbol").alias("symbol"), get("prev_symbol").alias("previous"), get("alias_symbol").alias("aliases"))
+    return rows.select(reading_order().alias("ordinal"), get("hgnc_id").alias("gene_id"), get("symbol").alias("symbol"), get("prev_symbol").alias("previous"), get("alias_symbol").alias("aliases"))
+
+
+def read_interactions(spark: SparkSession, path: str, names: tuple[str, str]) -> DataFrame:
+    """(u, v) of a comma-separated interaction catalogue, from its two columns ``names``; rows without either are left out."""
+    rows = spark.read.csv(path, header=True)
+    return rows.select(F.col(names[0]).alias("u"), F.col(names[1]).alias("v")).dropna()
+
+
+def read_alignment_csv(spark: SparkSession, path: str) -> DataFrame:
+    """(sample, qname, pos, raw_cigar, seq) of comma-separated alignments (pos, cigar, id, seq); the sample is the file's name."""
+    rows = spark.read.csv(path, header=True)
+    sample = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.csv)?(\.gz)?$", 1)
+    return rows.select(sample.alias("sample"), F.col("id").alias("qname"), F.col("pos").cast("bigint").alias("pos"), F.col("cigar").alias("raw_cigar"), "seq")
+
+
+def columns_by(header: list[str], asked: list[str | int]) -> list[str]:
+    """Names of the columns asked for by number (from 1, as a number or digits) or by name; both ``guide`` columns come before number 1."""
+    out = []
+    for x in asked:
+        if isinstance(x, int) or x.isdigit():
+            if not 1 <= int(x) <= len(header):
+                raise ValueError(f"no column number {x}")
+            out.append(header[int(x) - 1])
+        elif x in header:
+            out.append(x)
+        else:
+            raise ValueError(f"no column {x}")
+    return out
+
+
+def genome_entry(catalogue: dict[str, dict[str, str]], genome: str | None, attribute: str) -> str | None:
+    """What a genome catalogue has for a genome and attribute; null without genome or entry."""
+    return catalogue.get(genome or "", {}).get(attribute)
+
+
+def significant(x: Column, digits: int = 3) -> Column:
+    """A number as text of so many significant digits."""
+    return F.format_string(f"%.{digits}g", x)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Comma-separated files with a header."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def fixed(df: DataFrame, digits: dict[str, int]) -> DataFrame:
