@@ -80,9 +80,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n_near, of rows whose doc_id is divisible by 100 only: how many rows are within three bits of the row, itself included."""
     rows = materialize(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")), "edited-fingerprints")
     fp, edited_fp, next_fp = F.col("fp"), F.col("edited_fp"), F.col("next_fp")
-    asked = F.when(F.col("doc_id") % 100 == 0, fp)
-    found = fingerprints.near_counts(rows.select(asked.alias("fp")), rows)
-    return rows.join(found, asked == F.col("query_fp"), "left").select(
+    asks = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
+    asked = rows.filter(asks)
+    found = fingerprints.near_counts(asked, rows)
+    # Rows that don't ask take no part in the join.
+    asked = asked.join(found, asked.fp == found.query_fp).drop("query_fp")
+    both = asked.unionByName(rows.filter(~asks).withColumn("n_near", F.lit(None).cast("bigint")))
+    return both.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
