@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,6 +91,45 @@ def trim_adapter(seq: Column, adapter: str, end: int) -> Column:
     return F.when(at > 0, seq.substr(F.lit(1), at - 1)).otherwise(seq)
 
 
+def trim_adapters(reads: DataFrame, adapters: list[str], end: int = 3, max_error: float = 0.1, min_overlap: int = 3) -> DataFrame:
+    """``reads`` (seq, qual, ...) without the best-matching of ``adapters`` and what lies beyond it: after it for ``end`` 3, before it
+    for 5. Adds adapter: its number in the list from 0, null where none was found.
+
+    An adapter may have mismatches, up to ``max_error`` of the bases laid side by side, and may be cut off by the read's end, of which
+    at least ``min_overlap`` bases must be left. The match of most equal bases is taken, of ties the one of fewest mismatches, then
+    the one farthest from the read's own bases, then the first adapter. Null sequences stay null.
+    """
+    turned = adapters if end == 3 else [a[::-1] for a in adapters]
+
+    @F.pandas_udf("keep int, adapter int")
+    def find(seq: pd.Series) -> pd.DataFrame:
+        keep, which = np.zeros(len(seq), np.int64), np.full(len(seq), -1)
+        sizes = seq.str.len().fillna(-1).astype(int).to_numpy()
+        keep[:] = np.maximum(sizes, 0)
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            rows = np.flatnonzero(sizes == size)
+            text = np.frombuffer("".join(seq.iloc[rows]).encode("ascii", "replace"), np.uint8).reshape(-1, size)
+            text = text if end == 3 else text[:, ::-1]
+            best = np.full(len(rows), -1)
+            for k, adapter in enumerate(turned):
+                a = np.frombuffer(adapter.encode(), np.uint8)
+                for at in range(size - min_overlap + 1):
+                    n = min(len(a), size - at)
+                    wrong = (text[:, at : at + n] != a[:n]).sum(1)
+                    # One number: more matches first, then fewer mismatches, then the place, then the adapter.
+                    score = ((n - wrong) * 4096 + (4095 - wrong)) * (1 << 40) + (size - at) * (1 << 16) + (65535 - k)
+                    better = (wrong <= np.floor(max_error * n + 1e-9)) & (score > best)
+                    best[better], keep[rows[better]], which[rows[better]] = score[better], at, k
+        return pd.DataFrame({"keep": keep, "adapter": pd.array(np.where(which < 0, 0, which), "Int32")}).assign(
+            adapter=lambda x: x["adapter"].mask(which < 0)
+        )
+
+    side = F.left if end == 3 else F.right
+    rows = reads.withColumn("_cut", find("seq"))
+    cut = {c: side(F.col(c), F.col("_cut.keep")) for c in ("seq", "qual") if c in reads.columns}
+    return rows.withColumns({**cut, "adapter": F.col("_cut.adapter")}).drop("_cut")
+
+
 def stage_summary(stages: list[tuple[str, DataFrame]]) -> DataFrame:
     """(sample, stage, n, pct) of reads kept at each stage; pct is of the first stage, to one decimal, half to even."""
     parts = None

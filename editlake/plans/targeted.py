@@ -370,6 +370,23 @@ def adapter_trim_exact(spark, sf_dir):
     return b.reads(spark, sf_dir).select("read_id", t.trim_adapter(seq, "ACGT", 5).alias("five"), t.trim_adapter(seq, "TTGC", 3).alias("three"))
 
 
+ADAPTERS = ["ACGTTGCA", "CTTACG"]
+ADAPTER_SQL = b.READS_SQL + f""",
+adapters AS (SELECT * FROM (VALUES {", ".join(f"({k}, '{x}')" for k, x in enumerate(ADAPTERS))}) v(k, a)),
+laid AS (SELECT read_id, side, k, i, len(x) AS size, least(len(a), len(x) - i) AS n, len(list_filter(range(1, least(len(a), len(x) - i) + 1), lambda j: substr(x, i + j, 1) <> substr(y, j, 1))) AS wrong
+  FROM (SELECT read_id, side, k, a, CASE side WHEN 3 THEN seq ELSE reverse(seq) END AS x, CASE side WHEN 3 THEN a ELSE reverse(a) END AS y, unnest(range(0, len(seq) - 2)) AS i FROM reads, adapters, (VALUES (3), (5)) v(side))),
+found AS (SELECT read_id, side, k, i, row_number() OVER (PARTITION BY read_id, side ORDER BY n - wrong DESC, wrong, i, k) AS place FROM laid WHERE wrong <= floor(0.2 * n + 1e-9))"""
+
+
+@query(f"""WITH {ADAPTER_SQL} SELECT r.read_id, side, CAST(f.k AS INTEGER) AS adapter, CASE WHEN f.i IS NULL THEN seq WHEN side = 3 THEN left(seq, f.i) ELSE right(seq, f.i) END AS seq
+FROM (SELECT * FROM reads, (VALUES (3), (5)) v(side)) r LEFT JOIN (SELECT * FROM found WHERE place = 1) f USING (read_id, side)""")
+def adapter_trim(spark, sf_dir):
+    """Several adapters with mismatches and partial ends, at either end of the reads."""
+    reads = b.reads(spark, sf_dir).select("read_id", "seq")
+    parts = [t.trim_adapters(reads, ADAPTERS, end, 0.2).withColumn("side", F.lit(end)) for end in (3, 5)]
+    return parts[0].unionByName(parts[1]).select("read_id", "side", "adapter", "seq")
+
+
 @query(f"""WITH {b.READS_SQL} SELECT read_id, list_aggregate(list_transform(range(1, len(seq) + 1), lambda i: CASE WHEN ascii(substr(qual, i, 1)) - 33 < 20 THEN 'N' ELSE substr(seq, i, 1) END), 'string_agg', '') AS seq FROM reads WHERE len(seq) >= 80""")
 def quality_mask(spark, sf_dir):
     return t.quality_mask(b.reads(spark, sf_dir)).select("read_id", "seq")
