@@ -172,7 +172,9 @@ def aligner(mode: str, scores: Scores):
 
 def align_pairs(df: DataFrame, query: str, subject: str, mode: str = "global-local", scores: Scores | None = None) -> DataFrame:
     """Adds score, start, end, cigar; equal pairs are aligned once."""
-    pairs = df.select(query, subject).distinct()
+    # A fixed number of partitions, which the adaptive planner doesn't merge: few bytes here are much work.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = df.select(query, subject).repartition(n, query, subject).distinct()
     done = pairs.select(query, subject, aligner(mode, scores or Scores())(query, subject).alias("a")).select(query, subject, "a.*")
     return df.join(done, [query, subject])
 
