@@ -267,25 +267,25 @@ def umi_pairs(umis: DataFrame, identity: float, longest: int, shortest: int) ->
     Pairs are proposed by a stretch that they share: with so many differences and gaps as are allowed, one of the equal pieces
     of the shorter UMI stands in the longer one, shifted by no more than the gaps. So no sample is one task's work.
     """
-    gaps = longest - shortest
-    errors = gaps + int((1 - identity) * longest + 1e-9)
-    pieces = errors + 1
-    size = F.length("umi")
-    start = lambda k: F.floor(size * k / pieces).cast("int") + 1
-    seeds = [F.struct(F.lit(k).alias("k"), size.alias("size"), F.col("umi").substr(start(k), start(k + 1) - start(k)).alias("seed")) for k in range(pieces)]
-    short = umis.select("sample", F.col("umi").alias("a"), F.inline(F.array(*seeds)))
-    # The pieces of a UMI shorter by up to ``gaps`` begin and end where its own length says.
-    places = []
-    for less in range(gaps + 1):
-        n = size - less
-        for k in range(pieces):
-            at = F.floor(n * k / pieces).cast("int") + 1
-            width = F.floor(n * (k + 1) / pieces).cast("int") + 1 - at
-            for shift in range(-errors, errors + 1):
-                ok = (n >= shortest) & (at + shift >= 1) & (at + shift + width - 1 <= size)
-                places.append(F.when(ok, F.struct(F.lit(k).alias("k"), n.alias("size"), F.col("umi").substr(at + shift, width).alias("seed"))))
-    long = umis.select("sample", F.col("umi").alias("b"), F.explode(F.array_compact(F.array(*places))).alias("p")).select("sample", "b", "p.*")
-    near = short.join(long, ["sample", "k", "size", "seed"]).filter("a <> b").select("sample", "a", "b").distinct()
+    # ``less``: by how many bases the shorter one is shorter; so many gaps and ``wrong`` differences make wrong + less + 1 pieces.
+    cut = {
+        "wrong": F.floor((1 - identity) * F.col("size") + 1e-9).cast("int"),
+        "pieces": F.col("wrong") + F.col("less") + 1,
+        "k": F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)),
+        "at": F.floor(F.col("size") * F.col("k") / F.col("pieces")).cast("int") + 1,
+        "width": F.floor(F.col("size") * (F.col("k") + 1) / F.col("pieces")).cast("int") + 1 - F.col("at"),
+    }
+    every = umis.select("sample", "umi", F.explode(F.sequence(F.lit(0), F.lit(longest - shortest))).alias("less"))
+    short = every.withColumn("size", F.length("umi")).filter(F.col("size") + F.col("less") <= longest)
+    long = every.withColumn("size", F.length("umi") - F.col("less")).filter(F.col("size") >= shortest)
+    for name, column in cut.items():
+        short, long = short.withColumn(name, column), long.withColumn(name, column)
+    long = long.withColumn("shift", F.explode(F.sequence(-F.col("wrong"), F.col("wrong") + F.col("less"))))
+    long = long.withColumn("at", F.col("at") + F.col("shift")).filter("at >= 1 and at + width - 1 <= length(umi)")
+    seed = F.col("umi").substr(F.col("at"), F.col("width")).alias("seed")
+    short = short.select("sample", F.col("umi").alias("a"), "less", "size", "k", seed)
+    long = long.select("sample", F.col("umi").alias("b"), "less", "size", "k", seed)
+    near = short.join(long, ["sample", "less", "size", "k", "seed"]).filter("a <> b").select("sample", "a", "b").distinct()
     run = aligner("global", Scores(2, -3, 1, 1))
     made = near.withColumn("cigar", run("a", "b")["cigar"])
     made = made.withColumn("same", matches()("a", "b", "cigar"))
