@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    chat,
     decontamination,
+    fim,
     fingerprints,
     idfile,
     langid,
     linededup,
     lm_score,
+    search,
     simhash_trie,
     substring,
     toxicity,
@@ -129,6 +132,35 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: A conversation whose texts are full of control strings.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id bigint, turn bigint, role string, text string")
+    rows = rows.unionByName(probe).withColumn("content", chat.text_parts(F.col("text")))
+    return chat.read_back(chat.format_turns(rows), in_order=True)
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restore(F.col("form"), F.col("output"))).alias("restored_sha256"),
+    )
+
+
 OP10_SQL = r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -149,6 +181,71 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), asked AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)
+  GROUP BY ALL
+), sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), whole
+), parts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))) AS part
+  FROM tfs JOIN sizes USING (doc_id) JOIN weights USING (term), whole
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(q * part) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+OP12_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+  SELECT *, length(regexp_replace(role, c, '\1\2\\\3', 'g')) + length(regexp_replace(text, c, '\1\2\\\3', 'g'))
+            + length('<|turn|><|text|><|end|>') AS chars
+  FROM turns, (SELECT '([<\[])(\\*)(/?s>|/?INST\]|\|(?:turn|end|text|image|audio|document|other)\|>)' AS c)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(CAST(sum(length(text)) FILTER (WHERE role = 'assistant') AS BIGINT), 0) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, 0::BIGINT AS n_placeholders, 0::BIGINT AS attachment_tokens
+FROM escaped GROUP BY conv_id
+"""
+
+OP13_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256(concat('1:', doc_id)) AS h FROM documents
+), numbers AS (
+  SELECT *, CAST(concat('0x', h[1:8]) AS UBIGINT)::BIGINT AS h1, CAST(concat('0x', h[9:16]) AS UBIGINT)::BIGINT AS h2,
+         CAST(concat('0x', h[17:24]) AS UBIGINT)::BIGINT AS h3, CAST(concat('0x', h[25:32]) AS UBIGINT)::BIGINT AS h4
+  FROM drawn
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN concat('<P>', substring(text, 1, a), '<S>', substring(text, b + 1), '<M>', substring(text, a + 1, b - a))
+              ELSE concat('<S>', substring(text, b + 1), '<P>', substring(text, 1, a), '<M>', substring(text, a + 1, b - a)) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cuts
+"""
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontamination": op2_decontamination,
@@ -160,6 +257,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_search": op11_search,
+    "op12_chat": op12_chat,
+    "op13_fim": op13_fim,
 }
 
-ORACLE_SQL = {"op10_line_dedup": OP10_SQL}
+ORACLE_SQL = {"op10_line_dedup": OP10_SQL, "op11_search": OP11_SQL, "op12_chat": OP12_SQL, "op13_fim": OP13_SQL}
