@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from editlake.operators import targeted as t
 from editlake.scratch import new_path
-from editlake.sources import fastx
+from editlake.sources import bam, fastx
 from editlake.sources import tables as s
 
 from . import bindings as b
@@ -140,17 +140,35 @@ def source_interactions(spark, sf_dir):
     return s.read_interactions(spark, csv_file(rows, "interactions"), ("Official A", "Official B"))
 
 
+#: Small ranges, so that the test files are cut too.
+CUT = 1 << 20
+
+
 @query(f"WITH {b.READS_SQL} SELECT CAST(read_id AS VARCHAR) AS name, seq FROM reads")
 def source_fasta(spark, sf_dir):
-    """All reads written as FASTA and read again."""
+    """All reads written as FASTA and read again in ranges."""
     rows = b.reads(spark, sf_dir).select(F.col("read_id").cast("string").alias("name"), "seq")
-    return fastx.read_fastx(spark, text_file(fastx.to_fasta(rows, "name", "seq"), "fasta")).select("name", "seq")
+    return fastx.read_fastx(spark, text_file(fastx.to_fasta(rows, "name", "seq"), "fasta"), CUT).select("name", "seq")
+
 
+def named_reads(spark, sf_dir) -> DataFrame:
+    """All reads; the comment is the sample, and there is none for every third read."""
+    comment = F.when(F.col("read_id") % 3 != 0, F.col("sample"))
+    return b.reads(spark, sf_dir).select(F.col("read_id").cast("string").alias("name"), comment.alias("comment"), "seq", "qual")
 
-@query(f"WITH {b.READS_SQL} SELECT CAST(read_id AS VARCHAR) AS name, seq, qual FROM reads")
+
+@query(f"WITH {b.READS_SQL} SELECT CAST(read_id AS VARCHAR) AS name, CASE WHEN read_id % 3 <> 0 THEN sample END AS comment, seq, qual FROM reads")
 def source_fastq(spark, sf_dir):
-    rows = b.reads(spark, sf_dir).select(F.col("read_id").cast("string").alias("name"), "seq", "qual")
-    return fastx.read_fastx(spark, text_file(fastx.to_fastq(rows, "name", "seq", "qual"), "fastq")).select("name", "seq", "qual")
+    rows = named_reads(spark, sf_dir).withColumn("name", F.concat_ws(" ", "name", "comment"))
+    return fastx.read_fastx(spark, text_file(fastx.to_fastq(rows, "name", "seq", "qual"), "fastq"), CUT).drop("file")
+
+
+@query(f"WITH {b.READS_SQL} SELECT CAST(read_id AS VARCHAR) AS name, CASE WHEN read_id % 3 <> 0 THEN sample END AS comment, seq, qual FROM reads")
+def source_fastq_blocks(spark, sf_dir):
+    """Block-compressed files, read in ranges."""
+    path = new_path(spark, "fastq-blocks")
+    fastx.write_blocks(named_reads(spark, sf_dir), path)
+    return fastx.read_fastx(spark, path, CUT // 8).drop("file")
 
 
 @query(f"WITH {b.READS_SQL} SELECT count(*) AS records, CAST(sum(len(seq)) AS BIGINT) AS bases FROM reads")
@@ -176,6 +194,38 @@ def source_sam(spark, sf_dir):
     return fastx.read_sam(spark, sam_lines(spark, sf_dir)).select("qname", "pos", "raw_cigar")
 
 
+BAM_SQL = f"""{FLAG_SQL}, bam AS (SELECT qname, flag, CASE WHEN flag = 4 THEN '*' ELSE 'amplicon' || sample END AS ref, pos, 60 AS mapq, raw_cigar,
+  repeat('ACGTNRY', CAST(1 + l_partkey % 20 AS INTEGER)) AS seq, CASE WHEN l_partkey % 9 = 0 THEN '*' ELSE repeat('I#5?~!A', CAST(1 + l_partkey % 20 AS INTEGER)) END AS qual FROM sam)"""
+
+
+def bam_files(spark, sf_dir) -> str:
+    """The alignments as BAM files: every tenth unmapped, every seventh secondary."""
+    k = F.col("l_partkey")
+    times, text = (1 + k % 20).cast("int"), lambda x: F.lit(x)
+    flag = F.when(k % 10 == 0, 4).when(k % 7 == 0, 256).otherwise(0)
+    rows = b.alignments(spark, sf_dir).select(
+        "qname", flag.alias("flag"), F.when(k % 10 == 0, "*").otherwise(F.concat(F.lit("amplicon"), F.col("sample").cast("string"))).alias("ref"), "pos",
+        F.lit(60).alias("mapq"), "raw_cigar", F.repeat(text("ACGTNRY"), times).alias("seq"), F.when(k % 9 == 0, "*").otherwise(F.repeat(text("I#5?~!A"), times)).alias("qual"),
+    )
+    path = new_path(spark, "bam")
+    bam.write_bam(rows, path)
+    return path
+
+
+@query(f"WITH {BAM_SQL} SELECT qname, flag, ref, pos, mapq, raw_cigar, seq, qual FROM bam WHERE flag = 0")
+def source_bam(spark, sf_dir):
+    """Primary alignments of BAM files, written and read in ranges."""
+    return bam.read_bam(spark, bam_files(spark, sf_dir), split_bytes=CUT // 8).drop("sample")
+
+
+@query(f"WITH {BAM_SQL} SELECT ref, count(*) FILTER (WHERE flag <> 4) AS mapped, count(*) AS total, CAST(sum(len(seq)) AS BIGINT) AS bases FROM bam GROUP BY ref")
+def bam_counts(spark, sf_dir):
+    """Records of each reference, primary or not."""
+    rows = bam.read_bam(spark, bam_files(spark, sf_dir), primary_only=False, split_bytes=CUT // 8)
+    mapped = F.count_if(F.col("flag").bitwiseAND(F.lit(4)) == 0)
+    return rows.groupBy("ref").agg(mapped.alias("mapped"), F.count(F.lit(1)).alias("total"), F.sum(F.length("seq")).alias("bases"))
+
+
 @query(f"WITH {FLAG_SQL} SELECT count(*) FILTER (WHERE flag <> 4) AS mapped, count(*) AS total, round_even(count(*) FILTER (WHERE flag <> 4) * 100.0e0 / count(*), 1) AS pct FROM sam")
 def mapped_counts(spark, sf_dir):
     """Aligned reads and their share, over all files of a run."""

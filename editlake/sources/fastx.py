@@ -1,32 +1,27 @@
 """FASTA, FASTQ and SAM readers as tables.
 
-``spark.read.format("fastx").load(path)`` after :func:`register`. Plain text is read through Spark itself by
-:func:`read_sam`; the data sources open local or mounted files (gzip too), one task a file as gzip can't be split.
+``spark.read.format("fastx").load(path)`` after :func:`register`, or :func:`read_fastx`: files are read in byte ranges, several tasks a file,
+whatever its size (see ``ranges``). SAM text is read through Spark itself by :func:`read_sam`.
 """
 
 from __future__ import annotations
 
-import glob
 import gzip
 import io
-import os
 from collections.abc import Iterator
-from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader
+
+from . import ranges
 
 #: Alignment flags that aren't primary: unmapped, secondary, duplicate, supplementary.
 NOT_PRIMARY = 0x4 | 0x100 | 0x400 | 0x800
-
-
-@dataclass
-class OneFile(InputPartition):
-    """A file that one task reads."""
-
-    path: str
+COLUMNS = ["file", "name", "comment", "seq", "qual"]
 
 
 class FastxSource(DataSource):
@@ -40,32 +35,193 @@ class FastxSource(DataSource):
         return "file string, name string, comment string, seq string, qual string"
 
     def reader(self, schema) -> DataSourceReader:
-        return FastxReader(self.options["path"])
+        return FastxReader(self.options["path"], int(self.options.get("splitBytes", ranges.SPLIT_BYTES)))
+
+    def writer(self, schema, overwrite: bool) -> FastqWriter:
+        return FastqWriter(self.options["path"])
 
 
 class FastxReader(DataSourceReader):
-    """Streams records of one file at a time."""
+    def __init__(self, path: str, split_bytes: int):
+        self.path, self.split_bytes = path, split_bytes
+
+    def partitions(self) -> list[ranges.Range]:
+        return ranges.cut(self.path, self.split_bytes)
+
+    def read(self, partition: ranges.Range) -> Iterator[pa.RecordBatch]:
+        system, inside = ranges.open_fs(partition.path)
+        with system.open_input_file(inside) as f:
+            for arrays in records(f, partition):
+                file = pa.array([partition.path.rsplit("/", 1)[-1]] * len(arrays[0]), pa.string())
+                yield pa.RecordBatch.from_arrays([file, *arrays], COLUMNS)
+
+
+def records(f, r: ranges.Range) -> Iterator[list[pa.Array]]:
+    """name, comment, seq and qual of the range's records."""
+    _, beginning = ranges.pieces(f, ranges.Range(r.path, r.kind, 0, min(r.size, 1), r.size))
+    first = next((x.lstrip()[:1] for x, _ in beginning if x.strip()), b"")
+    if first not in (b"", b">", b"@"):
+        raise ValueError(f"{r.path} is neither FASTA nor FASTQ")
+    before, stream = ranges.pieces(f, r)
+    yield from (_fastq if first == b"@" else _fasta)(stream, before, r.path)
+
+
+def _with_end(stream):
+    yield from stream
+    yield b"", None
+
+
+def _fastq(stream, before: bytes | None, path: str) -> Iterator[list[pa.Array]]:
+    buf, own, synced = b"", 0, before is None
+    for data, mine in _with_end(stream):
+        last = mine is None
+        own += len(data) * bool(mine)
+        buf += data
+        if last and buf and not buf.endswith(b"\n"):
+            buf += b"\n"
+        if not synced:
+            at = sync(buf, before == b"\n", last)
+            if at is None:
+                continue
+            buf, own, synced = buf[at:], own - at, True
+        arrays, used = parse_fastq(buf, own, path)
+        if len(arrays[0]):
+            yield arrays
+        buf, own = buf[used:], own - used
+        if own <= 0 and not mine:
+            return
+    if own > 0 and buf.strip():
+        raise ValueError(f"the last record of {path} isn't whole")
+
+
+def sync(buf: bytes, at_line: bool, last: bool) -> int | None:
+    """Where the first record begins in bytes that may begin anywhere: at a line with an @ in front, two above one with a +, whose
+    next line is as long as the one below the +. No other line of a record can look so, as bases are neither. None: more bytes are needed."""
+    ends = np.flatnonzero(np.frombuffer(buf, np.uint8) == 10).tolist()
+    starts = [0, *(k + 1 for k in ends)]
+    size = lambda k: len(buf[starts[k] : ends[k]].rstrip(b"\r"))
+    for k in range(0 if at_line else 1, len(ends) - 3):
+        if buf[starts[k]] == 64 and buf[starts[k + 2]] == 43 and size(k + 1) == size(k + 3):
+            return starts[k]
+    return len(buf) if last else None
+
+
+def parse_fastq(buf: bytes, own: int, path: str) -> tuple[list[pa.Array], int]:
+    """name, comment, seq and qual of the whole records of ``buf`` that begin before ``own``, and how many bytes they take."""
+    raw = np.frombuffer(buf, np.uint8)
+    ends = np.flatnonzero(raw == 10) + 1
+    starts = np.concatenate(([0], ends[:-1])) if len(ends) else np.zeros(0, np.int64)
+    n = len(ends) // 4
+    n = int(np.searchsorted(starts[: 4 * n : 4], own))
+    starts, ends = starts[: 4 * n], ends[: 4 * n]
+    sizes = ends - starts - 1
+    sizes -= (raw[ends - 2] == 13) & (sizes > 0)
+    if not ((raw[starts[::4]] == 64).all() and (raw[starts[2::4]] == 43).all() and (sizes[1::4] == sizes[3::4]).all()):
+        return _parse_lines(buf, own, path)
+    offsets = np.append(starts, ends[-1:] if n else [0]).astype(np.int32)
+    lines = pa.StringArray.from_buffers(4 * n, pa.py_buffer(offsets), pa.py_buffer(buf))
+    take = lambda k: pc.ascii_rtrim(lines.take(pa.array(np.arange(k, 4 * n, 4))), characters="\r\n")
+    return [*_headers(pc.utf8_slice_codeunits(take(0), 1)), take(1), take(3)], int(offsets[-1])
+
+
+def _parse_lines(buf: bytes, own: int, path: str) -> tuple[list[pa.Array], int]:
+    """As :func:`parse_fastq`, line by line: empty lines may stand between records."""
+    rows, at, used = [], 0, 0
+    while at < own:
+        end = buf.find(b"\n", at)
+        if end < 0:
+            break
+        if not buf[at:end].strip():
+            at = used = end + 1
+            continue
+        four = buf[at:].split(b"\n", 4) if len(buf) - at < 1 << 16 else buf[at : at + (1 << 16)].split(b"\n", 4)
+        if len(four) < 5:
+            four = buf[at:].split(b"\n", 4)
+        if len(four) < 5:
+            break
+        head, seq, plus, qual = (x.rstrip(b"\r").decode() for x in four[:4])
+        if head[0] != "@" or plus[:1] != "+" or len(seq) != len(qual):
+            raise ValueError(f"{path}: record {head[1:]} isn't one of four lines with as many qualities as bases")
+        rows.append((*_header(head[1:]), seq, qual))
+        at = used = at + sum(len(x) + 1 for x in four[:4])
+    return [pa.array([x[k] for x in rows], pa.string()) for k in range(4)], used
+
+
+def _headers(text: pa.Array) -> list[pa.Array]:
+    if not len(text):
+        return [text, text]
+    parts = pc.split_pattern(text, " ", max_splits=1)
+    name = pc.list_element(parts, 0)
+    has = pc.greater(pc.list_value_length(parts), 1)
+    second = parts.flatten().take(pc.if_else(has, pc.add(pa.array(np.asarray(parts.offsets)[:-1]), 1), pa.scalar(None, pa.int32())))
+    return [name, pc.if_else(pc.equal(second, ""), pa.scalar(None, pa.string()), second)]
+
+
+def _fasta(stream, before: bytes | None, path: str) -> Iterator[list[pa.Array]]:
+    """A record is all from a line with a > to the next one; its lines are joined."""
+    buf, own, seen, at = bytearray(), 0, 0, None if before is not None else 0
+    rows: list[tuple] = []
+    for data, mine in _with_end(stream):
+        last = mine is None
+        own += len(data) * bool(mine)
+        buf += data
+        if at is None:
+            found = 0 if before == b"\n" and buf[:1] == b">" else buf.find(b"\n>", max(0, seen - 1)) + 1
+            if not found and not (before == b"\n" and buf[:1] == b">"):
+                seen = len(buf)
+                if not mine:
+                    return
+                continue
+            at = seen = found
+        while at < own:
+            end = buf.find(b"\n>", max(at, seen - 1))
+            if end < 0 and not last:
+                break
+            end = len(buf) if end < 0 else end
+            head, _, body = bytes(buf[at:end]).lstrip().partition(b"\n")
+            if head:
+                rows.append((*_header(head[1:].rstrip(b"\r").decode()), body.translate(None, b"\r\n").decode(), None))
+            at = seen = end + 1
+        if rows and (len(rows) >= 10_000 or len(buf) >= ranges.PIECE):
+            yield [pa.array([x[k] for x in rows], pa.string()) for k in range(4)]
+            rows = []
+        if at >= own and not mine:
+            break
+        seen = max(at, len(buf))
+        del buf[:at]
+        own, seen, at = own - at, seen - at, 0
+    if rows:
+        yield [pa.array([x[k] for x in rows], pa.string()) for k in range(4)]
+
+
+class FastqWriter(ranges.BlocksWriter):
+    """FASTQ files in blocks; without qualities FASTA."""
+
+    suffix = ".gz"
+
+    def contents(self, batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in COLUMNS[1:]), strict=True)
+            for name, comment, seq, qual in rows:
+                head = name if comment is None else f"{name} {comment}"
+                yield (f">{head}\n{seq}\n" if qual is None else f"@{head}\n{seq}\n+\n{qual}\n").encode()
+
 
-    def __init__(self, path: str):
-        self.path = path
+def read_fastx(spark: SparkSession, path: str, split_bytes: int = ranges.SPLIT_BYTES) -> DataFrame:
+    """(file, name, comment, seq, qual) of FASTA and FASTQ files, in ranges of about ``split_bytes``."""
+    register(spark)
+    return spark.read.format("fastx").option("splitBytes", split_bytes).load(path)
 
-    def partitions(self) -> list[OneFile]:
-        found = []
-        for pattern in self.path.split(","):
-            inside = os.path.join(pattern, "*") if os.path.isdir(pattern) else pattern
-            found += sorted(glob.glob(inside))
-        return [OneFile(p) for p in found]
 
-    def read(self, partition: OneFile) -> Iterator[tuple]:
-        opener = gzip.open if partition.path.endswith(".gz") else open
-        with opener(partition.path, "rt") as lines:
-            for record in parse_fastx(lines):
-                yield (os.path.basename(partition.path), *record)
+def write_blocks(df: DataFrame, path: str) -> None:
+    """``df`` (name, comment, seq, qual) as block-compressed files in a folder, one a partition, which can be read in ranges again."""
+    register(df.sparkSession)
+    df.select(F.lit("").alias("file"), *COLUMNS[1:]).write.format("fastx").mode("append").save(path)
 
 
-def read_fastx(spark: SparkSession, path: str) -> DataFrame:
-    """(file, name, comment, seq, qual) of FASTA and FASTQ files in any file system that Spark reads; files that end in .gz are
-    unpacked. A file is one task's work and at most 2 GB; larger ones are read from local folders by the data source."""
+def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_fastx`, for stores that only Spark can read: files that end in .gz are unpacked, and a file is one task's work and
+    at most 2 GB."""
 
     def run(batches):
         for batch in batches:
@@ -149,4 +305,4 @@ def to_fastq(df: DataFrame, name: str, seq: str, qual: str | None = None, fill:
     return df.select(F.concat(F.lit("@"), F.col(name), F.lit("\n"), F.col(seq), F.lit("\n+\n"), quality).alias("value"))
 
 
-__all__ = ["FastxSource", "mapped_counts", "parse_fastx", "read_fastx", "read_sam", "register", "to_fasta", "to_fastq"]
+__all__ = ["FastxSource", "mapped_counts", "parse_fastx", "read_fastx", "read_sam", "read_whole_files", "register", "to_fasta", "to_fastq", "write_blocks"]
