@@ -6,7 +6,7 @@ with a third of all edges is split by the adaptive skew join. Every round is wri
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .util import drop_table, write_table
@@ -33,6 +33,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     A component is named by its smallest vertex. No edges give no rows; self-loops are ignored.
     """
+    return read_components(edges.sparkSession, write_components(edges))
+
+
+def read_components(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_components` wrote."""
+    return spark.read.parquet(path).select(F.col("u").alias("vertex"), F.col("v").alias("component"))
+
+
+def write_components(edges: DataFrame) -> str:
+    """The path of a table of the components, for callers that delete it."""
     spark = edges.sparkSession
     path = write_table(edges.filter("u <> v").distinct(), "edges")
     mark = None
@@ -47,4 +57,4 @@ def components(edges: DataFrame) -> DataFrame:
         after = write_table(_step(_step(now, True), False), "edges")
         drop_table(spark, path)
         path = after
-    return spark.read.parquet(path).select(F.col("u").alias("vertex"), F.col("v").alias("component"))
+    return path
