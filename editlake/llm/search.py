@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .util import chunks, drop_table, id_and_text, text_buffers, write_table
+from .util import chunks, drop_table, id_and_text, materialize, text_buffers, write_table
 
 TOP = 10
 BLOCK_BYTES = 4 << 20
@@ -232,10 +232,13 @@ def search(
     for k in range(n):
         rows = [(r.item_id, bytes(r.term), r.asked) for r in terms.filter(F.expr(f"pmod(xxhash64(item_id), {n})") == k).collect()]
         vocabulary = {term: t for t, term in enumerate(sorted({term for _, term, _ in rows}))}
-        counts = spark.read.parquet(write_table(document_terms(docs, vocabulary), "term-counts"))
+        counts_path = write_table(document_terms(docs, vocabulary), "term-counts")
+        counts = spark.read.parquet(counts_path)
         whole = counts.agg(F.count_if(F.col("n") > 0).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
         df = {r.term: r.n for r in counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
         best = _merge(_stream(counts, ItemIndex(rows, df, vocabulary, whole.docs), whole.docs, max(1, whole.terms), top), top)
+        best = materialize(best, "ranked")
+        drop_table(spark, counts_path)
         found = best if found is None else found.unionByName(best)
     drop_table(spark, terms_path)
     return found.select(F.col("item_id").cast(kind).alias("item_id"), "rank", "doc_id", "score")
