@@ -91,38 +91,72 @@ def trim_adapter(seq: Column, adapter: str, end: int) -> Column:
     return F.when(at > 0, seq.substr(F.lit(1), at - 1)).otherwise(seq)
 
 
-def trim_adapters(reads: DataFrame, adapters: list[str], end: int = 3, max_error: float = 0.1, min_overlap: int = 3) -> DataFrame:
+def _best_places(text: np.ndarray, sizes: np.ndarray, adapters: list[np.ndarray], max_error: float, min_overlap: int, indels: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of ``text``, of which the first ``sizes`` bytes count, where the best match begins and the adapter's number; -1 without one.
+
+    One pass over the places for each adapter: a cell has the fewest errors of the adapter's first bases against what ends at the
+    place, and of those the first beginning. Moves along the adapter are a running minimum, so a step takes all rows and bases at once.
+    """
+    one_error = 1 << 32
+    rows, widest = text.shape
+    best, keep, which = np.full(rows, -1), sizes.copy(), np.full(rows, -1)
+    for k, a in enumerate(adapters):
+        m = len(a)
+        ramp = np.arange(m + 1) * one_error
+        allowed = np.floor(max_error * np.arange(m + 1) + 1e-9).astype(np.int64)
+        allowed[:min_overlap] = -1
+        cell = np.tile(ramp if indels else np.where(ramp > 0, one_error << 20, 0), (rows, 1))
+        for j in range(1, widest + 1):
+            over = cell[:, :-1] + np.where(text[:, j - 1 : j] == a, 0, one_error)
+            if indels:
+                np.minimum(over, cell[:, 1:] + one_error, out=over)
+            cell[:, 0], cell[:, 1:] = j, over
+            if indels:
+                cell = np.minimum.accumulate(cell - ramp, axis=1) + ramp
+            ends = sizes == j
+            # The whole adapter may end anywhere, its first bases where the read does.
+            for at, n in [(np.flatnonzero(sizes > j), np.array([m])), *([(np.flatnonzero(ends), np.arange(min_overlap, m + 1))] if ends.any() else [])]:
+                wrong, begin = np.divmod(cell[at][:, n], one_error)
+                # One number: more bases without error first, then fewer errors, then the place, then the adapter.
+                score = ((n - wrong) * 4096 + (4095 - wrong)) * (1 << 40) + (sizes[at, None] - begin) * (1 << 16) + (65535 - k)
+                score[wrong > allowed[n]] = -1
+                top = score.argmax(1) if score.size else np.zeros(0, np.int64)
+                line = np.arange(len(at))
+                better = score[line, top] > best[at] if score.size else np.zeros(len(at), bool)
+                best[at[better]], keep[at[better]], which[at[better]] = score[line, top][better], begin[line, top][better], k
+    return keep, which
+
+
+def trim_adapters(
+    reads: DataFrame, adapters: list[str], end: int = 3, max_error: float = 0.1, min_overlap: int = 3, indels: bool = False
+) -> DataFrame:
     """``reads`` (seq, qual, ...) without the best-matching of ``adapters`` and what lies beyond it: after it for ``end`` 3, before it
     for 5. Adds adapter: its number in the list from 0, null where none was found.
 
-    An adapter may have mismatches, up to ``max_error`` of the bases laid side by side, and may be cut off by the read's end, of which
-    at least ``min_overlap`` bases must be left. The match of most equal bases is taken, of ties the one of fewest mismatches, then
-    the one farthest from the read's own bases, then the first adapter. Null sequences stay null.
+    An adapter may have errors, up to ``max_error`` of its bases: mismatches and, with ``indels``, inserted and missing bases. It may be cut
+    off by the read's end, of which at least ``min_overlap`` of its bases must be left. The match of most bases less errors is taken, of
+    ties the one of fewest errors, then the one that begins farthest from the read's end, then the first adapter. Null sequences stay null.
     """
-    turned = adapters if end == 3 else [a[::-1] for a in adapters]
+    turned = [np.frombuffer((a if end == 3 else a[::-1]).encode(), np.uint8) for a in adapters]
 
     @F.pandas_udf("keep int, adapter int")
     def find(seq: pd.Series) -> pd.DataFrame:
-        keep, which = np.zeros(len(seq), np.int64), np.full(len(seq), -1)
-        sizes = seq.str.len().fillna(-1).astype(int).to_numpy()
-        keep[:] = np.maximum(sizes, 0)
-        for size in np.unique(sizes[sizes > 0]).tolist():
-            rows = np.flatnonzero(sizes == size)
-            text = np.frombuffer("".join(seq.iloc[rows]).encode("ascii", "replace"), np.uint8).reshape(-1, size)
-            text = text if end == 3 else text[:, ::-1]
-            best = np.full(len(rows), -1)
-            for k, adapter in enumerate(turned):
-                a = np.frombuffer(adapter.encode(), np.uint8)
-                for at in range(size - min_overlap + 1):
-                    n = min(len(a), size - at)
-                    wrong = (text[:, at : at + n] != a[:n]).sum(1)
-                    # One number: more matches first, then fewer mismatches, then the place, then the adapter.
-                    score = ((n - wrong) * 4096 + (4095 - wrong)) * (1 << 40) + (size - at) * (1 << 16) + (65535 - k)
-                    better = (wrong <= np.floor(max_error * n + 1e-9)) & (score > best)
-                    best[better], keep[rows[better]], which[rows[better]] = score[better], at, k
-        return pd.DataFrame({"keep": keep, "adapter": pd.array(np.where(which < 0, 0, which), "Int32")}).assign(
-            adapter=lambda x: x["adapter"].mask(which < 0)
-        )
+        sizes = seq.str.len().fillna(0).astype(int).to_numpy()
+        keep, which = sizes.copy(), np.full(len(seq), -1)
+        order = np.argsort(sizes, kind="stable")
+        order = order[sizes[order] > 0]
+        texts, a = seq.to_numpy(), 0
+        while a < len(order):
+            # Reads of about one length, in tables of a million letters.
+            b = a + max(1, min(int(np.searchsorted(sizes[order], sizes[order[a]] * 1.25 + 8, side="right")) - a, (1 << 20) // int(sizes[order[a]])))
+            rows = order[a:b]
+            widest = int(sizes[rows].max())
+            whole = "".join((t if end == 3 else t[::-1]).ljust(widest, "\0") for t in texts[rows])
+            text = np.frombuffer(whole.encode("ascii", "replace"), np.uint8).reshape(-1, widest)
+            keep[rows], which[rows] = _best_places(text, sizes[rows], turned, max_error, min_overlap, indels)
+            a = b
+        found = pd.Series(np.where(which < 0, 0, which), dtype="Int32").mask(which < 0)
+        return pd.DataFrame({"keep": keep, "adapter": found})
 
     side = F.left if end == 3 else F.right
     rows = reads.withColumn("_cut", find("seq"))

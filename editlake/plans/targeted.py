@@ -387,6 +387,25 @@ def adapter_trim(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("read_id", "side", "adapter", "seq")
 
 
+#: Every stretch of a read against an adapter, or its end against an adapter's beginning.
+INDEL_SQL = b.READS_SQL + f""",
+adapters AS (SELECT * FROM (VALUES {", ".join(f"({k}, '{x}')" for k, x in enumerate(ADAPTERS))}) v(k, a)),
+sided AS (SELECT read_id, side, k, CASE side WHEN 3 THEN seq ELSE reverse(seq) END AS x, CASE side WHEN 3 THEN a ELSE reverse(a) END AS y FROM reads, adapters, (VALUES (3), (5)) v(side)),
+starts AS (SELECT *, unnest(range(0, len(x))) AS i FROM sided),
+laid AS (SELECT read_id, side, k, i, len(y) AS n, levenshtein(substr(x, i + 1, size), y) AS wrong FROM starts, (VALUES (-1), (0), (1)) d(d), (SELECT len(y) + d AS size) WHERE i + size <= len(x)
+  UNION ALL SELECT read_id, side, k, i, n, levenshtein(substr(x, i + 1), left(y, n)) FROM starts, (VALUES (-1), (0), (1)) d(d), (SELECT len(x) - i + d AS n) WHERE n BETWEEN 3 AND len(y)),
+found AS (SELECT read_id, side, k, i, row_number() OVER (PARTITION BY read_id, side ORDER BY n - wrong DESC, wrong, i, k) AS place FROM laid WHERE wrong <= floor(0.2 * n + 1e-9))"""
+
+
+@query(f"""WITH {INDEL_SQL} SELECT r.read_id, side, CAST(f.k AS INTEGER) AS adapter, CASE WHEN f.i IS NULL THEN seq WHEN side = 3 THEN left(seq, f.i) ELSE right(seq, f.i) END AS seq
+FROM (SELECT * FROM reads, (VALUES (3), (5)) v(side)) r LEFT JOIN (SELECT * FROM found WHERE place = 1) f USING (read_id, side)""")
+def adapter_trim_indels(spark, sf_dir):
+    """As adapter_trim, but bases of an adapter may be missing and others may stand between."""
+    reads = b.reads(spark, sf_dir).select("read_id", "seq")
+    parts = [t.trim_adapters(reads, ADAPTERS, end, 0.2, indels=True).withColumn("side", F.lit(end)) for end in (3, 5)]
+    return parts[0].unionByName(parts[1]).select("read_id", "side", "adapter", "seq")
+
+
 @query(f"""WITH {b.READS_SQL} SELECT read_id, list_aggregate(list_transform(range(1, len(seq) + 1), lambda i: CASE WHEN ascii(substr(qual, i, 1)) - 33 < 20 THEN 'N' ELSE substr(seq, i, 1) END), 'string_agg', '') AS seq FROM reads WHERE len(seq) >= 80""")
 def quality_mask(spark, sf_dir):
     return t.quality_mask(b.reads(spark, sf_dir)).select("read_id", "seq")
@@ -402,7 +421,7 @@ def revcomp(spark, sf_dir):
     return b.reads(spark, sf_dir).select("read_id", q.revcomp(F.col("seq")).alias("seq"))
 
 
-@query(f"""WITH {b.READS_SQL}, m AS (SELECT * FROM reads WHERE len(seq) >= 80), u AS (SELECT *, row_number() OVER () FROM m WHERE instr(seq, 'ACGT') > 0),
+@query(f"""WITH {b.READS_SQL.replace("reads AS (", "reads AS MATERIALIZED (")}, m AS (SELECT * FROM reads WHERE len(seq) >= 80), u AS (SELECT * FROM m WHERE instr(seq, 'ACGT') > 0),
 s AS (SELECT sample, 'raw-reads' AS stage, count(*) AS n FROM reads GROUP BY 1 UNION ALL SELECT sample, 'quality-filtered-reads', count(*) FROM m GROUP BY 1 UNION ALL SELECT sample, 'reads-with-adapters', count(*) FROM u GROUP BY 1)
 SELECT sample, stage, s.n, round_even(s.n * 100.0e0 / x.n, 1) AS pct FROM s JOIN (SELECT sample, n FROM s WHERE stage = 'raw-reads') x USING (sample)""")
 def stage_summary(spark, sf_dir):

@@ -56,6 +56,46 @@ def test_trimming_by_brute_force(spark):
             assert got[k] == ((None, None) if x is None else trim(x, end)), (end, x)
 
 
+def edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.2, 0.34])
+def test_trimming_with_indels_by_brute_force(spark, rate):
+    r = random.Random(6)
+    adapters = ["ACGTTGCAAT", "GGATC"]
+    reads = ["".join(r.choice("ACGT") for _ in range(r.randrange(0, 26))) for _ in range(60)] + [None, "", "AC", "ACGTTGCAAT", "é" + "ACGTTGCAAT"]
+    for _ in range(60):  # planted, with a base changed, missing or more
+        a, own = list(r.choice(adapters)), "".join(r.choice("ACGT") for _ in range(9))
+        k = r.randrange(1, len(a) - 1)
+        r.choice([lambda a, k: a.__setitem__(k, "T"), lambda a, k: a.pop(k), lambda a, k: a.insert(k, "C")])(a, k)
+        reads.append(own + "".join(a)[: r.randrange(4, 12)] + r.choice(("", "GTC")))
+
+    def trim(x, end):
+        y, best = x if end == 3 else x[::-1], None
+        for k, a in enumerate(adapters):
+            a = a if end == 3 else a[::-1]
+            for i in range(len(y)):
+                tried = [(len(a), e) for e in range(i, len(y) + 1)] + [(n, len(y)) for n in range(3, len(a) + 1)]
+                for n, e in tried:
+                    if abs(e - i - n) <= rate * n and (wrong := edits(y[i:e], a[:n])) <= math.floor(rate * n + 1e-9):
+                        best = min(best or (99,), (-(n - wrong), wrong, i, k))
+        if best is None:
+            return x, None
+        return (y[: best[2]] if end == 3 else y[: best[2]][::-1]), best[3]
+
+    df = spark.createDataFrame(list(enumerate(reads)), "id long, seq string")
+    for end in (3, 5):
+        got = {x.id: (x.seq, x.adapter) for x in targeted.trim_adapters(df, adapters, end, rate, indels=True).collect()}
+        for k, x in enumerate(reads):
+            assert got[k] == ((None, None) if x is None else trim(x, end)), (end, x)
+
+
 def test_a_key_that_comes_twice_on_the_right_is_an_error(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
     right = spark.createDataFrame([(1, "p"), (1, "q")], "k int, y string")
