@@ -200,3 +200,39 @@ def cnv_correct(spark, sf_dir):
     key = F.substring("guide", 2, 20).cast("bigint")
     rows = changes(spark, sf_dir).select("replicate", "guide", "gene", F.concat(F.lit("chr"), (key % 5).cast("string")).alias("chrom"), key.alias("pos"), "fc")
     return models.copy_number_correction(rows, by=["replicate"])
+
+
+LEVELS_SQL = """part_rows AS (SELECT p_partkey AS pos, 'g' || p_partkey AS guide, p_brand AS gene, 'chr' || (p_partkey % 5) AS chrom, max(p_partkey) OVER () AS most, 10.0e0 + p_partkey % 50 AS control FROM part),
+levels AS (SELECT *, CASE WHEN pos < 0.3e0 * most THEN 0 WHEN pos < 0.6e0 * most THEN 1 ELSE 2 END AS segment FROM part_rows),
+changed AS (SELECT *, CASE segment WHEN 1 THEN 2.0e0 ELSE 0 END + 0.001e0 * (pos // 5 % 3) AS fc FROM levels),
+centred AS (SELECT *, fc - avg(fc) OVER (PARTITION BY chrom, segment) AS corrected FROM changed)"""
+
+
+@query(f"WITH {LEVELS_SQL} SELECT guide, chrom, segment, round(corrected, 9) AS corrected, round(greatest((control + 0.5e0) * pow(2.0e0, corrected) - 0.5e0, 0), 6) AS count FROM centred")
+def cnv_levels(spark, sf_dir):
+    """A stretch of each chromosome at another level: it is found to the guide, centred, and turned back into counts."""
+    rows = b.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pos"), F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("guide"), F.col("p_brand").alias("gene"))
+    most = rows.agg(F.max("pos").alias("most"))
+    rows = rows.withColumn("chrom", F.concat(F.lit("chr"), (F.col("pos") % 5).cast("string"))).join(F.broadcast(most))
+    inside = (F.col("pos") >= 0.3 * F.col("most")) & (F.col("pos") < 0.6 * F.col("most"))
+    rows = rows.withColumn("fc", F.when(inside, 2.0).otherwise(0.0) + 0.001 * (F.floor(F.col("pos") / 5) % 3))
+    done = models.copy_number_correction(rows.select("guide", "gene", "chrom", "pos", "fc"))
+    count = models.corrected_count(10.0 + F.col("pos") % 50, F.col("corrected"))
+    return done.select("guide", "chrom", "segment", F.round("corrected", 9).alias("corrected"), F.round(count, 6).alias("count"))
+
+
+#: In genes of one or two guides the chance has a closed form.
+PAIRS_SQL = """WITH g AS (SELECT l_partkey AS guide, l_partkey // 2 AS gene, CAST(sum(l_quantity) AS BIGINT) AS x FROM lineitem GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (ORDER BY x, guide) / CAST(count(*) OVER () AS DOUBLE) AS u FROM g),
+k AS (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY u) AS k, count(*) OVER (PARTITION BY gene) AS n FROM r),
+s AS (SELECT gene, max(n) AS num, coalesce(min(CASE WHEN n = 1 THEN u WHEN k = 1 THEN 1 - (1 - u) * (1 - u) ELSE u * u END) FILTER (WHERE u <= 0.25), 1) AS rho FROM k GROUP BY gene),
+c AS (SELECT *, least(1 - sqrt(1 - rho), 0.25) AS one, least(sqrt(rho), 0.25) AS two FROM s)
+SELECT gene, num, round(rho, 9) AS rho, round(CASE WHEN rho = 1 THEN 1 WHEN num = 1 THEN least(rho, 0.25) ELSE 1 - (1 - one) * (1 - one) + (two - one) * (two - one) END, 9) AS pvalue FROM c"""
+
+
+@query(PAIRS_SQL)
+def rra_exact_p(spark, sf_dir):
+    """The exact p of rho for genes of one or two guides."""
+    rows = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("guide")).agg(F.sum("l_quantity").cast("bigint").alias("x"))
+    scored = models.rho_p(models.rank_scores(rows.withColumn("gene", F.floor(F.col("guide") / 2)), "x"))
+    return scored.select("gene", "num", F.round("rho", 9).alias("rho"), F.round("pvalue", 9).alias("pvalue"))
