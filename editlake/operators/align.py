@@ -1,8 +1,9 @@
 """Alignment, read merging, UMIs and consensus: the parts that need code of their own, in Arrow batches.
 
 Alignment is the three-state dynamic program with affine gaps, run for a whole batch of pairs at once: a step fills
-one cell of every pair. Letters are sets of bases, so IUPAC codes match what they stand for. Equal pairs
-are aligned once. Null sequences give null results.
+one row of every pair's table. Long pairs are seeded first: the minimisers that both share are chained, and only a band around the
+chain is filled. Letters are sets of bases, so IUPAC codes match what they stand for. Equal pairs are aligned once. Null sequences
+give null results.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ IUPAC = {
     "B": 14, "D": 13, "H": 11, "V": 7, "N": 15,
 }
 #: Pairs that are aligned at once, and cells of their tables.
-PAIRS, CELLS = 1024, 128 << 20
+PAIRS, CELLS = 1024, 32 << 20
+#: Pairs of more cells are seeded by k-mers of SEED bases.
+LONG, SEED = 1 << 20, 13
 NEVER = -(10**9)
 RESULT = "score double, start int, end int, cigar string"
 
@@ -58,81 +61,190 @@ def align_batch(queries: list[str], subjects: list[str], mode: str, s: Scores) -
     Modes: global; global-local (the whole query inside the subject, also for edit distance); local.
     """
     m, n = np.array([len(x) for x in queries]), np.array([len(x) for x in subjects])
-    rows, cols, b = int(m.max(initial=0)), int(n.max(initial=0)), len(queries)
-    x, y = _codes(queries, rows).T.copy(), _codes(subjects, cols).T.copy()
+    rows, cols = int(m.max(initial=0)), int(n.max(initial=0))
+    # The whole table is a band that doesn't move.
+    return _fill(_codes(queries, rows), _codes(subjects, cols), m, n, np.zeros(len(m), int), cols + 1, False, mode, s)
+
+
+def _fill(
+    x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, first: np.ndarray, width: int, moves: bool, mode: str, s: Scores
+) -> list[tuple[float, int, int, str]]:
+    """As :func:`align_batch`, filling ``width`` cells a row: those of the subject's places from ``first`` on, a place
+    farther on in each row if the band ``moves``."""
+    b, rows = len(m), x.shape[1]
     free = mode in ("global-local", "local")
-    h = [np.zeros(b) if free or j == 0 else np.full(b, -s.gap_open - s.gap_extend * j) for j in range(cols + 1)]
-    f = [np.full(b, float(NEVER)) for _ in range(cols + 1)]
-    trace = np.zeros((rows + 1, cols + 1, b), np.uint8)
+    cell, step = np.arange(width), int(moves)
+    ramp = s.gap_extend * cell
+    padded = np.pad(y, ((0, 0), (1, 1)))
+    never = np.full((b, 1), float(NEVER))
+
+    def places(i: int) -> np.ndarray:
+        return first[:, None] + cell + step * i
+
+    def edge(i: int) -> float:
+        """The score of a cell with nothing of the subject before it."""
+        return 0.0 if mode == "local" or i == 0 else -s.gap_open - s.gap_extend * i
+
+    j = places(0)
+    inside = (j >= 0) & (j <= n[:, None])
+    h = np.where(inside, 0.0 if free else np.where(j == 0, 0.0, -s.gap_open - s.gap_extend * j), float(NEVER))
+    f = np.full((b, width), float(NEVER))
+    trace = np.zeros((rows + 1, b, width), np.uint8)
     if not free:
-        trace[0, 1:] = 2 | 4
+        trace[0] = np.where(j > 0, 2 | 4, 0)
     best, bi, bj = np.full(b, float(NEVER)), np.zeros(b, int), np.zeros(b, int)
 
-    def take(i: int, j: int, score: np.ndarray) -> None:
+    def take(i: int, j: np.ndarray, inside: np.ndarray) -> None:
         if mode == "global":
-            here = (m == i) & (n == j)
+            here = inside & (m == i)[:, None] & (j == n[:, None])
         elif mode == "global-local":
-            here = (m == i) & (j <= n)
+            here = inside & (m == i)[:, None]
         else:
-            here = (i <= m) & (j <= n)
-        here &= score > best
-        best[here], bi[here], bj[here] = score[here], i, j
-
-    for j in range(cols + 1):
-        take(0, j, h[j])
+            here = inside & (i <= m)[:, None]
+        score = np.where(here, h, 2.0 * NEVER)
+        at = score.argmax(1)
+        top = score[np.arange(b), at]
+        better = top > best
+        best[better], bi[better], bj[better] = top[better], i, j[np.arange(b), at][better]
+
+    take(0, j, inside)
     for i in range(1, rows + 1):
-        diagonal = h[0]
-        h[0] = np.zeros(b) if mode == "local" else np.full(b, -s.gap_open - s.gap_extend * i)
-        trace[i, 0] = 0 if mode == "local" else 3 | 8
-        take(i, 0, h[0])
-        e = np.full(b, float(NEVER))
-        for j in range(1, cols + 1):
-            opened = h[j - 1] - s.gap_open - s.gap_extend
-            longer = e - s.gap_extend
-            flag = np.where(longer > opened, 4, 0)
-            e = np.maximum(opened, longer)
-            opened = h[j] - s.gap_open - s.gap_extend
-            longer = f[j] - s.gap_extend
-            flag += np.where(longer > opened, 8, 0)
-            f[j] = np.maximum(opened, longer)
-            score = diagonal + np.where((x[i - 1] & y[j - 1]) > 0, s.match, s.mismatch)
-            way = np.ones(b, np.uint8)
-            for k, other in ((2, e), (3, f[j])):
-                more = other > score
-                score, way = np.where(more, other, score), np.where(more, k, way)
-            if mode == "local":
-                low = score <= 0
-                score, way = np.where(low, 0, score), np.where(low, 0, way)
-            trace[i, j] = way | flag
-            diagonal, h[j] = h[j], score
-            take(i, j, score)
-    out = []
-    for k in range(b):
-        i, j, ops, state = int(bi[k]), int(bj[k]), [], 0
-        end = j
-        while True:
-            t = int(trace[i, j, k])
-            if state == 0:
-                if i == 0 and (free or j == 0) or t & 3 == 0:
-                    break
-                state = t & 3
-                if state == 1:
-                    ops.append("M")
-                    i, j, state = i - 1, j - 1, 0
-                continue
-            if state == 2:
-                ops.append("D")
-                state = 2 if t & 4 and j > 1 else 0
-                j -= 1
-            else:
-                ops.append("I")
-                state = 3 if t & 8 and i > 1 else 0
-                i -= 1
-            if i == 0 and j == 0:
+        j = places(i)
+        inside = (j >= 0) & (j <= n[:, None])
+        if moves:  # the cell above is one farther on in the row before
+            diagonal, above, above_f = h, np.concatenate((h[:, 1:], never), 1), np.concatenate((f[:, 1:], never), 1)
+        else:
+            diagonal, above, above_f = np.concatenate((never, h[:, :-1]), 1), h, f
+        opened, longer = above - s.gap_open - s.gap_extend, above_f - s.gap_extend
+        flag = np.where(longer > opened, np.uint8(8), np.uint8(0))
+        f = np.maximum(opened, longer)
+        letters = np.take_along_axis(padded, np.clip(j, 0, padded.shape[1] - 1), 1) if moves else padded[:, :-1]
+        score = diagonal + np.where((x[:, i - 1 : i] & letters) > 0, s.match, s.mismatch)
+        at_edge = j == 0
+        score = np.where(at_edge, edge(i), np.where(inside, score, float(NEVER)))
+        f = np.where(at_edge | ~inside, float(NEVER), f)
+        # A gap opens from a cell that doesn't end in one, so the best beginning is a running maximum along the row.
+        base = np.maximum(score, f)
+        if mode == "local":
+            base = np.where(inside, np.maximum(base, 0), base)
+        e = np.concatenate((never, np.maximum.accumulate(base + ramp, 1)[:, :-1] - s.gap_open - ramp[1:]), 1)
+        e = np.where(at_edge | ~inside, float(NEVER), e)
+        way = np.ones((b, width), np.uint8)
+        for k, other in ((2, e), (3, f)):
+            more = other > score
+            score, way = np.where(more, other, score), np.where(more, np.uint8(k), way)
+        if mode == "local":
+            low = inside & (score <= 0)
+            score, way = np.where(low, 0.0, score), np.where(low, np.uint8(0), way)
+        before_h, before_e = np.concatenate((never, score[:, :-1]), 1), np.concatenate((never, e[:, :-1]), 1)
+        flag |= np.where(before_e - s.gap_extend > before_h - s.gap_open - s.gap_extend, np.uint8(4), np.uint8(0))
+        trace[i] = np.where(at_edge, 0 if mode == "local" else 3 | 8, way | flag)
+        h = score
+        take(i, j, inside)
+    return [_path(trace[:, k], int(first[k]), step, int(bi[k]), int(bj[k]), int(m[k]), float(best[k]), mode) for k in range(b)]
+
+
+def _path(trace: np.ndarray, first: int, step: int, i: int, j: int, m: int, score: float, mode: str) -> tuple[float, int, int, str]:
+    """The result of a pair whose alignment ends at (i, j), walked back along ``trace``."""
+    free, end, last, ops, state = mode in ("global-local", "local"), j, i, [], 0
+    while True:
+        t = int(trace[i, j - first - step * i])
+        if state == 0:
+            if i == 0 and (free or j == 0) or t & 3 == 0:
                 break
-        ops = (["S"] * i + ops[::-1] + ["S"] * (int(m[k]) - int(bi[k]))) if mode == "local" else ops[::-1]
-        out.append((float(best[k]), j + 1, end, pack(ops)))
-    return out
+            state = t & 3
+            if state == 1:
+                ops.append("M")
+                i, j, state = i - 1, j - 1, 0
+            continue
+        if state == 2:
+            ops.append("D")
+            state = 2 if t & 4 and j > 1 else 0
+            j -= 1
+        else:
+            ops.append("I")
+            state = 3 if t & 8 and i > 1 else 0
+            i -= 1
+        if i == 0 and j == 0:
+            break
+    ops = (["S"] * i + ops[::-1] + ["S"] * (m - last)) if mode == "local" else ops[::-1]
+    return score, j + 1, end, pack(ops)
+
+
+def minimisers(text: str, k: int = SEED, window: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of the k-mers of A, C, G and T that are the least of some ``window`` consecutive ones."""
+    code = np.full(256, -1, np.int64)
+    for c, v in zip("ACGTacgt", (0, 1, 2, 3) * 2, strict=True):
+        code[ord(c)] = v
+    x = code[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
+    count = len(x) - k + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    value = np.zeros(count, np.uint64)
+    for a in range(k):
+        value = value * np.uint64(4) + np.maximum(x[a : a + count], 0).astype(np.uint64)
+    h = (value + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(31)
+    bad = np.concatenate(([0], np.cumsum(x < 0)))
+    h[bad[k:] > bad[:-k]] = np.iinfo(np.uint64).max
+    window = min(window, count)
+    least = np.lib.stride_tricks.sliding_window_view(h, window)
+    at = np.unique(np.arange(len(least)) + least.argmin(1))
+    at = at[h[at] != np.iinfo(np.uint64).max]
+    return h[at], at
+
+
+def chain(query: str, subject: str, back: int = 64, most_hits: int = 1 << 16) -> tuple[int, int] | None:
+    """The least and the greatest diagonal (place in the subject less place in the query) of the best chain of shared minimisers; None
+    without one. Minimisers that stand in the subject more often than others, so that there are too many pairs, aren't used."""
+    (hq, pq), (hs, ps) = minimisers(query), minimisers(subject)
+    order = np.argsort(hs, kind="stable")
+    hs, ps = hs[order], ps[order]
+    low, high = np.searchsorted(hs, hq), np.searchsorted(hs, hq, side="right")
+    counts = high - low
+    for limit in (64, 8, 1):
+        used = np.flatnonzero((counts > 0) & (counts <= limit))
+        if counts[used].sum() <= most_hits:
+            break
+    n = counts[used]
+    if not n.sum():
+        return None
+    i = np.repeat(pq[used], n)
+    j = ps[np.repeat(low[used], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    order = np.lexsort((j, i))
+    i, j = i[order], j[order]
+    score, came = np.full(len(i), float(SEED)), np.full(len(i), -1)
+    for k in range(1, len(i)):
+        a = max(0, k - back)
+        di, dj = i[k] - i[a:k], j[k] - j[a:k]
+        drift = np.abs(di - dj)
+        gain = score[a:k] + np.minimum(np.minimum(di, dj), SEED) - 0.05 * drift - np.where(drift > 0, 0.5 * np.log2(drift + 1), 0)
+        gain[(di <= 0) | (dj <= 0)] = -1
+        top = int(gain.argmax())
+        if gain[top] > score[k]:
+            score[k], came[k] = gain[top], a + top
+    k, low_d, high_d = int(score.argmax()), None, None
+    while k >= 0:
+        d = int(j[k] - i[k])
+        low_d, high_d = (d, d) if low_d is None else (min(low_d, d), max(high_d, d))
+        k = int(came[k])
+    return low_d, high_d
+
+
+def align_long(query: str, subject: str, mode: str, s: Scores, slack: int = 64) -> tuple[float, int, int, str]:
+    """As :func:`align_batch` for one long pair, in a band: the diagonals of its chain and ``slack`` more on either side, and a hundredth
+    of its length, for gaps near the ends. Without a chain, and where the band isn't narrower, the whole table is filled."""
+    m, n = len(query), len(subject)
+    found = chain(query, subject)
+    if found is not None:
+        slack += max(m, n) // 100
+        low, high = found[0] - slack, found[1] + slack
+        if mode == "global":  # from one corner to the other
+            low, high = min(low, -slack, n - m - slack), max(high, slack, n - m + slack)
+        if high - low < n:
+            x, y = _codes([query], m), _codes([subject], n)
+            return _fill(x, y, np.array([m]), np.array([n]), np.array([low]), high - low + 1, True, mode, s)[0]
+    return align_batch([query], [subject], mode, s)[0]
 
 
 def pack(ops: list[str]) -> str:
@@ -159,9 +271,13 @@ def aligner(mode: str, scores: Scores):
             # Sorted by length, so the last pair is the longest of its batch.
             part = known[at : at + PAIRS]
             cells = (len(a.iat[part[-1]]) + 1) * (max(len(b.iat[k]) for k in part) + 1)
-            part = part[: max(1, CELLS // cells)]
+            if (len(a.iat[part[0]]) + 1) * (len(b.iat[part[0]]) + 1) > LONG:
+                part = part[:1]
+                made = [align_long(a.iat[part[0]], b.iat[part[0]], mode, scores)]
+            else:
+                part = part[: max(1, CELLS // cells)]
+                made = align_batch([a.iat[k] for k in part], [b.iat[k] for k in part], mode, scores)
             at += len(part)
-            made = align_batch([a.iat[k] for k in part], [b.iat[k] for k in part], mode, scores)
             for k, r in zip(part, made, strict=True):
                 out[k] = r
         frame = pd.DataFrame(out, columns=["score", "start", "end", "cigar"])
@@ -179,6 +295,25 @@ def align_pairs(df: DataFrame, query: str, subject: str, mode: str = "global-loc
     return df.join(done, [query, subject])
 
 
+def cut_sites(guides: DataFrame, reference: str, rel_cut: int = -3) -> DataFrame:
+    """Adds cut_site to ``guides`` (guide, a column ``reference``, ...): where the guide cuts the reference. A guide that stands in neither
+    strand as it is lies where it aligns best, on the reverse strand unless the other scores strictly higher."""
+    from .targeted import cut_site
+
+    rows = cut_site(guides, F.col(reference), rel_cut)
+    up = F.upper("guide")
+    run = aligner("global-local", Scores(1, -1, 10, 4))
+    missing = F.col("cut_site").isNull()
+    asked = rows.select(F.when(missing, up).alias("_g"), F.when(missing, F.upper(F.col(reference))).alias("_r")).filter("_g is not null").distinct()
+    both = asked.withColumns({"_f": run("_g", "_r"), "_b": run("_g", q.revcomp(F.col("_r")))})
+    size, n = F.length("_g"), F.length("_r")
+    forward = F.col("_f.start") + (rel_cut - 1 if rel_cut > 0 else size + rel_cut - 1)
+    backward = n - F.col("_b.end") + ((size - rel_cut) if rel_cut > 0 else -rel_cut)
+    found = both.select("_g", "_r", F.when(F.col("_f.score") > F.col("_b.score"), forward).otherwise(backward).alias("_site"))
+    joined = rows.join(found, (up == F.col("_g")) & (F.upper(F.col(reference)) == F.col("_r")), "left")
+    return joined.withColumn("cut_site", F.coalesce("cut_site", "_site").cast("int")).drop("_g", "_r", "_site")
+
+
 def orient_reference(df: DataFrame, guide: str, reference: str) -> DataFrame:
     """Adds oriented: the reference if the guide scores strictly higher on it than on its reverse complement, else the latter."""
     two = df.withColumn("back", q.revcomp(F.col(reference)))

@@ -383,7 +383,7 @@ def insertion_context(rows: DataFrame, flank: int = 3) -> DataFrame:
 
 
 def cut_site(guides: DataFrame, reference: Column, rel_cut: int = -3) -> DataFrame:
-    """Adds cut_site for guides found exactly on either strand of the reference, null for others (align those first)."""
+    """Adds cut_site for guides found exactly on either strand of the reference, null for others (see ``align.cut_sites``)."""
     guide, length = F.upper("guide"), F.length("guide")
     ref = F.upper(reference)
     forward, backward = F.position(guide, ref), F.position(guide, q.revcomp(ref))

@@ -120,6 +120,46 @@ def read_align_profiles(spark, sf_dir):
     return parts.select("s_suppkey", "profile", "score", "start", "end", "cigar")
 
 
+GAP_SQL = f"""g AS (SELECT s_suppkey, CAST(s_suppkey % 10 AS BIGINT) AS o, CAST(35 + s_suppkey % 11 AS BIGINT) AS p, CAST(1 + s_suppkey % 8 AS BIGINT) AS n, s_suppkey % 2 AS missing FROM supplier),
+planted AS (SELECT *, p + 40 AS bases, CASE missing WHEN 1 THEN o + p + n + 40 ELSE o + p + 40 END AS last FROM g)"""
+
+
+@query(f"""WITH {GAP_SQL} SELECT s_suppkey, profile, CAST(bases * each_one - opens - n * extends AS DOUBLE) AS score, CAST(o + 1 AS INTEGER) AS start, CAST(last AS INTEGER) AS "end"
+FROM planted, (VALUES ('minimap2', 29, 25, 2), ('bwa', 1, 6, 1), ('bowtie2', 2, 5, 3)) v(profile, each_one, opens, extends)""")
+def read_align_gaps(spark, sf_dir):
+    """Stretches of the amplicon with 1 to 8 bases missing or more, under each score profile."""
+    k, whole = F.col("s_suppkey"), F.lit(A)
+    o, p, n = (k % 10).cast("int"), (35 + k % 11).cast("int"), (1 + k % 8).cast("int")
+    left = whole.substr(o + 1, p)
+    more = F.concat(left, F.lit("GCGCGCGC").substr(F.lit(1), n), whole.substr(o + p + 1, F.lit(40)))
+    less = F.concat(left, whole.substr(o + p + n + 1, F.lit(40)))
+    rows = b.table(spark, sf_dir, "supplier").select("s_suppkey", F.when(k % 2 == 1, less).otherwise(more).alias("seq"), whole.alias("amplicon"))
+    parts = None
+    for profile in ("minimap2", "bwa", "bowtie2"):
+        one = align.align_pairs(rows, "seq", "amplicon", "local", align.PROFILES[profile]).withColumn("profile", F.lit(profile))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts.select("s_suppkey", "profile", "score", "start", "end")
+
+
+#: The window of either strand with fewest mismatches.
+SITE_SQL = f"""WITH ref AS (SELECT '{A}' AS a, reverse(translate('{A}', 'ACGT', 'TGCA')) AS z),
+g AS (SELECT s_suppkey, substr(CASE WHEN s_suppkey % 2 = 0 THEN a ELSE z END, s_suppkey % {len(A) - 19} + 1, 20) AS whole, a, z FROM supplier, ref),
+c AS (SELECT s_suppkey, a, z, left(whole, 9) || translate(substr(whole, 10, 1), 'ACGT', 'CGTA') || substr(whole, 11) AS guide FROM g),
+w AS (SELECT s_suppkey, guide, i, hamming(substr(a, i, 20), guide) AS f, hamming(substr(z, i, 20), guide) AS r FROM c, range(1, {len(A) - 18}) t(i)),
+m AS (SELECT s_suppkey, guide, min(f) AS f, arg_min(i, f) AS at_f, min(r) AS r, arg_min(i, r) AS at_r FROM w GROUP BY ALL)
+SELECT s_suppkey, guide, CAST(CASE WHEN f < r THEN at_f + 20 - 3 - 1 ELSE {len(A)} - (at_r + 19) + 3 END AS INTEGER) AS cut_site FROM m"""
+
+
+@query(SITE_SQL)
+def cut_site_mismatch(spark, sf_dir):
+    """Guides with one base changed cut where they align best."""
+    at = (F.col("s_suppkey") % (len(A) - 19) + 1).cast("int")
+    whole = F.when(F.col("s_suppkey") % 2 == 0, F.lit(A)).otherwise(q.revcomp(F.lit(A))).substr(at, F.lit(20))
+    changed = F.concat(F.left(whole, F.lit(9)), F.translate(F.substring(whole, 10, 1), "ACGT", "CGTA"), F.substring(whole, 11, 10))
+    rows = b.table(spark, sf_dir, "supplier").select("s_suppkey", changed.alias("guide"), F.lit(A).alias("reference"))
+    return align.cut_sites(rows, "reference").drop("reference")
+
+
 PLANT_SQL = """planted AS (SELECT s_suppkey, CAST(s_suppkey % 3 AS BIGINT) AS sample, CAST(4 + s_suppkey % 9 AS BIGINT) AS k, CAST(5 + s_suppkey % 7 AS BIGINT) AS m,
     CASE WHEN s_suppkey % 4 = 0 THEN '-' ELSE '+' END AS strand FROM supplier),
 heads AS (SELECT *, left(repeat('TCT', 4), k) || 'A' || repeat('CTT', 5) AS h, reverse(left(repeat('GAA', 4), m) || 'C' || repeat('AGA', 6)) AS t FROM planted),

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from editlake.functions import beta
-from editlake.operators import models
+from editlake.operators import align, models
 
 
 def test_beta_quantiles():
@@ -68,3 +70,76 @@ def test_counts_come_back(spark):
     change = F.log2((F.col("x") + 0.5) / (F.col("control") + 0.5))
     assert [r.x == pytest.approx(r.y) for r in rows.withColumn("y", models.corrected_count(F.col("control"), change)).collect()] == [True, True]
     assert rows.select(models.corrected_count(F.col("control"), F.lit(-20.0)).alias("y")).first().y == 0
+
+
+def mutated(r, text, gaps, share=0.01):
+    out = [r.choice("ACGT") if r.random() < share else c for c in text]
+    for n in gaps:
+        k = r.randrange(200, len(out) - 200)
+        if n > 0:
+            out[k:k] = [r.choice("ACGT") for _ in range(n)]
+        else:
+            del out[k : k - n]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("profile", ["minimap2", "bwa", "bowtie2"])
+def test_long_pairs_score_as_in_the_whole_table(profile):
+    r = random.Random(profile)
+    s = align.PROFILES[profile]
+    for mode in ("global-local", "global", "local"):
+        subject = "".join(r.choice("ACGT") for _ in range(1500))
+        query = mutated(r, subject[200:1400] if mode != "global" else subject, [r.randrange(1, 40), -r.randrange(1, 40), -3])
+        assert len(query) * len(subject) > align.LONG
+        got, want = align.align_long(query, subject, mode, s), align.align_batch([query], [subject], mode, s)[0]
+        assert got == want
+
+
+def test_reads_of_ten_thousand_bases_need_little_memory():
+    import tracemalloc
+
+    r = random.Random(12)
+    subject = "".join(r.choice("ACGT") for _ in range(12_000))
+    query = mutated(r, subject[1000:11_000], [60, -45, 5, -1])
+    tracemalloc.start()
+    score, start, end, cigar = align.align_long(query, subject, "global-local", align.PROFILES["minimap2"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sizes = [(int(n), op) for n, op in re.findall(r"(\d+)([MID])", cigar)]
+    assert peak < 100e6 and start == 1001 and end == 11_000
+    assert sum(n for n, op in sizes if op != "D") == len(query) and {(60, "I"), (45, "D")} <= set(sizes)
+    # A path through the planted gaps is one of those that were tried.
+    assert score > 29 * 9700 - 17 * 160 - 4 * 25 - 2 * 111
+
+
+def test_pairs_without_a_chain_fill_the_whole_table():
+    r = random.Random(2)
+    a, b = ("".join(r.choice(x) for _ in range(1100)) for x in ("AC", "GT"))
+    s = align.PROFILES["bwa"]
+    assert align.chain(a, b) is None
+    assert align.align_long(a, b, "global", s) == align.align_batch([a], [b], "global", s)[0]
+    assert align.chain("ACGT", "ACGTACGTACGTACGTT") is None and align.minimisers("")[0].size == 0
+
+
+def test_long_and_short_pairs_in_one_table(spark):
+    r = random.Random(5)
+    subject = "".join(r.choice("ACGT") for _ in range(1400))
+    rows = [("long", subject[:600] + subject[640:], subject), ("short", "ACGT", "TTACGTTT"), ("none", None, "A")]
+    df = spark.createDataFrame(rows, "k string, q string, s string")
+    got = {x.k: (x.start, x.end, x.cigar) for x in align.align_pairs(df, "q", "s").collect()}
+    assert got["short"] == (3, 6, "4M") and "none" not in got
+    a, b = (int(n) for n in re.fullmatch(r"(\d+)M40D(\d+)M", got["long"][2]).groups())
+    assert abs(a - 600) < 12 and a + b == 1360
+
+
+def test_cut_sites_of_guides_that_are_not_exact(spark):
+    ref = "TTGACCATTGACGGATCCTTAAGGCATCGATTGCCAGTACCGG"
+    swap = str.maketrans("ACGT", "TGCA")
+    guide = ref[10:30]
+    changed = guide[:8] + guide[8].translate(str.maketrans("ACGT", "CGTA")) + guide[9:]
+    rows = [("exact", guide), ("changed", changed.lower()), ("back", guide.translate(swap)[::-1]), ("changed back", changed.translate(swap)[::-1]), ("null", None)]
+    df = spark.createDataFrame([(k, g, ref) for k, g in rows], "k string, guide string, reference string")
+    for rel in (-3, 17):
+        got = {r.k: r.cut_site for r in align.cut_sites(df, "reference", rel).collect()}
+        assert got["exact"] == got["changed"] and got["back"] == got["changed back"] and None not in (got["exact"], got["back"])
+        assert len(got) == 5
