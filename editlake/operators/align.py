@@ -25,7 +25,7 @@ IUPAC = {
     "B": 14, "D": 13, "H": 11, "V": 7, "N": 15,
 }
 #: Pairs that are aligned at once, and cells of their tables.
-PAIRS, CELLS = 1024, 32 << 20
+PAIRS, CELLS = 1024, 1 << 20
 #: Pairs of more cells are seeded by k-mers of SEED bases.
 LONG, SEED = 1 << 20, 13
 NEVER = -(10**9)
