@@ -228,13 +228,85 @@ def rra(spark, sf_dir):
     return models.rra(counts(spark, sf_dir), b.CONTROL, b.TREATMENT)
 
 
+ARMS = {"AF": [1, 0, 0], "AO": [1, 0, 0], "RF": [1, 1, 0], "RO": [1, 1, 0], "NF": [1, 0, 1], "NO": [1, 0, 1]}
+
+
 @query()
 def mle(spark, sf_dir):
+    """Genes' effects with the guides' dispersions by the trend of all and efficiencies of their own."""
     x = counts(spark, sf_dir)
     design = {"AF": [1, 0], "AO": [1, 0], "RF": [1, 1], "RO": [1, 1]}
     return models.mle(x, design, s.median_ratio(x))
 
 
+@query()
+def mle_efficiency(spark, sf_dir):
+    """How likely each guide works as its gene's others do."""
+    x = counts(spark, sf_dir)
+    return models.guide_efficiency(models.mle_fits(x, {"AF": [1, 0], "AO": [1, 0], "RF": [1, 1], "RO": [1, 1]}, s.median_ratio(x)))
+
+
+def guide_effects(spark, sf_dir):
+    """Counts plus one, of equal sizes, a guide a gene; its regression on two arms has a closed form."""
+    x = counts(spark, sf_dir).filter(F.col("sample").isin(list(ARMS))).select("guide", F.col("guide").alias("gene"), "sample", (F.col("count") + 1).alias("count"))
+    sizes = x.select("sample").distinct().withColumn("size_factor", F.lit(1.0))
+    return x, sizes
+
+
+TREND_SQL = f"""{b.COUNTS_SQL},
+x AS (SELECT guide, part_type, CASE left(sample, 1) WHEN 'A' THEN 0 WHEN 'R' THEN 1 ELSE 2 END AS kind, count + 1.0e0 AS x FROM counts),
+sets AS (SELECT guide, part_type, kind, count(*) AS n, avg(x) AS m, var_samp(x) AS v, sum(x) AS total FROM x GROUP BY ALL),
+seen AS (SELECT 1 / m AS h, (v - m) / (m * m) AS y, (n - 1) * pow(m / (m + 10), 2) AS w FROM sets WHERE n > 1),
+sums AS (SELECT sum(w) AS w, sum(w * h) AS wh, sum(w * y) AS wy, sum(w * h * h) AS whh, sum(w * h * y) AS why FROM seen),
+line AS (SELECT *, coalesce((w * why - wh * wy) / nullif(w * whh - wh * wh, 0), 0) AS b FROM sums),
+ends AS (SELECT *, (wy - b * wh) / w AS a FROM line),
+kept AS (SELECT CASE WHEN b < 0 THEN wy / w WHEN a < 0 THEN 0 ELSE a END AS a, CASE WHEN b < 0 THEN 0 WHEN a < 0 THEN why / whh ELSE b END AS b FROM ends),
+trend AS (SELECT guide, part_type, sum(total) / sum(n) AS mean, greatest(max(a) + max(b) / (sum(total) / sum(n)), 1e-4) AS dispersion FROM sets CROSS JOIN kept GROUP BY guide, part_type)"""
+
+
+@query(f"WITH {TREND_SQL} SELECT guide, round(mean, 6) AS mean, round(dispersion, 8) AS dispersion FROM trend")
+def mle_dispersion(spark, sf_dir):
+    """Guides' dispersions by the trend over all guides' replicates."""
+    x, sizes = guide_effects(spark, sf_dir)
+    return models.dispersion_trend(x, ARMS, sizes).select("guide", F.round("mean", 6).alias("mean"), F.round("dispersion", 8).alias("dispersion"))
+
+
+EFFECTS_SQL = f"""{TREND_SQL},
+wide AS (SELECT guide, part_type, dispersion, max(m) FILTER (WHERE kind = 0) AS m0, max(n) FILTER (WHERE kind = 0) AS n0 FROM sets JOIN trend USING (guide, part_type) GROUP BY ALL),
+info AS (SELECT w.*, s.kind AS coefficient, m, n0 * m0 / (1 + dispersion * m0) AS i0, n * m / (1 + dispersion * m) AS i1 FROM wide w JOIN sets s USING (guide, part_type) WHERE s.kind > 0),
+effects AS (SELECT guide AS gene, part_type, coefficient, ln(m / m0) / ln(2.0e0) AS beta, ln(m / m0) * sqrt(i0 * i1 / (i0 + i1)) AS z FROM info)"""
+
+
+@query(f"WITH {EFFECTS_SQL} SELECT gene, coefficient, round(beta, 6) AS beta, round(z, 6) AS z FROM effects")
+def mle_closed_form(spark, sf_dir):
+    """Effects in two arms at once, with dispersions by the trend."""
+    x, sizes = guide_effects(spark, sf_dir)
+    done = models.mle(x, ARMS, sizes, prior=None, ridge=0.0)
+    return done.select("gene", "coefficient", F.round("beta", 6).alias("beta"), F.round("z", 6).alias("z"))
+
+
+SELECTION_SQL = f"""WITH {EFFECTS_SQL},
+arms AS (SELECT gene, part_type, round(max(beta) FILTER (WHERE coefficient = 2), 6) AS c, round(max(beta) FILTER (WHERE coefficient = 1), 6) AS t FROM effects GROUP BY ALL),
+norm AS (SELECT abs(median(c)) AS mc, abs(median(t)) AS mt FROM arms WHERE part_type = '{b.ESSENTIAL}'),
+scaled AS (SELECT gene, c / mc AS control, t / mt AS treatment, t / mt - c / mc AS diff FROM arms CROSS JOIN norm),
+cuts AS (SELECT 2 * round(quantile_cont(abs(control), 0.68) / 0.994457883209753e0, 3) AS xc, 2 * round(quantile_cont(abs(treatment), 0.68) / 0.994457883209753e0, 3) AS yc,
+         2 * round(quantile_cont(abs(diff), 0.68) / 0.994457883209753e0, 3) AS dc FROM scaled)
+SELECT gene, round(control, 5) AS control, round(treatment, 5) AS treatment, round(diff, 5) AS diff, CASE WHEN diff > dc THEN 'up' WHEN diff < -dc THEN 'down' END AS selected,
+  CASE WHEN control <= -xc AND abs(treatment) < yc AND diff > dc THEN 'midleft' WHEN control >= xc AND abs(treatment) < yc AND diff < -dc THEN 'midright'
+       WHEN abs(control) < xc AND treatment >= yc AND diff > dc THEN 'topcenter' WHEN abs(control) < xc AND treatment <= -yc AND diff < -dc THEN 'bottomcenter' END AS square
+FROM scaled CROSS JOIN cuts"""
+
+
+@query(SELECTION_SQL)
+def mle_selection(spark, sf_dir):
+    """Guides whose effects differ between the arms, scaled by the essential ones."""
+    x, sizes = guide_effects(spark, sf_dir)
+    done = models.mle(x, ARMS, sizes, prior=None, ridge=0.0).withColumn("beta", F.round("beta", 6))
+    essential = b.guides(spark, sf_dir).filter(F.col("part_type") == b.ESSENTIAL).select(F.col("guide").alias("gene"))
+    out = models.beta_selection(done, 2, 1, essential)
+    return out.select("gene", *[F.round(c, 5).alias(c) for c in ("control", "treatment", "diff")], "selected", "square")
+
+
 @query()
 def cnv_correct(spark, sf_dir):
     key = F.substring("guide", 2, 20).cast("bigint")

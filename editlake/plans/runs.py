@@ -9,8 +9,11 @@ from editlake.operators import align, models, screening, targeted
 from editlake.params import Params, validate
 
 
-def screen(p: Params, counts: DataFrame, contrasts: list[tuple[list[str], list[str]]], gene_sets: tuple[DataFrame, DataFrame] | None = None, network: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Result tables by name from (guide, gene, sample, count); contrasts are (reference, treatment) samples."""
+def screen(p: Params, counts: DataFrame, contrasts: list[tuple[list[str], list[str]]], gene_sets: tuple[DataFrame, DataFrame] | None = None, network: DataFrame | None = None, controls: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Result tables by name from (guide, gene, sample, count); contrasts are (reference, treatment) samples.
+
+    ``controls`` (guide): the regression takes its size factors and a second p from these guides.
+    """
     validate(p)
     counts = screening.remove_genes(counts, [])
     out = {"count_summary": screening.count_summary(counts), "size_factors": screening.median_ratio(counts)}
@@ -24,7 +27,14 @@ def screen(p: Params, counts: DataFrame, contrasts: list[tuple[list[str], list[s
             out[f"rra_{k}"] = models.rra(counts, reference, treatment)
         if p.mle:
             design = {x: [1.0, 0.0] for x in reference} | {x: [1.0, 1.0] for x in treatment}
-            out[f"mle_{k}"] = models.mle(counts, design, out["size_factors"])
+            known = out["size_factors"] if controls is None else screening.median_ratio(counts.join(controls.select("guide").distinct(), "guide", "left_semi"))
+            dispersion = models.dispersion_trend(counts, design, known)
+            fits = models.mle_fits(counts, design, known, dispersion)
+            null = None
+            if controls is not None:
+                nums = [r.num for r in fits.select("num").distinct().orderBy("num").collect()]  # the few sizes of a library's genes
+                null = models.control_fits(counts, controls, nums, design, known, dispersion=dispersion)
+            out[f"mle_{k}"], out[f"mle_guides_{k}"] = models.effect_table(fits, null), models.guide_efficiency(fits)
         if p.bagel2 and gene_sets:
             fc = screening.pooled_changes(counts, reference, treatment).persist()  # guide-level
             both = screening.densities(fc, *gene_sets).persist()
