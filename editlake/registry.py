@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editlake.plans import channels, modelled, plots, screening, sources, targeted
+from editlake.plans import channels, modelled, plots, readqc, screening, sources, targeted
 
-PARTS = [screening, targeted, channels, modelled, plots, sources]
+PARTS = [screening, targeted, channels, modelled, plots, sources, readqc]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
