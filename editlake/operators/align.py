@@ -9,6 +9,7 @@ give null results.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -323,36 +324,121 @@ def orient_reference(df: DataFrame, guide: str, reference: str) -> DataFrame:
     return two.withColumn("oriented", F.when(F.col("f") > F.col("r"), F.col(reference)).otherwise(F.col("back"))).drop("back", "f", "r")
 
 
-def merge_pairs(df: DataFrame, min_overlap: int = 10) -> DataFrame:
-    """Adds merged and merged_qual from mates seq1/qual1 and seq2/qual2 (the latter not yet reversed); null if they don't overlap.
+#: Scores of overlaps are whole numbers of this part, so that equal overlaps score the same in any order.
+PART = 1 << 20
 
-    The overlap of best score (matches less mismatches) is taken if that is at least half its length; each base comes from
-    the mate of higher quality.
+
+def overlap_scores() -> np.ndarray:
+    """[equal, quality, quality]: the chance that two called bases come from one true base, less the chance that they don't."""
+    e = np.minimum(10.0 ** (-np.arange(94) / 10), 0.75)
+    x, y = e[:, None], e[None, :]
+    same = (1 - x) * (1 - y) + x * y / 3
+    other = ((1 - x) * y + (1 - y) * x) / 3 + 2 * x * y / 9
+    return np.rint(np.stack((2 * other - 1, 2 * same - 1)) * PART).astype(np.int64)
+
+
+def _padded(texts: list[str], fill: int) -> np.ndarray:
+    """The texts' bytes, a row each, filled up on the right."""
+    width = max(map(len, texts), default=0)
+    return np.frombuffer(b"".join(t.encode().ljust(width, bytes([fill])) for t in texts), np.uint8).reshape(len(texts), width)
+
+
+def best_overlaps(s1: list[str], q1: list[str], s2: list[str], q2: list[str], min_overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of mates, both read left to right, how far the second begins right of the first, and the bound on the chance of that
+    overlap; 0 and 1 where none scores above 0.
+
+    Every shift whose overlap has ``min_overlap`` bases counts, also those at which a mate reads on beyond the other's beginning. The best
+    score is taken, of ties the longest whole. The chance that unrelated mates of these bases and qualities have an overlap as good is at
+    most the sum over all shifts of E exp(t score) / exp(t best), for any t.
     """
+    table = overlap_scores()
+    x, y = _padded(s1, 0), _padded(s2, 255)
+    u, v = _padded(q1, 33).astype(np.int64) - 33, _padded(q2, 33).astype(np.int64) - 33
+    nx, ny = np.array([len(t) for t in s1]), np.array([len(t) for t in s2])
+    shifts = np.arange(min_overlap - y.shape[1], x.shape[1] - min_overlap + 1)
+    rows = len(x)
+    if not rows or not len(shifts):
+        return np.zeros(rows, np.int64), np.ones(rows)
+    size = np.minimum(nx[:, None], shifts + ny[:, None]) - np.maximum(0, shifts)
+    ok = size >= max(min_overlap, 1)
+    equal = np.stack([(x[:, max(0, d) : d + y.shape[1]] == y[:, max(0, -d) : x.shape[1] - d]).sum(1) for d in shifts], 1)
+    # A base that differs scores -1/3 at most, an equal one 1.
+    most = np.where(ok, equal - (size - equal) / 3, -np.inf)
+    order = np.argsort(-most, axis=1, kind="stable")
+    places = np.arange(x.shape[1])
+    best, at, live = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.arange(rows)
+
+    def cells(who: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which places of the first mates lie in the overlap, and both scores there."""
+        other = places - d[:, None]
+        inside = (other >= 0) & (other < ny[who][:, None]) & (places < nx[who][:, None])
+        there = np.clip(other, 0, y.shape[1] - 1)
+        same = (x[who] == np.take_along_axis(y[who], there, 1)) & inside
+        a, b = u[who], np.take_along_axis(v[who], there, 1)
+        return inside, table[1][a, b], np.where(same, table[1][a, b], table[0][a, b]) if same.any() else table[0][a, b]
+
+    for k in range(len(shifts)):
+        live = live[most[live, order[live, k]] * PART >= np.maximum(best[live], 1)]
+        if not len(live):
+            break
+        d = shifts[order[live, k]]
+        inside, _, score = cells(live, d)
+        total = np.where(inside, score, 0).sum(1)
+        better = (total > best[live]) | ((total == best[live]) & (total > 0) & (d > at[live]))
+        best[live[better]], at[live[better]] = total[better], d[better]
+
+    chance = np.ones(rows)
+    found = np.flatnonzero(best > 0)
+    if len(found):
+        share = lambda z, n: np.stack([(z == c).sum(1) for c in b"ACGT"], 1) / np.maximum(n, 1)[:, None]
+        r = np.maximum((share(x[found], nx[found]) * share(y[found], ny[found])).sum(1), 0.25)[:, None]
+        d = at[found]
+        inside, good, _ = cells(found, d)
+        other = np.clip(places - d[:, None], 0, y.shape[1] - 1)
+        bad = table[0][u[found], np.take_along_axis(v[found], other, 1)]
+        low = np.zeros(len(found))
+        for t in np.geomspace(0.1, 12, 30):
+            each = np.log(r * np.exp(t * good / PART) + (1 - r) * np.exp(t * bad / PART))
+            low = np.minimum(low, np.where(inside, each, 0).sum(1) - t * best[found] / PART)
+        chance[found] = np.minimum(np.exp(low) * ok[found].sum(1), 1)
+    return at, chance
+
+
+def merge_pairs(df: DataFrame, min_overlap: int = 10, level: float = 0.01) -> DataFrame:
+    """Adds merged, merged_qual and merge_p from mates seq1/qual1 and seq2/qual2 (the latter not yet reversed).
+
+    The overlap of best score is taken (:func:`best_overlaps`; equal and different bases count by their qualities). merge_p bounds the chance
+    that unrelated mates overlap as well; above ``level`` the mates are not merged (null). The whole goes from the first mate's beginning
+    to the second's, what a mate reads beyond that is cut; each base comes from the mate of higher quality, of ties from the first.
+    Pairs with a null aren't merged, nor are those whose sequence and quality differ in length.
+    """
+    cells = 4_000_000
 
-    @F.pandas_udf("merged string, merged_qual string")
+    @F.pandas_udf("merged string, merged_qual string, merge_p double")
     def run(a: pd.Series, qa: pd.Series, b: pd.Series, qb: pd.Series) -> pd.DataFrame:
         swap = str.maketrans("ACGTacgt", "TGCAtgca")
-        rows = []
-        for s1, q1, s2, q2 in zip(a, qa, b, qb, strict=True):
-            if None in (s1, q1, s2, q2):
-                rows.append((None, None))
-                continue
-            s2, q2 = s2.translate(swap)[::-1], q2[::-1]
-            x, y = np.frombuffer(s1.encode(), np.uint8), np.frombuffer(s2.encode(), np.uint8)
-            found = (0, 0)
-            for k in range(min_overlap, min(len(x), len(y)) + 1):
-                score = 2 * int((x[-k:] == y[:k]).sum()) - k
-                if 2 * score >= k:
-                    found = max(found, (score, k))
-            k = found[1]
-            if not k:
-                rows.append((None, None))
-                continue
-            u, v = np.frombuffer(q1.encode(), np.uint8)[-k:], np.frombuffer(q2.encode(), np.uint8)[:k]
-            mid = np.where(u >= v, x[-k:], y[:k]).tobytes().decode()
-            rows.append((s1[:-k] + mid + s2[k:], q1[:-k] + np.maximum(u, v).tobytes().decode() + q2[k:]))
-        return pd.DataFrame(rows, columns=["merged", "merged_qual"])
+        out: list[tuple] = [(None, None, None)] * len(a)
+        pairs = []
+        for k, row in enumerate(zip(a, qa, b, qb, strict=True)):
+            s1, q1, s2, q2 = row
+            if None not in row and len(s1) == len(q1) and len(s2) == len(q2):
+                pairs.append((k, s1, q1, s2.translate(swap)[::-1], q2[::-1]))
+        pairs.sort(key=lambda p: len(p[1]) + len(p[3]))
+        while pairs:
+            wide = len(pairs[-1][1]) + len(pairs[-1][3]) + 1
+            part = pairs[-max(1, cells // (8 * wide)) :]
+            del pairs[-len(part) :]
+            at, chance = best_overlaps(*[[p[c] for p in part] for c in (1, 2, 3, 4)], min_overlap)
+            for (k, s1, q1, s2, q2), d, p in zip(part, at.tolist(), chance.tolist(), strict=True):
+                if p > level:
+                    out[k] = (None, None, p)
+                    continue
+                lo, hi = max(0, d), min(len(s1), d + len(s2))
+                u, v = (np.frombuffer(t.encode(), np.uint8) for t in (q1[lo:hi], q2[lo - d : hi - d]))
+                x, y = (np.frombuffer(t.encode(), np.uint8) for t in (s1[lo:hi], s2[lo - d : hi - d]))
+                mid = np.where(u >= v, x, y).tobytes().decode()
+                out[k] = (s1[:lo] + mid + s2[hi - d :], q1[:lo] + np.maximum(u, v).tobytes().decode() + q2[hi - d :], p)
+        return pd.DataFrame(out, columns=["merged", "merged_qual", "merge_p"])
 
     return df.withColumn("m", run("seq1", "qual1", "seq2", "qual2")).select("*", "m.*").drop("m")
 
@@ -537,6 +623,103 @@ def consensus(members: DataFrame, seq: str = "projected", weight: str | None = N
     return rows.select("sample", "cluster", F.replace(F.array_join(F.col("x.b"), ""), F.lit("-"), F.lit("")).alias("consensus"))
 
 
+def quality_votes(members: DataFrame, scores: Scores | None = None) -> DataFrame:
+    """(sample, cluster, at, sub, base, w): what ``members`` (sample, cluster, seq, qual, centre) say of each column of their centre.
+
+    A base votes with the logarithm of its odds against each other base, in thousandths; a missing one (-) with the lesser vote of its
+    neighbours. Column ``sub`` 0 is the centre's base after ``at`` others, 1 and on what members insert before it. Before every base each member
+    also votes for no insertion (|, in column 0); in the columns where it inserts, that vote is given again, to be taken off.
+    Votes are summed in batches, so no base is a row that is shuffled. Members with a null, or of other lengths of sequence and quality, don't vote.
+    """
+    run = aligner("global", scores or Scores(8, -6, 8, 1))
+    error = np.minimum(10.0 ** (-np.arange(94) / 10), 0.75)
+    table = np.rint(1000 * np.log((1 - error) / (error / 3))).astype(np.int64)
+    rows = members.filter("seq is not null and centre is not null and length(seq) = length(qual)").withColumn("cigar", run("seq", "centre")["cigar"])
+    names = ["sample", "cluster"]
+    kinds = ", ".join(f"{c} {members.schema[c].dataType.simpleString()}" for c in names)
+
+    def of_member(seq: str, qual: str, cigar: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        base, w = np.frombuffer(seq.encode(), np.uint8), table[np.frombuffer(qual.encode(), np.uint8) - 33]
+        far = np.iinfo(np.int64).max
+        left, right = np.concatenate(([far], w)), np.concatenate((w, [far]))
+        at = used = 0
+        parts: list[tuple] = []
+        before, skipped = [], {}  # member bases before each place of the centre; inserted ones there
+        for n, kind in ((int(n), k) for n, k in re.findall(r"(\d+)([MID])", cigar)):
+            if kind == "I":
+                skipped[at] = n
+                parts.append((np.full(n, at), np.arange(1, n + 1), base[used : used + n], w[used : used + n]))
+                used += n
+                continue
+            before.append(used + (np.arange(n) if kind == "M" else np.zeros(n, np.int64)))
+            if kind == "M":
+                parts.append((at + np.arange(n), np.zeros(n, np.int64), base[used : used + n], w[used : used + n]))
+                used += n
+            else:
+                gap = min(left[used], right[used])
+                parts.append((at + np.arange(n), np.zeros(n, np.int64), np.full(n, 45), np.full(n, 0 if gap == far else gap)))
+            at += n
+        before.append(np.array([used]))
+        r = np.concatenate(before)
+        begin = r.copy()
+        for place, n in skipped.items():
+            begin[place] -= n
+        none = np.minimum(left[begin], right[r])
+        none[none == far] = 0
+        parts.append((np.arange(at + 1), np.zeros(at + 1, np.int64), np.full(at + 1, 124), none))
+        parts += [(np.full(n, place), np.arange(1, n + 1), np.full(n, 124), np.full(n, none[place])) for place, n in skipped.items()]
+        return tuple(np.concatenate([p[k] for p in parts]) for k in range(4))
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            part = pdf["seq"].str.len().cumsum() // 500_000
+            for _, rows in pdf.groupby(part.to_numpy()):
+                which, keys = pd.factorize(pd.MultiIndex.from_frame(rows[names]))
+                votes = [of_member(*x) for x in zip(rows["seq"], rows["qual"], rows["cigar"], strict=True)]
+                out = pd.DataFrame({c: np.concatenate([v[k] for v in votes]) for k, c in enumerate(("at", "sub", "base", "w"))})
+                out["key"] = np.repeat(which, [len(v[0]) for v in votes])
+                out = out.groupby(["key", "at", "sub", "base"], as_index=False)["w"].sum()
+                named = pd.DataFrame(list(keys), columns=names).iloc[out["key"].to_numpy()].reset_index(drop=True)
+                yield pd.concat([named, out[["at", "sub"]], out["base"].map(chr), out["w"]], axis=1)
+
+    votes = rows.select(*names, "seq", "qual", "cigar").mapInPandas(tally, f"{kinds}, at bigint, sub bigint, base string, w bigint")
+    return votes.groupBy(*names, "at", "sub", "base").agg(F.sum("w").alias("w"))
+
+
+def consensus_by_quality(members: DataFrame, scores: Scores | None = None) -> DataFrame:
+    """(sample, cluster, consensus) of ``members`` (sample, cluster, seq, qual, centre): in each column the base of largest likelihood.
+
+    Columns are the centre's bases and those that members insert between them, so a base that the centre lacks is found; an insertion
+    stays if its base outweighs those who have none. Of equal sums a gap is taken, then the first letter.
+    """
+    votes = quality_votes(members, scores)
+    called = F.col("base") != "|"
+    columns = votes.groupBy("sample", "cluster", "at", "sub").agg(
+        F.min_by(F.when(called, F.col("base")), F.when(called, F.struct(-F.col("w"), F.col("base")))).alias("base"),
+        F.max(F.when(called, F.col("w"))).alias("w"), F.sum(F.when(~called, F.col("w")).otherwise(0)).alias("none"),
+    )
+    places = columns.groupBy("sample", "cluster", "at").agg(
+        F.max(F.when(F.col("sub") == 0, F.col("none"))).alias("none"),
+        F.max(F.when(F.col("sub") == 0, F.col("base"))).alias("base"),
+        F.array_sort(F.collect_list(F.when(F.col("sub") > 0, F.struct("sub", "base", "w", "none")))).alias("more"),
+    )
+    kept = F.filter("more", lambda c: c["w"] > F.col("none") - c["none"])
+    text = F.concat(F.array_join(F.transform(kept, lambda c: c["base"]), ""), F.replace(F.coalesce("base", F.lit("")), F.lit("-"), F.lit("")))
+    whole = places.groupBy("sample", "cluster").agg(F.array_sort(F.collect_list(F.struct("at", text.alias("t")))).alias("x"))
+    return whole.select("sample", "cluster", F.array_join(F.col("x.t"), "").alias("consensus"))
+
+
+def polish_by_quality(members: DataFrame, rounds: int = 2) -> DataFrame:
+    """(sample, cluster, consensus): ``members`` (sample, cluster, seq, qual) laid over their commonest sequence, voted on by quality, and laid over
+    the result again, ``rounds`` times."""
+    laid, made = with_centre(members), None
+    for k in range(rounds):
+        made = consensus_by_quality(laid)
+        if k + 1 < rounds:
+            laid = members.join(made.withColumnRenamed("consensus", "centre"), ["sample", "cluster"])
+    return made
+
+
 def splice_template(df: DataFrame, template: str, reference: str, arm: int = 12) -> DataFrame:
     """Adds template_reference: the reference with the stretch between the template's arms replaced by the template.
 
