@@ -66,7 +66,7 @@ def fastq_duplication(spark, sf_dir):
 
 #: Contaminants: the items as bases, and each sample's first document with every 30th base exchanged.
 HITS_SQL = f"""WITH {b.READS_SQL},
-found AS (SELECT sample, seq FROM (SELECT *, sum(n) OVER (PARTITION BY sample) AS total FROM (SELECT sample, left(seq, 50) AS seq, count(*) AS n FROM reads GROUP BY 1, 2)) WHERE n > 0.001 * total),
+found AS (SELECT sample, seq FROM (SELECT *, sum(n) OVER (PARTITION BY sample) AS total FROM (SELECT sample, left(seq, 50) AS seq, count(*) AS n FROM reads GROUP BY 1, 2)) WHERE n > 0.001 * total AND n > 1),
 named AS (SELECT 'item ' || item_id AS name, lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS l FROM benchmark
     UNION ALL SELECT 'sample ' || sample, left(min_by(letters, doc_id), 600) FROM lettered WHERE sample IS NOT NULL AND letters IS NOT NULL GROUP BY sample),
 based AS (SELECT name, translate(l, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS t FROM named WHERE l IS NOT NULL),
@@ -88,11 +88,11 @@ SELECT sample, seq, name AS contaminant, strand, CAST(size AS INTEGER) AS size,
 
 @query(HITS_SQL)
 def contaminants(spark, sf_dir):
-    """Overrepresented beginnings of reads that are found in a list of contaminants, with a mismatch or on the other strand."""
+    """Overrepresented beginnings of reads, seen twice or more, that are found in a list of contaminants, with a mismatch or on the other strand."""
     bases = lambda c: F.translate(F.lower(F.regexp_replace(c, "[^A-Za-z]", "")), "abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26])
     items = b.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("name"), bases(F.col("text")).alias("sequence"))
     first = b.letters(spark, sf_dir).filter("sample is not null and letters is not null").groupBy("sample").agg(F.left(F.min_by("letters", "doc_id"), F.lit(600)).alias("l"))
     first = first.select("sample", q.bases(F.translate("l", "abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26])).alias("b"))
     changed = F.transform("b", lambda x, i: F.when((i + 1) % 30 == 0, F.translate(x, "ACGT", "CATG")).otherwise(x))
     first = first.select(F.concat(F.lit("sample "), F.col("sample")).alias("name"), F.array_join(changed, "").alias("sequence"))
-    return readqc.contaminant_hits(targeted.overrepresented(b.reads(spark, sf_dir), 0.001, 50), items.unionByName(first))
+    return readqc.contaminant_hits(targeted.overrepresented(b.reads(spark, sf_dir), 0.001, 50).filter("n > 1"), items.unionByName(first))
