@@ -113,3 +113,17 @@ def test_squares_of_two_arms(spark):
     assert got.loc["e0", "control"] == -1 and got.loc["e0", "treatment"] == -1 and got.loc["e0", "selected"] is None
     assert list(got.loc[["top", "bottom", "left", "right", "both"], "square"]) == ["topcenter", "bottomcenter", "midleft", "midright", None]
     assert list(got.loc[["top", "bottom", "left", "right"], "selected"]) == ["up", "down", "up", "down"]
+
+
+def test_whole_run_with_control_guides(screen):
+    from editlake.params import Params
+    from editlake.plans import runs
+
+    counts, _ = screen
+    controls = counts.filter("gene >= 'G100'").select("guide")
+    few = counts.filter("gene < 'G012' or gene >= 'G100'")
+    p = Params(analysis="screening", count_table="x", contrasts="c", mle=True)
+    out = runs.screen(p, few, [(["c1", "c2", "c3"], ["t1", "t2", "t3"])], controls=controls)
+    table = out["mle_0"].toPandas().set_index("gene")
+    assert len(table) == 32 and (table.loc[[f"G{g:03}" for g in range(12)], "beta"] < -1).all()
+    assert table["control_p"].between(0, 1).all() and out["mle_guides_0"].count() == 32 * 8
