@@ -10,18 +10,17 @@ Null and empty texts have fingerprint 0.
 
 from __future__ import annotations
 
-from itertools import accumulate, combinations
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import id_and_text
+from .util import drop_table, id_and_text, materialize, write_table
 
 MOST_WEIGHT = 8
 PAIR = (1 << 32) | 1
-#: Bins of a histogram of ids, and bytes of text in a bucket.
-BINS = 1 << 16
-BUCKET_BYTES = 32 << 20
+#: Equal rows that are given back at once.
+BLOCK = 1 << 16
 
 
 def simhash(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
@@ -100,109 +99,67 @@ def near_counts(queries: DataFrame, fingerprints: DataFrame, radius: int = 3) ->
     return search(queries, fingerprints, radius).join(sizes, "fp").groupBy("query_fp").agg(F.sum("n").alias("n_near"))
 
 
-def in_buckets(rows: DataFrame, buckets: int = 0) -> tuple[DataFrame, int]:
-    """``rows`` (doc_id, text, own) with bucket and head, and the number of buckets, for a window by descending doc_id and own
-    in which the last row's next is the first.
+def following(keys: DataFrame) -> DataFrame:
+    """``keys`` (key, unique, and other columns) with next: the key before it in ascending order; the least has the greatest as next.
 
-    Buckets ascend with doc_id, then own, rows without doc_id coming first, and hold like numbers of rows: ``buckets`` of them, or as
-    many as make ``BUCKET_BYTES`` of text each, but two a shuffle partition at least. An id with more rows than that has several,
-    cut by own. The last row of every bucket is sent along, as head, to the next bucket that has any; that of the last to the first.
+    Rows are ordered by ranges, in as many partitions as shuffles have, and numbered by partition; each partition's greatest key goes to the
+    one before it. Both steps are written, so that a lost executor can't move a range's bounds.
     """
-    spark = rows.sparkSession
-    seen = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.sum(F.octet_length("text")).alias("size")).first()
-    if not seen.n:
-        return rows.withColumns({"bucket": F.lit(0), "head": F.lit(False)}), 1
-    buckets = buckets or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen.size // BUCKET_BYTES))
-    most = max(1, seen.n // buckets)
-    bounds = cut_points(rows, most)
-    parts = [-(-(seen.n - seen.ids) // most), *bounds.values()]
-    below = [0, *accumulate(parts)][:-1]
-    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(_place(F.col("doc_id"), list(bounds)))
-    placed = rows.withColumn("place", place)
-    pick = lambda x: F.get(F.array(*[F.lit(int(v)) for v in x]), F.col("place"))
-    part = F.floor((F.col("own") / F.lit(2.0**64) + 0.5) * pick(parts))
-    bucket = pick(below) + F.greatest(F.lit(0), F.least(part, pick(parts) - 1)).cast("int")
-    placed = placed.withColumn("bucket", bucket).drop("place").withColumn("head", F.lit(False))
-    tops = placed.groupBy("bucket").agg(F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", "own")).alias("top")).collect()
-    tops = sorted((r.bucket, r.top.doc_id, r.top.own) for r in tops)  # no more than there are buckets
-    to = [(doc_id, own, tops[(k + 1) % len(tops)][0]) for k, (_, doc_id, own) in enumerate(tops)]
-    to = F.broadcast(spark.createDataFrame(to, "top_id bigint, top_own bigint, to int"))
-    same = F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("own") == F.col("top_own"))
-    heads = placed.join(to, same).dropDuplicates(["to"]).select("doc_id", "text", "own", F.col("to").alias("bucket"), F.lit(True).alias("head"))
-    return placed.unionByName(heads), sum(parts)
-
-
-def cut_points(rows: DataFrame, most: int) -> dict[int, int]:
-    """Ascending doc_ids at which parts of the rows begin, and how many buckets each makes: 1 for a part of about ``most`` rows,
-    more for a single id with more rows.
-
-    From histograms of ``BINS`` bins. Bins that hold more than a part are counted again, finer, until they are one id wide, 64 a
-    round. The driver gets ``BINS`` numbers a round at most, and no task more than its share of the counts.
-    """
-    ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-    if ends.a is None:
-        return {}
-    work, counts = [(ends.a, ends.b + 1)], {}
-    while work:
-        now, work = work[:64], work[64:]
-        bins = max(2, BINS // len(now))
-        wide = [(a, b, max(1, -(-(b - a) // bins))) for a, b in now]
-        start = F.lit(None).cast("bigint")
-        for a, b, w in wide:
-            inside = (F.col("doc_id") >= a) & (F.col("doc_id") < b)
-            start = F.when(inside, F.lit(a) + F.floor((F.col("doc_id") - F.lit(a)) / F.lit(w)) * w).otherwise(start)
-        found = rows.select(start.cast("bigint").alias("s")).dropna().groupBy("s").count().collect()
-        for r in found:
-            width = next(w for a, b, w in wide if a <= r.s < b)
-            if r["count"] > most and width > 1:
-                work.append((r.s, r.s + width))
-            else:
-                counts[r.s] = r["count"]
-    out: dict[int, int] = {}
-    held = None  # rows of the part that is open
-    for s in sorted(counts):
-        n = counts[s]
-        if n > most:  # one id
-            out[s], held = -(-n // most), None
-        elif held is None or held + n > most:
-            out[s], held = 1, n
-        else:
-            held += n
+    spark = keys.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = write_table(keys.repartitionByRange(parts, F.desc("key")).withColumn("part", F.spark_partition_id()), "fingerprint-order")
+    ranged = spark.read.parquet(path)
+    across = Window.orderBy("part")  # a row a partition
+    tops = ranged.groupBy("part").agg(F.max("key").alias("top"))
+    tops = tops.select("part", F.coalesce(F.lead("top").over(across), F.first("top").over(across)).alias("after"))
+    inside = F.lead("key").over(Window.partitionBy("part").orderBy(F.desc("key")))
+    out = ranged.withColumn("next", inside).join(tops, "part").withColumn("next", F.coalesce("next", "after")).drop("part", "after")
+    out = materialize(out, "fingerprint-next")
+    drop_table(spark, path)
     return out
 
 
-def _place(x: Column, bounds: list[int]) -> Column:
-    """How many of ``bounds`` (ascending; none above the least x) are at most ``x``: first among every step-th of them, then in between."""
-    if not bounds:
-        return F.lit(1)
-    step = max(1, int(len(bounds) ** 0.5))
-    fine = F.array(*[F.lit(b) for b in bounds])
-    coarse = F.array(*[F.lit(b) for b in bounds[::step]])
-    skip = F.greatest(F.size(F.filter(coarse, lambda b: b <= x)) - 1, F.lit(0)) * step
-    return (skip + F.size(F.filter(F.slice(fine, skip + 1, step), lambda b: b <= x))).cast("int")
-
-
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fp, edited_fp, next_fp.
 
     The edited text has its last half replaced by the next text's beginning; next is by descending doc_id and the first
-    after the last. Rows of one doc_id are in the order of their texts' hashes, rows without doc_id come after all others. A table
-    of one row has itself as next; an empty one gives no rows. Wholly equal rows differ in their next at most.
+    after the last. Rows of one doc_id are in descending order of their texts' hashes (96 bits), rows without doc_id come after all others. A
+    table of one row has itself as next; an empty one gives no rows. Of wholly equal rows all but one have an equal row as next; they are
+    one row until the end, so that no key is hot. Only keys are ordered; each text is shuffled once, and the beginning that
+    its predecessor asks for once more.
     """
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows, buckets = in_buckets(rows.withColumn("own", F.xxhash64("text")))
-    # A bucket is a partition; what follows keeps this partitioning, so that the texts are shuffled once.
-    rows = rows.repartitionById(buckets, F.col("bucket"))
-    order = Window.partitionBy("bucket").orderBy("head", F.desc_nulls_last("doc_id"), F.desc("own"), "text")
-    rows = rows.withColumn("next_text", F.coalesce(F.lead("text").over(order), F.lit("")))
-    edited = F.expr("concat(left(text, length(text) - cast(length(text) div 2 as int)), left(next_text, cast(length(text) div 2 as int)))")
-    rows = rows.select("bucket", "head", "doc_id", "text", edited.alias("edited"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumns({"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256)})
-    keys = ["bucket", "head", "doc_id", "row", "n_chars", "edited_sha256"]
-    prints = simhash(rows, keys, {"text": "fp", "edited": "edited_fp"})
-    again = Window.partitionBy("bucket").orderBy("row")  # rows ascend in the order of the first window
-    prints = prints.withColumn("next_fp", F.lead("fp").over(again)).filter("not head")
-    return prints.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
+    own = [F.xxhash64("text").alias("own"), F.hash("text").alias("check")]
+    rows = rows.select(F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", *own).alias("key"), "text")
+    half = F.expr("cast(n_chars div 2 as int)")
+    links = following(rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("text")).cast("bigint").alias("n_chars")))
+    texts = rows.groupBy("key").agg(F.min("text").alias("text"))
+    asked = links.select(F.col("next").alias("key"), F.col("key").alias("by"), half.alias("half"))
+    sent = texts.join(asked, "key").select(F.col("by").alias("key"), F.left("text", F.col("half")).alias("begin"))
+    rows = texts.join(links.drop("next"), "key").join(sent, "key")
+    stays = F.left("text", (F.col("n_chars") - half).cast("int"))
+    copied = F.when(F.col("n") > 1, F.concat(stays, F.left("text", half)))  # the edited text of rows with an equal row as next
+    rows = rows.select("key", "n", "n_chars", "text", F.concat(stays, "begin").alias("edited"), copied.alias("copied"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    rows = rows.withColumns({"edited_sha256": digest("edited"), "copied_sha256": digest("copied")})
+    keys = ["key", "n", "n_chars", "edited_sha256", "copied_sha256"]
+    prints = materialize(simhash(rows, keys, {"text": "fp", "edited": "edited_fp", "copied": "copied_fp"}), "fingerprint-texts")
+    after = prints.select(F.col("key").alias("next"), F.col("fp").alias("next_fp"))
+    out = prints.join(links.select("key", "next"), "key").join(after, "next")
+    kinds = F.array(
+        F.struct(F.lit(1).cast("bigint").alias("times"), "edited_sha256", "edited_fp", "next_fp"),
+        F.struct(
+            (F.col("n") - 1).alias("times"),
+            F.col("copied_sha256").alias("edited_sha256"),
+            F.col("copied_fp").alias("edited_fp"),
+            F.col("fp").alias("next_fp"),
+        ),
+    )
+    out = out.select("key.doc_id", "n_chars", "fp", F.inline(kinds)).filter("times > 0")
+    # Copies come back in blocks, so that no array grows with their number.
+    out = out.withColumn("block", F.explode(F.expr(f"sequence(0, (times - 1) div {BLOCK})")))
+    out = out.withColumn("copy", F.explode(F.expr(f"sequence(1, least({BLOCK}, times - block * {BLOCK}))")))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -587,11 +587,18 @@ def test_all_null_columns(spark):
         assert df.count() == 3
 
 
-def test_cut_points_make_like_parts(spark):
-    ids = [*range(1000), *(10**12 + k for k in range(3000)), *(5 * 10**17 + k * 10**9 for k in range(1000)), *[7] * 900]
-    rows = spark.createDataFrame([(k,) for k in ids] + [(None,)], "doc_id long")
-    cuts = fingerprints.cut_points(rows, 295)
-    parts = np.bincount(np.searchsorted(list(cuts), ids, side="right"), minlength=len(cuts) + 1)[1:]
-    assert list(cuts) == sorted(cuts) and 15 <= sum(cuts.values()) <= 40
-    assert cuts[7] == 4 and all(n <= 295 * k for n, k in zip(parts, cuts.values(), strict=True))
-    assert fingerprints.cut_points(rows.limit(0), 20) == {}
+def test_following_over_many_ranges(spark):
+    r = random.Random(21)
+    ids = [*range(150), *(10**12 + k for k in range(150)), *(r.randrange(2**62) for _ in range(150))]
+    keys = spark.createDataFrame([((True, k, own),) for k in ids for own in (1, 2)] + [((False, None, 5),)], "key struct<has:boolean,doc_id:long,own:long>")
+    want = sorted(((k, own) for k in ids for own in (1, 2)), reverse=True) + [(None, 5)]
+    want = dict(zip(want, want[1:] + want[:1], strict=True))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("1", "37", "1200"):  # more ranges than keys too
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = fingerprints.following(keys).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert {(x.key.doc_id, x.key.own): (x.next.doc_id, x.next.own) for x in got} == want and len(got) == len(want)
+    assert fingerprints.following(keys.limit(0)).count() == 0
