@@ -99,20 +99,22 @@ def near_counts(queries: DataFrame, fingerprints: DataFrame, radius: int = 3) ->
     return search(queries, fingerprints, radius).join(sizes, "fp").groupBy("query_fp").agg(F.sum("n").alias("n_near"))
 
 
-def following(keys: DataFrame) -> DataFrame:
-    """``keys`` (key, unique, and other columns) with next: the key before it in ascending order; the least has the greatest as next.
+def following(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` (columns ``key``, unique and not null, and others) with next: a struct of the key before it in ascending order; the least
+    key has the greatest as next.
 
     Rows are ordered by ranges, in as many partitions as shuffles have, and numbered by partition; each partition's greatest key goes to the
     one before it. Both steps are written, so that a lost executor can't move a range's bounds.
     """
-    spark = keys.sparkSession
+    spark = rows.sparkSession
+    down = [F.desc(c) for c in key]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = write_table(keys.repartitionByRange(parts, F.desc("key")).withColumn("part", F.spark_partition_id()), "fingerprint-order")
+    path = write_table(rows.repartitionByRange(parts, *down).withColumn("part", F.spark_partition_id()), "fingerprint-order")
     ranged = spark.read.parquet(path)
     across = Window.orderBy("part")  # a row a partition
-    tops = ranged.groupBy("part").agg(F.max("key").alias("top"))
+    tops = ranged.groupBy("part").agg(F.max(F.struct(*key)).alias("top"))
     tops = tops.select("part", F.coalesce(F.lead("top").over(across), F.first("top").over(across)).alias("after"))
-    inside = F.lead("key").over(Window.partitionBy("part").orderBy(F.desc("key")))
+    inside = F.lead(F.struct(*key)).over(Window.partitionBy("part").orderBy(*down))
     out = ranged.withColumn("next", inside).join(tops, "part").withColumn("next", F.coalesce("next", "after")).drop("part", "after")
     out = materialize(out, "fingerprint-next")
     drop_table(spark, path)
@@ -129,23 +131,26 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     its predecessor asks for once more.
     """
     rows = id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # Flat columns without nulls: joins and sums by them share one shuffle.
+    key = ["known", "id", "own", "check"]
     own = [F.xxhash64("text").alias("own"), F.hash("text").alias("check")]
-    rows = rows.select(F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", *own).alias("key"), "text")
+    rows = rows.select(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("id"), *own, "text")
     half = F.expr("cast(n_chars div 2 as int)")
-    links = following(rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("text")).cast("bigint").alias("n_chars")))
-    texts = rows.groupBy("key").agg(F.min("text").alias("text"))
-    asked = links.select(F.col("next").alias("key"), F.col("key").alias("by"), half.alias("half"))
-    sent = texts.join(asked, "key").select(F.col("by").alias("key"), F.left("text", F.col("half")).alias("begin"))
-    rows = texts.join(links.drop("next"), "key").join(sent, "key")
+    links = following(rows.groupBy(*key).agg(F.count("*").alias("n"), F.max(F.length("text")).cast("bigint").alias("n_chars")), key)
+    texts = rows.groupBy(*key).agg(F.min("text").alias("text"))
+    asked = links.select("next.*", F.struct(*key).alias("by"), half.alias("half"))
+    sent = texts.join(asked, key).select("by.*", F.left("text", F.col("half")).alias("begin"))
+    rows = texts.join(links.drop("next"), key).join(sent, key)
     stays = F.left("text", (F.col("n_chars") - half).cast("int"))
     copied = F.when(F.col("n") > 1, F.concat(stays, F.left("text", half)))  # the edited text of rows with an equal row as next
-    rows = rows.select("key", "n", "n_chars", "text", F.concat(stays, "begin").alias("edited"), copied.alias("copied"))
+    rows = rows.select(*key, "n", "n_chars", "text", F.concat(stays, "begin").alias("edited"), copied.alias("copied"))
     digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
     rows = rows.withColumns({"edited_sha256": digest("edited"), "copied_sha256": digest("copied")})
-    keys = ["key", "n", "n_chars", "edited_sha256", "copied_sha256"]
+    keys = [*key, "n", "n_chars", "edited_sha256", "copied_sha256"]
     prints = materialize(simhash(rows, keys, {"text": "fp", "edited": "edited_fp", "copied": "copied_fp"}), "fingerprint-texts")
-    after = prints.select(F.col("key").alias("next"), F.col("fp").alias("next_fp"))
-    out = prints.join(links.select("key", "next"), "key").join(after, "next")
+    asked = links.select("next.*", F.struct(*key).alias("by"))
+    after = prints.select(*key, F.col("fp").alias("next_fp")).join(asked, key).select("by.*", "next_fp")
+    out = prints.join(after, key).withColumn("doc_id", F.when(F.col("known"), F.col("id")))
     kinds = F.array(
         F.struct(F.lit(1).cast("bigint").alias("times"), "edited_sha256", "edited_fp", "next_fp"),
         F.struct(
@@ -155,7 +160,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.col("fp").alias("next_fp"),
         ),
     )
-    out = out.select("key.doc_id", "n_chars", "fp", F.inline(kinds)).filter("times > 0")
+    out = out.select("doc_id", "n_chars", "fp", F.inline(kinds)).filter("times > 0")
     # Copies come back in blocks, so that no array grows with their number.
     out = out.withColumn("block", F.explode(F.expr(f"sequence(0, (times - 1) div {BLOCK})")))
     out = out.withColumn("copy", F.explode(F.expr(f"sequence(1, least({BLOCK}, times - block * {BLOCK}))")))

@@ -589,16 +589,16 @@ def test_all_null_columns(spark):
 
 def test_following_over_many_ranges(spark):
     r = random.Random(21)
-    ids = [*range(150), *(10**12 + k for k in range(150)), *(r.randrange(2**62) for _ in range(150))]
-    keys = spark.createDataFrame([((True, k, own),) for k in ids for own in (1, 2)] + [((False, None, 5),)], "key struct<has:boolean,doc_id:long,own:long>")
-    want = sorted(((k, own) for k in ids for own in (1, 2)), reverse=True) + [(None, 5)]
+    ids = [*range(1, 150), *(10**12 + k for k in range(150)), *(r.randrange(2**62) for _ in range(150))]
+    keys = spark.createDataFrame([(True, k, own, str(k)) for k in ids for own in (1, 2)] + [(False, 0, 5, None)], "known boolean, id long, own long, note string")
+    want = sorted(((k, own) for k in ids for own in (1, 2)), reverse=True) + [(0, 5)]
     want = dict(zip(want, want[1:] + want[:1], strict=True))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     for parts in ("1", "37", "1200"):  # more ranges than keys too
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         try:
-            got = fingerprints.following(keys).collect()
+            got = fingerprints.following(keys, ["known", "id", "own"]).collect()
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", before)
-        assert {(x.key.doc_id, x.key.own): (x.next.doc_id, x.next.own) for x in got} == want and len(got) == len(want)
-    assert fingerprints.following(keys.limit(0)).count() == 0
+        assert {(x.id, x.own): (x.next.id, x.next.own) for x in got} == want and len(got) == len(want)
+    assert fingerprints.following(keys.limit(0), ["known", "id", "own"]).count() == 0
