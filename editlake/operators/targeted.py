@@ -558,3 +558,88 @@ def template_counts(reads: DataFrame, templates: DataFrame) -> DataFrame:
         .when((kind == "D") & (length % 3 == 0), "dels-in").when(kind == "D", "dels-out").otherwise("subs")
     )
     return rows.groupBy("sample", named.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def template_alignments(templates: DataFrame, scores=None) -> DataFrame:
+    """Adds pos and cigar to ``templates`` (sample, template, reference): how the whole template lies on the reference."""
+    from .align import align_pairs
+
+    return align_pairs(templates, "template", "reference", scores=scores).withColumnRenamed("start", "pos").drop("score", "end")
+
+
+def template_reads(reads: DataFrame, templates: DataFrame) -> DataFrame:
+    """(sample, qname, kind) of the reads that bear their sample's template edit.
+
+    ``reads``: sample, qname, pos, cigar without clips, raw_cigar with them, seq with clipped bases. ``templates``: one row of
+    :func:`template_alignments` a sample. An edit with inserted or deleted bases is borne by reads that lie on the reference as the template
+    does. One of changed bases only is borne by reads without gaps that have the template's letters from its first changed base to its last;
+    if no read at all lies as the template does, none is taken. A template equal to the reference has no reads. Nulls match nothing.
+    """
+    code = F.concat(F.col("pos").cast("string"), F.lit(":"), F.col("cigar"))
+    rows = reads.withColumn("code", code)
+    t = with_ops(templates.withColumn("code", code))
+    gap = lambda kind: F.array_contains("kinds", kind)
+    length = F.get("lens", F.get(F.filter(F.sequence(F.lit(0), F.size("kinds") - 1), lambda i: F.get("kinds", i).isin("I", "D")), F.lit(0)))
+    frame = F.when(length % 3 == 0, "-in").otherwise("-out")
+    # More than one gap is a delin.
+    several = F.size(F.filter("kinds", lambda k: k.isin("I", "D"))) > 1
+    kind = F.when(several, "delin").when(gap("I"), F.concat(F.lit("ins"), frame)).otherwise(F.concat(F.lit("dels"), frame))
+    gapped = t.filter(gap("I") | gap("D")).select("sample", "code", kind.alias("kind"))
+    lying = rows.join(gapped, ["sample", "code"]).select("sample", "qname", "kind")
+
+    place = F.expr("filter(sequence(1, length(template)), i -> substr(template, i, 1) <> substr(reference, pos + i - 1, 1))")
+    changed = t.filter(~(gap("I") | gap("D"))).withColumn("places", place).filter(F.size("places") > 0)
+    changed = changed.join(rows.select("sample", "code").distinct(), ["sample", "code"], "left_semi")
+    first, last = F.array_min("places"), F.array_max("places")
+    changed = changed.select("sample", (F.col("pos") + first - 1).alias("at"), F.col("template").substr(first, last - first + 1).alias("letters"))
+    whole = rows.filter(F.col("cigar").rlike("^[0-9]+M$"))
+    lead = F.coalesce(F.regexp_extract("raw_cigar", r"^(?:[0-9]+H)?([0-9]+)S", 1).try_cast("int"), F.lit(0))
+    found = whole.join(changed, "sample").filter(F.col("at") >= F.col("pos"))
+    start = (F.col("at") - F.col("pos") + 1 + lead).cast("int")
+    found = found.filter(F.col("seq").substr(start, F.length("letters")) == F.col("letters"))
+    return lying.unionByName(found.select("sample", "qname", F.lit("subs").alias("kind")))
+
+
+def run_summary(
+    raw: DataFrame,
+    filtered: DataFrame,
+    merged: DataFrame | None = None,
+    adapters: DataFrame | None = None,
+    clustered: DataFrame | None = None,
+    alignments: DataFrame | None = None,
+) -> DataFrame:
+    """(sample, step, class, n, pct): one row for each sample and class of reads, as the stages of a run report them.
+
+    Each input has rows with a sample; ``alignments`` has mapped too. Samples are those with raw and filtered reads; what a sample lacks of other
+    stages counts as 0. Shares are to one decimal, half to even: merged reads of the raw ones; reads with adapters and filtered ones of
+    the merged where the sample has any, else of the raw; aligned of all alignments. Clustered reads have no share. Counts
+    are made a stage, before anything is joined, so a hot sample is no hot key.
+    """
+    count = lambda rows, name: rows.groupBy("sample").agg(F.count(F.lit(1)).alias(name))
+    wide = count(raw, "raw").join(count(filtered, "filtered"), "sample")
+    for name, rows in (("merged", merged), ("adapters", adapters), ("clustered", clustered)):
+        if rows is not None:
+            wide = wide.join(count(rows, name), "sample", "left")
+        else:
+            wide = wide.withColumn(name, F.lit(None).cast("bigint"))
+    both = [F.count_if("mapped").alias("aligned"), F.count(F.lit(1)).alias("laid")]
+    if alignments is not None:
+        wide = wide.join(alignments.groupBy("sample").agg(*both), "sample", "left")
+    else:
+        wide = wide.withColumns({c: F.lit(None).cast("bigint") for c in ("aligned", "laid")})
+    base = F.when(F.col("merged") > 0, F.col("merged")).otherwise(F.col("raw"))
+    stages = [
+        ("raw-reads", "raw", F.col("raw"), True),
+        ("merged-reads", "merged", F.col("raw"), merged is not None),
+        ("reads-with-adapters", "adapters", base, adapters is not None),
+        ("quality-filtered-reads", "filtered", base, True),
+        ("clustered-reads", "clustered", F.lit(None).cast("bigint"), clustered is not None),
+        ("aligned-reads", "aligned", F.col("laid"), alignments is not None),
+    ]
+    lines = []
+    for k, (name, n, of, asked) in enumerate(stages):
+        if asked:
+            n = F.coalesce(n, F.lit(0))
+            pct = F.bround(F.when(of > 0, n * 100.0 / of), 1)
+            lines.append(F.struct(F.lit(k).alias("step"), F.lit(name).alias("class"), n.alias("n"), pct.alias("pct")))
+    return wide.select("sample", F.inline(F.array(*lines)))

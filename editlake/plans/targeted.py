@@ -442,3 +442,54 @@ def guide_count(spark, sf_dir):
     seq = F.concat(*[F.get(bases, (F.floor(i / 4**k) % 4).cast("int")) for k in range(5)])
     lib = spark.range(1024).select(F.concat(F.lit("l"), i.cast("string")).alias("guide"), F.concat(F.lit("gene"), (i % 7).cast("string")).alias("gene"), seq.alias("sequence"))
     return count_guides(b.reads(spark, sf_dir), lib, 5, 5)
+
+
+#: The amplicon with three bases changed, a deletion of six bases that fits one place only, and an insertion of six.
+CHANGED = A[:40] + A[40:43].translate(str.maketrans("ACGT", "TGCA")) + A[43:]
+GONE, PUT = 31, "TGTGTG"
+TEMPLATES = [CHANGED[1:101], A[:GONE] + A[GONE + 6 : 100 + 6], A[2 : 2 + 50] + PUT + A[52:102], A[:100]]
+
+
+@query(f"""SELECT s_suppkey, CAST(1 + s_suppkey % 3 AS BIGINT) AS pos, CASE WHEN s_suppkey % 2 = 0 THEN '100M' ELSE ({GONE} - s_suppkey % 3)::BIGINT || 'M6D55M' END AS cigar FROM supplier""")
+def template_align(spark, sf_dir):
+    """Templates with changed bases, or with a deletion, on the amplicon."""
+    p = 1 + F.col("s_suppkey") % 3
+    changed = F.lit(CHANGED).substr(p.cast("int"), F.lit(100))
+    gone = F.concat(F.lit(A).substr(p.cast("int"), (GONE + 1 - p).cast("int")), F.lit(A[GONE + 6 : GONE + 61]))
+    rows = b.table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, changed).otherwise(gone).alias("template"), F.lit(A).alias("reference"))
+    return t.template_alignments(rows).select("s_suppkey", F.col("pos").cast("bigint").alias("pos"), "cigar")
+
+
+TEMPLATE_READS_SQL = f"""{b.ALIGN_SQL},
+lettered AS (SELECT *, substr(CASE WHEN l_partkey % 5 = 0 THEN '{CHANGED}' ELSE '{A}' END, pos, CASE cigar WHEN '60M' THEN 60 ELSE 100 END) AS body FROM ops),
+borne AS (SELECT sample, qname, 'subs' AS kind FROM lettered WHERE sample = 0 AND len(kinds) = 1 AND substr(body, 42 - pos, 3) = '{CHANGED[40:43]}' AND EXISTS (SELECT 1 FROM ops WHERE sample = 0 AND pos = 2 AND cigar = '100M')
+  UNION ALL SELECT sample, qname, 'dels-in' FROM ops WHERE sample = 1 AND pos = 1 AND cigar = '{GONE}M6D{100 - GONE}M'
+  UNION ALL SELECT sample, qname, 'ins-in' FROM ops WHERE sample = 2 AND pos = 3 AND cigar = '50M6I50M')"""
+
+
+@query(f"WITH {TEMPLATE_READS_SQL} SELECT sample, qname, kind FROM borne")
+def template_reads(spark, sf_dir):
+    """Reads with the template's edit: changed bases in sample 0, a deletion in 1, an insertion in 2; sample 3's template changes nothing."""
+    templates = spark.createDataFrame([(k, x, A) for k, x in enumerate(TEMPLATES)], "sample bigint, template string, reference string")
+    letters = F.when(F.col("l_partkey") % 5 == 0, F.lit(CHANGED)).otherwise(F.lit(A))
+    clipped = F.when(F.col("raw_cigar").startswith("5S"), F.lit("GGGGG")).otherwise(F.lit(""))
+    body = letters.substr(F.col("pos").cast("int"), F.when(F.col("cigar") == "60M", 60).otherwise(100))
+    return t.template_reads(aligned(spark, sf_dir).withColumn("seq", F.concat(clipped, body)), t.template_alignments(templates))
+
+
+RUN_SQL = f"""{b.READS_SQL.replace("reads AS (", "reads AS MATERIALIZED (")},
+c AS (SELECT sample, count(*) AS raw, count(*) FILTER (WHERE len(seq) >= 80) AS filtered, count(*) FILTER (WHERE len(seq) >= 100 AND len(sample) % 2 = 0) AS merged,
+  count(*) FILTER (WHERE instr(seq, 'ACGT') > 0) AS adapters, count(DISTINCT left(seq, 6)) AS clustered, count(*) FILTER (WHERE instr(seq, 'CA') > 0) AS aligned FROM reads GROUP BY sample),
+d AS (SELECT *, CASE WHEN merged > 0 THEN merged ELSE raw END AS base FROM c WHERE filtered > 0),
+lines AS (SELECT sample, unnest([0, 1, 2, 3, 4, 5]) AS step, unnest(['raw-reads', 'merged-reads', 'reads-with-adapters', 'quality-filtered-reads', 'clustered-reads', 'aligned-reads']) AS class,
+  unnest([raw, merged, adapters, filtered, clustered, aligned]) AS n, unnest([raw, raw, base, base, NULL, raw]) AS total FROM d)"""
+
+
+@query(f"WITH {RUN_SQL} SELECT sample, step, class, n, round_even(n * 100.0e0 / total, 1) AS pct FROM lines")
+def run_summary(spark, sf_dir):
+    """A sample's reads through a run: merged in every other sample, clustered by their first six bases."""
+    raw = b.reads(spark, sf_dir)
+    merged = raw.filter((F.length("seq") >= 100) & (F.length("sample") % 2 == 0))
+    clustered = raw.select("sample", F.left("seq", F.lit(6)).alias("first")).distinct()
+    laid = raw.select("sample", F.col("seq").contains("CA").alias("mapped"))
+    return t.run_summary(raw, t.quality_mask(raw), merged, raw.filter(F.col("seq").contains("ACGT")), clustered, laid)
