@@ -445,7 +445,7 @@ def merge_pairs(df: DataFrame, min_overlap: int = 10, level: float = 0.01) -> Da
 
 @dataclass(frozen=True)
 class UmiDesign:
-    """Contexts, UMI patterns, how many bases at either end are searched and how many errors are allowed."""
+    """Contexts, UMI patterns, how many bases at either end are searched and how many errors UMIs and contexts may have."""
 
     fwd_context: str
     rev_context: str
@@ -453,25 +453,36 @@ class UmiDesign:
     rev_umi: str
     adapter_length: int = 250
     max_error: int = 2
+    context_error: int = 5
 
 
-def extract_umis(reads: DataFrame, d: UmiDesign) -> DataFrame:
-    """(sample, read_id, strand, fwd_dist, rev_dist, fwd_seq, rev_seq, umi, seq) of reads longer than the adapter length in
-    which both UMI patterns are found with at most ``max_error`` errors.
+def seek_umis(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
+    """(sample, read_id, strand, fwd_dist, rev_dist, fwd_seq, rev_seq, seq) of reads longer than the adapter length, with the best place of
+    each UMI pattern, however many errors it has.
 
-    The strand is + if the forward context is nearer the read's beginning than the reverse one.
+    The strand is + if the forward context is nearer the read's beginning than the reverse one. A context with more than ``context_error``
+    errors is not there: then it counts as farther than any (``intended``) or nearer than any (``as_written``). Nulls have no strand but -.
     """
     edits = aligner("global-local", PROFILES["edits"])
     rows = reads.filter(F.length("seq") > d.adapter_length)
     rows = rows.withColumns({"head": F.left("seq", F.lit(d.adapter_length)), "tail": F.right("seq", F.lit(d.adapter_length))})
-    near = lambda c: -edits(F.lit(c), F.col("head"))["score"]
-    strand = F.when(near(d.fwd_context) < near(d.rev_context), "+").otherwise("-")
+    absent = {"intended": float("inf"), "as_written": -1.0}[strands]
+    far = lambda c: -edits(F.lit(c), F.col("head"))["score"]
+    rows = rows.withColumns({"cf": far(d.fwd_context), "cr": far(d.rev_context)})
+    near = lambda c: F.when(F.col(c) <= d.context_error, F.col(c)).otherwise(absent)
+    strand = F.when(near("cf") < near("cr"), "+").otherwise("-")
     rows = rows.withColumns({"strand": strand, "f": edits(F.lit(d.fwd_umi), F.col("head")), "r": edits(F.lit(d.rev_umi), F.col("tail"))})
     cut = lambda text, a: F.col(text).substr(F.col(f"{a}.start"), F.col(f"{a}.end") - F.col(f"{a}.start") + 1)
-    rows = rows.select(
+    return rows.select(
         "sample", "read_id", "strand", (-F.col("f.score")).cast("int").alias("fwd_dist"), (-F.col("r.score")).cast("int").alias("rev_dist"),
         cut("head", "f").alias("fwd_seq"), cut("tail", "r").alias("rev_seq"), "seq",
-    ).filter(F.greatest("fwd_dist", "rev_dist") <= d.max_error)
+    )
+
+
+def extract_umis(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
+    """The rows of :func:`seek_umis` in which both UMI patterns are found with at most ``max_error`` errors, and umi: both UMIs in the
+    forward strand's order."""
+    rows = seek_umis(reads, d, strands).filter(F.greatest("fwd_dist", "rev_dist") <= d.max_error)
     back = F.concat(q.revcomp(F.col("rev_seq")), q.revcomp(F.col("fwd_seq")))
     return rows.withColumn("umi", F.when(F.col("strand") == "+", F.concat("fwd_seq", "rev_seq")).otherwise(back))
 
@@ -482,6 +493,17 @@ def umi_statistics(umis: DataFrame) -> DataFrame:
     return n.withColumn("ratio", F.when(F.col("rev") == 0, -1.0).otherwise(F.try_divide(F.col("fwd").cast("double"), F.col("rev"))))
 
 
+def extraction_report(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
+    """(sample, n_reads, fwd, rev, ratio, both, pct): all reads of a sample, the strands of those that are long enough, those with both
+    UMIs, and their share of all reads in percent. ratio is -1 without reverse reads."""
+    sought = seek_umis(reads, d, strands)
+    found = sought.withColumn("both", F.coalesce(F.greatest("fwd_dist", "rev_dist") <= d.max_error, F.lit(False)))
+    n = found.groupBy("sample").agg(F.count_if(F.col("strand") == "+").alias("fwd"), F.count_if(F.col("strand") == "-").alias("rev"), F.count_if("both").alias("both"))
+    rows = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("n_reads")).join(n, "sample", "left").na.fill(0, ["fwd", "rev", "both"])
+    ratio = F.when(F.col("rev") == 0, -1.0).otherwise(F.try_divide(F.col("fwd").cast("double"), F.col("rev")))
+    return rows.select("sample", "n_reads", "fwd", "rev", ratio.alias("ratio"), "both", (F.col("both") * 100.0 / F.col("n_reads")).alias("pct"))
+
+
 def umi_pairs(umis: DataFrame, identity: float, longest: int, shortest: int) -> DataFrame:
     """(sample, a, b): different UMIs of a sample whose alignment matches at least ``identity`` of the shorter one.
 

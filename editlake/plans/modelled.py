@@ -207,6 +207,15 @@ def umi_stats_planted(spark, sf_dir):
     return made.select("sample", "fwd", "rev", F.round("ratio", 6).alias("ratio"))
 
 
+@query(f"""WITH {PLANT_SQL}, n AS (SELECT sample, count(*) AS n_reads, count(*) FILTER (WHERE strand = '+' AND s_suppkey % 5 > 0) AS fwd, count(*) FILTER (WHERE strand = '-' AND s_suppkey % 5 > 0) AS rev FROM planted GROUP BY sample)
+SELECT sample, n_reads, fwd, rev, CASE WHEN rev = 0 THEN -1.0e0 ELSE round(fwd / CAST(rev AS DOUBLE), 6) END AS ratio, fwd + rev AS both, round((fwd + rev) * 100.0e0 / n_reads, 6) AS pct FROM n""")
+def umi_report(spark, sf_dir):
+    """Planted reads, a fifth of them too short to be searched."""
+    rows = planted_reads(spark, sf_dir)
+    short = F.when(F.col("read_id") % 5 == 0, F.left("seq", F.lit(UMI.adapter_length))).otherwise(F.col("seq"))
+    return rounded(rounded(align.extraction_report(rows.withColumn("seq", short), UMI), "ratio"), "pct")
+
+
 @query(f"""SELECT s_suppkey, substr('{A}', 1, 30) || 'GATTACA' || substr('{A}', 41) AS template_reference FROM supplier""")
 def template_reference(spark, sf_dir):
     """A template whose arms lie 10 bases apart in the amplicon, every other one on the reverse strand."""
