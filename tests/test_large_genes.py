@@ -44,3 +44,11 @@ def test_rho_of_a_gene_of_many_guides(spark):
         log = lambda q: beta.log_gamma(np.array([401.0])) - beta.log_gamma(i + 1.0) - beta.log_gamma(401.0 - i) + i * np.log(q) + (400 - i) * np.log1p(-q)
         want = min(np.exp(log(q))[k:].sum() for k, q in enumerate(u[seen], 1))
         assert got[gene].num == 400 and got[gene].good == seen.sum() and got[gene].rho == pytest.approx(want, rel=1e-9)
+
+
+def test_quantiles_over_ranges(spark):
+    df = spark.range(3001).selectExpr("double(id * 7919 % 1009) a", "if(id % 3 = 0, null, -id / 7D) b", "1.5D c")
+    got = stats.quantiles(df.repartition(5), ["a", "b", "c"], 0.68).collect()
+    want = df.agg(*[F.percentile(c, F.lit(0.68)).alias(c) for c in "abc"]).first()
+    assert len(got) == 1 and got[0] == want
+    assert stats.quantiles(df.limit(0), ["a"], 0.5).collect()[0].a is None
