@@ -61,17 +61,86 @@ def align_batch(queries: list[str], subjects: list[str], mode: str, s: Scores) -
 
     Modes: global; global-local (the whole query inside the subject, also for edit distance); local.
     """
-    m, n = np.array([len(x) for x in queries]), np.array([len(x) for x in subjects])
+    m, n = np.array([len(x) for x in queries], int), np.array([len(x) for x in subjects], int)
     rows, cols = int(m.max(initial=0)), int(n.max(initial=0))
-    # The whole table is a band that doesn't move.
-    return _fill(_codes(queries, rows), _codes(subjects, cols), m, n, np.zeros(len(m), int), cols + 1, False, mode, s)
+    return _fill_whole(_codes(queries, rows), _codes(subjects, cols), m, n, mode, s)
+
+
+def _fill_whole(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, mode: str, s: Scores) -> list[tuple[float, int, int, str]]:
+    """As :func:`align_batch`, from whole tables: place by pair, so that a step to the left is one to the row above and all pairs go side by
+    side. No cell depends on one right of it or below, so those beyond a pair's ends are filled too and only never taken."""
+    pairs, rows, cols = len(m), x.shape[1], y.shape[1]
+    costs = (s.match, s.mismatch, s.gap_open, s.gap_extend)
+    whole = all(float(c).is_integer() for c in costs) and max(map(abs, costs)) * (rows + cols + 2) < -NEVER / 2
+    kind = np.int32 if whole else np.float64
+    match, mismatch, gap_open, gap_extend = (kind(c) for c in costs)
+    never, both = kind(NEVER), gap_open + gap_extend
+    x, y = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    local, free = mode == "local", mode in ("global-local", "local")
+    cell = np.arange(cols + 1)
+    ramp = (gap_extend * cell).astype(kind)[:, None]
+    beyond = cell[:, None] > n if (n < cols).any() else None
+    h = np.zeros((cols + 1, pairs), kind)
+    if not free:
+        h[1:] = -gap_open - ramp[1:]
+    f, e = np.full((cols, pairs), never, kind), np.full((cols + 1, pairs), never, kind)
+    base, score = np.empty((cols + 1, pairs), kind), np.empty((cols + 1, pairs), kind)
+    trace = np.zeros((rows + 1, cols + 1, pairs), np.uint8)
+    if not free:
+        trace[0, 1:] = 2 | 4
+    best, bi, bj = np.full(pairs, never, kind), np.zeros(pairs, int), np.zeros(pairs, int)
+
+    def take(i: int, h: np.ndarray) -> None:
+        asked = np.flatnonzero(i <= m if local else m == i)
+        if not len(asked):
+            return
+        if mode == "global":
+            best[asked], bi[asked], bj[asked] = h[n[asked], asked], i, n[asked]
+            return
+        seen = h if beyond is None else np.where(beyond, never, h)
+        better = asked[seen.max(0)[asked] > best[asked]]
+        if len(better):
+            at = seen[:, better].argmax(0)
+            best[better], bi[better], bj[better] = seen[at, better], i, at
+
+    take(0, h)
+    for i in range(1, rows + 1):
+        opened, longer = h[1:] - both, f - gap_extend
+        flag = (longer > opened).view(np.uint8) << 3
+        np.maximum(opened, longer, out=f)
+        score[0] = 0 if local else -gap_open - gap_extend * i
+        cells = score[1:]
+        np.add(h[:-1], np.where(x[i - 1] & y, match, mismatch), out=cells)
+        base[0] = score[0]
+        np.maximum(cells, f, out=base[1:])
+        if local:
+            np.maximum(base, 0, out=base)
+        # A gap opens from a cell that doesn't end in one, so the best beginning is a running maximum along the row.
+        base += ramp
+        np.maximum.accumulate(base, axis=0, out=base)
+        np.subtract(base[:-1], gap_open + ramp[1:], out=e[1:])
+        gap = e[1:] > cells
+        np.maximum(cells, e[1:], out=cells)
+        up = f > cells
+        np.maximum(cells, f, out=cells)
+        way = np.where(up, np.uint8(3), gap.view(np.uint8) + np.uint8(1))
+        if local:
+            way *= cells > 0
+            np.maximum(cells, 0, out=cells)
+        flag |= (e[:-1] - gap_extend > score[:-1] - both).view(np.uint8) << 2
+        np.bitwise_or(way, flag, out=trace[i, 1:])
+        trace[i, 0] = 0 if local else 3 | 8
+        h, score = score, h
+        take(i, h)
+    tables = np.ascontiguousarray(trace.transpose(2, 0, 1))
+    return [_path(tables[k].tobytes(), cols + 1, 0, 0, int(bi[k]), int(bj[k]), int(m[k]), float(best[k]), mode) for k in range(pairs)]
 
 
 def _fill(
     x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, first: np.ndarray, width: int, moves: bool, mode: str, s: Scores
 ) -> list[tuple[float, int, int, str]]:
     """As :func:`align_batch`, filling ``width`` cells a row: those of the subject's places from ``first`` on, a place
-    farther on in each row if the band ``moves``."""
+    farther on in each row if the band ``moves``. (:func:`_fill_whole` is quicker for whole tables.)"""
     b, rows = len(m), x.shape[1]
     free = mode in ("global-local", "local")
     cell, step = np.arange(width), int(moves)
@@ -142,14 +211,14 @@ def _fill(
         trace[i] = np.where(at_edge, 0 if mode == "local" else 3 | 8, way | flag)
         h = score
         take(i, j, inside)
-    return [_path(trace[:, k], int(first[k]), step, int(bi[k]), int(bj[k]), int(m[k]), float(best[k]), mode) for k in range(b)]
+    return [_path(trace[:, k].tobytes(), width, int(first[k]), step, int(bi[k]), int(bj[k]), int(m[k]), float(best[k]), mode) for k in range(b)]
 
 
-def _path(trace: np.ndarray, first: int, step: int, i: int, j: int, m: int, score: float, mode: str) -> tuple[float, int, int, str]:
-    """The result of a pair whose alignment ends at (i, j), walked back along ``trace``."""
+def _path(trace: bytes, width: int, first: int, step: int, i: int, j: int, m: int, score: float, mode: str) -> tuple[float, int, int, str]:
+    """The result of a pair whose alignment ends at (i, j), walked back along ``trace``, ``width`` cells a row."""
     free, end, last, ops, state = mode in ("global-local", "local"), j, i, [], 0
     while True:
-        t = int(trace[i, j - first - step * i])
+        t = trace[i * width + j - first - step * i]
         if state == 0:
             if i == 0 and (free or j == 0) or t & 3 == 0:
                 break
