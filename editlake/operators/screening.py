@@ -5,6 +5,10 @@ Counts are long: (guide, gene, sample, count). Windows run over guides or genes
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,15 +166,15 @@ def drug_scores(changes: DataFrame, half_window: int = 500, min_obs: int = 1) ->
 
 def pooled_changes(counts: DataFrame, control: list[str], samples: list[str], min_reads: float = 0, pseudo: float = 5.0) -> DataFrame:
     """(guide, gene, sample, fc) against the sum of the control samples; the pseudocount goes to every column first,
-    so that ``min_reads`` is compared with the control after it."""
+    so that ``min_reads`` is compared with the control after it. The sums (one row a guide and sample) are read three times and kept."""
     keep = counts.filter(F.col("sample").isin(control + samples))
     keep = keep.withColumn("sample", F.when(F.col("sample").isin(control), F.lit("control")).otherwise(F.col("sample")))
-    summed = keep.groupBy("guide", "gene", "sample").agg((F.sum("count") + pseudo).alias("count"))
+    summed = keep.groupBy("guide", "gene", "sample").agg((F.sum("count") + pseudo).alias("count")).persist()
     totals = summed.groupBy("sample").agg(F.sum("count").alias("total"))
     summed = summed.join(F.broadcast(totals), "sample").withColumn("norm", F.col("count") * SCALE / F.col("total"))
     base = summed.filter((F.col("sample") == "control") & (F.col("count") >= min_reads))
     base = base.select("guide", F.col("norm").alias("base"))
-    rest = summed.filter("sample <> 'control'").join(base, "guide")
+    rest = summed.filter("sample <> 'control'").join(base.hint("merge"), "guide")  # a row a guide: never broadcast
     return rest.select("guide", "gene", "sample", F.log2(F.col("norm") / F.col("base")).alias("fc"))
 
 
@@ -179,16 +183,41 @@ def grid(spark, low: int = -1000, high: int = 200) -> DataFrame:
     return spark.range(low, high).select(F.col("id").alias("k"))
 
 
+def kernel_sums(values: DataFrame, points: DataFrame) -> DataFrame:
+    """(iteration, k, s): at each of the fixed ``points`` (k) the sum of ``w`` times the Gaussian kernel over ``values`` (iteration, x, w, bw).
+
+    Kernels are summed in numpy by partition, then by key, so that no pair of a value and a point is a row.
+    """
+    ks = np.array([r.k for r in points.sort("k").collect()], np.int64)  # the grid: a fixed number
+    kind = values.schema["iteration"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            iteration, x, w, bw = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            for one in np.unique(iteration):
+                mine = np.flatnonzero(iteration == one)
+                for a in range(0, len(mine), 256):
+                    at = mine[a : a + 256]
+                    u = (ks / 100.0 - x[at, None]) / bw[at, None]
+                    held[one] = held.get(one, 0.0) + w[at].astype(float) @ np.exp(-u * u / 2)
+        for one, sums in held.items():
+            columns = [pa.array(np.full(len(ks), one)), pa.array(ks), pa.array(sums, pa.float64(), from_pandas=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["iteration", "k", "s"])
+
+    rows = values.select("iteration", "x", "w", "bw").mapInArrow(run, f"iteration {kind}, k bigint, s double")
+    return rows.groupBy("iteration", "k").agg(F.sum("s").alias("s"))
+
+
 def density(points: DataFrame, values: DataFrame) -> DataFrame:
     """(k, density): Gaussian kernel density of ``values`` (x) at k / 100, with Scott's bandwidth.
 
-    The grid has a fixed number of points and goes to every task; values are summed partially before the shuffle.
+    Equal values are looked at once, with their number. The grid has a fixed number of points.
     """
     shape = values.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"))
     shape = shape.select("n", stats.scott_bandwidth(F.col("n"), F.col("sd")).alias("bw"))
-    u = (F.col("k") / 100.0 - F.col("x")) / F.col("bw")
-    pairs = values.select("x").join(F.broadcast(points)).join(F.broadcast(shape))
-    out = pairs.groupBy("k").agg(F.sum(F.exp(-u * u / 2)).alias("s"), F.max("n").alias("n"), F.max("bw").alias("bw"))
+    different = values.filter("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("w")).join(F.broadcast(shape))
+    out = kernel_sums(different.withColumn("iteration", F.lit(0)), points).join(F.broadcast(shape))
     return out.select("k", (F.col("s") / (F.col("n") * F.col("bw") * 2.5066282746310002)).alias("density"))
 
 

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def guides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(guide, gene, part_type) of the guides that were ever seen."""
     seen = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey")).distinct()
-    part = table(spark, sf_dir, "part").join(seen, "p_partkey", "left_semi")
+    part = table(spark, sf_dir, "part").join(seen.hint("merge"), "p_partkey", "left_semi")  # a row a guide: never broadcast
     return part.select(
         F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("guide"),
         F.concat_ws("_", "p_brand", "p_type").alias("gene"),

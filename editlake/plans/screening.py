@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from editlake.functions import stats
 from editlake.operators import resampling as r
 from editlake.operators import screening as s
+from editlake.scratch import materialize
 
 from . import bindings as b
 
@@ -88,7 +89,7 @@ def cpm10m(spark, sf_dir):
 
 
 def changes(spark, sf_dir):
-    return s.paired_changes(counts(spark, sf_dir), b.CONTROL, b.TREATMENT)
+    return s.paired_changes(counts(spark, sf_dir).persist(), b.CONTROL, b.TREATMENT)  # guide-level, read four times
 
 
 @query(f"WITH {FC_SQL} SELECT guide, gene, replicate, raw_control, round(fc, 6) AS fc FROM fc")
@@ -189,15 +190,15 @@ class Screen:
     """The Bayes-factor inputs of the bindings."""
 
     def __init__(self, spark, sf_dir):
-        # Guide-level and read by every step below: kept, on disk if need be, and made anew if an executor is lost.
-        self.fc = s.pooled_changes(counts(spark, sf_dir), b.CONTROL, b.TREATMENT).persist()
-        self.ess, self.non = gene_set(spark, sf_dir, b.ESSENTIAL), gene_set(spark, sf_dir, b.NONESSENTIAL)
+        # Guide-level and read by every step below: written once.
+        self.fc = materialize(s.pooled_changes(counts(spark, sf_dir), b.CONTROL, b.TREATMENT), "fold-changes")
+        self.ess, self.non = (materialize(gene_set(spark, sf_dir, x), "genes") for x in (b.ESSENTIAL, b.NONESSENTIAL))
 
     def genes(self):
         return self.fc.select("gene").distinct()
 
     def both(self):
-        return s.densities(self.fc, self.ess, self.non).persist()  # one row a grid point
+        return materialize(s.densities(self.fc, self.ess, self.non), "densities")  # one row a grid point
 
     def interval(self, both):
         return s.valid_interval(both, self.fc, self.non)
