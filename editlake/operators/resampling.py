@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editlake.functions import stats
+from editlake.scratch import materialize
 
-from .screening import grid
+from .screening import grid, kernel_sums
 
 
 def hex_number(text: Column, digits: int = 7) -> Column:
@@ -37,16 +38,21 @@ def bootstrap_draws(genes: DataFrame, rounds: int = 1000, seed: int = 0) -> Data
 
 
 def grouped_density(points: DataFrame, values: DataFrame) -> DataFrame:
-    """(iteration, k, density): Gaussian kernel densities, with Scott's bandwidth, of each iteration's ``values`` (iteration, x).
+    """(iteration, k, density): Gaussian kernel densities, with Scott's bandwidth, of each iteration's ``values`` (iteration, x, w), ``w`` times each.
 
     ``points`` is (k) of a fixed number, or (iteration, k).
     """
-    shape = values.groupBy("iteration").agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"))
-    shape = shape.select("iteration", "n", stats.scott_bandwidth(F.col("n"), F.col("sd")).alias("bw"))
+    n, x, w = F.sum("w"), F.col("x"), F.col("w")
+    shape = values.groupBy("iteration").agg(n.alias("n"), (F.sum(w * x) / n).alias("mean"), F.sum(w * x * x).alias("squares"))
+    sd = F.sqrt(F.try_divide(F.greatest(F.col("squares") - F.col("n") * F.col("mean") * F.col("mean"), F.lit(0.0)), F.col("n") - 1))
+    shape = shape.select("iteration", "n", stats.scott_bandwidth(F.col("n"), sd).alias("bw"))
     rows = values.join(shape, "iteration")
-    pairs = rows.join(points, "iteration") if "iteration" in points.columns else rows.join(F.broadcast(points))
-    u = (F.col("k") / 100.0 - F.col("x")) / F.col("bw")
-    out = pairs.groupBy("iteration", "k").agg(F.sum(F.exp(-u * u / 2)).alias("s"), F.max("n").alias("n"), F.max("bw").alias("bw"))
+    if "iteration" in points.columns:
+        u = (F.col("k") / 100.0 - F.col("x")) / F.col("bw")
+        sums = rows.join(points, "iteration").groupBy("iteration", "k").agg(F.sum(w * F.exp(-u * u / 2)).alias("s"))
+    else:
+        sums = kernel_sums(rows, points)
+    out = sums.join(shape, "iteration")
     return out.select("iteration", "k", (F.col("s") / (F.col("n") * F.col("bw") * 2.5066282746310002)).alias("density"))
 
 
@@ -57,10 +63,21 @@ def _both(points: DataFrame, train: DataFrame, essential: DataFrame, nonessentia
 
 
 def _scored(rows: DataFrame, drawn: DataFrame, fits: DataFrame) -> DataFrame:
-    """``rows`` (gene, x, ...) in every iteration that did not draw the gene, with its fit's ``bf``."""
+    """``rows`` (gene, sum, n), the sums of x and their numbers, in every iteration that did not draw the gene, with the sum of its fit's ``bf``."""
     every = rows.join(F.broadcast(fits))  # one row an iteration
     every = every.join(drawn, ["iteration", "gene"], "left_anti")
-    return every.withColumn("bf", F.col("slope") * F.col("x") + F.col("intercept"))
+    return every.withColumn("bf", F.col("slope") * F.col("sum") + F.col("intercept") * F.col("n"))
+
+
+def _fitted(points: DataFrame) -> DataFrame:
+    """(iteration, slope, intercept): least squares of y on k / 100 over ``points`` (iteration, k, y, w), ``w`` times each."""
+    of = Window.partitionBy("iteration")  # a row a grid point
+    mean = lambda c: F.sum(F.col("w") * F.col(c)).over(of) / F.sum("w").over(of)
+    rows = points.withColumns({"mk": mean("k"), "my": mean("y")})
+    x = (F.col("k") - F.col("mk")) / 100.0
+    slope = F.try_divide(F.sum(F.col("w") * x * (F.col("y") - F.col("my"))), F.sum(F.col("w") * x * x))
+    out = rows.groupBy("iteration").agg(slope.alias("slope"), F.first("mk").alias("mk"), F.first("my").alias("my"))
+    return out.select("iteration", "slope", (F.col("my") - F.col("slope") * F.col("mk") / 100.0).alias("intercept"))
 
 
 def _summary(rows: DataFrame) -> DataFrame:
@@ -69,22 +86,28 @@ def _summary(rows: DataFrame) -> DataFrame:
 
 
 def resampled_factors(fc: DataFrame, essential: DataFrame, nonessential: DataFrame, drawn: DataFrame) -> DataFrame:
-    """(gene, bf, sd, num_obs): mean and SD over the iterations in which a gene was scored, of its guides' and samples' sum."""
-    rows = fc.select("gene", F.col("fc").alias("x"))
+    """(gene, bf, sd, num_obs): mean and SD over the iterations in which a gene was scored, of its guides' and samples' sum.
+
+    A gene's equal fold changes are one row with their number in every iteration, and a gene is scored by the sum of its fold changes. What
+    several steps read is written once, so that no step's plan holds all steps before it.
+    """
+    rows = fc.groupBy("gene", F.col("fc").alias("x")).agg(F.count(F.lit(1)).alias("w"))
+    rows, drawn = materialize(rows, "fold-changes"), materialize(drawn, "drawn")
     train = rows.join(drawn, "gene")
-    both = _both(grid(fc.sparkSession), train, essential, nonessential).persist()  # one row an iteration and grid point
+    both = materialize(_both(grid(fc.sparkSession), train, essential, nonessential), "densities")  # one row an iteration and grid point
     n = drawn.join(nonessential, "gene", "left_semi").groupBy("iteration").agg(F.count("gene").alias("n"))
     limit = n.select("iteration", stats.fold_change_threshold(F.col("n")).alias("limit"))
     ends = both.join(limit, "iteration").filter("non > limit").groupBy("iteration").agg(F.min("k").alias("xmin"), F.max("k").alias("last"))
     ratio = F.log2(F.col("ess") / F.col("non"))
     inside = both.join(ends, "iteration").filter("k >= xmin and k < last and non > 0 and ess > 0")
     ends = inside.groupBy("iteration").agg(F.min("xmin").alias("xmin"), F.min_by("k", F.struct(ratio, "k")).alias("xmax"))
+    ends = materialize(ends, "ends")  # one row an iteration
     lookup = both.join(ends, "iteration").filter("k between xmin and xmax").select("iteration", "k", ratio.alias("log_ratio"))
     points = train.join(ends, "iteration").filter("x * 100 between xmin and xmax")
-    points = points.select("iteration", F.rint(F.col("x") * 100).cast("bigint").alias("k")).join(lookup, ["iteration", "k"])
-    y, x = F.col("log_ratio"), F.col("k") / 100.0
-    fits = points.groupBy("iteration").agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
-    return _summary(_scored(rows, drawn, fits).groupBy("iteration", "gene").agg(F.sum("bf").alias("bf")))
+    points = points.groupBy("iteration", F.rint(F.col("x") * 100).cast("bigint").alias("k")).agg(F.sum("w").alias("w"))
+    fits = _fitted(points.join(lookup, ["iteration", "k"]).withColumnRenamed("log_ratio", "y"))
+    genes = rows.groupBy("gene").agg(F.sum(F.col("w") * F.col("x")).alias("sum"), F.sum("w").alias("n"))
+    return _summary(_scored(genes, drawn, fits))
 
 
 def network_factors(scores: DataFrame, bf: DataFrame, essential: DataFrame, nonessential: DataFrame, drawn: DataFrame) -> DataFrame:
@@ -93,7 +116,7 @@ def network_factors(scores: DataFrame, bf: DataFrame, essential: DataFrame, none
     Each iteration fits log2 of the two sets' densities at the scores themselves, between the least grid point below the essential
     scores' mean whose ratio exceeds -5 and the greatest one above the non-essential ones' mean whose ratio is below 5.
     """
-    rows = scores.select("gene", F.col("boost").alias("x"))
+    rows = scores.select("gene", F.col("boost").alias("x"), F.lit(1).alias("w"))
     train = rows.join(drawn, "gene").persist()  # one row an iteration and gene
     sides = []
     for genes, name in ((essential, "ess"), (nonessential, "non")):
@@ -114,6 +137,7 @@ def network_factors(scores: DataFrame, bf: DataFrame, essential: DataFrame, none
     used = used.join(dense, ["iteration", "k"]).filter("ess > 0 and non > 0")
     y, x = F.log2(F.col("ess") / F.col("non")), F.rint(F.col("x") * 100) / 100
     fits = used.groupBy("iteration").agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
-    boost = _summary(_scored(rows, drawn, fits).select("iteration", "gene", "bf")).select("gene", F.col("bf").alias("boost"))
+    genes = rows.select("gene", F.col("x").alias("sum"), F.col("w").alias("n"))
+    boost = _summary(_scored(genes, drawn, fits).select("iteration", "gene", "bf")).select("gene", F.col("bf").alias("boost"))
     out = bf.select("gene", "bf").join(boost, "gene", "left").withColumn("boost", F.coalesce("boost", F.lit(0.0)))
     return out.withColumn("boosted", F.col("bf") + F.col("boost"))
