@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from editlake.functions import seq as q
 from editlake.operators import targeted as t
+from editlake.scratch import materialize
 
 from . import bindings as b
 
@@ -34,17 +35,46 @@ def called(spark, sf_dir):
     return t.call_variants(t.collapse(aligned(spark, sf_dir)))
 
 
-def indel_reads(spark, sf_dir):
-    return t.reads_of(t.all_events(called(spark, sf_dir)), aligned(spark, sf_dir))
+class Calls:
+    """What is called from the alignments. They are collapsed once: a row a sample, CIGAR and place is all that calling needs."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.collapsed = materialize(t.collapse(aligned(spark, sf_dir)), "collapsed")
+        self.called = t.call_variants(self.collapsed)
+        self.events = materialize(t.all_events(self.called), "events")
+
+    def samples(self):
+        return self.collapsed.select("sample").distinct()
+
+    def genotypes(self):
+        """The reads' different genotypes: every event has a read."""
+        return self.events.select("sample", "start", "length", F.col("class").alias("modification")).distinct()
+
+    def reads(self):
+        return t.reads_of(self.events, aligned(self.spark, self.sf_dir))
+
+    def wild_type(self):
+        return t.wild_type_counts(self.called)
+
+
+def indel_reads(spark, sf_dir, calls=None):
+    return (calls or Calls(spark, sf_dir)).reads()
 
 
 def read_of(rows, spark, sf_dir):
-    """Sequence and quality of the read that a line item is bound to: one of the reads of one document."""
-    docs = b.letters(spark, sf_dir).select("doc_id", "letters", "n_reads")
+    """Sequence and quality of the read that a line item is bound to: one of the reads of one document.
+
+    A document is cut into its reads before it meets its line items, of which each takes one by its number.
+    """
+    docs = b.letters(spark, sf_dir).select("doc_id", F.regexp_extract_all("letters", F.lit(f".{{1,{b.READ_LENGTH}}}"), F.lit(0)).alias("cuts"))
+    every = lambda name: F.transform("cuts", lambda x: b.turned(x, name)).alias(f"{name}s")
+    docs = docs.select("doc_id", F.size("cuts").cast("bigint").alias("n_reads"), *[every(c) for c in b.LETTERS_TO])
     n = b.table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))  # one row
     keyed = rows.join(F.broadcast(n)).withColumn("doc_id", F.col("l_partkey") % F.col("n_docs")).drop("n_docs")
-    read_no = F.col("l_orderkey") % F.when(F.col("n_reads") > 0, F.col("n_reads"))
-    return keyed.join(docs, "doc_id", "left").withColumns(b.read_at(read_no)).drop("doc_id", "letters", "n_reads")
+    read_no = (F.col("l_orderkey") % F.when(F.col("n_reads") > 0, F.col("n_reads"))).cast("int")
+    out = keyed.join(docs, "doc_id", "left").withColumns({c: F.get(f"{c}s", read_no) for c in b.LETTERS_TO})
+    return out.drop("doc_id", "n_reads", *[f"{c}s" for c in b.LETTERS_TO])
 
 
 COLL_SQL = b.ALIGN_SQL + """,
@@ -163,9 +193,9 @@ above AS (SELECT e.sample, start, length, modification FROM errs e JOIN edited U
   WHERE CAST(n AS DOUBLE) / (edited + wt) > CASE WHEN modification = 'del' THEN least(e0, e1) ELSE e0 END)"""
 
 
-def above_error(spark, sf_dir):
-    rows = read_of(indel_reads(spark, sf_dir), spark, sf_dir)
-    return t.error_filter(rows, t.wild_type_counts(called(spark, sf_dir)))
+def above_error(spark, sf_dir, calls=None):
+    calls = calls or Calls(spark, sf_dir)
+    return t.error_filter(read_of(calls.reads(), spark, sf_dir), calls.wild_type())
 
 
 @query(f"WITH {ERROR_SQL} SELECT sample, start, length, modification FROM above")
@@ -173,8 +203,9 @@ def error_rate(spark, sf_dir):
     return above_error(spark, sf_dir)
 
 
-def flagged(spark, sf_dir):
-    return t.flag_reads(indel_reads(spark, sf_dir), above_error(spark, sf_dir), t.peak_filter(indel_reads(spark, sf_dir)))
+def flagged(spark, sf_dir, calls=None):
+    calls = calls or Calls(spark, sf_dir)
+    return t.flag_reads(calls.reads(), above_error(spark, sf_dir, calls), t.peak_filter(calls.genotypes()))
 
 
 FLAG_SQL = ERROR_SQL + """,
@@ -190,8 +221,8 @@ SELECT sample, any_value(wt) AS wt, any_value(bad_wt) AS bad_wt, any_value(trunc
   count(*) FILTER (WHERE NOT above_error_rate AND in_pick) AS below_in, count(*) FILTER (WHERE NOT above_error_rate AND NOT in_pick) AS below_out
 FROM flagged JOIN pl USING (sample) GROUP BY sample""")
 def qc_crosstab(spark, sf_dir):
-    samples = b.alignments(spark, sf_dir).select("sample").distinct()
-    return t.qc_crosstab(samples, flagged(spark, sf_dir), called(spark, sf_dir))
+    calls = Calls(spark, sf_dir)
+    return t.qc_crosstab(calls.samples(), flagged(spark, sf_dir, calls), calls.called)
 
 
 @query(f"""WITH {READ_SQL}, d AS (SELECT DISTINCT start, length, substr('{A}', start, length) AS gone, substr('{A}', 1, start - 1) AS l, substr('{A}', start + length) AS r FROM geno WHERE modification = 'del'),
@@ -207,8 +238,8 @@ CONTEXT_SQL = ERROR_SQL + """,
 context AS (SELECT *, substr(seq, CAST(greatest(off + 1 - least(off, 3), 1) AS BIGINT), CAST(least(off, 3) AS BIGINT)) AS pre_ins_nt, substr(seq, CAST(off + 1 AS BIGINT), length) AS ins_nt, substr(seq, CAST(off + 1 + length AS BIGINT), 3) AS post_ins_nt FROM placed WHERE modification = 'ins')"""
 
 
-def insertions(spark, sf_dir):
-    return t.insertion_context(read_of(indel_reads(spark, sf_dir).filter("modification = 'ins'"), spark, sf_dir))
+def insertions(spark, sf_dir, calls=None):
+    return t.insertion_context(read_of(indel_reads(spark, sf_dir, calls).filter("modification = 'ins'"), spark, sf_dir))
 
 
 @query(f"WITH {CONTEXT_SQL} SELECT sample, start, length, pre_ins_nt, ins_nt, post_ins_nt, count(*) AS n FROM context GROUP BY ALL")
@@ -251,10 +282,10 @@ edits AS (SELECT w.sample, wt, (SELECT count(*) FROM indel_reads i WHERE i.sampl
   FROM wild w LEFT JOIN (SELECT * FROM indel_reads WHERE qname NOT IN (SELECT qname FROM tpl)) r USING (sample) GROUP BY w.sample, wt)"""
 
 
-def edits(spark, sf_dir):
-    rows = indel_reads(spark, sf_dir)
-    samples = b.alignments(spark, sf_dir).select("sample").distinct()
-    return t.edit_summary(samples, rows, t.wild_type_counts(called(spark, sf_dir)), rows.filter("l_partkey % 50 = 0"))
+def edits(spark, sf_dir, calls=None):
+    calls = calls or Calls(spark, sf_dir)
+    rows = calls.reads()
+    return t.edit_summary(calls.samples(), rows, calls.wild_type(), rows.filter("l_partkey % 50 = 0"))
 
 
 @query(f"WITH {EDIT_SQL} SELECT sample, wt, template_based, delins, ins_inframe, ins_outframe, dels_inframe, dels_outframe FROM edits")
@@ -287,9 +318,9 @@ k AS (SELECT *, CASE WHEN total < 200 THEN 'Insufficient data for analysis' WHEN
 SELECT sample, cls AS classification, CASE WHEN total < 200 THEN 0 ELSE peaks END AS peaks, round(max_peak, 6) AS max_peak, clonality,
   round(CASE WHEN cls <> 'Ambiguous' THEN greatest(0, greatest(0, 1 - abs(pct_wt - CASE cls WHEN 'Hom WT' THEN 100 WHEN 'Het NHEJ' THEN 50 ELSE 0 END) * CASE cls WHEN 'Het NHEJ' THEN 0.5 ELSE 1 END / 100) - CASE WHEN total < 3000 THEN (3000 - total) / 3000.0 * 0.1 ELSE 0 END) END, 6) AS confidence FROM k""")
 def clonality(spark, sf_dir):
-    rows = t.percentages(edits(spark, sf_dir))
-    ins = insertions(spark, sf_dir)
-    out = t.clonality(rows, t.indel_groups(indel_reads(spark, sf_dir), ins))
+    calls = Calls(spark, sf_dir)
+    rows = materialize(t.percentages(edits(spark, sf_dir, calls)), "edits")  # one row a sample, read twice
+    out = t.clonality(rows, t.indel_groups(calls.reads(), insertions(spark, sf_dir, calls)))
     return out.select("sample", "classification", F.col("peaks").cast("bigint").alias("peaks"), F.round("max_peak", 6).alias("max_peak"), "clonality", F.round("confidence", 6).alias("confidence"))
 
 
