@@ -725,8 +725,11 @@ def quality_votes(members: DataFrame, scores: Scores | None = None) -> DataFrame
     run = aligner("global", scores or Scores(8, -6, 8, 1))
     error = np.minimum(10.0 ** (-np.arange(94) / 10), 0.75)
     table = np.rint(1000 * np.log((1 - error) / (error / 3))).astype(np.int64)
-    rows = members.filter("seq is not null and centre is not null and length(seq) = length(qual)").withColumn("cigar", run("seq", "centre")["cigar"])
     names = ["sample", "cluster"]
+    rows = members.filter("seq is not null and centre is not null and length(seq) = length(qual)")
+    # A fixed number of partitions, as in align_pairs; a large cluster goes to sixteen of them.
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, *names, F.pmod(F.xxhash64("seq", "qual"), F.lit(16))).withColumn("cigar", run("seq", "centre")["cigar"])
     kinds = ", ".join(f"{c} {members.schema[c].dataType.simpleString()}" for c in names)
 
     def of_member(seq: str, qual: str, cigar: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
