@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
@@ -277,12 +277,20 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(FastxSource)
 
 
+def _stem(name: Column, ending: str) -> Column:
+    """A file's name without ``.gz`` and then ``ending``, of which at least one character stays; by comparison, as it is asked for in every row."""
+    for x in (".gz", ending):
+        cut = F.left(name, F.length(name) - len(x))
+        name = F.when(name.endswith(x) & (F.length(name) > len(x)), cut).otherwise(name)
+    return name
+
+
 def read_sam(spark: SparkSession, path: str, primary_only: bool = True) -> DataFrame:
     """(sample, qname, flag, pos, mapq, raw_cigar, seq, qual) of SAM text; the sample is the file's name."""
     lines = spark.read.text(path).filter(~F.col("value").startswith("@"))
     f = F.split("value", "\t")
     rows = lines.select(
-        F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.sam)?(\.gz)?$", 1).alias("sample"),
+        _stem(F.substring_index(F.input_file_name(), "/", -1), ".sam").alias("sample"),
         F.get(f, F.lit(0)).alias("qname"), F.get(f, F.lit(1)).cast("int").alias("flag"), F.get(f, F.lit(3)).cast("bigint").alias("pos"),
         F.get(f, F.lit(4)).cast("int").alias("mapq"), F.get(f, F.lit(5)).alias("raw_cigar"), F.get(f, F.lit(9)).alias("seq"), F.get(f, F.lit(10)).alias("qual"),
     )
