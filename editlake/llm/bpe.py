@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 
 from .util import chunks, id_and_text
 
-#: Bytes of text whose different parts are encoded together.
-CHUNK = 4 << 20
+#: Bytes of text whose different parts are encoded together. Workers outlive a stage and keep the memory of their largest chunk.
+CHUNK = 1 << 20
 #: Different parts, without a mark at their end, that a worker remembers from one chunk to the next.
-KNOWN = 400_000
+KNOWN = 100_000
 MARKS = ",."
 
 
