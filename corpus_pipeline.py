@@ -22,9 +22,11 @@ def numbered(docs: DataFrame, label: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in one of the languages learned from all of ``docs``; those without a letter are rejected."""
+    """Keep documents in one of the languages learned from all of ``docs``: those that score as documents do in their own language and
+    hardly any does in another. Those without a letter are rejected."""
     docs = docs.select(COLUMNS)
-    return langid.identify_rows(docs, langid.learn_profiles(docs))
+    profiles = materialize(langid.learn_profiles(docs), "language-profiles")
+    return langid.identify_rows(docs, profiles, langid.learn_floors(docs, profiles))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from .bpe import text_batches
 from .util import id_and_text
 
 PROFILE = 300
+STEPS = 1000  # of a score, where floors are learned
 END = 1  # stands between words; no letter has this code point
 
 
@@ -93,20 +94,26 @@ class Profiles:
         for (lang, _, rank), row in zip(rows, where, strict=True):
             self.ranks[row, at[lang]] = rank - 1
 
-    def predict(self, text: str) -> tuple[str, float]:
-        """The language of least distance, and 1 less the share that this distance has of the largest possible one."""
+    def distances(self, text: str) -> tuple[int, np.ndarray]:
+        """How many n-grams of the text are compared, and its distance from each language."""
         top = top_ngrams(text)
         if not len(self.langs) or not len(top):
-            return "und", 0.0
+            return 0, np.zeros(0, np.int64)
         at = np.searchsorted(self.grams, top)
         at[at == len(self.grams)] = 0
         at = np.where(self.grams[at] == top, at, len(self.grams))
         ranks = self.ranks[at]
         out = np.abs(ranks - np.arange(len(top))[:, None])
         out[ranks == PROFILE] = PROFILE
-        distance = out.sum(0)
+        return len(top), out.sum(0)
+
+    def predict(self, text: str) -> tuple[str, float]:
+        """The language of least distance, and 1 less the share that this distance has of the largest possible one."""
+        size, distance = self.distances(text)
+        if not size:
+            return "und", 0.0
         best = int(distance.argmin())
-        return self.langs[best], float(1 - distance[best] / (len(top) * PROFILE))
+        return self.langs[best], float(1 - distance[best] / (size * PROFILE))
 
 
 def predict_language(
@@ -131,10 +138,53 @@ def predict_language(
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
 
-def identify_rows(docs: DataFrame, profiles: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text has a language of at least ``min_score``; ``und`` goes."""
+def _steps(size: int, distance: np.ndarray) -> np.ndarray:
+    """Scores in whole steps of 1 / ``STEPS``, rounded down."""
+    return STEPS - -(-STEPS * distance // (size * PROFILE))
+
+
+def learn_floors(docs: DataFrame, profiles: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(size, floor): the least score, in steps of 1 / ``STEPS``, by which a text is taken to be in a language at all.
+
+    Short texts score higher in languages they are not in, so each size (bits of the number of n-grams) has its own. It is what 99 in
+    100 rows of ``docs`` stay below in the best of the languages other than theirs, but no more than what 99 in 100 reach in their own,
+    so that texts which can't be told apart stay. With one language there is no floor.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(Profiles([(r.lang, r.gram, r.rank) for r in profiles.collect()]))
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.value
+        at = {lang: k for k, lang in enumerate(known.langs)}
+        seen = np.zeros((PROFILE.bit_length() + 1, 2, STEPS + 1), np.int64)
+        for batch in batches:
+            for a, b, texts in text_batches(batch.column(1)):
+                for lang, text in zip(batch.column(0).slice(a, b - a).to_pylist(), texts, strict=True):
+                    size, distance = known.distances(text)
+                    if size and len(at) > 1 and lang in at:
+                        steps = _steps(size, distance)
+                        seen[size.bit_length(), 1, steps[at[lang]]] += 1
+                        seen[size.bit_length(), 0, np.delete(steps, at[lang]).max()] += 1
+        where = np.nonzero(seen)
+        columns = [*(pa.array(w) for w in where), pa.array(seen[where])]
+        yield pa.RecordBatch.from_arrays(columns, ["size", "own", "step", "n"])
+
+    seen = rows.mapInArrow(run, "size bigint, own bigint, step bigint, n bigint").groupBy("size", "own", "step").agg(F.sum("n").alias("n"))
+    up = Window.partitionBy("size", "own").orderBy("step")  # at most STEPS + 1 rows each
+    seen = seen.withColumn("below", F.sum("n").over(up)).withColumn("all", F.sum("n").over(Window.partitionBy("size", "own")))
+    other = F.min(F.when((F.col("own") == 0) & (100 * F.col("below") >= 99 * F.col("all")), F.col("step"))) + 1
+    own = F.min(F.when((F.col("own") == 1) & (100 * F.col("below") > F.col("all")), F.col("step")))
+    return seen.groupBy("size").agg(F.least(other, own).alias("floor"))
+
+
+def identify_rows(docs: DataFrame, profiles: DataFrame, floors: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text has a language by a score not below its size's floor; ``und`` goes.
+
+    ``floors`` are those of :func:`learn_floors`; sizes without one have none.
+    """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(Profiles([(r.lang, r.gram, r.rank) for r in profiles.collect()]))
+    least = {} if floors is None else {r["size"]: r["floor"] for r in floors.collect()}
     at = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +192,8 @@ def identify_rows(docs: DataFrame, profiles: DataFrame, min_score: float = 0.0)
         for batch in batches:
             keep = []
             for _, _, texts in text_batches(batch.column(at)):
-                made = [known.predict(t) for t in texts]
-                keep += [lang != "und" and score >= min_score for lang, score in made]
+                for size, distance in map(known.distances, texts):
+                    keep.append(size > 0 and _steps(size, distance.min()) >= least.get(size.bit_length(), 0))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
