@@ -87,10 +87,11 @@ def read_at(read_no) -> dict:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, read_id, seq, qual): all letters of the documents, in reads of 150."""
-    rows = letters(spark, sf_dir).filter("n_reads > 0").withColumn("read_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_reads") - 1)))
-    rows = rows.withColumns(read_at(F.col("read_no"))).withColumn("read_id", F.col("doc_id") * 1000000 + F.col("read_no"))
-    return rows.select("sample", "read_id", "seq", "qual")
+    """(sample, read_id, seq, qual): all letters of the documents, in reads of 150. A document is gone through once, not for each read."""
+    cuts = F.regexp_extract_all("letters", F.lit(f"[a-z]{{1,{READ_LENGTH}}}"), F.lit(0))
+    rows = letters(spark, sf_dir).select("sample", "doc_id", F.posexplode(cuts).alias("read_no", "cut"))
+    read_id = (F.col("doc_id") * 1000000 + F.col("read_no")).alias("read_id")
+    return rows.select("sample", read_id, *[turned(F.col("cut"), name).alias(name) for name in LETTERS_TO])
 
 
 # X3: alignments
