@@ -574,34 +574,65 @@ def extraction_report(reads: DataFrame, d: UmiDesign, strands: str = "intended")
 
 
 def umi_pairs(umis: DataFrame, identity: float, longest: int, shortest: int) -> DataFrame:
-    """(sample, a, b): different UMIs of a sample whose alignment matches at least ``identity`` of the shorter one.
+    """(sample, a, b, n_a): different UMIs of a sample, of ``umis`` (sample, umi, n), whose alignment matches at least ``identity`` of the
+    shorter one; a comes before b, as it is commoner or, of equal ones, less.
 
     Pairs are proposed by a stretch that they share: with so many differences and gaps as are allowed, one of the equal pieces
-    of the shorter UMI stands in the longer one, shifted by no more than the gaps. So no sample is one task's work.
+    of the shorter UMI stands in the longer one, shifted by no more than the gaps. So no sample is one task's work. Where no difference is
+    allowed, the shorter UMI is the longer one less some bases: then piece k is shifted by k for some k, and no alignment is needed.
     """
-    # ``less``: by how many bases the shorter one is shorter; so many gaps and ``wrong`` differences make wrong + less + 1 pieces.
+    # Lengths that occur, few; ``less``: by how many bases the shorter one is shorter.
+    sizes = sorted(r[0] for r in umis.select(F.length("umi")).distinct().collect() if shortest <= r[0] <= longest)
+    both = [(m, n - m) for m in sizes for n in sizes if m <= n]
+    # So many gaps and ``wrong`` differences make wrong + less + 1 pieces; without any a UMI is near none but itself.
     cut = {
         "wrong": F.floor((1 - identity) * F.col("size") + 1e-9).cast("int"),
         "pieces": F.col("wrong") + F.col("less") + 1,
-        "k": F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)),
+        "k": F.explode(F.when(F.col("pieces") > 1, F.sequence(F.lit(0), F.col("pieces") - 1))),
         "at": F.floor(F.col("size") * F.col("k") / F.col("pieces")).cast("int") + 1,
         "width": F.floor(F.col("size") * (F.col("k") + 1) / F.col("pieces")).cast("int") + 1 - F.col("at"),
     }
-    every = umis.select("sample", "umi", F.explode(F.sequence(F.lit(0), F.lit(longest - shortest))).alias("less"))
-    short = every.withColumn("size", F.length("umi")).filter(F.col("size") + F.col("less") <= longest)
-    long = every.withColumn("size", F.length("umi") - F.col("less")).filter(F.col("size") >= shortest)
+    which = F.explode(F.array(*[F.struct(F.lit(m).alias("size"), F.lit(less).alias("less")) for m, less in both] or [F.lit(None).cast("struct<size:int,less:int>")]))
+    every = umis.select("sample", "umi", "n", which.alias("w")).select("sample", "umi", "n", "w.size", "w.less")
+    short = every.filter(F.length("umi") == F.col("size"))
+    long = every.filter(F.length("umi") == F.col("size") + F.col("less"))
     for name, column in cut.items():
         short, long = short.withColumn(name, column), long.withColumn(name, column)
-    long = long.withColumn("shift", F.explode(F.sequence(-F.col("wrong"), F.col("wrong") + F.col("less"))))
+    exact = F.col("wrong") == 0
+    long = long.withColumn("shift", F.explode(F.when(exact, F.array("k")).otherwise(F.sequence(-F.col("wrong"), F.col("wrong") + F.col("less")))))
     long = long.withColumn("at", F.col("at") + F.col("shift")).filter("at >= 1 and at + width - 1 <= length(umi)")
-    seed = F.col("umi").substr(F.col("at"), F.col("width")).alias("seed")
-    short = short.select("sample", F.col("umi").alias("a"), "less", "size", "k", seed)
-    long = long.select("sample", F.col("umi").alias("b"), "less", "size", "k", seed)
-    near = short.join(long, ["sample", "less", "size", "k", "seed"]).filter("a <> b").select("sample", "a", "b").distinct()
+    # A number stands for the stretch: two of one number are one pair more to look at.
+    seed = F.xxhash64("sample", "less", "size", "k", F.col("umi").substr(F.col("at"), F.col("width"))).alias("seed")
+    short = short.select("sample", F.col("umi").alias("a"), F.col("n").alias("n_a"), "wrong", seed)
+    long = long.select("sample", F.col("umi").alias("b"), F.col("n").alias("n_b"), seed)
+    near = short.join(long, ["seed", "sample"]).filter("a <> b")  # sorted by what tells most rows apart
+    # More equal bases outweigh up to five gaps. Letters for several bases are left to the alignment.
+    plain = exact & (F.length("b") - F.length("a") <= 5) & (~F.concat("a", "b").rlike("[^ACGT]"))
+    near = near.withColumns({"plain": plain, "inside": inside()("a", "b")}).filter("not plain or inside")
+    near = materialize(near.select("sample", "a", "b", "n_a", "n_b", "plain").distinct(), "umi-near")
     run = aligner("global", Scores(2, -3, 1, 1))
-    made = near.withColumn("cigar", run("a", "b")["cigar"])
+    made = near.filter("not plain").withColumn("cigar", run("a", "b")["cigar"])
     made = made.withColumn("same", matches()("a", "b", "cigar"))
-    return made.filter(F.col("same") >= identity * F.least(F.length("a"), F.length("b")) - 1e-9).select("sample", "a", "b")
+    made = made.filter(F.col("same") >= identity * F.least(F.length("a"), F.length("b")) - 1e-9)
+    first = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    turned = lambda rows: rows.select("sample", pick("a", "b").alias("a"), pick("b", "a").alias("b"), pick("n_a", "n_b").alias("n_a"))
+    return turned(near.filter("plain")).unionByName(turned(made).distinct())  # equal lengths are aligned both ways
+
+
+def inside():
+    """A pandas UDF (query, subject) -> whether the subject less some of its letters is the query."""
+
+    @F.pandas_udf("boolean")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        table = lambda texts, end: np.array([t.encode() + end for t in texts], "S").view(np.uint8).reshape(len(texts), -1)
+        x, y = table(a, b"\1"), table(b, b"\2")  # the ends are no letters, and equal none
+        row, at = np.arange(len(x)), np.zeros(len(x), int)
+        for k in range(y.shape[1] - 1):
+            at += x[row, at] == y[:, k]
+        return pd.Series(x[row, at] == 1)
+
+    return run
 
 
 def matches():
@@ -625,34 +656,33 @@ def matches():
 
 
 def cluster_umis(umis: DataFrame, identity: float = 0.99, shortest: int = 55, longest: int = 57) -> DataFrame:
-    """(sample, umi, cluster, n): greedy clusters of UMI sequences, named by their centroid.
+    """(sample, umi, cluster, n): greedy clusters of UMI sequences, named by their centroid. ``umis`` (sample, umi) may have
+    a number n of each row's copies; null samples are left out.
 
     Different sequences of a sample, commonest first, join the first centroid of which they have at least ``identity`` (equal
     aligned bases over the shorter length), else become one. A sequence is decided once all commoner ones near it are: round by
-    round, each a join, so that no sample is one task's work.
+    round, each a join of the pairs that still matter, so that no sample is one task's work.
     """
-    spark = umis.sparkSession
-    counted = umis.filter(F.length("umi").between(shortest, longest)).groupBy("sample", "umi").agg(F.count(F.lit(1)).alias("n"))
+    counted = umis.filter(F.col("sample").isNotNull() & F.length("umi").between(shortest, longest)).groupBy("sample", "umi")
+    counted = counted.agg((F.sum("n") if "n" in umis.columns else F.count(F.lit(1))).alias("n"))
     counted = materialize(counted, "umis")
-    pairs = umi_pairs(counted, identity, longest, shortest)
-    pairs = pairs.unionByName(pairs.select("sample", F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    size = lambda c: counted.select("sample", F.col("umi").alias(c), F.col("n").alias(f"n_{c}"))
-    pairs = pairs.join(size("a"), ["sample", "a"]).join(size("b"), ["sample", "b"])
-    first = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    pairs = materialize(pairs.filter(first).select("sample", "a", "b", "n_a"), "umi-pairs")
-    state = materialize(counted.select("sample", "umi", F.lit("open").alias("state")), "umi-state")
-    while not state.filter("state = 'open'").isEmpty():
-        before = pairs.join(state.select("sample", F.col("umi").alias("a"), F.col("state").alias("s")), ["sample", "a"])
-        before = before.groupBy("sample", F.col("b").alias("umi")).agg(
-            F.max(F.col("s") == "centre").alias("centre"), F.max(F.col("s") == "open").alias("waits")
-        )
-        new = F.when(F.col("state") != "open", F.col("state")).when(F.col("centre"), "member").when(F.col("waits"), "open").otherwise("centre")
-        state = materialize(state.join(before, ["sample", "umi"], "left").select("sample", "umi", new.alias("state")), "umi-state")
-    centres = state.filter("state = 'centre'").select("sample", F.col("umi").alias("a"))
-    of = pairs.join(centres, ["sample", "a"]).groupBy("sample", F.col("b").alias("umi"))
-    of = of.agg(F.min_by("a", F.struct(-F.col("n_a"), F.col("a"))).alias("centre"))
-    rows = counted.join(state, ["sample", "umi"]).join(of, ["sample", "umi"], "left")
-    return rows.select("sample", "umi", F.when(F.col("state") == "centre", F.col("umi")).otherwise(F.col("centre")).alias("cluster"), "n")
+    pairs = materialize(umi_pairs(counted, identity, longest, shortest), "umi-pairs")
+    left, members = pairs.select("sample", "a", "b"), None
+    while not left.isEmpty():
+        # What has no commoner one near it, or only members, is a centre; what is near a centre is a member and matters no more.
+        waits = left.select("sample", F.col("b").alias("a"))
+        new = left.join(waits, ["a", "sample"], "left_anti").select("sample", F.col("b").alias("umi")).distinct()
+        new = materialize(new, "umi-members")
+        members = new if members is None else members.unionByName(new)
+        for end in ("b", "a"):
+            left = left.join(new.withColumnRenamed("umi", end), [end, "sample"], "left_anti")
+        left = materialize(left, "umi-left")
+    if members is None:
+        return counted.select("sample", "umi", F.col("umi").alias("cluster"), "n")
+    of = pairs.join(members.withColumnRenamed("umi", "a"), ["a", "sample"], "left_anti").groupBy(F.col("b").alias("umi"), "sample")
+    of = of.agg(F.min(F.struct((-F.col("n_a")).alias("n"), F.col("a").alias("a"))).alias("first"))
+    rows = counted.join(of, ["umi", "sample"], "left")
+    return rows.select("sample", "umi", F.coalesce("first.a", "umi").alias("cluster"), "n")
 
 
 def with_centre(members: DataFrame, seq: str = "seq") -> DataFrame:

@@ -91,10 +91,10 @@ near AS (SELECT c.sample, c.umi, c.n, s.umi AS cluster, row_number() OVER (PARTI
 SELECT sample, umi, umi AS cluster, n FROM s56 UNION ALL SELECT sample, umi, cluster, n FROM near WHERE k = 1""")
 def umi_cluster(spark, sf_dir):
     """The first 56 bases of each read, twice, and once with a base inserted, which then joins the commonest UMI it is near to."""
-    r = b.reads(spark, sf_dir).filter("length(seq) >= 56").select("sample", F.substring("seq", 1, 56).alias("umi"))
+    r = b.reads(spark, sf_dir).filter("length(seq) >= 56").groupBy("sample", F.substring("seq", 1, 56).alias("umi")).count()
     more = F.concat(F.substring("umi", 1, 20), F.lit("A"), F.substring("umi", 21, 36))
-    rows = r.select("sample", F.explode(F.array("umi", "umi", more)).alias("umi"))
-    return align.cluster_umis(rows)
+    both = F.array(F.struct("umi", (2 * F.col("count")).alias("n")), F.struct(more.alias("umi"), F.col("count").alias("n")))
+    return align.cluster_umis(r.select("sample", F.explode(both).alias("u")).select("sample", "u.*"))
 
 
 @query(f"""WITH {b.READS_SQL}, m AS (SELECT sample, substr(seq, 1, 2) || '_' || len(seq) AS cluster, seq AS s FROM reads),
