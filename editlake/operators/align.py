@@ -525,6 +525,62 @@ class UmiDesign:
     context_error: int = 5
 
 
+def pattern_errors(text: list[str], pattern: str) -> np.ndarray:
+    """The fewest edits that turn ``pattern`` (1 to 63 letters) into a part of each text.
+
+    Whole columns of the edit table go as bits of one number a text: a bit says whether a cell is one more, or one less, than the cell above."""
+    own, table = _codes([pattern], len(pattern))[0], np.zeros(256, np.uint8)
+    for c, v in IUPAC.items():
+        table[ord(c)] = table[ord(c.lower())] = v
+    match = ((table[:, None] & own > 0) * (np.uint64(1) << np.arange(len(own), dtype=np.uint64))).sum(1, dtype=np.uint64)
+    sizes = np.array([len(t) for t in text], int)
+    width, one, top = int(sizes.max(initial=0)), np.uint64(1), np.uint64(len(own) - 1)
+    letters = np.frombuffer("".join(t.ljust(width, "\0") for t in text).encode("ascii", "replace"), np.uint8).reshape(len(text), width)
+    # The letters beyond a text's end match nothing, so no cell there is less than the last one of the text.
+    equal = match[np.ascontiguousarray(letters.T)]
+    more, less = np.full(len(text), ~np.uint64(0)), np.zeros(len(text), np.uint64)
+    score = np.full(len(text), len(own), np.int32)
+    best = score.copy()
+    for eq in equal:
+        down = (((eq & more) + more) ^ more) | eq | less
+        up, low = less | ~(down | more), more & down
+        score += (up >> top & one).astype(np.int32)
+        score -= (low >> top & one).astype(np.int32)
+        np.minimum(best, score, out=best)
+        up, low, eq = up << one, low << one, eq | less
+        more, less = low | ~(eq | up), up & eq
+    return best
+
+
+def seek_errors(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
+    """(sample, read_id, strand, fwd_dist, rev_dist, head, tail, seq) of reads longer than the adapter length: the strand, and how many errors
+    the best place of each UMI pattern has. See :func:`seek_umis`; the places themselves are not looked for."""
+    patterns = (d.fwd_context, d.rev_context, d.fwd_umi, d.rev_umi)
+    if not all(0 < len(x) < 64 for x in patterns):
+        raise ValueError("contexts and UMI patterns have 1 to 63 letters")
+
+    @F.pandas_udf("cf int, cr int, f int, r int")
+    def run(head: pd.Series, tail: pd.Series) -> pd.DataFrame:
+        texts = [head.fillna("").tolist(), tail.fillna("").tolist()]
+        known = head.notna()
+        made = {c: pattern_errors(texts[c == "r"], x) for c, x in zip(("cf", "cr", "f", "r"), patterns, strict=True)}
+        return pd.DataFrame({c: pd.Series(x, dtype="Int32").where(known.to_numpy()) for c, x in made.items()})
+
+    rows = reads.filter(F.length("seq") > d.adapter_length)
+    rows = rows.withColumns({"head": F.left("seq", F.lit(d.adapter_length)), "tail": F.right("seq", F.lit(d.adapter_length))}).withColumn("e", run("head", "tail"))
+    absent = {"intended": float("inf"), "as_written": -1.0}[strands]
+    near = lambda c: F.when(F.col(c) <= d.context_error, F.col(c)).otherwise(absent)
+    strand = F.when(near("e.cf") < near("e.cr"), "+").otherwise("-")
+    return rows.select("sample", "read_id", strand.alias("strand"), F.col("e.f").alias("fwd_dist"), F.col("e.r").alias("rev_dist"), "head", "tail", "seq")
+
+
+def _with_places(rows: DataFrame, d: UmiDesign) -> DataFrame:
+    edits = aligner("global-local", PROFILES["edits"])
+    rows = rows.withColumns({"f": edits(F.lit(d.fwd_umi), F.col("head")), "r": edits(F.lit(d.rev_umi), F.col("tail"))})
+    cut = lambda text, a: F.col(text).substr(F.col(f"{a}.start"), F.col(f"{a}.end") - F.col(f"{a}.start") + 1)
+    return rows.select("sample", "read_id", "strand", "fwd_dist", "rev_dist", cut("head", "f").alias("fwd_seq"), cut("tail", "r").alias("rev_seq"), "seq")
+
+
 def seek_umis(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
     """(sample, read_id, strand, fwd_dist, rev_dist, fwd_seq, rev_seq, seq) of reads longer than the adapter length, with the best place of
     each UMI pattern, however many errors it has.
@@ -532,32 +588,24 @@ def seek_umis(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> Data
     The strand is + if the forward context is nearer the read's beginning than the reverse one. A context with more than ``context_error``
     errors is not there: then it counts as farther than any (``intended``) or nearer than any (``as_written``). Nulls have no strand but -.
     """
-    edits = aligner("global-local", PROFILES["edits"])
-    rows = reads.filter(F.length("seq") > d.adapter_length)
-    rows = rows.withColumns({"head": F.left("seq", F.lit(d.adapter_length)), "tail": F.right("seq", F.lit(d.adapter_length))})
-    absent = {"intended": float("inf"), "as_written": -1.0}[strands]
-    far = lambda c: -edits(F.lit(c), F.col("head"))["score"]
-    rows = rows.withColumns({"cf": far(d.fwd_context), "cr": far(d.rev_context)})
-    near = lambda c: F.when(F.col(c) <= d.context_error, F.col(c)).otherwise(absent)
-    strand = F.when(near("cf") < near("cr"), "+").otherwise("-")
-    rows = rows.withColumns({"strand": strand, "f": edits(F.lit(d.fwd_umi), F.col("head")), "r": edits(F.lit(d.rev_umi), F.col("tail"))})
-    cut = lambda text, a: F.col(text).substr(F.col(f"{a}.start"), F.col(f"{a}.end") - F.col(f"{a}.start") + 1)
-    return rows.select(
-        "sample", "read_id", "strand", (-F.col("f.score")).cast("int").alias("fwd_dist"), (-F.col("r.score")).cast("int").alias("rev_dist"),
-        cut("head", "f").alias("fwd_seq"), cut("tail", "r").alias("rev_seq"), "seq",
-    )
+    return _with_places(seek_errors(reads, d, strands), d)
+
+
+def seek_both(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
+    """The rows of :func:`seek_errors` in which both UMI patterns are found with at most ``max_error`` errors."""
+    return seek_errors(reads, d, strands).filter(F.greatest("fwd_dist", "rev_dist") <= d.max_error)
 
 
 def extract_umis(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
     """The rows of :func:`seek_umis` in which both UMI patterns are found with at most ``max_error`` errors, and umi: both UMIs in the
     forward strand's order."""
-    rows = seek_umis(reads, d, strands).filter(F.greatest("fwd_dist", "rev_dist") <= d.max_error)
+    rows = _with_places(seek_both(reads, d, strands), d)
     back = F.concat(q.revcomp(F.col("rev_seq")), q.revcomp(F.col("fwd_seq")))
     return rows.withColumn("umi", F.when(F.col("strand") == "+", F.concat("fwd_seq", "rev_seq")).otherwise(back))
 
 
 def umi_statistics(umis: DataFrame) -> DataFrame:
-    """(sample, fwd, rev, ratio): strands of extracted reads; ratio is -1 without reverse ones."""
+    """(sample, fwd, rev, ratio): strands of extracted reads, of :func:`extract_umis` or :func:`seek_both`; ratio is -1 without reverse ones."""
     n = umis.groupBy("sample").agg(F.count_if(F.col("strand") == "+").alias("fwd"), F.count_if(F.col("strand") == "-").alias("rev"))
     return n.withColumn("ratio", F.when(F.col("rev") == 0, -1.0).otherwise(F.try_divide(F.col("fwd").cast("double"), F.col("rev"))))
 
@@ -565,7 +613,7 @@ def umi_statistics(umis: DataFrame) -> DataFrame:
 def extraction_report(reads: DataFrame, d: UmiDesign, strands: str = "intended") -> DataFrame:
     """(sample, n_reads, fwd, rev, ratio, both, pct): all reads of a sample, the strands of those that are long enough, those with both
     UMIs, and their share of all reads in percent. ratio is -1 without reverse reads."""
-    sought = seek_umis(reads, d, strands)
+    sought = seek_errors(reads, d, strands)
     found = sought.withColumn("both", F.coalesce(F.greatest("fwd_dist", "rev_dist") <= d.max_error, F.lit(False)))
     n = found.groupBy("sample").agg(F.count_if(F.col("strand") == "+").alias("fwd"), F.count_if(F.col("strand") == "-").alias("rev"), F.count_if("both").alias("both"))
     rows = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("n_reads")).join(n, "sample", "left").na.fill(0, ["fwd", "rev", "both"])

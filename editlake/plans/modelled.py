@@ -80,7 +80,7 @@ def umi_extract(spark, sf_dir):
 
 @query()
 def umi_stats(spark, sf_dir):
-    return align.umi_statistics(align.extract_umis(b.reads(spark, sf_dir), UMI))
+    return align.umi_statistics(align.seek_both(b.reads(spark, sf_dir), UMI))
 
 
 @query(f"""WITH {b.READS_SQL},

@@ -8,6 +8,14 @@ import pandas as pd
 from editlake.operators import align
 
 
+def test_pattern_errors():
+    rng = np.random.default_rng(5)
+    texts = ["", "N", "é" * 4, "acgtacgt", *("".join(rng.choice(list("ACGTNacgt-"), k)) for k in rng.integers(0, 61, 400))]
+    for pattern in ("NNNNRYNN", "ACGTACGT", "TTGCATGC", "A", "GATTACAGATTACA" * 4):
+        want = [-x[0] for x in align.align_batch([pattern] * len(texts), texts, "global-local", align.PROFILES["edits"])]
+        assert align.pattern_errors(texts, pattern).tolist() == want
+
+
 def test_inside(spark):
     run = align.inside().func
     a = pd.Series(["", "ACT", "ACT", "AAA", "ACGT", "ACGT"])
