@@ -22,6 +22,8 @@ from . import ranges
 #: Alignment flags that aren't primary: unmapped, secondary, duplicate, supplementary.
 NOT_PRIMARY = 0x4 | 0x100 | 0x400 | 0x800
 COLUMNS = ["file", "name", "comment", "seq", "qual"]
+#: Tasks of a read, unless ranges of full size need more; small ranges share a task.
+TASKS = 128
 
 
 class FastxSource(DataSource):
@@ -35,25 +37,26 @@ class FastxSource(DataSource):
         return "file string, name string, comment string, seq string, qual string"
 
     def reader(self, schema) -> DataSourceReader:
-        return FastxReader(self.options["path"], int(self.options.get("splitBytes", ranges.SPLIT_BYTES)))
+        return FastxReader(self.options["path"], int(self.options.get("splitBytes", ranges.SPLIT_BYTES)), int(self.options.get("tasks", TASKS)))
 
     def writer(self, schema, overwrite: bool) -> FastqWriter:
         return FastqWriter(self.options["path"])
 
 
 class FastxReader(DataSourceReader):
-    def __init__(self, path: str, split_bytes: int):
-        self.path, self.split_bytes = path, split_bytes
+    def __init__(self, path: str, split_bytes: int, tasks: int):
+        self.path, self.split_bytes, self.tasks = path, split_bytes, tasks
 
-    def partitions(self) -> list[ranges.Range]:
-        return ranges.cut(self.path, self.split_bytes)
+    def partitions(self) -> list[ranges.Group]:
+        return ranges.grouped(ranges.cut(self.path, self.split_bytes), self.tasks)
 
-    def read(self, partition: ranges.Range) -> Iterator[pa.RecordBatch]:
-        system, inside = ranges.open_fs(partition.path)
-        with system.open_input_file(inside) as f:
-            for arrays in records(f, partition):
-                file = pa.array([partition.path.rsplit("/", 1)[-1]] * len(arrays[0]), pa.string())
-                yield pa.RecordBatch.from_arrays([file, *arrays], COLUMNS)
+    def read(self, partition: ranges.Group) -> Iterator[pa.RecordBatch]:
+        for r in partition.ranges:
+            system, inside = ranges.open_fs(r.path)
+            with system.open_input_file(inside) as f:
+                for arrays in records(f, r):
+                    file = pa.array([r.path.rsplit("/", 1)[-1]] * len(arrays[0]), pa.string())
+                    yield pa.RecordBatch.from_arrays([file, *arrays], COLUMNS)
 
 
 def records(f, r: ranges.Range) -> Iterator[list[pa.Array]]:
@@ -200,11 +203,16 @@ class FastqWriter(ranges.BlocksWriter):
     suffix = ".gz"
 
     def contents(self, batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+        text = lambda x: pa.scalar(x, pa.large_string()) if isinstance(x, str) else x
+        join = lambda *x: pc.binary_join_element_wise(*map(text, x), text(""))
         for batch in batches:
-            rows = zip(*(batch[c].to_pylist() for c in COLUMNS[1:]), strict=True)
-            for name, comment, seq, qual in rows:
-                head = name if comment is None else f"{name} {comment}"
-                yield (f">{head}\n{seq}\n" if qual is None else f"@{head}\n{seq}\n+\n{qual}\n").encode()
+            name, comment, seq, qual = (batch[c].cast(pa.large_string()) for c in COLUMNS[1:])
+            # A null part makes the whole null, and then the other form stands.
+            head = pc.coalesce(join(name, " ", comment), name)
+            record = pc.coalesce(join("@", head, "\n", seq, "\n+\n", qual, "\n"), join(">", head, "\n", seq, "\n"))
+            if record.null_count:
+                raise ValueError("a record has no name or no sequence")
+            yield "".join(record.to_pylist()).encode()
 
 
 def read_fastx(spark: SparkSession, path: str, split_bytes: int = ranges.SPLIT_BYTES) -> DataFrame:

@@ -84,6 +84,26 @@ def cut(paths: str, split_bytes: int = SPLIT_BYTES) -> list[Range]:
     return out
 
 
+@dataclass
+class Group(InputPartition):
+    """Ranges that one task reads, one after the other."""
+
+    ranges: list[Range]
+
+
+def grouped(found: list[Range], tasks: int) -> list[Group]:
+    """``found`` in order, some neighbours to a task: more tasks than ``tasks`` only where one would have more than ``SPLIT_BYTES``."""
+    most = min(SPLIT_BYTES, sum(r.end - r.start for r in found) // max(1, tasks))
+    out, size = [], 0
+    for r in found:
+        if not out or size + r.end - r.start > most:
+            out.append(Group([]))
+            size = 0
+        out[-1].ranges.append(r)
+        size += r.end - r.start
+    return out
+
+
 def block_size(head: bytes, at: int = 0) -> int:
     """Bytes of the packed block that begins at ``at``; 0 if none does."""
     if head[at : at + 4] != HEAD or head[at + 10 : at + 16] != EXTRA or len(head) < at + 18:
@@ -181,7 +201,8 @@ def _unpacked(f, r: Range, at: int) -> Iterator[tuple[bytes, bool]]:
     if at >= r.end:
         return
     for offset, data in blocks(f, at, r.size):
-        if n >= PIECE or own != (offset < r.end):
+        # Beyond the range's end blocks come one by one, as the last record mostly ends in the first of them.
+        if n and (n >= PIECE or not own or own != (offset < r.end)):
             yield b"".join(held), own
             held, n = [], 0
         own = offset < r.end
@@ -257,4 +278,4 @@ class BlocksWriter(DataSourceArrowWriter):
                 system.delete_file(m.hidden)
 
 
-__all__ = ["LAST_BLOCK", "SPLIT_BYTES", "BlocksWriter", "Range", "block_size", "blocks", "cut", "find_files", "open_fs", "pack", "pieces", "unpack"]
+__all__ = ["LAST_BLOCK", "SPLIT_BYTES", "BlocksWriter", "Group", "Range", "block_size", "blocks", "cut", "find_files", "grouped", "open_fs", "pack", "pieces", "unpack"]

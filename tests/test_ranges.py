@@ -146,3 +146,33 @@ def test_bam_primary_only(spark, tmp_path):
     assert fastx.mapped_counts(bam.read_bam(spark, f"{tmp_path}/b", False)).first()[1:] == (5, 6)
     bam.write_bam(rows.limit(0), f"{tmp_path}/none")
     assert bam.read_bam(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_small_ranges_share_a_task(tmp_path):
+    """As many tasks as are asked for, whatever the ranges' size; none has more than a full range's bytes, and no byte is left out."""
+    (tmp_path / "a.fastq").write_bytes(b"@r\nACGT\n+\nIIII\n" * 10_000)
+    found = ranges.cut(str(tmp_path), 100)
+    groups = ranges.grouped(found, 8)
+    assert len(found) == 1500 and 8 <= len(groups) <= 9
+    assert [r for g in groups for r in g.ranges] == found
+    whole = [ranges.Range("x", "plain", k, k + ranges.SPLIT_BYTES, 0) for k in range(0, 20 * ranges.SPLIT_BYTES, ranges.SPLIT_BYTES)]
+    assert [len(g.ranges) for g in ranges.grouped(whole, 4)] == [1] * 20
+    assert ranges.grouped([], 4) == []
+
+
+def test_little_is_unpacked_beyond_a_range(tmp_path, monkeypatch):
+    """A range's reader unpacks its own blocks and one or two more, not another piece of them."""
+    rng = np.random.default_rng(3)
+    bases = ["".join(rng.choice(list("ACGT"), 150)) for _ in range(200)]
+    data = "".join(f"@{k}\n{bases[k % 200]}\n+\n{'I' * 150}\n" for k in range(10_000)).encode()
+    (tmp_path / "a.fastq.gz").write_bytes(ranges.pack(data) + ranges.LAST_BLOCK)
+    unpacked, real = [], ranges.unpack
+    monkeypatch.setattr(ranges, "unpack", lambda block: unpacked.append(len(got := real(block))) or got)
+    found = ranges.cut(str(tmp_path), 1 << 16)
+    names = []
+    for r in found:
+        with open(r.path, "rb") as g, pa.PythonFile(g) as f:
+            names += [n for arrays in fastx.records(f, r) for n in arrays[0].to_pylist()]
+    assert names == [str(k) for k in range(10_000)]
+    # For each range: the file's first blocks, the one before the range, and the next one or two.
+    assert sum(unpacked) <= len(data) + 6 * len(found) * ranges.BLOCK
