@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from editlake.functions import seq as q
 from editlake.operators.targeted import _spread
+from editlake.scratch import materialize
 
 #: Lower ends of the duplication levels that hold more than one number of copies.
 LEVELS = (10, 50, 100, 500, 1000, 5000, 10000)
 QUANTILES = (10, 25, 50, 75, 90)
+#: Places of a contaminant that are cut into words together.
+PIECE = 64
 
 
 def known(reads: DataFrame) -> DataFrame:
@@ -111,14 +114,21 @@ def contaminant_hits(found: DataFrame, contaminants: DataFrame, least: int = 20,
     word = least // (errors + 1)
     items = contaminants.filter("sequence is not null").select(F.col("name").alias("contaminant"), F.upper("sequence").alias("c"))
     items = items.withColumn("strand", F.lit("+")).unionByName(items.withColumn("c", q.revcomp(F.col("c"))).withColumn("strand", F.lit("-")))
+    items = materialize(items.distinct().withColumn("id", F.md5("c")), "contaminants")  # read by four steps
+    # Words are cut from pieces: a place in a whole sequence is found from its beginning, and every row of a word would carry it.
+    starts = F.when(F.length("c") > 0, F.sequence(F.lit(1), F.length("c"), F.lit(PIECE))).otherwise(F.array().cast("array<int>"))
+    parts = items.withColumn("at", F.explode(starts)).select("contaminant", "strand", "id", "at", F.col("c").substr(F.col("at"), F.lit(PIECE + least - 1)).alias("p"))
+    found = materialize(found, "found")  # likewise
     seqs = found.filter("seq is not null").select(F.upper("seq").alias("s"), F.col("seq").alias("written")).distinct()
     places = lambda x, k: F.when(F.length(x) >= k, F.sequence(F.lit(1), F.length(x) - k + 1)).otherwise(F.array().cast("array<int>"))
     cut = lambda x, at, k: F.col(x).substr(F.col(at), F.lit(k))
 
     # Diagonals: the sequence's place less the contaminant's.
     left = seqs.filter(F.length("s") >= least).withColumn("i", F.explode(places(F.col("s"), word))).withColumn("w", cut("s", "i", word))
-    right = items.withColumn("j", F.explode(places(F.col("c"), word))).withColumn("w", cut("c", "j", word))
-    lines = left.join(right, "w").select("s", "written", "contaminant", "strand", "c", (F.col("i") - F.col("j")).alias("d")).distinct()
+    begins = lambda k: F.slice(places(F.col("p"), k), 1, PIECE)
+    right = parts.withColumn("j", F.explode(begins(word))).select("contaminant", "strand", "id", (F.col("at") + F.col("j") - 1).alias("j"), cut("p", "j", word).alias("w"))
+    lines = left.join(right, "w").select("s", "written", "contaminant", "strand", "id", (F.col("i") - F.col("j")).alias("d")).distinct()
+    lines = lines.join(items, ["contaminant", "strand", "id"])
     lo, hi = F.greatest(F.lit(1), F.col("d") + 1), F.least(F.length("s"), F.length("c") + F.col("d"))
     differ = F.filter(F.sequence(lo, hi), lambda i: F.col("s").substr(i, F.lit(1)) != F.col("c").substr(i - F.col("d"), F.lit(1)))
     lines = lines.withColumn("ends", F.concat(F.array(lo - 1), differ, F.array(hi + 1)))
@@ -130,7 +140,7 @@ def contaminant_hits(found: DataFrame, contaminants: DataFrame, least: int = 20,
     long = lines.withColumn("top", F.array_max(runs)).select("written", "contaminant", "strand", F.col("top.size").alias("size"), (-F.col("top.right")).alias("wrong"))
 
     sizes = F.sequence(F.lit(shortest), F.lit(least - 1))
-    short = items.withColumn("k", F.explode(sizes)).withColumn("i", F.explode(places(F.col("c"), F.col("k")))).select("contaminant", "strand", F.col("c").substr(F.col("i"), F.col("k")).alias("s")).distinct()
+    short = parts.withColumn("k", F.explode(sizes)).withColumn("i", F.explode(begins(F.col("k")))).select("contaminant", "strand", F.col("p").substr(F.col("i"), F.col("k")).alias("s")).distinct()
     short = seqs.filter(F.length("s").between(shortest, least - 1)).join(short, "s").select("written", "contaminant", "strand", F.length("s").alias("size"), F.lit(0).alias("wrong"))
 
     rows = long.filter(F.col("size") >= least).unionByName(short)

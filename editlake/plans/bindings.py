@@ -64,9 +64,9 @@ reads AS (SELECT sample, doc_id, read_no, n_reads, doc_id * 1000000 + read_no AS
 READ_LENGTH = 150
 
 
-def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, doc_id, letters, n_reads) of every document: its letters, and how many reads they make."""
-    docs = table(spark, sf_dir, "documents")
+def letters(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """(sample, doc_id, letters, n_reads) of every document, or of those given: its letters, and how many reads they make."""
+    docs = table(spark, sf_dir, "documents") if docs is None else docs
     rows = docs.select(F.col("source").alias("sample"), "doc_id", F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("letters"))
     return rows.withColumn("n_reads", F.ceil(F.length("letters") / READ_LENGTH))
 

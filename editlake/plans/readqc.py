@@ -91,7 +91,9 @@ def contaminants(spark, sf_dir):
     """Overrepresented beginnings of reads, seen twice or more, that are found in a list of contaminants, with a mismatch or on the other strand."""
     bases = lambda c: F.translate(F.lower(F.regexp_replace(c, "[^A-Za-z]", "")), "abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26])
     items = b.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("name"), bases(F.col("text")).alias("sequence"))
-    first = b.letters(spark, sf_dir).filter("sample is not null and letters is not null").groupBy("sample").agg(F.left(F.min_by("letters", "doc_id"), F.lit(600)).alias("l"))
+    docs = b.table(spark, sf_dir, "documents").filter("source is not null and text is not null")
+    ids = docs.groupBy("source").agg(F.min("doc_id").alias("doc_id"))  # a row a sample; only those documents' letters are looked at
+    first = b.letters(spark, sf_dir, docs.join(ids, ["doc_id", "source"], "left_semi")).groupBy("sample").agg(F.left(F.min_by("letters", "doc_id"), F.lit(600)).alias("l"))
     first = first.select("sample", q.bases(F.translate("l", "abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26])).alias("b"))
     changed = F.transform("b", lambda x, i: F.when((i + 1) % 30 == 0, F.translate(x, "ACGT", "CATG")).otherwise(x))
     first = first.select(F.concat(F.lit("sample "), F.col("sample")).alias("name"), F.array_join(changed, "").alias("sequence"))
