@@ -1,7 +1,7 @@
 """Alignment, read merging, UMIs and consensus: the parts that need code of their own, in Arrow batches.
 
 Alignment is the three-state dynamic program with affine gaps, run for a whole batch of pairs at once: a step fills
-one row of every pair's table. Long pairs are seeded first: the minimisers that both share are chained, and only a band around the
+one diagonal of every pair's table. Long pairs are seeded first: the minimisers that both share are chained, and only a band around the
 chain is filled. Letters are sets of bases, so IUPAC codes match what they stand for. Equal pairs are aligned once. Null sequences
 give null results.
 """
@@ -14,8 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from editlake.functions import seq as q
 from editlake.scratch import materialize
@@ -25,8 +28,8 @@ IUPAC = {
     "A": 1, "C": 2, "G": 4, "T": 8, "U": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3,
     "B": 14, "D": 13, "H": 11, "V": 7, "N": 15,
 }
-#: Pairs that are aligned at once, and cells of their tables.
-PAIRS, CELLS = 1024, 1 << 20
+#: Pairs that are aligned at once, cells of their tables, and how many pairs go side by side through a step.
+PAIRS, CELLS, LANES = 1024, 1 << 25, 512
 #: Pairs of more cells are seeded by k-mers of SEED bases.
 LONG, SEED = 1 << 20, 13
 NEVER = -(10**9)
@@ -63,11 +66,167 @@ def align_batch(queries: list[str], subjects: list[str], mode: str, s: Scores) -
     """
     m, n = np.array([len(x) for x in queries], int), np.array([len(x) for x in subjects], int)
     rows, cols = int(m.max(initial=0)), int(n.max(initial=0))
-    return _fill_whole(_codes(queries, rows), _codes(subjects, cols), m, n, mode, s)
+    kind = _diagonal_kind(rows, cols, s)
+    if kind is not None:
+        return _fill_diagonals(_codes(queries, rows), _codes(subjects, cols), m, n, mode, s, kind)
+    made, at = [], 0  # tables of whole rows, of fewer pairs at once
+    some = max(1, (1 << 20) // ((rows + 1) * (cols + 1)))
+    while at < len(m):
+        part = slice(at, at + some)
+        made += _fill_whole(_codes(queries[part], rows), _codes(subjects[part], cols), m[part], n[part], mode, s)
+        at += some
+    return made
+
+
+def _diagonal_kind(rows: int, cols: int, s: Scores) -> type | None:
+    """The kind of number that :func:`_fill_diagonals` needs, None where it isn't for such scores."""
+    costs = (s.match, s.mismatch, s.gap_open, s.gap_extend)
+    if not (rows and cols and all(float(c).is_integer() for c in costs)):
+        return None
+    worth, other = s.match - s.mismatch, s.mismatch + 2 * s.gap_extend + s.gap_open
+    if worth <= 0 or s.mismatch >= 0 or s.gap_open < 0 or s.gap_extend < 0 or s.gap_open + s.gap_extend == 0 or other < 0:
+        return None
+    most = (abs(s.match) + 2 * s.gap_extend) * (rows + cols + 2) + 4 * s.gap_open + worth + other
+    letters = 1 << (int(worth + other).bit_length() + 4)
+    return next((k for k in (np.int16, np.int32) if max(2 * most, letters) < np.iinfo(k).max), None)
+
+
+#: Tables that a process fills again and again.
+_ROOM: dict[str, np.ndarray] = {}
+
+
+def _room(name: str, size: int, kind: type) -> np.ndarray:
+    if name not in _ROOM or _ROOM[name].nbytes < size * np.dtype(kind).itemsize:
+        _ROOM[name] = np.empty(size * np.dtype(kind).itemsize, np.uint8)
+    return _ROOM[name][: size * np.dtype(kind).itemsize].view(kind)
+
+
+def _fill_diagonals(
+    x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, mode: str, s: Scores, kind: type
+) -> list[tuple[float, int, int, str]]:
+    """As :func:`align_batch`, from tables by diagonal, place and pair: the cells of a diagonal don't depend on each other.
+
+    A cell (i, j) holds its score plus (i + j) gap_extend, so that a gap grows for nothing. What a step needs of two letters is one "and": the
+    bits that both have lie above the scores, a common lower part is that of different ones. The ways back are found from the scores of the
+    cells and of those that end in a gap of the query, all pairs side by side. Scores are as :func:`_diagonal_kind` wants them.
+    """
+    pairs, rows, cols = len(m), x.shape[1], y.shape[1]
+    match, mismatch, gap_open, extend = (int(c) for c in (s.match, s.mismatch, s.gap_open, s.gap_extend))
+    other = mismatch + 2 * extend + gap_open
+    equal, never, local = match - mismatch + other, np.iinfo(kind).min // 2, mode == "local"
+    lanes = min(pairs, LANES)
+    blocks, wide, depth = -(-pairs // lanes), cols + 1, rows + cols + 1
+    code = lambda z: np.pad((z.astype(kind) << equal.bit_length()) | kind(other), ((0, blocks * lanes - pairs), (0, 0)), constant_values=other)
+    x, y = np.ascontiguousarray(code(x).T), np.ascontiguousarray(code(y).T)
+    all_h, all_e = (_room(name, blocks * depth * wide * lanes, kind) for name in ("scores", "gaps"))
+    tops = np.full((depth, blocks * lanes), never, kind)
+    f, t = np.empty((wide, lanes), kind), np.empty((wide, lanes), kind)
+    opens = [np.empty((wide, lanes), kind) for _ in range(3)]
+    for k in range(blocks):
+        part = slice(k * lanes, (k + 1) * lanes)
+        back, down = np.ascontiguousarray(x[::-1, part]), np.ascontiguousarray(y[:, part])
+        h, e = (z.reshape(blocks, depth, wide, lanes)[k] for z in (all_h, all_e))
+        f[:] = never
+        for d in range(depth):
+            lo, hi = max(1, d - rows), min(cols, d - 1)
+            now, one, two = opens[d % 3], opens[(d - 1) % 3], opens[(d - 2) % 3]
+            if lo <= hi:
+                cells, up, gap = t[: hi - lo + 1], f[lo : hi + 1], e[d, lo : hi + 1]
+                np.maximum(one[lo - 1 : hi], e[d - 1, lo - 1 : hi], out=gap)
+                np.maximum(one[lo : hi + 1], up, out=up)
+                np.bitwise_and(back[rows - d + lo : rows - d + hi + 1], down[lo - 1 : hi], out=cells)
+                np.minimum(cells, kind(equal), out=cells)
+                np.add(cells, two[lo - 1 : hi], out=cells)
+                np.maximum(cells, gap, out=cells)
+                if local:
+                    np.maximum(cells, up, out=cells)
+                    np.maximum(cells, kind(extend * d), out=h[d, lo : hi + 1])
+                    np.maximum.reduce(h[d, lo : hi + 1], axis=0, out=tops[d, part])
+                else:
+                    np.maximum(cells, up, out=h[d, lo : hi + 1])
+            if d <= rows:
+                h[d, 0], e[d, 0] = extend * d if local else -gap_open * (d > 0), never
+            if d <= cols:
+                h[d, d] = extend * d if mode != "global" else -gap_open * (d > 0)
+            span = slice(max(0, d - rows), min(cols, d) + 1)
+            np.subtract(h[d, span], kind(gap_open), out=now[span])
+    every = np.arange(pairs)
+    first = every // lanes * (depth * wide * lanes) + every % lanes
+    place = lambda p, i, j: first[p] + ((i + j) * wide + j) * lanes
+    if mode == "global":
+        i, j = m.astype(np.int64), n.astype(np.int64)
+    elif local:
+        # Beyond a pair's ends scores only fall. Of equal ones the first row's counts, there the first.
+        tops = tops[:, :pairs] - extend * np.arange(depth)[:, None]
+        best = tops.max(0)
+        d, p = np.nonzero((tops == best) & (best > 0))
+        which = np.arange(wide)
+        there = all_h[first[p, None] + (d[:, None] * wide + which) * lanes] == (best[p] + extend * d)[:, None]
+        there &= (which >= np.maximum(1, d - rows)[:, None]) & (which <= np.minimum(cols, d - 1)[:, None])
+        at = cols - there[:, ::-1].argmax(1)
+        order = np.lexsort((at, d - at, p))
+        p, first_of = np.unique(p[order], return_index=True)
+        i, j = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
+        i[p], j[p] = (d - at)[order][first_of], at[order][first_of]
+    else:
+        which = np.arange(wide)
+        ends = all_h[place(every[:, None], m[:, None], which)] - extend * (m[:, None] + which)
+        i, j = m.astype(np.int64), np.where(which <= n[:, None], ends, 2 * never).argmax(1)
+    score = all_h[place(every, i, j)] - extend * (i + j)
+    last_i, last = i.copy(), j.copy()
+    # All ways back at once; 1, 2, 3: both go on, the subject, the query.
+    total, steps = blocks * lanes, (2 * wide + 1) * lanes
+    ways = np.zeros((depth, pairs), np.uint8)
+    x, y = x.reshape(-1), y.reshape(-1)
+    p, at, state = every, place(every, i, j), np.zeros(pairs, np.uint8)
+    value, here = all_h[at], all_h[at]
+    end_i, end_j = i.copy(), j.copy()
+    for step in range(depth):
+        if local:
+            done = (here <= extend * (i + j)) & (state == 0)
+        else:
+            done = i == 0 if mode == "global-local" else (i == 0) & (j == 0)
+        if done.any():
+            end_i[p[done]], end_j[p[done]] = i[done], j[done]
+            p, at, state, value, here, i, j = (z[~done] for z in (p, at, state, value, here, i, j))
+        if not len(p):
+            break
+        fresh, inside = state == 0, (i > 0) & (j > 0)
+        letters = x[np.maximum(i - 1, 0) * total + p] & y[np.maximum(j - 1, 0) * total + p]
+        both = fresh & inside & (all_h[np.maximum(at - steps, 0)] - gap_open + np.minimum(letters, equal) == here)
+        value = np.where(fresh, here, value)
+        left = (state == 2) | (fresh & ~both & (j > 0) & ((i == 0) | (all_e[at] == here)))
+        way = np.where(both, np.uint8(1), np.where(left, np.uint8(2), np.uint8(3)))
+        ways[step, p] = way
+        at = at - np.where(both, steps, np.where(left, (wide + 1) * lanes, wide * lanes))
+        here = all_h[at]
+        on = ~both & (value > here - gap_open) & (np.where(left, j, i) > 1)
+        state = np.where(on, way, np.uint8(0))
+        i, j = i - (way != 2), j - (way != 3)
+    cigars = _cigars(ways, end_i if local else None, m - last_i)
+    return list(zip(score.astype(float).tolist(), (end_j + 1).tolist(), last.tolist(), cigars, strict=True))
+
+
+def _cigars(ways: np.ndarray, before: np.ndarray | None, after: np.ndarray) -> list[str]:
+    """A CIGAR for each column of ``ways``, which is walked from its end; with ``before`` so many bases of the query are cut off, and ``after``."""
+    depth, pairs = ways.shape
+    ops = np.zeros((pairs, depth + 1), np.uint8)
+    ops[:, :depth] = ways[::-1].T
+    ops = ops.reshape(-1)  # pairs end in a 0
+    begin = np.flatnonzero(np.concatenate((ops[:1] > 0, (ops[1:] != ops[:-1]) & (ops[1:] > 0))))
+    finish = np.flatnonzero((ops[:-1] != ops[1:]) & (ops[:-1] > 0)) + 1
+    pair, kinds, sizes = begin // (depth + 1), ops[begin], finish - begin
+    texts = [f"{size}{'-MDI'[kind]}" for size, kind in zip(sizes.tolist(), kinds.tolist(), strict=True)]
+    cuts = np.searchsorted(pair, np.arange(pairs + 1)).tolist()
+    whole = ["".join(texts[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    if before is None:
+        return whole
+    cut = lambda k: f"{k}S" if k else ""
+    return [cut(a) + c + cut(b) if c else cut(a + b) for a, c, b in zip(before.tolist(), whole, after.tolist(), strict=True)]
 
 
 def _fill_whole(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, mode: str, s: Scores) -> list[tuple[float, int, int, str]]:
-    """As :func:`align_batch`, from whole tables: place by pair, so that a step to the left is one to the row above and all pairs go side by
+    """As :func:`align_batch`, for any scores, from whole tables: place by pair, so that a step to the left is one to the row above and all pairs go side by
     side. No cell depends on one right of it or below, so those beyond a pair's ends are filled too and only never taken."""
     pairs, rows, cols = len(m), x.shape[1], y.shape[1]
     costs = (s.match, s.mismatch, s.gap_open, s.gap_extend)
@@ -140,7 +299,7 @@ def _fill(
     x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray, first: np.ndarray, width: int, moves: bool, mode: str, s: Scores
 ) -> list[tuple[float, int, int, str]]:
     """As :func:`align_batch`, filling ``width`` cells a row: those of the subject's places from ``first`` on, a place
-    farther on in each row if the band ``moves``. (:func:`_fill_whole` is quicker for whole tables.)"""
+    farther on in each row if the band ``moves``. (:func:`_fill_diagonals` is quicker for whole tables.)"""
     b, rows = len(m), x.shape[1]
     free = mode in ("global-local", "local")
     cell, step = np.arange(width), int(moves)
@@ -328,41 +487,67 @@ def pack(ops: list[str]) -> str:
     return "".join(out)
 
 
+def align_texts(a: list, b: list, mode: str, scores: Scores) -> list[tuple]:
+    """(score, start, end, cigar) of each pair of a query and a subject, of nulls without a value."""
+    out: list[tuple] = [(None, None, None, None)] * len(a)
+    known = sorted((k for k in range(len(a)) if a[k] is not None and b[k] is not None), key=lambda k: len(a[k]))
+    at = 0
+    while at < len(known):
+        # Sorted by length, so the last pair is the longest of its batch.
+        part = known[at : at + PAIRS]
+        wide = max(len(b[k]) for k in part) + 1
+        cells = (len(a[part[-1]]) + wide) * wide  # of a table by diagonals
+        if (len(a[part[0]]) + 1) * (len(b[part[0]]) + 1) > LONG:
+            part = part[:1]
+            made = [align_long(a[part[0]], b[part[0]], mode, scores)]
+        else:
+            part = part[: max(1, CELLS // cells)]
+            made = align_batch([a[k] for k in part], [b[k] for k in part], mode, scores)
+        at += len(part)
+        for k, r in zip(part, made, strict=True):
+            out[k] = r
+    return out
+
+
 def aligner(mode: str, scores: Scores):
     """A pandas UDF (query, subject) -> struct<score, start, end, cigar>."""
 
     @F.pandas_udf(RESULT)
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        out = np.empty((len(a), 4), object)
-        known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
-        known = known[np.argsort([len(a.iat[k]) for k in known], kind="stable")]
-        at = 0
-        while at < len(known):
-            # Sorted by length, so the last pair is the longest of its batch.
-            part = known[at : at + PAIRS]
-            cells = (len(a.iat[part[-1]]) + 1) * (max(len(b.iat[k]) for k in part) + 1)
-            if (len(a.iat[part[0]]) + 1) * (len(b.iat[part[0]]) + 1) > LONG:
-                part = part[:1]
-                made = [align_long(a.iat[part[0]], b.iat[part[0]], mode, scores)]
-            else:
-                part = part[: max(1, CELLS // cells)]
-                made = align_batch([a.iat[k] for k in part], [b.iat[k] for k in part], mode, scores)
-            at += len(part)
-            for k, r in zip(part, made, strict=True):
-                out[k] = r
-        frame = pd.DataFrame(out, columns=["score", "start", "end", "cigar"])
+        texts = [x.astype(object).where(x.notna(), None).tolist() for x in (a, b)]
+        frame = pd.DataFrame(align_texts(*texts, mode, scores), columns=["score", "start", "end", "cigar"], dtype=object)
         return frame.astype({"score": "float64", "start": "Int32", "end": "Int32"})
 
     return run
 
 
-def align_pairs(df: DataFrame, query: str, subject: str, mode: str = "global-local", scores: Scores | None = None) -> DataFrame:
-    """Adds score, start, end, cigar; equal pairs are aligned once."""
+def by_pair(df: DataFrame, query: str, subject: str, make, fields: str) -> DataFrame:
+    """Adds the columns ``fields`` that ``make`` gives, a tuple a pair, for lists of queries and subjects.
+
+    Rows are shuffled once, so that equal pairs come to one task, side by side; ``make`` sees them once a batch. As a function of batches, not
+    a column, it is called once however many of its fields are asked for.
+    """
     # A fixed number of partitions, which the adaptive planner doesn't merge: few bytes here are much work.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = df.select(query, subject).repartition(n, query, subject).distinct()
-    done = pairs.select(query, subject, aligner(mode, scores or Scores())(query, subject).alias("a")).select(query, subject, "a.*")
-    return df.join(done, [query, subject])
+    more = StructType.fromDDL(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(more)
+        for batch in batches:
+            pairs: dict[tuple, int] = {}
+            which = [pairs.setdefault(x, len(pairs)) for x in zip(batch[query].to_pylist(), batch[subject].to_pylist(), strict=True)]
+            made = make([x for x, _ in pairs], [y for _, y in pairs])
+            new = [pa.array([r[k] for r in made], kind.type).take(pa.array(which, pa.int32())) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *kinds.names])
+
+    rows = df.repartition(n, query, subject).sortWithinPartitions(F.xxhash64(query, subject))
+    return rows.mapInArrow(run, StructType(df.schema.fields + more.fields))
+
+
+def align_pairs(df: DataFrame, query: str, subject: str, mode: str = "global-local", scores: Scores | None = None) -> DataFrame:
+    """Adds score, start, end, cigar; equal pairs are aligned once a batch. Rows without one of the two are left out."""
+    s = scores or Scores()
+    return by_pair(df.dropna(subset=[query, subject]), query, subject, lambda a, b: align_texts(a, b, mode, s), RESULT)
 
 
 def cut_sites(guides: DataFrame, reference: str, rel_cut: int = -3) -> DataFrame:
