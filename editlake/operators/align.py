@@ -938,30 +938,24 @@ def polish(members: DataFrame, rounds: int = 2, seq: str = "seq", weight: str |
 
 def project(members: DataFrame, seq: str, centre: str, scores: Scores | None = None) -> DataFrame:
     """Adds projected: the member's base at every place of the centre, - where it has none; inserted bases are left out."""
-    run = aligner("global", scores or Scores(8, -6, 8, 1))
-
-    @F.pandas_udf("string")
-    def lay(member: pd.Series, cigar: pd.Series) -> pd.Series:
-        out = []
-        for text, c in zip(member, cigar, strict=True):
-            parts, at, number = [], 0, ""
-            for ch in c or "":
-                if ch.isdigit():
-                    number += ch
-                    continue
-                n, number = int(number), ""
-                if ch == "M":
-                    parts.append(text[at : at + n])
-                    at += n
-                elif ch == "D":
-                    parts.append("-" * n)
-                else:
-                    at += n
-            out.append("".join(parts) if c else None)
-        return pd.Series(out, dtype=object)
+    s = scores or Scores(8, -6, 8, 1)
+
+    def lay(text: str, cigar: str | None) -> tuple[str | None]:
+        if not cigar:
+            return (None,)
+        parts, at = [], 0
+        for n, op in re.findall(r"(\d+)([MID])", cigar):
+            n = int(n)
+            if op == "D":
+                parts.append("-" * n)
+                continue
+            if op == "M":
+                parts.append(text[at : at + n])
+            at += n
+        return ("".join(parts),)
 
-    rows = members.withColumn("cigar", run(seq, centre)["cigar"])
-    return rows.withColumn("projected", lay(seq, "cigar")).drop("cigar")
+    made = lambda a, b: [lay(text, r[3]) for text, r in zip(a, align_texts(a, b, "global", s), strict=True)]
+    return by_pair(members, seq, centre, made, "projected string")
 
 
 def consensus(members: DataFrame, seq: str = "projected", weight: str | None = None) -> DataFrame:
